@@ -36,8 +36,14 @@ def exact_sum(c, scale: int = 2, precision: int = 18) -> Column:
 
 
 def round_half_up(c, digits: int = 2) -> Column:
-    """Round half away from zero on the decimal value (not on the binary one)."""
-    return F.round(col(c).cast(DecimalType(38, 12)), digits).cast("double")
+    """Round half away from zero with plain IEEE double arithmetic.
+
+    ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``: every engine evaluating the same
+    IEEE operations gets the same bits, unlike decimal-string based rounding.
+    """
+    x = col(c)
+    scale = float(10 ** digits)
+    return (F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)) + F.lit(0.0)
 
 
 def to_day(c) -> Column:
@@ -48,7 +54,7 @@ def to_day(c) -> Column:
 def parse_date(c) -> Column:
     """Per-row date parsing with format fallback: yyyyMMdd, then yyyy-MM-dd; bad -> NULL."""
     s = col(c).cast("string")
-    return F.coalesce(F.try_to_date(s, F.lit("yyyyMMdd")), F.try_to_date(s, F.lit("yyyy-MM-dd")))
+    return F.coalesce(F.try_to_date(s, "yyyyMMdd"), F.try_to_date(s, "yyyy-MM-dd"))
 
 
 def slug_price_name(name: str) -> str:

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 
 def R(expr: str, d: int = 6) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), {d}) AS DOUBLE)"
+    scale = float(10 ** d)
+    return f"(CAST(sign({expr}) AS DOUBLE) * CAST(floor(abs({expr}) * {scale} + 0.5) AS DOUBLE) / {scale} + 0.0)"
 
 
 def XSUM(expr: str, scale: int = 2) -> str:
@@ -136,3 +137,88 @@ SELECT b.product_code, b.date, b.quantity_sold, b.revenue_before, b.revenue_afte
        {WIDE_OUT},
        printf('%d_%02d', isoyear(b.date), week(b.date)) AS year_week
 FROM bpanel b LEFT JOIN wide w ON b.product_code = w.product_code AND b.date = w.price_date""")
+
+
+# ---------------------------------------------------------------- receipts -> panel
+RCPT = """rcpt AS (
+  SELECT p.p_brand AS product_code, l.l_suppkey AS store_code,
+         strftime(CAST(l.l_shipdate AS DATE), '%Y%m%d') AS date_code, l.l_quantity AS quantity_sold,
+         CASE WHEN l.l_linenumber = 7 THEN l.l_tax * 10 ELSE 0.0 END AS weight_sold,
+         l.l_extendedprice / l.l_quantity AS product_selling_price,
+         l.l_extendedprice * (1 - l.l_discount) / l.l_quantity AS calculated_price,
+         l.l_extendedprice AS revenue_before_discount_incl_vat, l.l_discount > 0 AS promo_ind,
+         l.l_linestatus AS product_status, l.l_orderkey, l.l_linenumber
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""
+
+FIXED = f"""fixed AS (
+  SELECT * REPLACE ({R('CASE WHEN weight_sold > 0 THEN calculated_price * quantity_sold / weight_sold ELSE product_selling_price END', 2)} AS calculated_price)
+  FROM rcpt)"""
+
+STORE_DAY = """sday AS (
+  SELECT product_code, date, store_code, avg(product_selling_price) AS product_selling_price_mean,
+         avg(calculated_price) AS calculated_price_mean, sum(quantity_sold) AS quantity_sold_sum
+  FROM (SELECT *, CAST(strptime(date_code, '%Y%m%d') AS DATE) AS date FROM fixed
+        WHERE product_selling_price IS NOT NULL)
+  WHERE date <= DATE '2024-08-01' AND quantity_sold > 0
+  GROUP BY product_code, date, store_code)"""
+
+CHANGES = f"""chg AS (
+  SELECT * FROM (
+    SELECT product_code, store_code,
+      {R('(product_selling_price_mean - lag(product_selling_price_mean) OVER w) * 100', 2)} AS product_selling_price_change,
+      {R('(calculated_price_mean - lag(calculated_price_mean) OVER w) * 100', 2)} AS calculated_price_price_change
+    FROM sday WINDOW w AS (PARTITION BY product_code, store_code ORDER BY date))
+  WHERE product_selling_price_change <> 0)"""
+
+CORR = """pairs AS (
+  SELECT * FROM (
+    SELECT product_code, store_code, count(*) AS n_changes,
+           covar_pop(product_selling_price_change, calculated_price_price_change)
+             / (stddev_pop(product_selling_price_change) * stddev_pop(calculated_price_price_change)) AS corr
+    FROM chg GROUP BY product_code, store_code)
+  WHERE n_changes > 1 AND corr > 0.9)"""
+
+register("weighted_price_fix", with_(RCPT, FIXED) +
+         "SELECT product_code, store_code, date_code, l_orderkey, l_linenumber, calculated_price FROM fixed")
+
+register("store_day_agg", with_(RCPT, FIXED, STORE_DAY) + f"""
+SELECT product_code, date, store_code, {R('product_selling_price_mean')} AS product_selling_price_mean,
+       {R('calculated_price_mean')} AS calculated_price_mean, quantity_sold_sum FROM sday""")
+
+register("store_price_corr", with_(RCPT, FIXED, STORE_DAY, CHANGES, CORR) +
+         f"SELECT product_code, store_code, n_changes, {R('corr')} AS corr FROM pairs")
+
+register("store_follower_select", with_(RCPT, FIXED, STORE_DAY, CHANGES, CORR) + """
+SELECT * FROM fixed f WHERE EXISTS (SELECT 1 FROM pairs p WHERE p.product_code = f.product_code
+                                    AND p.store_code = f.store_code)""")
+
+USTORES = """seen AS (SELECT DISTINCT product_code, store_code, CAST(strptime(date_code, '%Y%m%d') AS DATE) AS date FROM {src}),
+us AS (
+  SELECT pd.product_code, pd.date,
+         count(DISTINCT CASE WHEN s.date > pd.date - 7 THEN s.store_code END) AS unique_stores_last_7_days,
+         count(DISTINCT s.store_code) AS unique_stores_last_30_days
+  FROM (SELECT DISTINCT product_code, date FROM seen) pd
+  JOIN seen s ON s.product_code = pd.product_code AND s.date <= pd.date AND s.date > pd.date - 30
+  GROUP BY pd.product_code, pd.date)"""
+
+register("rolling_unique_stores", with_(RCPT, USTORES.format(src="rcpt")) + "SELECT * FROM us")
+
+register("product_day_rollup", with_(RCPT, FIXED, """dd AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, CAST(strptime(date_code, '%Y%m%d') AS DATE) AS date,
+           row_number() OVER (PARTITION BY date_code, product_code, store_code ORDER BY l_orderkey, l_linenumber) AS rn
+    FROM fixed) WHERE rn = 1)""", USTORES.format(src="dd")) + f"""
+SELECT d.product_code, d.date, sum(quantity_sold) AS quantity_sold,
+       arg_min(unique_stores_last_7_days, store_code) AS unique_stores_last_7_days,
+       arg_min(unique_stores_last_30_days, store_code) AS unique_stores_last_30_days,
+       arg_min(product_selling_price, store_code) AS product_selling_price,
+       {XSUM('revenue_before_discount_incl_vat', 2)} AS revenue_before_discount_incl_vat,
+       arg_min(product_status, store_code) AS product_status, arg_min(promo_ind, store_code) AS promo_ind,
+       {R('avg(calculated_price)')} AS calculated_price
+FROM dd d LEFT JOIN us u ON d.product_code = u.product_code AND d.date = u.date
+GROUP BY d.product_code, d.date""")
+
+register("keep_last_dedupe", with_(SALES) + """
+SELECT product_code, date, store_code, quantity_sold, l_orderkey, l_linenumber FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_code, date ORDER BY l_orderkey DESC, l_linenumber DESC) AS rn
+  FROM sales) WHERE rn = 1""")

@@ -86,3 +86,54 @@ def competitor_wide_clean(spark, d):
 def q_sales_competitor_join(spark, d):
     merged = comp.merge_sales_competitors(td.brand_panel(spark, d), competitor_wide_clean(spark, d))
     return merged.select(*[r6(c) if c in WIDE_COLS else c for c in merged.columns])
+
+
+# ---------------------------------------------------------------- receipts -> panel
+from ..operators import panel  # noqa: E402
+
+
+def fixed_receipts(spark, d):
+    return panel.fix_weighted_products(td.receipts(spark, d))
+
+
+@query("weighted_price_fix")
+def q_weighted_price_fix(spark, d):
+    return fixed_receipts(spark, d).select("product_code", "store_code", "date_code", *TB, "calculated_price")
+
+
+@query("store_day_agg")
+def q_store_day_agg(spark, d):
+    out = panel.store_day_aggregate(panel.select_rows(fixed_receipts(spark, d)))
+    return out.select("product_code", "date", "store_code", r6("product_selling_price_mean"),
+                      r6("calculated_price_mean"), "quantity_sold_sum")
+
+
+@query("store_price_corr")
+def q_store_price_corr(spark, d):
+    changes = panel.store_price_changes(panel.store_day_aggregate(panel.select_rows(fixed_receipts(spark, d))))
+    return panel.store_price_correlation(changes).select("product_code", "store_code", "n_changes", r6("corr"))
+
+
+@query("store_follower_select")
+def q_store_follower_select(spark, d):
+    return panel.select_store_followers(fixed_receipts(spark, d))
+
+
+@query("rolling_unique_stores")
+def q_rolling_unique_stores(spark, d):
+    rows = td.receipts(spark, d).withColumn("date", F.to_date("date_code", "yyyyMMdd"))
+    u7 = panel.rolling_unique_stores(rows, 7)
+    u30 = panel.rolling_unique_stores(rows, 30)
+    return u7.join(u30, ["product_code", "date"])
+
+
+@query("product_day_rollup")
+def q_product_day_rollup(spark, d):
+    out = panel.product_day_rollup(fixed_receipts(spark, d))
+    return out.select(*[r6(c) if c == "calculated_price" else c for c in out.columns])
+
+
+@query("keep_last_dedupe")
+def q_keep_last_dedupe(spark, d):
+    rows = td.sales_rows(spark, d).select("product_code", "date", "store_code", "quantity_sold", *TB)
+    return panel.dedupe_keep_last(rows, ["product_code", "date"], TB)

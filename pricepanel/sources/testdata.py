@@ -119,14 +119,15 @@ def competitor_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product-store-day receipt rows (FIXTURES §2 shape)."""
+    """Product-store-day receipt rows (FIXTURES §2 shape); product = brand, store = supplier."""
     li = table(spark, sf_dir, "lineitem")
-    return li.select(
-        F.col("l_partkey").cast("string").alias("product_code"),
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    return li.join(part, li.l_partkey == part.p_partkey).select(
+        F.col("p_brand").alias("product_code"),
         F.col("l_suppkey").alias("store_code"),
         F.date_format(to_day("l_shipdate"), "yyyyMMdd").alias("date_code"),
         F.col("l_quantity").alias("quantity_sold"),
-        # every 7th line is sold by weight (tax used as a weight in kg)
+        # line 7 of an order is sold by weight (tax x 10 as kilograms)
         F.when(F.col("l_linenumber") == 7, F.col("l_tax") * 10).otherwise(F.lit(0.0)).alias("weight_sold"),
         ratio("l_extendedprice", "l_quantity").alias("product_selling_price"),
         ratio(F.col("l_extendedprice") * (1 - F.col("l_discount")), "l_quantity").alias("calculated_price"),
