@@ -222,3 +222,102 @@ register("keep_last_dedupe", with_(SALES) + """
 SELECT product_code, date, store_code, quantity_sold, l_orderkey, l_linenumber FROM (
   SELECT *, row_number() OVER (PARTITION BY product_code, date ORDER BY l_orderkey DESC, l_linenumber DESC) AS rn
   FROM sales) WHERE rn = 1""")
+
+
+# ---------------------------------------------------------------- cleaning
+PANEL_COLS = "product_code, date, quantity_sold, product_selling_price"
+
+register("derive_price", with_(SALES) + f"""
+SELECT product_code, date, l_orderkey, l_linenumber, {R('revenue_after / quantity_sold')} AS product_selling_price
+FROM sales""")
+
+register("status_filter", with_(SALES) + """
+SELECT product_code, date, store_code, product_status, l_orderkey, l_linenumber FROM sales
+WHERE product_status IN ('F')""")
+
+register("price_level_filter", with_(SALES, PANEL) + f"""
+SELECT {PANEL_COLS} FROM panel WHERE product_code IN (
+  SELECT product_code FROM panel GROUP BY product_code HAVING count(DISTINCT product_selling_price) >= 5)""")
+
+register("low_seller_semi", with_(SALES, PANEL) + f"""
+SELECT {PANEL_COLS} FROM panel WHERE product_code IN (
+  SELECT product_code FROM panel GROUP BY product_code HAVING median(quantity_sold) >= 25.0)""")
+
+register("low_seller_anti", with_(SALES, PANEL) + f"""
+SELECT {PANEL_COLS} FROM panel WHERE product_code NOT IN (
+  SELECT product_code FROM panel GROUP BY product_code HAVING median(quantity_sold) < 25.0)""")
+
+register("iqr_filter", with_(SALES, PANEL) + f"""
+SELECT {PANEL_COLS} FROM (
+  SELECT *, quantile_cont(product_selling_price, 0.25) OVER (PARTITION BY product_code) AS q1,
+            quantile_cont(product_selling_price, 0.75) OVER (PARTITION BY product_code) AS q3
+  FROM panel)
+WHERE product_selling_price >= greatest(q1 - 2.0 * (q3 - q1), 0.0)
+  AND product_selling_price <= q3 + 2.0 * (q3 - q1)""")
+
+register("live_products", with_(SALES, PANEL) + f"""
+SELECT {PANEL_COLS} FROM panel WHERE product_code IN (
+  SELECT product_code FROM panel GROUP BY product_code
+  HAVING max(date) >= (SELECT max(date) FROM panel) - 180)""")
+
+register("nonneg_filter", with_(SALES) + """
+SELECT product_code, date, l_orderkey, l_linenumber, quantity_sold, revenue_before FROM sales
+WHERE (quantity_sold IS NULL OR quantity_sold >= 0) AND (revenue_before IS NULL OR revenue_before >= 0)""")
+
+register("impute_price", with_(SALES) + f"""
+SELECT product_code, date, l_orderkey, l_linenumber, quantity_sold,
+       {R('CASE WHEN (quantity_sold IS NULL OR quantity_sold = 0) AND calculated_price IS NULL THEN product_selling_price ELSE calculated_price END')} AS calculated_price
+FROM (SELECT * REPLACE (CASE WHEN return_flag = 'R' THEN 0.0 ELSE quantity_sold END AS quantity_sold),
+             CASE WHEN return_flag = 'R' THEN NULL ELSE revenue_after / quantity_sold END AS calculated_price
+      FROM sales)""")
+
+WEEKLY_UNFILLED = """wk AS (
+  SELECT product_code, CAST(date_trunc('week', date) AS DATE) AS week,
+         arg_max(product_selling_price, date) AS product_selling_price, sum(quantity_sold) AS quantity_sold
+  FROM panel GROUP BY ALL),
+grid AS (
+  SELECT product_code, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS week
+  FROM (SELECT product_code, min(week) AS lo, max(week) AS hi FROM wk GROUP BY ALL)),
+wku AS (
+  SELECT g.product_code, g.week, w.product_selling_price, coalesce(w.quantity_sold, 0.0) AS quantity_sold
+  FROM grid g LEFT JOIN wk w ON g.product_code = w.product_code AND g.week = w.week)"""
+
+register("weekly_resample", with_(SALES, PANEL, WEEKLY_UNFILLED) + """
+SELECT product_code, week,
+       last_value(product_selling_price IGNORE NULLS) OVER (PARTITION BY product_code ORDER BY week
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS product_selling_price, quantity_sold
+FROM wku""")
+
+register("zero_run_removal", with_(SALES, PANEL, WEEKLY_UNFILLED) + """
+SELECT product_code, week, product_selling_price, coalesce(quantity_sold, 0.0) AS quantity_sold FROM (
+  SELECT *, count(*) OVER (PARTITION BY product_code, zero, island) AS run FROM (
+    SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY week)
+              - row_number() OVER (PARTITION BY product_code, zero ORDER BY week) AS island
+    FROM (SELECT *, (quantity_sold IS NULL OR quantity_sold = 0) AS zero FROM wku)))
+WHERE NOT (zero AND run >= 7)""")
+
+register("bounded_ffill", with_(SALES, PANEL, WEEKLY_UNFILLED) + """
+SELECT product_code, week, CASE WHEN is_missing AND run <= 2 THEN prev ELSE product_selling_price END AS product_selling_price,
+       quantity_sold FROM (
+  SELECT *, count(*) OVER (PARTITION BY product_code, is_missing, island) AS run,
+         last_value(product_selling_price IGNORE NULLS) OVER (PARTITION BY product_code ORDER BY week
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev
+  FROM (SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY week)
+                  - row_number() OVER (PARTITION BY product_code, is_missing ORDER BY week) AS island
+        FROM (SELECT *, product_selling_price IS NULL AS is_missing FROM wku)))""")
+
+BSC = with_(SALES, BRAND_ROWS, BRAND_PANEL, COMP, OUTLIER_FLAGS, _pivot_sql("clean"), """bsc AS (
+  SELECT b.*, w.* EXCLUDE (product_code, price_date), printf('%d_%02d', isoyear(b.date), week(b.date)) AS year_week
+  FROM bpanel b LEFT JOIN wide w ON b.product_code = w.product_code AND b.date = w.price_date)""")
+
+register("sparse_competitor_share", BSC + "SELECT " + ", ".join(
+    f"{R(f'avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) * 100')} AS {c}_null_pct" for _, c in PIVOT_COLS) + " FROM bsc")
+
+register("weekly_iso", BSC + f"""
+SELECT product_code, year_week, sum(quantity_sold) AS quantity_sold, {R('avg(product_selling_price)')} AS product_selling_price,
+       min(date) AS date, """ + ", ".join(f"{R(f'avg({c})')} AS {c}" for _, c in PIVOT_COLS) + """
+FROM bsc GROUP BY product_code, year_week""")
+
+register("last_n_rows", with_(SALES, PANEL) + f"""
+SELECT {PANEL_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY date DESC) AS rn FROM panel) WHERE rn <= 14""")

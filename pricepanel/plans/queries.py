@@ -137,3 +137,112 @@ def q_product_day_rollup(spark, d):
 def q_keep_last_dedupe(spark, d):
     rows = td.sales_rows(spark, d).select("product_code", "date", "store_code", "quantity_sold", *TB)
     return panel.dedupe_keep_last(rows, ["product_code", "date"], TB)
+
+
+# ---------------------------------------------------------------- cleaning
+from ..operators import clean, weekly  # noqa: E402
+
+PANEL_COLS = ["product_code", "date", "quantity_sold", "product_selling_price"]
+
+
+def panel_(spark, d):
+    return td.daily_panel(spark, d)
+
+
+@query("derive_price")
+def q_derive_price(spark, d):
+    rows = clean.derive_price(td.sales_rows(spark, d).drop("product_selling_price"))
+    return rows.select("product_code", "date", *TB, r6("product_selling_price"))
+
+
+@query("status_filter")
+def q_status_filter(spark, d):
+    return clean.filter_status(td.sales_rows(spark, d), ["F"]).select(
+        "product_code", "date", "store_code", "product_status", *TB)
+
+
+@query("price_level_filter")
+def q_price_level_filter(spark, d):
+    return clean.filter_price_levels(panel_(spark, d), 5).select(*PANEL_COLS)
+
+
+@query("low_seller_semi")
+def q_low_seller_semi(spark, d):
+    return clean.filter_low_sellers(panel_(spark, d), 25.0).select(*PANEL_COLS)
+
+
+@query("low_seller_anti")
+def q_low_seller_anti(spark, d):
+    return clean.remove_low_sellers(panel_(spark, d), 25.0).select(*PANEL_COLS)
+
+
+@query("iqr_filter")
+def q_iqr_filter(spark, d):
+    return clean.filter_iqr(panel_(spark, d)).select(*PANEL_COLS)
+
+
+@query("live_products")
+def q_live_products(spark, d):
+    return clean.filter_live_products(panel_(spark, d), 180).select(*PANEL_COLS)
+
+
+@query("nonneg_filter")
+def q_nonneg_filter(spark, d):
+    return clean.filter_non_negative(td.sales_rows(spark, d), ["quantity_sold", "revenue_before"]).select(
+        "product_code", "date", *TB, "quantity_sold", "revenue_before")
+
+
+def returned_as_unsold(spark, d):
+    """Returned lines count as unsold with an unknown list price (a NULL-producing stand-in)."""
+    rows = td.sales_rows(spark, d)
+    ret = F.col("return_flag") == "R"
+    return (rows.withColumn("quantity_sold", F.when(ret, F.lit(0.0)).otherwise(F.col("quantity_sold")))
+            .withColumn("calculated_price", F.when(ret, F.lit(None).cast("double"))
+                        .otherwise(F.try_divide("revenue_after", "quantity_sold"))))
+
+
+@query("impute_price")
+def q_impute_price(spark, d):
+    out = clean.impute_price_when_unsold(returned_as_unsold(spark, d))
+    return out.select("product_code", "date", *TB, "quantity_sold", r6("calculated_price"))
+
+
+def weekly_unfilled(spark, d):
+    return weekly.weekly_resample(panel_(spark, d), fill=False)
+
+
+@query("weekly_resample")
+def q_weekly_resample(spark, d):
+    return weekly.weekly_resample(panel_(spark, d))
+
+
+@query("zero_run_removal")
+def q_zero_run_removal(spark, d):
+    return clean.remove_zero_runs(weekly_unfilled(spark, d), 7, order_col="week")
+
+
+@query("bounded_ffill")
+def q_bounded_ffill(spark, d):
+    return clean.bounded_ffill(weekly_unfilled(spark, d), "product_selling_price", 2, order_col="week")
+
+
+def brand_sales_competitors(spark, d):
+    return comp.merge_sales_competitors(td.brand_panel(spark, d), competitor_wide_clean(spark, d))
+
+
+@query("sparse_competitor_share")
+def q_sparse_competitor_share(spark, d):
+    out = comp.null_share(brand_sales_competitors(spark, d), WIDE_COLS)
+    return out.select(*[r6(c) for c in out.columns])
+
+
+@query("weekly_iso")
+def q_weekly_iso(spark, d):
+    out = weekly.weekly_iso(brand_sales_competitors(spark, d), competitor_cols=WIDE_COLS)
+    return out.select("product_code", "year_week", "quantity_sold", r6("product_selling_price"), "date",
+                      *[r6(c) for c in WIDE_COLS])
+
+
+@query("last_n_rows")
+def q_last_n_rows(spark, d):
+    return weekly.last_n_rows(panel_(spark, d), 14).select(*PANEL_COLS)
