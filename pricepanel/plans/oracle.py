@@ -321,3 +321,148 @@ FROM bsc GROUP BY product_code, year_week""")
 register("last_n_rows", with_(SALES, PANEL) + f"""
 SELECT {PANEL_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY date DESC) AS rn FROM panel) WHERE rn <= 14""")
+
+
+# ---------------------------------------------------------------- calendar & reference
+DATES = "dates AS (SELECT DISTINCT date FROM sales)"
+
+register("calendar_features", with_(SALES, DATES) + """
+SELECT date, CAST(isodow(date) - 1 AS INTEGER) AS day_of_week, CAST(day(date) AS INTEGER) AS day_of_month,
+       CAST(dayofyear(date) AS INTEGER) AS day_of_year, CAST(month(date) AS INTEGER) AS month,
+       CAST(year(date) AS INTEGER) AS year, day(date) = 1 AS is_month_start, date = last_day(date) AS is_month_end,
+       day(date) = 1 AND month(date) IN (1, 4, 7, 10) AS is_quarter_start,
+       date = last_day(date) AND month(date) IN (3, 6, 9, 12) AS is_quarter_end
+FROM dates""")
+
+register("calendar_features_weekly", with_(SALES, PANEL, WEEKLY_UNFILLED) + """
+SELECT week AS date, CAST(week(week) AS INTEGER) AS week_of_year, CAST(year(week) AS INTEGER) AS year,
+       isodow(week) = 1 AS is_week_start
+FROM (SELECT DISTINCT week FROM wku)""")
+
+EASTER = """easter AS (
+  SELECT year, make_date(year, CAST((h + l - 7 * m + 114) // 31 AS INTEGER), CAST((h + l - 7 * m + 114) % 31 + 1 AS INTEGER)) AS easter
+  FROM (SELECT *, (a + 11 * h + 22 * l) // 451 AS m FROM (
+    SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS l FROM (
+      SELECT *, (19 * a + b - d - g + 15) % 30 AS h, c // 4 AS i, c % 4 AS k FROM (
+        SELECT *, (b - f + 1) // 3 AS g FROM (
+          SELECT year, year % 19 AS a, year // 100 AS b, year % 100 AS c, (year // 100) // 4 AS d,
+                 (year // 100) % 4 AS e, ((year // 100) + 8) // 25 AS f FROM years))))))"""
+
+
+def _nth_sunday_sql(month: int, n: int) -> str:
+    first = f"make_date(year, {month}, 1)"
+    return f"CAST({first} + CAST((7 - isodow({first})) % 7 + {7 * (n - 1)} AS INTEGER) AS DATE)"
+
+
+HOLIDAYS = EASTER + """,
+hol_rows AS (
+  SELECT make_date(year, 1, 1) AS date, 'Nieuwjaarsdag' AS holiday FROM easter
+  UNION ALL SELECT easter, 'Eerste paasdag' FROM easter
+  UNION ALL SELECT CAST(easter + 1 AS DATE), 'Tweede paasdag' FROM easter
+  UNION ALL SELECT CASE WHEN year >= 2014 THEN (CASE WHEN isodow(make_date(year, 4, 27)) = 7 THEN make_date(year, 4, 26) ELSE make_date(year, 4, 27) END)
+                        ELSE (CASE WHEN isodow(make_date(year, 4, 30)) = 7 THEN make_date(year, 4, 29) ELSE make_date(year, 4, 30) END) END,
+                   CASE WHEN year >= 2014 THEN 'Koningsdag' ELSE 'Koninginnedag' END FROM easter
+  UNION ALL SELECT make_date(year, 5, 5), 'Bevrijdingsdag' FROM easter
+  UNION ALL SELECT CAST(easter + 39 AS DATE), 'Hemelvaartsdag' FROM easter
+  UNION ALL SELECT CAST(easter + 49 AS DATE), 'Eerste Pinksterdag' FROM easter
+  UNION ALL SELECT CAST(easter + 50 AS DATE), 'Tweede Pinksterdag' FROM easter
+  UNION ALL SELECT make_date(year, 12, 25), 'Eerste Kerstdag' FROM easter
+  UNION ALL SELECT make_date(year, 12, 26), 'Tweede Kerstdag' FROM easter
+  UNION ALL SELECT make_date(year, 12, 5), 'Sinterklaas' FROM easter
+  UNION ALL SELECT make_date(year, 12, 24), 'Kerstavond' FROM easter
+  UNION ALL SELECT """ + _nth_sunday_sql(6, 3) + """, 'Vaderdag' FROM easter
+  UNION ALL SELECT """ + _nth_sunday_sql(5, 2) + """, 'Moederdag' FROM easter),
+hol AS (SELECT date, string_agg(DISTINCT holiday, '; ' ORDER BY holiday) AS holiday FROM hol_rows GROUP BY date)"""
+
+register("holiday_calendar", with_(SALES, """years AS (
+  SELECT CAST(unnest(range(year(min(date)), year(max(date)) + 1)) AS INTEGER) AS year FROM sales)""", HOLIDAYS) +
+         "SELECT date, holiday FROM hol")
+
+HOLIDAY_FEATURES = """years AS (
+  SELECT CAST(unnest(range(year(min(date)), year(max(date)) + 3)) AS INTEGER) AS year FROM dates),
+""" + HOLIDAYS + """,
+days AS (
+  SELECT CAST(unnest(generate_series(CAST(make_date(year(min(date)), 1, 1) AS TIMESTAMP),
+                                     CAST(max(date) + 365 AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM dates),
+calx AS (
+  SELECT coalesce(d.date, h.date) AS date, h.holiday FROM days d FULL OUTER JOIN hol h ON d.date = h.date),
+hfeat AS (
+  SELECT date, coalesce(holiday, 'No holiday') AS holiday,
+         CAST(first_value(CASE WHEN holiday IS NOT NULL THEN date END IGNORE NULLS) OVER (ORDER BY date
+              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) - date AS INTEGER) AS time_until_next_holiday,
+         CAST(date - last_value(CASE WHEN holiday IS NOT NULL THEN date END IGNORE NULLS) OVER (ORDER BY date
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS time_after_previous_holiday
+  FROM calx)"""
+
+register("holiday_distance", with_(SALES, DATES, HOLIDAY_FEATURES) + """
+SELECT d.date, h.holiday, h.time_until_next_holiday, h.time_after_previous_holiday
+FROM dates d LEFT JOIN hfeat h ON d.date = h.date""")
+
+register("week_has_holiday", with_(SALES, DATES, HOLIDAY_FEATURES) + """
+SELECT CAST(date_trunc('week', date) AS DATE) AS week_start, bool_or(holiday <> 'No holiday') AS has_holiday
+FROM hfeat GROUP BY 1""")
+
+MONTHLY = f"""monthly AS (
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_year,
+         {XSUM('o_totalprice', 2)} / count(*) / 1000 AS cpi
+  FROM orders GROUP BY 1)"""
+
+MONTHLY_CAT = f"""monthly_cat AS (
+  SELECT o_orderpriority AS category_name, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_year,
+         {XSUM('o_totalprice', 2)} / count(*) / 1000 AS cpi
+  FROM orders GROUP BY 1, 2)"""
+
+
+def _interp_sql(src: str, name: str, part: str = "") -> str:
+    pby = f"PARTITION BY {part}" if part else ""
+    sel = f"{part}, " if part else ""
+    return f"""{name} AS (
+  SELECT {sel}CAST(month_year + CAST(k AS INTEGER) AS DATE) AS date,
+         CASE WHEN next_c IS NULL THEN cpi WHEN k = n - 1 THEN next_c
+              ELSE cpi + k * ((next_c - cpi) / CAST(n - 1 AS DOUBLE)) END AS cpi
+  FROM (SELECT *, unnest(generate_series(0, n - 1)) AS k FROM (
+          SELECT *, CAST(end_d - month_year AS BIGINT) + 1 AS n FROM (
+            SELECT {sel}month_year, cpi, lead(cpi) OVER w AS next_c,
+                   coalesce(CAST(lead(month_year) OVER w - 1 AS DATE), last_day(month_year)) AS end_d
+            FROM {src} WINDOW w AS ({pby} ORDER BY month_year)))))"""
+
+
+register("cpi_interpolate", with_(MONTHLY_CAT, _interp_sql("monthly_cat", "cpid", "category_name")) +
+         f"SELECT category_name, date, {R('cpi')} AS cpi FROM cpid")
+
+CPI_DAILY = _interp_sql("monthly", "cpid")
+
+register("cpi_adjust_base_year", with_(SALES, PANEL, MONTHLY, CPI_DAILY) + f"""
+SELECT p.product_code, p.date, {R('c.cpi')} AS cpi,
+       {R('p.product_selling_price * ((SELECT avg(cpi) FROM cpid WHERE year(date) = 1998) / c.cpi)')} AS adjusted_price
+FROM panel p LEFT JOIN cpid c ON p.date = c.date
+WHERE p.date <= (SELECT max(date) FROM cpid)""")
+
+register("cpi_adjust_first", with_(SALES, PANEL, MONTHLY, CPI_DAILY) + f"""
+SELECT product_code, date, {R('cpi')} AS cpi,
+       {R('coalesce(product_selling_price * (first_cpi / cpi), product_selling_price)')} AS adjusted_price
+FROM (SELECT p.*, c.cpi, arg_min(CASE WHEN c.cpi IS NOT NULL THEN c.cpi END, CASE WHEN c.cpi IS NOT NULL THEN p.date END)
+                           OVER (PARTITION BY p.product_code) AS first_cpi
+      FROM panel p LEFT JOIN cpid c ON p.date = c.date)""")
+
+register("cpi_carry_forward", with_(MONTHLY_CAT) + f"""
+SELECT category_name, month_year, {R('cpi')} AS cpi FROM monthly_cat
+UNION ALL
+SELECT l.category_name, CAST(m AS DATE) AS month_year, {R('l.last_cpi')} AS cpi
+FROM (SELECT category_name, arg_max(cpi, month_year) AS last_cpi FROM monthly_cat WHERE cpi IS NOT NULL GROUP BY 1) l,
+     (SELECT unnest(generate_series(CAST(max(month_year) + INTERVAL 1 MONTH AS TIMESTAMP), TIMESTAMP '2002-02-01', INTERVAL 1 MONTH)) AS m
+      FROM monthly_cat)""")
+
+WEATHER = """weather AS (
+  SELECT date, TG / 10 AS mean_temp, TN / 10 AS min_temp, TX / 10 AS max_temp, RH AS sum_rain, DR AS len_rain, SP AS perc_sun
+  FROM (SELECT CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS TG, min(l_quantity) * 10 AS TN,
+               max(l_quantity) * 10 AS TX, count(*) AS RH, count(DISTINCT l_suppkey) AS DR, count(DISTINCT l_partkey) AS SP
+        FROM lineitem GROUP BY 1))"""
+
+register("climatology", with_(WEATHER) + f"""
+SELECT w.*, {R('avg(mean_temp) OVER (PARTITION BY month(date), day(date))')} AS mean_temp_over_years FROM weather w""")
+
+register("weekly_weather", with_(WEATHER) + f"""
+SELECT CAST(date_trunc('week', date) AS DATE) AS week, {R('avg(mean_temp)', 1)} AS mean_temp, {R('avg(min_temp)', 1)} AS min_temp,
+       {R('avg(max_temp)', 1)} AS max_temp, {R('avg(sum_rain)', 0)} AS sum_rain, {R('avg(len_rain)', 0)} AS len_rain
+FROM weather GROUP BY 1""")

@@ -246,3 +246,84 @@ def q_weekly_iso(spark, d):
 @query("last_n_rows")
 def q_last_n_rows(spark, d):
     return weekly.last_n_rows(panel_(spark, d), 14).select(*PANEL_COLS)
+
+
+# ---------------------------------------------------------------- calendar & reference
+from ..operators import calendar as cal  # noqa: E402
+from ..operators import reference as ref  # noqa: E402
+
+CPI_BASE_YEAR = 1998
+CPI_AS_OF = "2002-01-15"
+
+
+def sales_dates(spark, d):
+    return td.sales_rows(spark, d).select("date").distinct()
+
+
+@query("calendar_features")
+def q_calendar_features(spark, d):
+    return cal.calendar_features(sales_dates(spark, d))
+
+
+@query("calendar_features_weekly")
+def q_calendar_features_weekly(spark, d):
+    weeks = weekly_unfilled(spark, d).select(F.col("week").alias("date")).distinct()
+    return cal.calendar_features(weeks, frequency="weekly")
+
+
+@query("holiday_calendar")
+def q_holiday_calendar(spark, d):
+    return cal.holiday_calendar(cal.years_of(td.sales_rows(spark, d), extra_years=0))
+
+
+@query("holiday_distance")
+def q_holiday_distance(spark, d):
+    return cal.add_holiday_features(sales_dates(spark, d))
+
+
+@query("week_has_holiday")
+def q_week_has_holiday(spark, d):
+    return cal.week_has_holiday(cal.holiday_features(sales_dates(spark, d)))
+
+
+def cpi_daily(spark, d):
+    return ref.interpolate_cpi(td.monthly_index(spark, d))
+
+
+@query("cpi_interpolate")
+def q_cpi_interpolate(spark, d):
+    out = ref.interpolate_cpi(td.monthly_index_by_category(spark, d), category_col="category_name")
+    return out.select("category_name", "date", r6("cpi"))
+
+
+@query("cpi_adjust_base_year")
+def q_cpi_adjust_base_year(spark, d):
+    out = ref.adjust_price_base_year(panel_(spark, d), cpi_daily(spark, d), CPI_BASE_YEAR)
+    return out.select("product_code", "date", r6("cpi"), r6("adjusted_price"))
+
+
+@query("cpi_adjust_first")
+def q_cpi_adjust_first(spark, d):
+    out = ref.adjust_price_first_cpi(panel_(spark, d), cpi_daily(spark, d))
+    return out.select("product_code", "date", r6("cpi"), r6("adjusted_price"))
+
+
+@query("cpi_carry_forward")
+def q_cpi_carry_forward(spark, d):
+    out = ref.carry_cpi_forward(td.monthly_index_by_category(spark, d), CPI_AS_OF, category_col="category_name")
+    return out.select("category_name", "month_year", r6("cpi"))
+
+
+def weather(spark, d):
+    return ref.scale_weather(td.weather_raw(spark, d))
+
+
+@query("climatology")
+def q_climatology(spark, d):
+    out = ref.add_climatology(weather(spark, d))
+    return out.select(*[r6(c) if c == "mean_temp_over_years" else c for c in out.columns])
+
+
+@query("weekly_weather")
+def q_weekly_weather(spark, d):
+    return weekly.weekly_weather(weather(spark, d))

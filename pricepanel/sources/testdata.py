@@ -154,3 +154,20 @@ def events_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
                     to_day("ts").alias("date"),
                     F.col("value").alias("product_selling_price"),
                     F.col("event_id"))
+
+
+def monthly_index_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-category monthly index: category = order priority."""
+    o = table(spark, sf_dir, "orders")
+    m = F.trunc(to_day("o_orderdate"), "month")
+    return (o.groupBy(F.col("o_orderpriority").alias("category_name"), m.alias("month_year"))
+            .agg((exact_sum("o_totalprice", 2) / F.count(F.lit(1)) / 1000).alias("cpi")))
+
+
+def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily station-like table from shipments: TG/TN/TX in 0.1 units, RH, DR, SP."""
+    li = table(spark, sf_dir, "lineitem")
+    return (li.groupBy(to_day("l_shipdate").alias("date"))
+            .agg(F.sum("l_quantity").alias("TG"), (F.min("l_quantity") * 10).alias("TN"),
+                 (F.max("l_quantity") * 10).alias("TX"), F.count(F.lit(1)).alias("RH"),
+                 F.count_distinct("l_suppkey").alias("DR"), F.count_distinct("l_partkey").alias("SP")))
