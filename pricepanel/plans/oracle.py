@@ -466,3 +466,77 @@ register("weekly_weather", with_(WEATHER) + f"""
 SELECT CAST(date_trunc('week', date) AS DATE) AS week, {R('avg(mean_temp)', 1)} AS mean_temp, {R('avg(min_temp)', 1)} AS min_temp,
        {R('avg(max_temp)', 1)} AS max_temp, {R('avg(sum_rain)', 0)} AS sum_rain, {R('avg(len_rain)', 0)} AS len_rain
 FROM weather GROUP BY 1""")
+
+
+# ---------------------------------------------------------------- features
+SLUGS = ["africa", "america", "asia", "europe", "middle_east"]
+FFILL = """ff AS (
+  SELECT product_code, date, product_selling_price, """ + ", ".join(
+    f"last_value({s}_price IGNORE NULLS) OVER w AS {s}_price" for s in SLUGS) + """
+  FROM bsc WINDOW w AS (PARTITION BY product_code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def _dist(own: str, other: str) -> str:
+    return f"CASE WHEN ({own} + {other}) / 2 > 0 THEN ({own} - {other}) / (({own} + {other}) / 2) END"
+
+
+LEAST = "least(" + ", ".join(f"{s}_price" for s in SLUGS) + ")"
+GREATEST = "greatest(" + ", ".join(f"{s}_price" for s in SLUGS) + ")"
+FEAT = """fe AS (
+  SELECT *, """ + ", ".join(f"{_dist('product_selling_price', s + '_price')} AS price_distance_{s}" for s in SLUGS) + f""",
+         {_dist('product_selling_price', LEAST)} AS price_distance_cheapest,
+         {_dist('product_selling_price', GREATEST)} AS price_distance_most_expensive,
+         CASE """ + " ".join(f"WHEN {s}_price = {LEAST} THEN '{s}'" for s in SLUGS) + """ END AS cheapest_competitor,
+         CASE """ + " ".join(f"WHEN {s}_price = {GREATEST} THEN '{s}'" for s in SLUGS) + """ END AS most_expensive_competitor,
+         """ + " + ".join(f"CASE WHEN {s}_price > 0 THEN 1 ELSE 0 END" for s in SLUGS) + """ AS n_pos,
+         """ + " + ".join(f"CASE WHEN {s}_price > 0 THEN ln({s}_price) ELSE 0.0 END" for s in SLUGS) + """ AS sum_log
+  FROM ff),
+fe2 AS (
+  SELECT *, """ + " + ".join(f"CASE WHEN price_distance_{s} IS NOT NULL THEN 1 ELSE 0 END" for s in SLUGS) + """ AS n_competitors_available,
+         """ + " + ".join(f"CASE WHEN price_distance_{s} > 0 THEN 1 ELSE 0 END" for s in SLUGS) + """ AS n_competitors_cheaper,
+         0.0 + """ + " + ".join(f"coalesce(price_distance_{s}, 0.0)" for s in SLUGS) + """ AS dist_sum,
+         CASE WHEN n_pos > 0 THEN exp(sum_log / n_pos) END AS comp_price_index
+  FROM fe),
+fe3 AS (
+  SELECT *, CASE WHEN n_competitors_available > 0 THEN dist_sum / n_competitors_available END AS price_distance_mean,
+         CASE WHEN product_selling_price > 0 THEN ln(product_selling_price) END AS log_own_price,
+         CASE WHEN comp_price_index > 0 THEN ln(comp_price_index) END AS log_comp_index
+  FROM fe2)"""
+
+register("competitor_ffill", BSC.rstrip() + ",\n" + FFILL + "\nSELECT product_code, date, " +
+         ", ".join(f"{R(s + '_price')} AS {s}_price" for s in SLUGS) + " FROM ff")
+
+register("price_distance", BSC.rstrip() + ",\n" + FFILL + ",\n" + FEAT + "\nSELECT product_code, date, " +
+         ", ".join(f"{R('price_distance_' + s)} AS price_distance_{s}" for s in SLUGS + ["cheapest", "most_expensive"]) +
+         " FROM fe3")
+
+register("competitor_extremes", BSC.rstrip() + ",\n" + FFILL + ",\n" + FEAT +
+         "\nSELECT product_code, date, cheapest_competitor, most_expensive_competitor FROM fe3")
+
+register("competitor_counts", BSC.rstrip() + ",\n" + FFILL + ",\n" + FEAT + f"""
+SELECT product_code, date, {R('price_distance_mean')} AS price_distance_mean,
+       CAST(n_competitors_cheaper AS INTEGER) AS n_competitors_cheaper,
+       CAST(n_competitors_available AS INTEGER) AS n_competitors_available FROM fe3""")
+
+register("competitor_index", BSC.rstrip() + ",\n" + FFILL + ",\n" + FEAT + f"""
+SELECT product_code, date, {R('comp_price_index')} AS comp_price_index, {R('log_own_price')} AS log_own_price,
+       {R('log_comp_index')} AS log_comp_index, {R('log_own_price - log_comp_index')} AS log_relative_price FROM fe3""")
+
+LAGS = [1, 7, 14]
+register("price_lags", with_(SALES, PANEL) + "SELECT product_code, date, " + ", ".join(
+    f"lag({c}, {k}) OVER w AS {c}_lag_{k}" for c in ["product_selling_price", "quantity_sold"] for k in LAGS) +
+    " FROM panel WINDOW w AS (PARTITION BY product_code ORDER BY date)")
+
+register("price_change_pct", with_(SALES, PANEL) + "SELECT product_code, date, " + ", ".join(
+    R(f"(product_selling_price - lag(product_selling_price, {k}) OVER w) / lag(product_selling_price, {k}) OVER w * 100")
+    + f" AS price_change_product_selling_price_lag_{k}" for k in LAGS) +
+    " FROM panel WINDOW w AS (PARTITION BY product_code ORDER BY date)")
+
+register("price_runs", with_(SALES, PANEL) + """
+SELECT product_code, date, price_change, CAST(price_change_group AS BIGINT) AS price_change_group,
+       CAST(row_number() OVER (PARTITION BY product_code, price_change_group ORDER BY date) - 1 AS INTEGER) AS days_since_last_change,
+       CAST(floor((row_number() OVER (PARTITION BY product_code, price_change_group ORDER BY date) - 1) / 7) AS INTEGER) AS weeks_since_last_change
+FROM (SELECT *, sum(CAST(price_change AS INTEGER)) OVER (PARTITION BY product_code ORDER BY date
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price_change_group
+      FROM (SELECT *, coalesce(product_selling_price <> lag(product_selling_price) OVER (PARTITION BY product_code ORDER BY date), false) AS price_change
+            FROM panel))""")

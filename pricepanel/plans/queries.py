@@ -327,3 +327,64 @@ def q_climatology(spark, d):
 @query("weekly_weather")
 def q_weekly_weather(spark, d):
     return weekly.weekly_weather(weather(spark, d))
+
+
+# ---------------------------------------------------------------- features
+from ..operators import features as feat  # noqa: E402
+
+COMP_SLUGS = ["africa", "america", "asia", "europe", "middle_east"]
+LAGS = [1, 7, 14]
+
+
+def competitor_features(spark, d):
+    return feat.add_competitor_features(brand_sales_competitors(spark, d), COMP_SLUGS)
+
+
+@query("competitor_ffill")
+def q_competitor_ffill(spark, d):
+    out = feat.ffill_columns(brand_sales_competitors(spark, d), WIDE_COLS)
+    return out.select("product_code", "date", *[r6(c) for c in WIDE_COLS])
+
+
+@query("price_distance")
+def q_price_distance(spark, d):
+    cols = [f"price_distance_{c}" for c in COMP_SLUGS] + ["price_distance_cheapest", "price_distance_most_expensive"]
+    return competitor_features(spark, d).select("product_code", "date", *[r6(c) for c in cols])
+
+
+@query("competitor_extremes")
+def q_competitor_extremes(spark, d):
+    return competitor_features(spark, d).select("product_code", "date", "cheapest_competitor",
+                                                "most_expensive_competitor")
+
+
+@query("competitor_counts")
+def q_competitor_counts(spark, d):
+    return competitor_features(spark, d).select("product_code", "date", r6("price_distance_mean"),
+                                                "n_competitors_cheaper", "n_competitors_available")
+
+
+@query("competitor_index")
+def q_competitor_index(spark, d):
+    return competitor_features(spark, d).select("product_code", "date", r6("comp_price_index"), r6("log_own_price"),
+                                                r6("log_comp_index"), r6("log_relative_price"))
+
+
+@query("price_lags")
+def q_price_lags(spark, d):
+    out = feat.add_lags(panel_(spark, d), ["product_selling_price", "quantity_sold"], LAGS)
+    return out.select("product_code", "date", *[c for c in out.columns if "_lag_" in c])
+
+
+@query("price_change_pct")
+def q_price_change_pct(spark, d):
+    out = feat.add_price_changes(feat.add_lags(panel_(spark, d), ["product_selling_price"], LAGS),
+                                 ["product_selling_price"], LAGS)
+    return out.select("product_code", "date", *[r6(c) for c in out.columns if c.startswith("price_change_")])
+
+
+@query("price_runs")
+def q_price_runs(spark, d):
+    out = feat.add_price_runs(panel_(spark, d))
+    return out.select("product_code", "date", "price_change", "price_change_group", "days_since_last_change",
+                      "weeks_since_last_change")
