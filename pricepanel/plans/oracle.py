@@ -540,3 +540,144 @@ FROM (SELECT *, sum(CAST(price_change AS INTEGER)) OVER (PARTITION BY product_co
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price_change_group
       FROM (SELECT *, coalesce(product_selling_price <> lag(product_selling_price) OVER (PARTITION BY product_code ORDER BY date), false) AS price_change
             FROM panel))""")
+
+
+# ---------------------------------------------------------------- elasticity on observed rows
+def _elastic_ctes(src: str) -> str:
+    return f"""est AS (
+  SELECT product_code, {R('product_selling_price', 2)} AS product_selling_price_calc,
+         sum(quantity_sold) AS predicted_quantity
+  FROM {src} GROUP BY 1, 2),
+fits AS (
+  SELECT * FROM (
+    SELECT product_code, regr_slope(ln(predicted_quantity), ln(product_selling_price_calc)) AS slope,
+           regr_intercept(ln(predicted_quantity), ln(product_selling_price_calc)) AS intercept,
+           regr_r2(ln(predicted_quantity), ln(product_selling_price_calc)) AS r2, count(*) AS n_points
+    FROM est WHERE predicted_quantity > 0 AND product_selling_price_calc > 0 GROUP BY 1)
+  WHERE n_points >= 2 AND slope IS NOT NULL),
+curve AS (
+  SELECT e.product_code AS product_code_elasticity, e.product_selling_price_calc AS price,
+         exp(f.intercept + f.slope * ln(e.product_selling_price_calc)) AS sales
+  FROM est e JOIN fits f ON e.product_code = f.product_code WHERE e.product_selling_price_calc > 0),
+mid AS (
+  SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY product_code_elasticity) AS n,
+         lag(sales) OVER w AS ps, lead(sales) OVER w AS ns, lag(price) OVER w AS pp, lead(price) OVER w AS np
+  FROM curve WINDOW w AS (PARTITION BY product_code_elasticity ORDER BY price, sales)),
+elas AS (
+  SELECT product_code, avg(e) AS elasticity FROM (
+    SELECT product_code_elasticity AS product_code,
+           CASE WHEN np / pp - 1 <> 0 THEN (ns / ps - 1) / (np / pp - 1) END AS e
+    FROM mid WHERE n >= 3 AND rn = n // 2 + 1)
+  WHERE e IS NOT NULL AND e <> 0 GROUP BY 1)"""
+
+
+DAYSTD = """dstd AS (
+  SELECT product_code, CASE WHEN count(slope) > 1 THEN stddev_pop(slope) END AS day_std FROM (
+    SELECT product_code, yr, CASE WHEN count(*) >= 2 THEN regr_slope(ln(quantity_sold), ln(product_selling_price)) END AS slope
+    FROM (SELECT *, year(date) AS yr FROM panel) WHERE quantity_sold > 0 AND product_selling_price > 0
+    GROUP BY product_code, yr)
+  GROUP BY product_code)"""
+
+CPANEL = """cpanel AS (
+  SELECT p.*, d.category_name_level1, d.category_name_level2 FROM panel p LEFT JOIN pdim d ON p.product_code = d.product_code)"""
+
+register("demand_curve", with_(SALES, PANEL, _elastic_ctes("panel")) +
+         f"SELECT product_code_elasticity, price, {R('sales')} AS sales FROM curve")
+
+register("demand_fit", with_(SALES, PANEL, _elastic_ctes("panel")) +
+         f"SELECT product_code, {R('slope')} AS slope, {R('intercept')} AS intercept, {R('r2')} AS r2, n_points FROM fits")
+
+register("arc_elasticity", with_(SALES, PANEL, _elastic_ctes("panel")) +
+         f"SELECT product_code, {R('elasticity')} AS elasticity FROM elas")
+
+register("day_slope_std", with_(SALES, PANEL, DAYSTD) + f"SELECT product_code, {R('day_std')} AS day_std FROM dstd")
+
+register("quality_tiers", with_(SALES, PANEL, _elastic_ctes("panel"), DAYSTD) + f"""
+SELECT product_code, {R('elasticity')} AS elasticity, {R('r2')} AS r2, {R('day_std')} AS day_std,
+       CASE WHEN day_std IS NULL THEN (CASE WHEN r2 >= 0.95 THEN 'high' WHEN r2 >= 0.80 THEN 'medium' ELSE 'low' END)
+            WHEN r2 >= 0.95 AND day_std <= 0.10 THEN 'high'
+            WHEN r2 >= 0.80 AND day_std <= 0.20 THEN 'medium' ELSE 'low' END AS quality_tier
+FROM (SELECT e.product_code, e.elasticity, coalesce(f.r2, 0.0) AS r2, s.day_std
+      FROM elas e LEFT JOIN fits f ON e.product_code = f.product_code
+      LEFT JOIN dstd s ON e.product_code = s.product_code)""")
+
+
+def _category_elasticity_sql(src: str) -> str:
+    return f"""catel AS (
+  SELECT category_name_level1, {R('median(elasticity)', 2)} AS elasticity_median, {R('avg(elasticity)', 2)} AS elasticity_mean,
+         count(DISTINCT product_code) AS num_products,
+         {R('sum(elasticity * total_revenue) / sum(total_revenue)', 2)} AS elasticity_weighted
+  FROM (SELECT e.*, c.category_name_level1, r.total_revenue FROM elas e
+        LEFT JOIN (SELECT DISTINCT product_code, category_name_level1 FROM {src}) c ON e.product_code = c.product_code
+        LEFT JOIN (SELECT product_code, {XSUM('revenue_before', 2)} AS total_revenue FROM {src} GROUP BY 1) r
+          ON e.product_code = r.product_code)
+  GROUP BY 1 HAVING count(DISTINCT product_code) >= 5)"""
+
+
+register("category_elasticity", with_(SALES, PANEL, PART, CPANEL, _elastic_ctes("cpanel"),
+                                      _category_elasticity_sql("cpanel")) + "SELECT * FROM catel")
+
+FRACTION = """frac AS (
+  SELECT category_name_level{lv}, product_code, total_sales,
+         total_sales / sum(total_sales) OVER (PARTITION BY category_name_level{lv}) AS sales_fraction
+  FROM (SELECT category_name_level{lv}, product_code, sum(quantity_sold) AS total_sales FROM cpanel GROUP BY 1, 2))"""
+
+register("sales_fraction", with_(SALES, PANEL, PART, CPANEL, FRACTION.format(lv=1)) +
+         f"SELECT category_name_level1, product_code, total_sales, {R('sales_fraction')} AS sales_fraction FROM frac")
+
+register("category_elasticity_qty", with_(SALES, PANEL, PART, CPANEL, _elastic_ctes("cpanel"), FRACTION.format(lv=2)) + f"""
+, merged AS (
+  SELECT e.product_code, e.elasticity, c.category_name_level2 FROM elas e
+  LEFT JOIN (SELECT DISTINCT product_code, category_name_level2 FROM cpanel) c ON e.product_code = c.product_code
+  WHERE e.elasticity <= 0)
+SELECT s.category_name_level2, s.elasticity_median, s.elasticity_mean, s.num_products,
+       {R('w.weighted_elasticities', 2)} AS weighted_elasticities
+FROM (SELECT category_name_level2, {R('median(elasticity)', 2)} AS elasticity_median, {R('avg(elasticity)', 2)} AS elasticity_mean,
+             count(product_code) AS num_products FROM merged GROUP BY 1) s
+JOIN (SELECT m.category_name_level2, sum(m.elasticity * f.sales_fraction) AS weighted_elasticities
+      FROM merged m JOIN frac f ON m.category_name_level2 = f.category_name_level2 AND m.product_code = f.product_code
+      GROUP BY 1) w ON s.category_name_level2 = w.category_name_level2
+WHERE s.num_products >= 5""")
+
+register("elasticity_summary", with_(SALES, PANEL, _elastic_ctes("panel")) + f"""
+SELECT count(*) AS total_products,
+       CAST(count_if(elasticity < -1 AND elasticity > -5) AS BIGINT) AS elastic_count,
+       CAST(count_if(elasticity > -1 AND elasticity < 0) AS BIGINT) AS inelastic_count,
+       CAST(count_if(elasticity > 0) AS BIGINT) AS positive_count,
+       CAST(count_if(elasticity < -5) AS BIGINT) AS outlier_count,
+       {R('median(elasticity)')} AS median_elasticity, {R('avg(elasticity)')} AS mean_elasticity,
+       {R('avg(CASE WHEN elasticity > 0 THEN 100.0 ELSE 0.0 END)')} AS positive_share_pct
+FROM elas""")
+
+register("overview_stats", with_(SALES, PANEL) + """
+SELECT count(DISTINCT product_code) AS n_products, count(*) AS n_rows, min(product_selling_price) AS min_price,
+       max(product_selling_price) AS max_price, median(product_selling_price) AS median_price,
+       min(date) AS first_date, max(date) AS last_date
+FROM panel""")
+
+register("products_per_status", with_(SALES) +
+         "SELECT product_status, count(DISTINCT product_code) AS n_products FROM sales GROUP BY 1")
+
+register("top_categories", with_(SALES, PART) + """
+SELECT category_name_level2, count(*) AS n_rows
+FROM sales s LEFT JOIN pdim d ON s.product_code = d.product_code
+GROUP BY 1 ORDER BY n_rows DESC, category_name_level2 LIMIT 3""")
+
+
+def _client_sql(status: str) -> str:
+    src = f"sales_{status}"
+    return (f"{src} AS (SELECT * FROM sales WHERE product_status = '{status}'),\n" +
+            _day_agg(src, f"panel_{status}") + ",\n" +
+            f"""cpanel_{status} AS (SELECT p.*, d.category_name_level1 FROM panel_{status} p
+                LEFT JOIN pdim d ON p.product_code = d.product_code),\n""" +
+            _elastic_ctes(f"cpanel_{status}").replace("est AS", f"est_{status} AS").replace("FROM est", f"FROM est_{status}")
+            .replace("fits AS", f"fits_{status} AS").replace("JOIN fits", f"JOIN fits_{status}")
+            .replace("curve AS", f"curve_{status} AS").replace("FROM curve", f"FROM curve_{status}")
+            .replace("mid AS", f"mid_{status} AS").replace("FROM mid", f"FROM mid_{status}")
+            .replace("elas AS", f"elas_{status} AS") + ",\n" +
+            _category_elasticity_sql(f"cpanel_{status}").replace("catel AS", f"catel_{status} AS")
+            .replace("FROM elas e", f"FROM elas_{status} e"))
+
+
+register("union_clients", with_(SALES, PART, _client_sql("F"), _client_sql("O")) + """
+SELECT *, 'F' AS client FROM catel_F UNION ALL SELECT *, 'O' AS client FROM catel_O""")

@@ -388,3 +388,121 @@ def q_price_runs(spark, d):
     out = feat.add_price_runs(panel_(spark, d))
     return out.select("product_code", "date", "price_change", "price_change_group", "days_since_last_change",
                       "weeks_since_last_change")
+
+
+# ---------------------------------------------------------------- elasticity on observed rows
+from ..operators import elasticity as el  # noqa: E402
+
+PRICE_CALC = "product_selling_price_calc"
+
+
+def observed_estimations(panel_df):
+    """Observed stand-in for model estimations: quantity summed per (product, price in cents)."""
+    return (panel_df.withColumn(PRICE_CALC, round_half_up("product_selling_price", 2))
+            .groupBy("product_code", PRICE_CALC).agg(F.sum("quantity_sold").alias("predicted_quantity")))
+
+
+def observed_elasticity(panel_df):
+    est = observed_estimations(panel_df)
+    fits = el.fit_demand_curves(est, PRICE_CALC, "predicted_quantity")
+    curve = el.demand_curve(est, fits, PRICE_CALC)
+    return est, fits, curve, el.arc_elasticity(curve)
+
+
+def category_panel(spark, d):
+    cats = td.part_dim(spark, d).select("product_code", "category_name_level1", "category_name_level2")
+    return panel_(spark, d).join(cats, "product_code", "left")
+
+
+@query("demand_curve")
+def q_demand_curve(spark, d):
+    _, _, curve, _ = observed_elasticity(panel_(spark, d))
+    return curve.select("product_code_elasticity", "price", r6("sales"))
+
+
+@query("demand_fit")
+def q_demand_fit(spark, d):
+    _, fits, _, _ = observed_elasticity(panel_(spark, d))
+    return fits.select("product_code", r6("slope"), r6("intercept"), r6("r2"), "n_points")
+
+
+@query("arc_elasticity")
+def q_arc_elasticity(spark, d):
+    _, _, _, e = observed_elasticity(panel_(spark, d))
+    return e.select("product_code", r6("elasticity"))
+
+
+def observed_day_std(panel_df):
+    return el.slope_dispersion(panel_df.withColumn("year", F.year("date")), "product_selling_price",
+                               "quantity_sold", period_col="year")
+
+
+@query("day_slope_std")
+def q_day_slope_std(spark, d):
+    return observed_day_std(panel_(spark, d)).select("product_code", r6("day_std"))
+
+
+def tiered(panel_df):
+    _, fits, _, e = observed_elasticity(panel_df)
+    return el.quality_tiers(e, fits, observed_day_std(panel_df))
+
+
+@query("quality_tiers")
+def q_quality_tiers(spark, d):
+    out = tiered(panel_(spark, d))
+    return out.select("product_code", r6("elasticity"), r6("r2"), r6("day_std"), "quality_tier")
+
+
+@query("category_elasticity")
+def q_category_elasticity(spark, d):
+    cp = category_panel(spark, d)
+    _, _, _, e = observed_elasticity(cp)
+    return el.category_elasticity(e, cp, "category_name_level1")
+
+
+@query("sales_fraction")
+def q_sales_fraction(spark, d):
+    out = el.sales_fraction(category_panel(spark, d), "category_name_level1")
+    return out.select("category_name_level1", "product_code", "total_sales", r6("sales_fraction"))
+
+
+@query("category_elasticity_qty")
+def q_category_elasticity_qty(spark, d):
+    cp = category_panel(spark, d)
+    _, _, _, e = observed_elasticity(cp)
+    return el.category_elasticity_qty(e, cp, "category_name_level2")
+
+
+@query("elasticity_summary")
+def q_elasticity_summary(spark, d):
+    _, _, _, e = observed_elasticity(panel_(spark, d))
+    out = el.elasticity_summary(e)
+    return out.select(*[r6(c) if c in ("median_elasticity", "mean_elasticity", "positive_share_pct") else c
+                        for c in out.columns])
+
+
+@query("overview_stats")
+def q_overview_stats(spark, d):
+    return el.overview_stats(panel_(spark, d))
+
+
+@query("products_per_status")
+def q_products_per_status(spark, d):
+    return el.products_per_category(td.sales_rows(spark, d), "product_status")
+
+
+@query("top_categories")
+def q_top_categories(spark, d):
+    return el.top_categories(td.sales_with_categories(spark, d), "category_name_level2", 3)
+
+
+@query("union_clients")
+def q_union_clients(spark, d):
+    frames = []
+    for status in ["F", "O"]:
+        rows = td.sales_rows(spark, d).filter(F.col("product_status") == status)
+        cats = td.part_dim(spark, d).select("product_code", "category_name_level1")
+        cp = td._day_agg(rows).join(cats, "product_code", "left")
+        _, _, _, e = observed_elasticity(cp)
+        frames.append((status, el.category_elasticity(e, cp, "category_name_level1")))
+    return el.union_clients(frames)
