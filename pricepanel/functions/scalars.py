@@ -89,17 +89,21 @@ def year_week_key(v) -> Column:
         .otherwise(F.regexp_replace(s, "-", "_"))
 
 
-def price_ladder(price, min_pct: float, max_pct: float) -> Column:
-    """Evenly spaced counterfactual prices p*(1+min) .. p*(1+max), inclusive, 2 dp.
+def price_ladder(price, min_pct: int = -10, max_pct: int = 10, digits: int = 2) -> Column:
+    """Evenly spaced counterfactual prices from p*(1+min%) to p*(1+max%), inclusive.
 
-    The number of points is ``|min%| + |max%| + 1`` (21 for +-10 %).
+    ``|min%| + |max%| + 1`` points (21 for +-10 %), each ``lo + i * step`` with the
+    last point exactly ``hi`` (the linspace rule), rounded to ``digits``.
     """
-    n = int(round(abs(min_pct) * 100)) + int(round(abs(max_pct) * 100)) + 1
+    n = abs(int(min_pct)) + abs(int(max_pct)) + 1
     p = col(price)
-    lo, hi = float(min_pct), float(max_pct)
-    step = (hi - lo) / (n - 1) if n > 1 else 0.0
+    lo = p * F.lit(1 + min_pct / 100)
+    hi = p * F.lit(1 + max_pct / 100)
+    if n == 1:
+        return F.array(round_half_up(lo, digits))
+    step = (hi - lo) / F.lit(float(n - 1))
     return F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                       lambda i: round_half_up(p * (F.lit(1.0 + lo) + i * F.lit(step)), 2))
+                       lambda i: round_half_up(F.when(i == n - 1, hi).otherwise(i * step + lo), digits))
 
 
 def min_price_level(p80, p10) -> Column:

@@ -471,7 +471,7 @@ FROM weather GROUP BY 1""")
 # ---------------------------------------------------------------- features
 SLUGS = ["africa", "america", "asia", "europe", "middle_east"]
 FFILL = """ff AS (
-  SELECT product_code, date, product_selling_price, """ + ", ".join(
+  SELECT product_code, date, product_selling_price, promotion_indicator, """ + ", ".join(
     f"last_value({s}_price IGNORE NULLS) OVER w AS {s}_price" for s in SLUGS) + """
   FROM bsc WINDOW w AS (PARTITION BY product_code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 
@@ -681,3 +681,63 @@ def _client_sql(status: str) -> str:
 
 register("union_clients", with_(SALES, PART, _client_sql("F"), _client_sql("O")) + """
 SELECT *, 'F' AS client FROM catel_F UNION ALL SELECT *, 'O' AS client FROM catel_O""")
+
+
+# ---------------------------------------------------------------- grid & simulation
+def _ladder_sql(p: str) -> str:
+    lo, hi = f"({p} * CAST(0.9 AS DOUBLE))", f"({p} * CAST(1.1 AS DOUBLE))"
+    return R(f"CASE WHEN g = 20 THEN {hi} ELSE g * (({hi} - {lo}) / 20.0) + {lo} END", 2)
+
+
+register("train_test_split", with_(SALES, PANEL) + """
+SELECT product_code, date, date >= CAST(max(date) OVER (PARTITION BY product_code) - 13 AS DATE) AS is_test FROM panel""")
+
+register("price_grid", with_(SALES, PANEL) + f"""
+SELECT product_code, date, sequence_number, CAST(g AS INTEGER) AS grid_idx, {_ladder_sql('product_selling_price')} AS price
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY product_code ORDER BY date) - 1 AS INTEGER) AS sequence_number
+      FROM (SELECT * FROM panel QUALIFY row_number() OVER (PARTITION BY product_code ORDER BY date DESC) <= 14)) r,
+     unnest(generate_series(0, 20)) AS t(g)
+WHERE product_selling_price > 0""")
+
+MODEL = BSC.rstrip() + ",\n" + FFILL + ",\n" + FEAT + """,
+mp AS (
+  SELECT *, """ + ", ".join(f"lag(product_selling_price, {k}) OVER w AS product_selling_price_lag_{k}" for k in LAGS) + """
+  FROM fe3 WINDOW w AS (PARTITION BY product_code ORDER BY date)),
+tst AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY product_code ORDER BY date) - 1 AS INTEGER) AS sequence_number
+  FROM (SELECT * FROM mp QUALIFY date >= CAST(max(date) OVER (PARTITION BY product_code) - 13 AS DATE))),
+xp AS (
+  SELECT r.* EXCLUDE (product_selling_price, promotion_indicator, """ + ", ".join(
+    f"product_selling_price_lag_{k}" for k in LAGS) + f"""),
+         CAST(g AS INTEGER) AS grid_idx, {_ladder_sql('r.product_selling_price')} AS product_selling_price,
+         false AS promotion_indicator, """ + ", ".join(
+    f"r.product_selling_price_lag_{k} AS old_lag_{k}" for k in LAGS) + """
+  FROM tst r, unnest(generate_series(0, 20)) AS t(g) WHERE r.product_selling_price > 0),
+xp2 AS (
+  SELECT *, """ + ", ".join(
+    f"CASE WHEN {k} <= sequence_number THEN product_selling_price ELSE old_lag_{k} END AS product_selling_price_lag_{k}"
+    for k in LAGS) + """ FROM xp)"""
+
+register("counterfactual_expand", MODEL + "\nSELECT product_code, date, sequence_number, grid_idx, product_selling_price, " +
+         ", ".join(f"product_selling_price_lag_{k}" for k in LAGS) + ", promotion_indicator FROM xp2")
+
+_RS_DIST = ", ".join(f"{_dist('product_selling_price', s + '_price')} AS d_{s}" for s in SLUGS)
+register("resimulated_features", MODEL + f""",
+rs AS (
+  SELECT *, {_RS_DIST},
+         {_dist('product_selling_price', LEAST)} AS d_cheapest, {_dist('product_selling_price', GREATEST)} AS d_most_expensive,
+         CASE WHEN product_selling_price > 0 THEN ln(product_selling_price) END AS new_log_own
+  FROM xp2),
+rs2 AS (
+  SELECT *, """ + " + ".join(f"CASE WHEN d_{s} IS NOT NULL THEN 1 ELSE 0 END" for s in SLUGS) + """ AS n_av,
+         """ + " + ".join(f"CASE WHEN d_{s} > 0 THEN 1 ELSE 0 END" for s in SLUGS) + """ AS n_ch,
+         0.0 + """ + " + ".join(f"coalesce(d_{s}, 0.0)" for s in SLUGS) + """ AS d_sum
+  FROM rs)
+SELECT product_code, date, sequence_number, grid_idx, """ + ", ".join(
+    R(f"CASE WHEN product_selling_price_lag_{k} <> 0 THEN (product_selling_price - product_selling_price_lag_{k}) / product_selling_price_lag_{k} * 100 END")
+    + f" AS price_change_product_selling_price_lag_{k}" for k in LAGS) + ", " + ", ".join(
+    f"{R('d_' + s)} AS price_distance_{s}" for s in SLUGS + ["cheapest", "most_expensive"]) + f""",
+       {R('CASE WHEN n_av > 0 THEN d_sum / n_av END')} AS price_distance_mean,
+       {R('new_log_own')} AS log_own_price, {R('new_log_own - log_comp_index')} AS log_relative_price,
+       CAST(n_ch AS INTEGER) AS n_competitors_cheaper, CAST(n_av AS INTEGER) AS n_competitors_available
+FROM rs2""")

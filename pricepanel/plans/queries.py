@@ -506,3 +506,50 @@ def q_union_clients(spark, d):
         _, _, _, e = observed_elasticity(cp)
         frames.append((status, el.category_elasticity(e, cp, "category_name_level1")))
     return el.union_clients(frames)
+
+
+# ---------------------------------------------------------------- grid & simulation
+from ..operators import simulate as sim  # noqa: E402
+
+GRID_DAYS = 14
+LAG_COLS = {k: [f"product_selling_price_lag_{k}"] for k in LAGS}
+
+
+def model_panel(spark, d):
+    """Brand-day panel with competitor features, price lags and price changes."""
+    base = competitor_features(spark, d)
+    base = feat.add_lags(base, ["product_selling_price"], LAGS)
+    return feat.add_price_changes(base, ["product_selling_price"], LAGS)
+
+
+def expanded(spark, d):
+    test = sim.split_train_test(model_panel(spark, d), GRID_DAYS).filter("is_test").drop("is_test")
+    return sim.expand_counterfactual(test, lag_cols=LAG_COLS)
+
+
+@query("train_test_split")
+def q_train_test_split(spark, d):
+    return sim.split_train_test(panel_(spark, d), GRID_DAYS).select("product_code", "date", "is_test")
+
+
+@query("price_grid")
+def q_price_grid(spark, d):
+    grid = sim.price_grid(sim.reference_rows(panel_(spark, d), GRID_DAYS))
+    return grid.select("product_code", "date", "sequence_number", F.posexplode("prices").alias("grid_idx", "price"))
+
+
+@query("counterfactual_expand")
+def q_counterfactual_expand(spark, d):
+    return expanded(spark, d).select("product_code", "date", "sequence_number", "grid_idx", "product_selling_price",
+                                     *[f"product_selling_price_lag_{k}" for k in LAGS], "promotion_indicator")
+
+
+@query("resimulated_features")
+def q_resimulated_features(spark, d):
+    out = sim.resimulate_features(expanded(spark, d), ["product_selling_price"], LAGS, COMP_SLUGS)
+    cols = ([f"price_change_product_selling_price_lag_{k}" for k in LAGS] +
+            [f"price_distance_{c}" for c in COMP_SLUGS] +
+            ["price_distance_cheapest", "price_distance_most_expensive", "price_distance_mean",
+             "log_own_price", "log_relative_price"])
+    return out.select("product_code", "date", "sequence_number", "grid_idx", *[r6(c) for c in cols],
+                      "n_competitors_cheaper", "n_competitors_available")
