@@ -553,3 +553,61 @@ def q_resimulated_features(spark, d):
              "log_own_price", "log_relative_price"])
     return out.select("product_code", "date", "sequence_number", "grid_idx", *[r6(c) for c in cols],
                       "n_competitors_cheaper", "n_competitors_available")
+
+
+# ---------------------------------------------------------------- demand model (rows-only checks)
+from ..operators import model as mdl  # noqa: E402
+
+MODEL_CFG = mdl.ModelConfig(max_iter=30, max_depth=6, price_change_weight=2.0)
+
+
+def model_inputs(spark, d):
+    mp = sim.split_train_test(model_panel(spark, d), GRID_DAYS)
+    feats = mdl.feature_columns(mp, MODEL_CFG, WIDE_COLS)
+    return mp, feats
+
+
+def trained(spark, d):
+    mp, feats = model_inputs(spark, d)
+    model = mdl.train_demand_model(mp.filter(~F.col("is_test")), MODEL_CFG, feats)
+    return mp, feats, model
+
+
+def predictions_per_day(spark, d):
+    mp, feats, model = trained(spark, d)
+    test = mp.filter("is_test").drop("is_test")
+    exp = sim.resimulate_features(sim.expand_counterfactual(test, lag_cols=LAG_COLS), ["product_selling_price"],
+                                  LAGS, COMP_SLUGS)
+    scored = mdl.predict_quantity(model, exp, [f for f in feats if f in exp.columns])
+    return mp, scored.select("product_code", "date", "predicted_quantity",
+                             F.col("product_selling_price").alias("product_selling_price_calc"))
+
+
+@query("demand_model_predict")
+def q_demand_model_predict(spark, d):
+    mp, per_day = predictions_per_day(spark, d)
+    return mdl.estimations(per_day, mp)
+
+
+@query("leakage_check")
+def q_leakage_check(spark, d):
+    mp, feats, model = trained(spark, d)
+    return mdl.leakage_check(model, mp.filter("is_test"), MODEL_CFG, feats)
+
+
+@query("time_cv")
+def q_time_cv(spark, d):
+    mp, feats = model_inputs(spark, d)
+    grid = [{"max_depth": 4, "max_iter": 10}, {"max_depth": 6, "max_iter": 10}]
+    return mdl.time_series_cv(mp.filter(~F.col("is_test")), MODEL_CFG, feats, grid, n_folds=3)
+
+
+@query("model_elasticity")
+def q_model_elasticity(spark, d):
+    """Entry B end to end: predictions -> curves -> arc elasticity -> day dispersion -> tiers."""
+    mp, per_day = predictions_per_day(spark, d)
+    est = mdl.estimations(per_day, mp)
+    fits = el.fit_demand_curves(est, PRICE_CALC, "predicted_quantity")
+    e = el.arc_elasticity(el.demand_curve(est, fits, PRICE_CALC))
+    day_std = el.slope_dispersion(per_day, PRICE_CALC, "predicted_quantity", period_col="date")
+    return el.quality_tiers(e, fits, day_std)
