@@ -741,3 +741,16 @@ SELECT product_code, date, sequence_number, grid_idx, """ + ", ".join(
        {R('new_log_own')} AS log_own_price, {R('new_log_own - log_comp_index')} AS log_relative_price,
        CAST(n_ch AS INTEGER) AS n_competitors_cheaper, CAST(n_av AS INTEGER) AS n_competitors_available
 FROM rs2""")
+
+
+# ---------------------------------------------------------------- I/O round trips
+register("csv_sniff_load", with_(RCPT) + """
+SELECT product_code, date_code, CAST(quantity_sold AS VARCHAR) AS quantity_sold, CAST(NULL AS VARCHAR) AS note
+FROM rcpt WHERE l_linenumber <> 7""")
+
+register("partitioned_write_roundtrip", BSC + "SELECT * REPLACE (" + ", ".join(
+    f"{R(c)} AS {c}" for _, c in PIVOT_COLS) + ") FROM bsc")
+
+register("incremental_append", with_(WEATHER) + """
+SELECT * REPLACE (CASE WHEN date >= DATE '1999-12-31' THEN mean_temp + 0.1 ELSE mean_temp END AS mean_temp)
+FROM weather""")

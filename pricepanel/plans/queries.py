@@ -611,3 +611,47 @@ def q_model_elasticity(spark, d):
     e = el.arc_elasticity(el.demand_curve(est, fits, PRICE_CALC))
     day_std = el.slope_dispersion(per_day, PRICE_CALC, "predicted_quantity", period_col="date")
     return el.quality_tiers(e, fits, day_std)
+
+
+# ---------------------------------------------------------------- I/O round trips (rows-only checks)
+from ..sources import io as pio  # noqa: E402
+from ..streaming import incremental as inc  # noqa: E402
+
+CSV_COLS = ["product_code", "date_code", "quantity_sold", "note"]
+
+
+@query("csv_sniff_load")
+def q_csv_sniff_load(spark, d):
+    """Write receipts as ';'-separated CSV in which every 7th order line carries one field too
+    many, detect the separator and load it skipping the bad lines."""
+    path = pio.scratch_path(spark, "csv")
+    rows = td.receipts(spark, d).select(
+        "product_code", "date_code", F.col("quantity_sold").cast("string").alias("quantity_sold"),
+        F.when(F.col("l_linenumber") == 7, F.lit("x;y")).alias("note"))
+    rows.write.option("header", "true").option("sep", ";").option("quote", "\u0000").csv(path)
+    sep = pio.detect_separator(spark, path)
+    return pio.read_csv_skip_bad(spark, path, CSV_COLS, sep)
+
+
+@query("partitioned_write_roundtrip")
+def q_partitioned_write_roundtrip(spark, d):
+    """Merged sales + competitors written as year_week=YYYY_WW/part-*.parquet, size-capped, read back."""
+    path = pio.scratch_path(spark, "partitioned")
+    out = brand_sales_competitors(spark, d)
+    pio.write_partitioned(out, path, "year_week", max_records_per_file=5000)
+    pio.list_files(spark, path)  # raises on an empty listing
+    back = pio.read_partitioned(spark, path)
+    return back.select(*[r6(c) if c in WIDE_COLS else c for c in back.columns])
+
+
+@query("incremental_append")
+def q_incremental_append(spark, d):
+    """Weather history up to 1999 + a landed re-fetch from the last stored day onward
+    (with revised values) -> one row per day."""
+    base = pio.scratch_path(spark, "incremental")
+    w = weather(spark, d)
+    inc.seed_table(w.filter(F.col("date") < F.lit("2000-01-01").cast("date")), f"{base}/table")
+    revised = w.filter(F.col("date") >= F.lit("1999-12-31").cast("date")).withColumn("mean_temp", F.col("mean_temp") + 0.1)
+    revised.write.parquet(f"{base}/landing")
+    inc.run_incremental_append(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint", revised.schema)
+    return inc.current_view(spark, f"{base}/table")
