@@ -63,8 +63,12 @@ def last_n_rows(df: DataFrame, n: int, product_col: str = "product_code", date_c
 
 
 def weekly_weather(weather: DataFrame, rounding: Mapping[str, int] | None = None, date_col: str = "date") -> DataFrame:
-    """Weekly mean of daily weather with per-column rounding."""
-    from ..functions.scalars import round_half_up
+    """Weekly mean of daily weather with per-column rounding.
+
+    Station values are fixed-point (0.1 units), so the mean is an exact decimal sum divided by the
+    count: the rounding then does not depend on the summation order.
+    """
+    from ..functions.scalars import exact_sum, round_half_up
     rounding = rounding or {"mean_temp": 1, "min_temp": 1, "max_temp": 1, "sum_rain": 0, "len_rain": 0}
     return weather.groupBy(week_start(date_col).alias("week")).agg(
-        *[round_half_up(F.avg(c), d).alias(c) for c, d in rounding.items()])
+        *[round_half_up(exact_sum(c, 6, 24) / F.count(c), d).alias(c) for c, d in rounding.items()])

@@ -462,9 +462,9 @@ WEATHER = """weather AS (
 register("climatology", with_(WEATHER) + f"""
 SELECT w.*, {R('avg(mean_temp) OVER (PARTITION BY month(date), day(date))')} AS mean_temp_over_years FROM weather w""")
 
-register("weekly_weather", with_(WEATHER) + f"""
-SELECT CAST(date_trunc('week', date) AS DATE) AS week, {R('avg(mean_temp)', 1)} AS mean_temp, {R('avg(min_temp)', 1)} AS min_temp,
-       {R('avg(max_temp)', 1)} AS max_temp, {R('avg(sum_rain)', 0)} AS sum_rain, {R('avg(len_rain)', 0)} AS len_rain
+register("weekly_weather", with_(WEATHER) + "SELECT CAST(date_trunc('week', date) AS DATE) AS week, " + ", ".join(
+    R(f"CAST(sum(CAST({c} AS DECIMAL(24,6))) AS DOUBLE) / count({c})", d) + f" AS {c}"
+    for c, d in [("mean_temp", 1), ("min_temp", 1), ("max_temp", 1), ("sum_rain", 0), ("len_rain", 0)]) + """
 FROM weather GROUP BY 1""")
 
 
