@@ -35,6 +35,11 @@ def exact_sum(c, scale: int = 2, precision: int = 18) -> Column:
     return F.sum(col(c).cast(DecimalType(precision, scale))).cast("double")
 
 
+def exact_mean(c, scale: int = 10) -> Column:
+    """Mean as an exact decimal sum over the non-NULL count (independent of summation order)."""
+    return exact_sum(c, scale, 38) / F.count(col(c))
+
+
 def round_half_up(c, digits: int = 2) -> Column:
     """Round half away from zero with plain IEEE double arithmetic.
 

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import exact_sum, parse_date, ratio, round_half_up
+from ..functions.scalars import exact_mean, exact_sum, parse_date, ratio, round_half_up
 
 
 def fix_weighted_products(df: DataFrame, price_col: str = "calculated_price", qty_col: str = "quantity_sold",
@@ -41,8 +41,8 @@ def select_rows(df: DataFrame, cutoff: str = "2024-08-01", price_col: str = "pro
 def store_day_aggregate(df: DataFrame, keys: Sequence[str] = ("product_code", "date", "store_code")) -> DataFrame:
     """product-store-day: mean selling price, mean list price, summed quantity."""
     return df.groupBy(*keys).agg(
-        F.avg("product_selling_price").alias("product_selling_price_mean"),
-        F.avg("calculated_price").alias("calculated_price_mean"),
+        exact_mean("product_selling_price").alias("product_selling_price_mean"),
+        exact_mean("calculated_price").alias("calculated_price_mean"),
         F.sum("quantity_sold").alias("quantity_sold_sum"))
 
 
@@ -132,5 +132,5 @@ def product_day_rollup(receipts: DataFrame, windows: Sequence[int] = (7, 30)) ->
         exact_sum("revenue_before_discount_incl_vat", 2).alias("revenue_before_discount_incl_vat"),
         first("product_status"),
         first("promo_ind"),
-        F.avg("calculated_price").alias("calculated_price"),
+        exact_mean("calculated_price").alias("calculated_price"),
     )

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import iso_year_week, week_start
+from ..functions.scalars import exact_mean, iso_year_week, week_start
 
 
 def weekly_iso(df: DataFrame, target_col: str = "quantity_sold", price_col: str = "product_selling_price",
@@ -22,8 +22,8 @@ def weekly_iso(df: DataFrame, target_col: str = "quantity_sold", price_col: str
 
     ``carry_last`` / ``sum_cols`` keep category and revenue columns the reference dropped.
     """
-    aggs = [F.sum(target_col).alias(target_col), F.avg(price_col).alias(price_col), F.min(date_col).alias(date_col)]
-    aggs += [F.avg(c).alias(c) for c in competitor_cols if c in df.columns]
+    aggs = [F.sum(target_col).alias(target_col), exact_mean(price_col).alias(price_col), F.min(date_col).alias(date_col)]
+    aggs += [exact_mean(c).alias(c) for c in competitor_cols if c in df.columns]
     aggs += [F.max_by(c, date_col).alias(c) for c in carry_last]
     aggs += [F.sum(c).alias(c) for c in sum_cols]
     return df.withColumn("year_week", iso_year_week(date_col)).groupBy(product_col, "year_week").agg(*aggs)

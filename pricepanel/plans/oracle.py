@@ -17,6 +17,10 @@ def XSUM(expr: str, scale: int = 2) -> str:
     return f"CAST(sum(CAST({expr} AS DECIMAL(18,{scale}))) AS DOUBLE)"
 
 
+def XAVG(expr: str, scale: int = 10) -> str:
+    return f"(CAST(sum(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE) / count({expr}))"
+
+
 SALES = """sales AS (
   SELECT CAST(l_partkey AS VARCHAR) AS product_code, l_suppkey AS store_code,
          CAST(l_shipdate AS DATE) AS date, l_quantity AS quantity_sold,
@@ -154,9 +158,9 @@ FIXED = f"""fixed AS (
   SELECT * REPLACE ({R('CASE WHEN weight_sold > 0 THEN calculated_price * quantity_sold / weight_sold ELSE product_selling_price END', 2)} AS calculated_price)
   FROM rcpt)"""
 
-STORE_DAY = """sday AS (
-  SELECT product_code, date, store_code, avg(product_selling_price) AS product_selling_price_mean,
-         avg(calculated_price) AS calculated_price_mean, sum(quantity_sold) AS quantity_sold_sum
+STORE_DAY = f"""sday AS (
+  SELECT product_code, date, store_code, {XAVG('product_selling_price')} AS product_selling_price_mean,
+         {XAVG('calculated_price')} AS calculated_price_mean, sum(quantity_sold) AS quantity_sold_sum
   FROM (SELECT *, CAST(strptime(date_code, '%Y%m%d') AS DATE) AS date FROM fixed
         WHERE product_selling_price IS NOT NULL)
   WHERE date <= DATE '2024-08-01' AND quantity_sold > 0
@@ -214,7 +218,7 @@ SELECT d.product_code, d.date, sum(quantity_sold) AS quantity_sold,
        arg_min(product_selling_price, store_code) AS product_selling_price,
        {XSUM('revenue_before_discount_incl_vat', 2)} AS revenue_before_discount_incl_vat,
        arg_min(product_status, store_code) AS product_status, arg_min(promo_ind, store_code) AS promo_ind,
-       {R('avg(calculated_price)')} AS calculated_price
+       {R(XAVG('calculated_price'))} AS calculated_price
 FROM dd d LEFT JOIN us u ON d.product_code = u.product_code AND d.date = u.date
 GROUP BY d.product_code, d.date""")
 
@@ -314,8 +318,8 @@ register("sparse_competitor_share", BSC + "SELECT " + ", ".join(
     f"{R(f'avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) * 100')} AS {c}_null_pct" for _, c in PIVOT_COLS) + " FROM bsc")
 
 register("weekly_iso", BSC + f"""
-SELECT product_code, year_week, sum(quantity_sold) AS quantity_sold, {R('avg(product_selling_price)')} AS product_selling_price,
-       min(date) AS date, """ + ", ".join(f"{R(f'avg({c})')} AS {c}" for _, c in PIVOT_COLS) + """
+SELECT product_code, year_week, sum(quantity_sold) AS quantity_sold, {R(XAVG('product_selling_price'))} AS product_selling_price,
+       min(date) AS date, """ + ", ".join(f"{R(XAVG(c))} AS {c}" for _, c in PIVOT_COLS) + """
 FROM bsc GROUP BY product_code, year_week""")
 
 register("last_n_rows", with_(SALES, PANEL) + f"""
