@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..functions.scalars import round_half_up, slug_price_name
 
@@ -26,25 +27,57 @@ def _cols(x):
     return [x] if isinstance(x, str) else list(x)
 
 
+def _time_buckets(df: DataFrame, date_col: str, window_days: int) -> DataFrame:
+    """Copy each row into its own time bucket and the next one (bucket width = window)."""
+    return (df.withColumn("_dn", F.unix_date(F.col(date_col)))
+            .withColumn("_bucket", F.floor(F.col("_dn") / F.lit(int(window_days))))
+            .withColumn("_wb", F.explode(F.array(F.col("_bucket"), F.col("_bucket") + 1))))
+
+
 def rolling_median(df: DataFrame, keys: Sequence[str], date_col: str, value_col: str,
                    window_days: int = 180, median_col: str = "rolling_median",
-                   count_col: str = "rolling_count") -> DataFrame:
+                   count_col: str = "rolling_count", method: str = "pandas") -> DataFrame:
     """Median and non-NULL count of ``value_col`` over the day range (t-window, t] per key.
 
-    RANGE semantics: same-day peers are inside the frame.
+    RANGE semantics: same-day peers are inside the frame.  ``method="window"`` uses a
+    SQL window (``percentile`` re-evaluated per distinct day: O(rows x frame));
+    ``method="pandas"`` runs an order-statistics rolling median per (key, bucket)
+    group with Arrow batches (O(rows x log frame)), which stays fast for dense keys.
     """
     keys = _cols(keys)
     wd = int(window_days)
-    dn = F.unix_date(F.col(date_col))
-    staged = (df.withColumn("_dn", dn)
-              .withColumn("_bucket", F.floor(F.col("_dn") / F.lit(wd)))
-              .withColumn("_wb", F.explode(F.array(F.col("_bucket"), F.col("_bucket") + 1))))
-    w = Window.partitionBy(*keys, "_wb").orderBy("_dn").rangeBetween(-(wd - 1), 0)
-    return (staged
-            .withColumn(median_col, F.percentile(F.col(value_col), F.lit(0.5)).over(w))
-            .withColumn(count_col, F.count(F.col(value_col)).over(w))
-            .filter(F.col("_wb") == F.col("_bucket"))
-            .drop("_dn", "_bucket", "_wb"))
+    staged = _time_buckets(df, date_col, wd)
+    if method == "window":
+        w = Window.partitionBy(*keys, "_wb").orderBy("_dn").rangeBetween(-(wd - 1), 0)
+        return (staged
+                .withColumn(median_col, F.percentile(F.col(value_col), F.lit(0.5)).over(w))
+                .withColumn(count_col, F.count(F.col(value_col)).over(w))
+                .filter(F.col("_wb") == F.col("_bucket"))
+                .drop("_dn", "_bucket", "_wb"))
+    out_schema = StructType(staged.schema.fields + [StructField(median_col, DoubleType()),
+                                                    StructField(count_col, LongType())])
+    rolled = staged.groupBy(*keys, "_wb").applyInPandas(
+        _rolling_median_group(wd, value_col, median_col, count_col), out_schema)
+    return rolled.drop("_dn", "_bucket", "_wb")
+
+
+def _rolling_median_group(window_days: int, value_col: str, median_col: str, count_col: str):
+    """Per (key, bucket) pandas body: time-based rolling median / count, same-day peers resolved to
+    RANGE semantics (every row of a day gets the value at the day's last row); the rows of the
+    bucket itself are returned whole."""
+
+    def run(pdf):
+        import pandas as pd
+        pdf = pdf.sort_values("_dn", kind="mergesort").reset_index(drop=True)
+        s = pd.Series(pdf[value_col].astype("float64").to_numpy(),
+                      index=pd.to_datetime(pdf["_dn"].to_numpy(), unit="D"))
+        roll = s.rolling(f"{window_days}D", closed="right")
+        day = pdf["_dn"].to_numpy()
+        pdf[median_col] = pd.Series(roll.median().to_numpy()).groupby(day).transform("last").to_numpy()
+        pdf[count_col] = pd.Series(roll.count().to_numpy()).groupby(day).transform("last").to_numpy().astype("int64")
+        return pdf[pdf["_wb"] == pdf["_bucket"]]
+
+    return run
 
 
 def first_n_median(df: DataFrame, keys: Sequence[str], date_col: str, value_col: str,
