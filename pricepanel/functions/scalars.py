@@ -111,14 +111,15 @@ def price_ladder(price, min_pct: int = -10, max_pct: int = 10, digits: int = 2)
                        lambda i: round_half_up(F.when(i == n - 1, hi).otherwise(i * step + lo), digits))
 
 
-def min_price_level(p80, p10) -> Column:
-    """Lowest grid level from the 80th / 10th price percentiles, default -10 %."""
-    raw = (F.round(ratio(col(p80), col(p10)) * 100 - 100) - 10) / 100
-    return F.when(col(p10) > 0, raw).otherwise(F.lit(-0.10))
+def min_price_level(p80, p_below10) -> Column:
+    """Lowest grid level: (round(p80 / p_below10 * 100 - 100) - 10) / 100 when p80 < p_below10,
+    else -0.10 (round half to even, as Python's ``round``)."""
+    raw = (F.bround(ratio(col(p80), col(p_below10)) * 100 - 100, 0) - 10) / 100
+    return F.when(col(p80) < col(p_below10), raw).otherwise(F.lit(-0.10))
 
 
 def calc_prices(last_price, min_level) -> Column:
-    """Price ladder from ``min_level`` up to +10 % in 1 % steps applied to ``last_price``."""
+    """Price ladder from ``min_level`` up to +10 % in whole 1 % steps applied to ``last_price``, 2 dp."""
     steps = F.sequence(F.round(col(min_level) * 100).cast("int"), F.lit(10))
     return F.transform(steps, lambda s: round_half_up(col(last_price) * (1 + s / 100.0), 2))
 

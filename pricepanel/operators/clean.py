@@ -195,3 +195,41 @@ def bounded_ffill(df: DataFrame, col_name: str, max_fill: int = 2, product_col:
             .withColumn(col_name, F.when(F.col("_null") & (F.col("_run") <= max_fill), F.col("_prev"))
                         .otherwise(F.col(col_name)))
             .drop("_null", "_island", "_run", "_prev"))
+
+
+def add_output_metadata(df: DataFrame, **constants) -> DataFrame:
+    """Constant metadata columns (priceline, channel, client)."""
+    return df.withColumns({k: F.lit(v) for k, v in constants.items()})
+
+
+def map_values(df: DataFrame, col_name: str, mapping: DataFrame, key_col: str = "key", value_col: str = "value",
+               out_col: str | None = None) -> DataFrame:
+    """Dictionary lookup (unmapped -> NULL).  The mapping is a static category table (bounded by
+    the number of categories), so it is broadcast."""
+    m = mapping.select(F.col(key_col).alias("_mk"), F.col(value_col).alias(out_col or col_name))
+    if out_col is None:
+        df = df.withColumnRenamed(col_name, "_mv_in")
+        return df.join(F.broadcast(m), F.col("_mv_in") == F.col("_mk"), "left").drop("_mk", "_mv_in")
+    return df.join(F.broadcast(m), F.col(col_name) == F.col("_mk"), "left").drop("_mk")
+
+
+def merge_product_names(sales: DataFrame, names: DataFrame, product_col: str = "product_code") -> DataFrame:
+    """sales LEFT JOIN product names; names are de-duplicated per product first (no fan-out)."""
+    first = names.groupBy(product_col).agg(
+        *[F.min(c).alias(c) for c in names.columns if c != product_col])
+    return sales.join(first, product_col, "left")
+
+
+def sequence_modulo(df: DataFrame, n: int, product_col: str = "product_code", date_col: str = "date") -> DataFrame:
+    """1-based row number within the product modulo n, with 0 shown as n."""
+    w = Window.partitionBy(product_col).orderBy(date_col)
+    return df.withColumn("sequence_number", F.pmod(F.row_number().over(w) - 1, F.lit(n)) + 1)
+
+
+def zero_except_middle(df: DataFrame, col_name: str, product_col: str = "product_code",
+                       date_col: str = "date") -> DataFrame:
+    """Set ``col_name`` to 0 on every row but the middle one (index n // 2) of each product."""
+    w = Window.partitionBy(product_col).orderBy(date_col)
+    n = F.count(F.lit(1)).over(Window.partitionBy(product_col))
+    mid = F.row_number().over(w) == F.floor(n / 2) + 1
+    return df.withColumn(col_name, F.when(mid, F.col(col_name)).otherwise(F.lit(0).cast(df.schema[col_name].dataType)))

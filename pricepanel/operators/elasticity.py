@@ -18,14 +18,14 @@ from ..functions.scalars import exact_sum, ratio, round_half_up
 ELASTIC_LOW, ELASTIC_HIGH = -5.0, -1.0
 
 
-def fit_demand_curves(est: DataFrame, price_col: str, qty_col: str, key: str = "product_code") -> DataFrame:
-    """Per key: OLS of ln(q) on ln(p) over rows with q > 0 and p > 0 (>= 2 rows, price varies).
-
-    Returns key, slope, intercept, r2 (log space), n_points.
+def fit_demand_curves(est: DataFrame, price_col: str, qty_col: str, key="product_code") -> DataFrame:
+    """Per key (a column or a list, e.g. product and sequence): OLS of ln(q) on ln(p) over rows
+    with q > 0 and p > 0 (>= 2 rows, price varies).  Returns key, slope, intercept, r2, n_points.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     valid = est.filter((F.col(qty_col) > 0) & (F.col(price_col) > 0))
     x, y = F.ln(F.col(price_col)), F.ln(F.col(qty_col))
-    return (valid.groupBy(key)
+    return (valid.groupBy(*keys)
             .agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
                  F.regr_r2(y, x).alias("r2"), F.count(F.lit(1)).alias("n_points"))
             .filter((F.col("n_points") >= 2) & F.col("slope").isNotNull()))

@@ -68,7 +68,12 @@ def _prepare(df: DataFrame, feats: Sequence[str]) -> tuple[DataFrame, list[str],
 
 
 def train_demand_model(train: DataFrame, cfg: ModelConfig, feats: Sequence[str]) -> PipelineModel:
-    """Fit the pipeline (indexers, target encoder, assembler, GBT) on ``log1p(target)``."""
+    """Fit the pipeline (indexers, target encoder, assembler, GBT) on ``log1p(target)``.
+
+    Tree iterations checkpoint into the shared checkpoint folder, so a lost executor does not
+    replay the whole boosting lineage."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)
     prepared, num_cols, strings = _prepare(train, feats)
     lag1 = f"price_change_{cfg.price_col}_lag_1"
     weight = F.lit(1.0)
@@ -87,7 +92,8 @@ def train_demand_model(train: DataFrame, cfg: ModelConfig, feats: Sequence[str])
     stages.append(VectorAssembler(inputCols=num_cols + enc_cols, outputCol="_features", handleInvalid="keep"))
     stages.append(GBTRegressor(featuresCol="_features", labelCol="_label", weightCol="_weight",
                                maxIter=cfg.max_iter, maxDepth=cfg.max_depth, stepSize=cfg.step_size,
-                               subsamplingRate=cfg.subsampling_rate, maxBins=cfg.max_bins, seed=cfg.seed))
+                               subsamplingRate=cfg.subsampling_rate, maxBins=cfg.max_bins, seed=cfg.seed,
+                               checkpointInterval=10))
     return Pipeline(stages=stages).fit(data)
 
 
@@ -99,6 +105,14 @@ def predict_quantity(model: PipelineModel, df: DataFrame, feats: Sequence[str],
     return scored.select(*keep, F.greatest(F.expm1("prediction"), F.lit(0.0)).alias(out_col))
 
 
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def leakage_check(model: PipelineModel, holdout: DataFrame, cfg: ModelConfig, feats: Sequence[str],
                   top_k: int = 5) -> DataFrame:
     """Hold-out R^2 at actual prices -> status ok / warning / error, with the top features."""

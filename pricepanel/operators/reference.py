@@ -34,16 +34,19 @@ def cpi_date_columns(df: DataFrame, month_col: str = "month_year") -> DataFrame:
 
 def clean_dutch_cpi(raw: DataFrame, period_col: str, value_col: str, order_col: str,
                     months: Mapping[str, int] = DUTCH_MONTHS) -> DataFrame:
-    """Text table cleanup: strip '*', drop all-digit rows (year headers) after carrying the year
-    forward, decimal comma -> dot, Dutch month name -> date."""
-    txt = F.trim(F.regexp_replace(F.col(period_col), r"\*", ""))
-    year = F.when(txt.rlike("^[0-9]+$"), txt.cast("int"))
+    """Statistics-office text table: strip '*' from the period, drop all-digit (annual) rows,
+    forward-fill missing values in table order, decimal comma -> dot, '2020 januari' -> 2020-01-01;
+    unparseable periods dropped."""
+    txt = F.trim(F.regexp_replace(F.col(period_col).cast("string"), r"\*", ""))
     w = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     month_map = F.create_map(*[x for k, v in months.items() for x in (F.lit(k), F.lit(v))])
-    staged = raw.withColumn("_txt", txt).withColumn("_year", F.last(year, ignorenulls=True).over(w))
-    return (staged.filter(~F.col("_txt").rlike("^[0-9]+$"))
-            .select(F.make_date(F.col("_year"), month_map[F.lower(F.col("_txt"))], F.lit(1)).alias("month_year"),
-                    F.regexp_replace(F.col(value_col).cast("string"), ",", ".").cast("double").alias("cpi")))
+    parts = F.split(txt, " ")
+    rows = (raw.withColumn("_txt", txt).filter(~F.col("_txt").rlike("^[0-9]+$"))
+            .withColumn("_val", F.last(F.col(value_col), ignorenulls=True).over(w)))
+    out = rows.select(
+        F.make_date(parts[0].try_cast("int"), month_map[F.lower(parts[1])], F.lit(1)).alias("month_year"),
+        F.regexp_replace(F.col("_val").cast("string"), ",", ".").cast("double").alias("cpi"))
+    return out.dropna()
 
 
 def interpolate_cpi(monthly: DataFrame, category_col: str | None = None, value_col: str = "cpi",
@@ -133,6 +136,11 @@ def add_climatology(weather: DataFrame, date_col: str = "date") -> DataFrame:
             .join(F.broadcast(clim), ["_m", "_d"], "left").drop("_m", "_d"))
 
 
+def add_weather(df: DataFrame, weather: DataFrame, date_col: str = "date") -> DataFrame:
+    """panel LEFT JOIN daily weather; one row per day (bounded by the calendar) -> broadcast."""
+    return df.join(F.broadcast(weather.withColumnRenamed("date", date_col)), date_col, "left")
+
+
 def append_incremental(existing: DataFrame, fresh: DataFrame, date_col: str = "date") -> DataFrame:
     """High-water-mark append: rows of ``fresh`` on or after the last stored date replace stored
     rows of the same date (revised values win); the result has one row per date."""

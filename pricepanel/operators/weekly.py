@@ -72,3 +72,13 @@ def weekly_weather(weather: DataFrame, rounding: Mapping[str, int] | None = None
     rounding = rounding or {"mean_temp": 1, "min_temp": 1, "max_temp": 1, "sum_rain": 0, "len_rain": 0}
     return weather.groupBy(week_start(date_col).alias("week")).agg(
         *[round_half_up(exact_sum(c, 6, 24) / F.count(c), d).alias(c) for c, d in rounding.items()])
+
+
+def weekly_days_since_change(daily: DataFrame, product_col: str = "product_code", date_col: str = "date",
+                             flag_col: str = "price_change", days_col: str = "days_since_last_change") -> DataFrame:
+    """Per product and Monday week: 0 when the price changed on the week's first day, else the
+    last days-since-change value of the week."""
+    wk = week_start(date_col)
+    return daily.groupBy(product_col, wk.alias("week")).agg(
+        F.when(F.min_by(F.col(flag_col).cast("int"), date_col) == 1, F.lit(0))
+        .otherwise(F.max_by(days_col, date_col)).alias(days_col))

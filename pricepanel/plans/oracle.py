@@ -758,3 +758,88 @@ register("partitioned_write_roundtrip", BSC + "SELECT * REPLACE (" + ", ".join(
 register("incremental_append", with_(WEATHER) + """
 SELECT * REPLACE (CASE WHEN date >= DATE '1999-12-31' THEN mean_temp + 0.1 ELSE mean_temp END AS mean_temp)
 FROM weather""")
+
+
+# ---------------------------------------------------------------- smaller reference operators
+LAST14 = "last14 AS (SELECT * FROM panel QUALIFY row_number() OVER (PARTITION BY product_code ORDER BY date DESC) <= 14)"
+
+register("sequence_modulo", with_(SALES, PANEL, LAST14) + """
+SELECT product_code, date, CAST((row_number() OVER (PARTITION BY product_code ORDER BY date) - 1) % 7 + 1 AS INTEGER) AS sequence_number
+FROM last14""")
+
+register("zero_except_middle", with_(SALES, PANEL, LAST14) + """
+SELECT product_code, date,
+       CASE WHEN row_number() OVER (PARTITION BY product_code ORDER BY date)
+                 = count(*) OVER (PARTITION BY product_code) // 2 + 1 THEN quantity_sold ELSE 0.0 END AS quantity_sold
+FROM last14""")
+
+register("weekly_days_since_change", with_(SALES, PANEL) + """
+SELECT product_code, CAST(date_trunc('week', date) AS DATE) AS week,
+       CASE WHEN arg_min(CAST(price_change AS INTEGER), date) = 1 THEN 0 ELSE arg_max(days_since_last_change, date) END
+         AS days_since_last_change
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY product_code, grp ORDER BY date) - 1 AS INTEGER) AS days_since_last_change
+      FROM (SELECT *, sum(CAST(price_change AS INTEGER)) OVER (PARTITION BY product_code ORDER BY date
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp
+            FROM (SELECT *, coalesce(product_selling_price <> lag(product_selling_price) OVER (PARTITION BY product_code ORDER BY date), false) AS price_change
+                  FROM panel)))
+GROUP BY 1, 2""")
+
+register("demand_curve_by_sequence", with_(SALES, PANEL) + f"""
+SELECT product_code, sequence_number, {R('slope', 4)} AS slope, {R('intercept', 4)} AS intercept, {R('r2')} AS r2, n_points FROM (
+  SELECT product_code, sequence_number, regr_slope(ln(q), ln(p)) AS slope, regr_intercept(ln(q), ln(p)) AS intercept,
+         regr_r2(ln(q), ln(p)) AS r2, count(*) AS n_points
+  FROM (SELECT product_code, CAST(year(date) AS INTEGER) AS sequence_number, {R('product_selling_price', 2)} AS p,
+               sum(quantity_sold) AS q FROM panel GROUP BY 1, 2, 3)
+  WHERE q > 0 AND p > 0 GROUP BY 1, 2)
+WHERE n_points >= 2 AND slope IS NOT NULL""")
+
+register("product_names_join", with_(SALES, PART) + """
+SELECT s.product_code, s.date, s.l_orderkey, s.l_linenumber, n.category_name_level1, n.category_name_level2, n.brand_name
+FROM sales s LEFT JOIN (SELECT product_code, min(category_name_level1) AS category_name_level1,
+                               min(category_name_level2) AS category_name_level2, min(brand_name) AS brand_name
+                        FROM pdim GROUP BY 1) n ON s.product_code = n.product_code""")
+
+register("weather_features", with_(SALES, PANEL, WEATHER) + f"""
+SELECT p.product_code, p.date, w.mean_temp, w.min_temp, w.max_temp, w.sum_rain, {R('w.clim')} AS mean_temp_over_years
+FROM panel p LEFT JOIN (SELECT *, avg(mean_temp) OVER (PARTITION BY month(date), day(date)) AS clim FROM weather) w
+  ON p.date = w.date""")
+
+
+def _sparse_drop_sql() -> str:
+    # the kept column set is decided from the data, as the operator does at plan time
+    return "SELECT product_code, date, " + ", ".join(
+        f"CASE WHEN (SELECT avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) * 100 FROM bsc) > 59.0 THEN NULL ELSE {R(c)} END AS {c}"
+        for _, c in PIVOT_COLS) + " FROM bsc"
+
+
+register("cpi_period_parse", with_(MONTHLY) + f"""
+SELECT month_year, {R('cpi')} AS cpi, CAST(year(month_year) AS INTEGER) AS year, CAST(month(month_year) AS INTEGER) AS month,
+       CAST(day(last_day(month_year)) AS INTEGER) AS days_in_month FROM monthly""")
+
+register("cpi_text_clean", with_(MONTHLY) + f"""
+SELECT month_year, CASE WHEN month(month_year) IN (4, 7, 10)
+                        THEN CAST(printf('%.3f', {R('prev_cpi', 3)}) AS DOUBLE)
+                        ELSE CAST(printf('%.3f', {R('cpi', 3)}) AS DOUBLE) END AS cpi
+FROM (SELECT *, lag(cpi) OVER (ORDER BY month_year) AS prev_cpi FROM monthly)""")
+
+register("price_levels", with_(SALES, PANEL) + f"""
+SELECT product_code, {R('min_price_level')} AS min_price_level, CAST(s - lo AS INTEGER) AS step,
+       {R('last_price * (1 + s / 100.0)', 2)} AS price
+FROM (SELECT *, CAST(round(min_price_level * 100) AS INTEGER) AS lo FROM (
+        SELECT *, CASE WHEN price_80_perc < price_below_10_perc
+                       THEN (round_even(price_80_perc / price_below_10_perc * 100 - 100, 0) - 10) / 100
+                       ELSE -0.10 END AS min_price_level
+        FROM (SELECT product_code, quantile_cont(product_selling_price, 0.8) AS price_80_perc,
+                     arg_max(product_selling_price, date) AS last_price,
+                     arg_max(product_selling_price, date) * 0.9 AS price_below_10_perc
+              FROM panel GROUP BY 1))),
+     unnest(generate_series(lo, 10)) AS t(s)""")
+
+register("tier_filter", with_(SALES, PANEL, _elastic_ctes("panel"), DAYSTD) + """
+SELECT product_code, quality_tier FROM (
+  SELECT e.product_code,
+         CASE WHEN s.day_std IS NULL THEN (CASE WHEN coalesce(f.r2, 0.0) >= 0.95 THEN 'high' WHEN coalesce(f.r2, 0.0) >= 0.80 THEN 'medium' ELSE 'low' END)
+              WHEN coalesce(f.r2, 0.0) >= 0.95 AND s.day_std <= 0.10 THEN 'high'
+              WHEN coalesce(f.r2, 0.0) >= 0.80 AND s.day_std <= 0.20 THEN 'medium' ELSE 'low' END AS quality_tier
+  FROM elas e LEFT JOIN fits f ON e.product_code = f.product_code LEFT JOIN dstd s ON e.product_code = s.product_code)
+WHERE quality_tier IN ('high', 'medium')""")

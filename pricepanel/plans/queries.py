@@ -655,3 +655,115 @@ def q_incremental_append(spark, d):
     revised.write.parquet(f"{base}/landing")
     inc.run_incremental_append(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint", revised.schema)
     return inc.current_view(spark, f"{base}/table")
+
+
+# ---------------------------------------------------------------- smaller reference operators
+from ..functions.scalars import calc_prices, min_price_level  # noqa: E402
+
+
+@query("sequence_modulo")
+def q_sequence_modulo(spark, d):
+    return clean.sequence_modulo(weekly.last_n_rows(panel_(spark, d), 14), 7).select(
+        "product_code", "date", "sequence_number")
+
+
+@query("zero_except_middle")
+def q_zero_except_middle(spark, d):
+    return clean.zero_except_middle(weekly.last_n_rows(panel_(spark, d), 14), "quantity_sold").select(
+        "product_code", "date", "quantity_sold")
+
+
+@query("weekly_days_since_change")
+def q_weekly_days_since_change(spark, d):
+    return weekly.weekly_days_since_change(feat.add_price_runs(panel_(spark, d)))
+
+
+@query("demand_curve_by_sequence")
+def q_demand_curve_by_sequence(spark, d):
+    """Curves per (product, sequence), sequence = calendar year of the observation."""
+    est = (panel_(spark, d).withColumn("sequence_number", F.year("date"))
+           .withColumn(PRICE_CALC, round_half_up("product_selling_price", 2))
+           .groupBy("product_code", "sequence_number", PRICE_CALC)
+           .agg(F.sum("quantity_sold").alias("predicted_quantity")))
+    fits = el.fit_demand_curves(est, PRICE_CALC, "predicted_quantity", ["product_code", "sequence_number"])
+    # per-year fits often have 2-3 close prices (ill-conditioned): coefficients reported at 4 dp
+    return fits.select("product_code", "sequence_number", round_half_up("slope", 4).alias("slope"),
+                       round_half_up("intercept", 4).alias("intercept"), r6("r2"), "n_points")
+
+
+@query("product_names_join")
+def q_product_names_join(spark, d):
+    names = td.part_dim(spark, d).select("product_code", "category_name_level1", "category_name_level2", "brand_name")
+    out = clean.merge_product_names(td.sales_rows(spark, d), names)
+    return out.select("product_code", "date", *TB, "category_name_level1", "category_name_level2", "brand_name")
+
+
+@query("weather_features")
+def q_weather_features(spark, d):
+    out = ref.add_weather(panel_(spark, d), ref.add_climatology(weather(spark, d)))
+    return out.select("product_code", "date", "mean_temp", "min_temp", "max_temp", "sum_rain",
+                      r6("mean_temp_over_years"))
+
+
+@query("sparse_competitor_drop")
+def q_sparse_competitor_drop(spark, d):
+    out = comp.drop_sparse_competitors(brand_sales_competitors(spark, d), COMP_SLUGS, 59.0)
+    return out.select("product_code", "date", *[r6(c) for c in WIDE_COLS if c in out.columns])
+
+
+def cpi_period_table(spark, d):
+    """Monthly index restated as a statistics-office period table ('1995MM01', annual '1995JJ00')."""
+    m = td.monthly_index(spark, d)
+    months = m.select(F.format_string("%dMM%02d", F.year("month_year"), F.month("month_year")).alias("Perioden"),
+                      F.col("cpi").alias("CPI_1"))
+    years = m.groupBy(F.year("month_year").alias("y")).agg(F.avg("cpi").alias("CPI_1")) \
+        .select(F.format_string("%dJJ00", F.col("y")).alias("Perioden"), "CPI_1")
+    return months.unionByName(years)
+
+
+@query("cpi_period_parse")
+def q_cpi_period_parse(spark, d):
+    out = ref.preprocess_cpi_periods(cpi_period_table(spark, d))
+    return out.select("month_year", r6("cpi"), "year", "month", "days_in_month")
+
+
+@query("cpi_text_clean")
+def q_cpi_text_clean(spark, d):
+    """Monthly index as Dutch text rows ('1995 januari*', '12,345') with annual all-digit rows
+    and blank values on the first month of each quarter (filled from the row above)."""
+    names = ["januari", "februari", "maart", "april", "mei", "juni", "juli", "augustus", "september",
+             "oktober", "november", "december"]
+    m = td.monthly_index(spark, d)
+    month_name = F.element_at(F.array(*[F.lit(n) for n in names]), F.month("month_year"))
+    value = F.regexp_replace(F.format_string("%.3f", round_half_up("cpi", 3)), r"\.", ",")
+    rows = m.select(F.concat(F.year("month_year").cast("string"), F.lit(" "), month_name, F.lit("*")).alias("period"),
+                    F.when(F.month("month_year").isin(4, 7, 10), F.lit(None)).otherwise(value).alias("value"),
+                    (F.unix_date("month_year") * 10 + 1).alias("ord"))
+    years = m.groupBy(F.year("month_year").alias("y")).agg(F.min("month_year").alias("first")).select(
+        F.col("y").cast("string").alias("period"), F.lit("0,0").alias("value"),
+        (F.unix_date("first") * 10).alias("ord"))
+    return ref.clean_dutch_cpi(rows.unionByName(years), "period", "value", "ord")
+
+
+@query("price_levels")
+def q_price_levels(spark, d):
+    """Grid from the last price down to a data-driven minimum level: p80 = 80th percentile of the
+    product's prices, p_below10 = last price x 0.9."""
+    per = panel_(spark, d).groupBy("product_code").agg(
+        F.percentile("product_selling_price", F.lit(0.8)).alias("price_80_perc"),
+        F.max_by("product_selling_price", "date").alias("last_price"))
+    per = per.withColumn("price_below_10_perc", F.col("last_price") * 0.9) \
+        .withColumn("min_price_level", min_price_level("price_80_perc", "price_below_10_perc"))
+    return per.select("product_code", r6("min_price_level"),
+                      F.posexplode(calc_prices("last_price", "min_price_level")).alias("step", "price"))
+
+
+@query("tier_filter")
+def q_tier_filter(spark, d):
+    return el.filter_min_tier(tiered(panel_(spark, d)), "medium").select("product_code", "quality_tier")
+
+
+@query("subset_sample")
+def q_subset_sample(spark, d):
+    from ..sources import io as pio2
+    return pio2.sample_subset(panel_(spark, d), "product_code", 50, 42)
