@@ -92,38 +92,48 @@ def dedupe_keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def rolling_unique_stores(df: DataFrame, days: int, product_col: str = "product_code",
-                          store_col: str = "store_code", date_col: str = "date",
-                          out_col: str | None = None) -> DataFrame:
-    """Distinct stores selling a product in the day range (t-days, t], for every (product, t) present."""
-    out_col = out_col or f"unique_stores_last_{days}_days"
+def rolling_unique_stores(df: DataFrame, days, product_col: str = "product_code",
+                          store_col: str = "store_code", date_col: str = "date") -> DataFrame:
+    """Distinct stores selling a product in the day range (t-n, t], for every (product, t) present,
+    for one window length or several (one output column ``unique_stores_last_{n}_days`` each).
+
+    All window lengths share one distinct pass, one event aggregation and one running window.
+    """
+    lengths = [days] if isinstance(days, int) else list(days)
     seen = df.select(product_col, store_col, date_col).distinct()
     pair = Window.partitionBy(product_col, store_col).orderBy(date_col)
-    islands = (seen
-               .withColumn("_new", F.coalesce(F.datediff(F.col(date_col), F.lag(date_col).over(pair)) >= days,
-                                              F.lit(True)).cast("int"))
-               .withColumn("_island", F.sum("_new").over(pair.rowsBetween(Window.unboundedPreceding, 0)))
-               .groupBy(product_col, store_col, "_island")
+    gap = F.datediff(F.col(date_col), F.lag(date_col).over(pair))
+    staged = seen.withColumns({f"_new{n}": F.coalesce(gap >= n, F.lit(True)).cast("int") for n in lengths})
+    run_all = pair.rowsBetween(Window.unboundedPreceding, 0)
+    staged = staged.withColumns({f"_isl{n}": F.sum(f"_new{n}").over(run_all) for n in lengths})
+    zero = {f"_d{n}": F.lit(0) for n in lengths}
+    parts = []
+    for n in lengths:
+        isl = (staged.groupBy(product_col, store_col, f"_isl{n}")
                .agg(F.min(date_col).alias("_start"), F.max(date_col).alias("_last")))
-    events = islands.select(F.col(product_col), F.col("_start").alias("_day"), F.lit(1).alias("_delta")) \
-        .unionByName(islands.select(F.col(product_col), F.date_add("_last", days).alias("_day"),
-                                    F.lit(-1).alias("_delta")))
-    present = df.select(F.col(product_col), F.col(date_col).alias("_day")).distinct() \
-        .withColumn("_delta", F.lit(0)).withColumn("_present", F.lit(True))
-    per_day = (events.withColumn("_present", F.lit(False)).unionByName(present)
-               .groupBy(product_col, "_day").agg(F.sum("_delta").alias("_delta"),
-                                                 F.bool_or("_present").alias("_present")))
+        for day, delta in ((F.col("_start"), 1), (F.date_add("_last", n), -1)):
+            cols = {**zero, f"_d{n}": F.lit(delta)}
+            parts.append(isl.select(F.col(product_col), day.alias("_day"),
+                                    *[v.alias(k) for k, v in cols.items()], F.lit(False).alias("_present")))
+    parts.append(df.select(F.col(product_col), F.col(date_col).alias("_day")).distinct()
+                 .select(product_col, "_day", *[v.alias(k) for k, v in zero.items()], F.lit(True).alias("_present")))
+    events = parts[0]
+    for p_ in parts[1:]:
+        events = events.unionByName(p_)
+    per_day = events.groupBy(product_col, "_day").agg(
+        *[F.sum(f"_d{n}").alias(f"_d{n}") for n in lengths], F.bool_or("_present").alias("_present"))
     run = Window.partitionBy(product_col).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
-    return (per_day.withColumn(out_col, F.sum("_delta").over(run).cast("bigint"))
-            .filter("_present").select(F.col(product_col), F.col("_day").alias(date_col), F.col(out_col)))
+    out = per_day.withColumns({f"unique_stores_last_{n}_days": F.sum(f"_d{n}").over(run).cast("bigint")
+                               for n in lengths})
+    return out.filter("_present").select(F.col(product_col), F.col("_day").alias(date_col),
+                                         *[f"unique_stores_last_{n}_days" for n in lengths])
 
 
 def product_day_rollup(receipts: DataFrame, windows: Sequence[int] = (7, 30)) -> DataFrame:
     """Receipts -> product-day rows with rolling store counts (dedupe, W10 twice, J9, roll-up)."""
     rows = receipts.withColumn("date", parse_date("date_code"))
     rows = dedupe_keep_first(rows, ["date", "product_code", "store_code"], ["l_orderkey", "l_linenumber"])
-    for n in windows:
-        rows = rows.join(rolling_unique_stores(rows, n), ["product_code", "date"], "left")
+    rows = rows.join(rolling_unique_stores(rows, list(windows)), ["product_code", "date"], "left")
     first = lambda c: F.min_by(c, "store_code").alias(c)  # noqa: E731  deterministic 'first'
     return rows.groupBy("product_code", "date").agg(
         F.sum("quantity_sold").alias("quantity_sold"),

@@ -122,9 +122,7 @@ def q_store_follower_select(spark, d):
 @query("rolling_unique_stores")
 def q_rolling_unique_stores(spark, d):
     rows = td.receipts(spark, d).withColumn("date", F.to_date("date_code", "yyyyMMdd"))
-    u7 = panel.rolling_unique_stores(rows, 7)
-    u30 = panel.rolling_unique_stores(rows, 30)
-    return u7.join(u30, ["product_code", "date"])
+    return panel.rolling_unique_stores(rows, [7, 30])
 
 
 @query("product_day_rollup")
