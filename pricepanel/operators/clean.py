@@ -158,9 +158,12 @@ def filter_iqr(df: DataFrame, product_col: str = "product_code", price_col: str
 
 def filter_live_products(df: DataFrame, days: int = 180, product_col: str = "product_code",
                          date_col: str = "date") -> DataFrame:
-    """Keep products with a row on or after max(date) - days."""
-    gmax = df.agg(F.max(date_col).alias("_gmax"))  # one row: broadcast by construction
+    """Keep products with a row on or after max(date) - days.
+
+    The global maximum is taken over the per-product maxima (the same exchange is reused), so the
+    input is read twice, not three times."""
     last = df.groupBy(product_col).agg(F.max(date_col).alias("_last"))
+    gmax = last.agg(F.max("_last").alias("_gmax"))  # one row: broadcast by construction
     live = last.crossJoin(F.broadcast(gmax)) \
         .filter(F.col("_last") >= F.date_sub(F.col("_gmax"), days)).select(product_col)
     return df.join(live, product_col, "left_semi")
