@@ -36,7 +36,8 @@ def _time_buckets(df: DataFrame, date_col: str, window_days: int) -> DataFrame:
 
 def rolling_median(df: DataFrame, keys: Sequence[str], date_col: str, value_col: str,
                    window_days: int = 180, median_col: str = "rolling_median",
-                   count_col: str = "rolling_count", method: str = "pandas") -> DataFrame:
+                   count_col: str = "rolling_count", method: str = "pandas",
+                   key_buckets: int | None = None) -> DataFrame:
     """Median and non-NULL count of ``value_col`` over the day range (t-window, t] per key.
 
     RANGE semantics: same-day peers are inside the frame.  ``method="window"`` uses a
@@ -54,27 +55,39 @@ def rolling_median(df: DataFrame, keys: Sequence[str], date_col: str, value_col:
                 .withColumn(count_col, F.count(F.col(value_col)).over(w))
                 .filter(F.col("_wb") == F.col("_bucket"))
                 .drop("_dn", "_bucket", "_wb"))
+    # many keys share one pandas call (vectorised grouped rolling); a key never spans two groups.
+    # The key-hash bucket count follows the cluster's shuffle partition count.
+    n_buckets = key_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    staged = staged.withColumn("_kb", F.pmod(F.xxhash64(*keys), F.lit(n_buckets)))
     out_schema = StructType(staged.schema.fields + [StructField(median_col, DoubleType()),
                                                     StructField(count_col, LongType())])
-    rolled = staged.groupBy(*keys, "_wb").applyInPandas(
-        _rolling_median_group(wd, value_col, median_col, count_col), out_schema)
-    return rolled.drop("_dn", "_bucket", "_wb")
+    rolled = staged.groupBy("_kb", "_wb").applyInPandas(
+        _rolling_median_group(wd, keys, value_col, median_col, count_col), out_schema)
+    return rolled.drop("_dn", "_bucket", "_wb", "_kb")
 
 
-def _rolling_median_group(window_days: int, value_col: str, median_col: str, count_col: str):
-    """Per (key, bucket) pandas body: time-based rolling median / count, same-day peers resolved to
-    RANGE semantics (every row of a day gets the value at the day's last row); the rows of the
-    bucket itself are returned whole."""
+def _rolling_median_group(window_days: int, keys: Sequence[str], value_col: str, median_col: str, count_col: str):
+    """Pandas body for one (key-hash bucket, time bucket): time-based rolling median / count per key
+    (grouped rolling, O(n log w)), same-day peers resolved to RANGE semantics (every row of a day
+    gets the value at the day's last row); the rows of the time bucket itself are returned whole."""
 
     def run(pdf):
+        import numpy as np
         import pandas as pd
-        pdf = pdf.sort_values("_dn", kind="mergesort").reset_index(drop=True)
-        s = pd.Series(pdf[value_col].astype("float64").to_numpy(),
-                      index=pd.to_datetime(pdf["_dn"].to_numpy(), unit="D"))
-        roll = s.rolling(f"{window_days}D", closed="right")
-        day = pdf["_dn"].to_numpy()
-        pdf[median_col] = pd.Series(roll.median().to_numpy()).groupby(day).transform("last").to_numpy()
-        pdf[count_col] = pd.Series(roll.count().to_numpy()).groupby(day).transform("last").to_numpy().astype("int64")
+        pdf = pdf.sort_values([*keys, "_dn"], kind="mergesort").reset_index(drop=True)
+        ts = pd.to_datetime(pdf["_dn"].to_numpy(), unit="D")
+        vals = pdf[value_col].astype("float64").to_numpy()
+        med = np.empty(len(pdf))
+        cnt = np.empty(len(pdf))
+        # rows of one key are contiguous after the sort; each key is rolled on its own slice
+        for pos in pdf.groupby(list(keys), sort=False, dropna=False).indices.values():
+            lo, hi = pos[0], pos[-1] + 1
+            roll = pd.Series(vals[lo:hi], index=ts[lo:hi]).rolling(f"{window_days}D", closed="right")
+            med[lo:hi] = roll.median().to_numpy()
+            cnt[lo:hi] = roll.count().to_numpy()
+        peers = pdf.groupby([*keys, "_dn"], sort=False, dropna=False).ngroup().to_numpy()
+        pdf[median_col] = pd.Series(med).groupby(peers).transform("last").to_numpy()
+        pdf[count_col] = pd.Series(cnt).groupby(peers).transform("last").to_numpy().astype("int64")
         return pdf[pdf["_wb"] == pdf["_bucket"]]
 
     return run

@@ -85,7 +85,7 @@ class Simulation:
 
 
 def simulate_and_predict(featured: DataFrame, profile: ClientProfile, cfg: mdl.ModelConfig | None = None,
-                         checkpoint: bool = False) -> Simulation:
+                         checkpoint: bool = True) -> Simulation:
     cfg = cfg or mdl.ModelConfig(target=profile.target, price_col=profile.price_column)
     data = sim.split_train_test(featured, profile.grid_days, profile.test_end_date)
     if checkpoint:

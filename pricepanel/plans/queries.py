@@ -560,13 +560,16 @@ MODEL_CFG = mdl.ModelConfig(max_iter=30, max_depth=6, price_change_weight=2.0)
 
 
 def model_inputs(spark, d):
-    mp = sim.split_train_test(model_panel(spark, d), GRID_DAYS)
+    # the feature table feeds several fits (indexer, encoder, trees) and the expansion: one reliable
+    # checkpoint into the shared checkpoint folder instead of replaying the feature lineage each time
+    from ..session import cut_lineage
+    mp = cut_lineage(sim.split_train_test(model_panel(spark, d), GRID_DAYS))
     feats = mdl.feature_columns(mp, MODEL_CFG, WIDE_COLS)
     return mp, feats
 
 
 def trained(spark, d):
-    mp, feats = model_inputs(spark, d)
+    mp, feats = model_inputs(spark, d)  # noqa: F841
     model = mdl.train_demand_model(mp.filter(~F.col("is_test")), MODEL_CFG, feats)
     return mp, feats, model
 

@@ -59,7 +59,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (never localCheckpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df, name: str = "table"):
+    """Cut lineage through a parquet table written once into the shared checkpoint folder.
+
+    Unlike ``Dataset.checkpoint(eager=True)`` (one job to count, a second one to write the
+    checkpoint files) the plan runs once, survives executor loss, and the read-back gets column
+    pruning and filter pushdown.  Never ``localCheckpoint``.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pricepanel-tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
