@@ -651,11 +651,12 @@ def q_incremental_append(spark, d):
     (with revised values) -> one row per day."""
     base = pio.scratch_path(spark, "incremental")
     w = weather(spark, d)
-    inc.seed_table(w.filter(F.col("date") < F.lit("2000-01-01").cast("date")), f"{base}/table")
+    inc.seed_table(w.filter(F.col("date") < F.lit("2000-01-01").cast("date")), f"{base}/seed")
     revised = w.filter(F.col("date") >= F.lit("1999-12-31").cast("date")).withColumn("mean_temp", F.col("mean_temp") + 0.1)
     revised.write.parquet(f"{base}/landing")
-    inc.run_incremental_append(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint", revised.schema)
-    return inc.current_view(spark, f"{base}/table")
+    inc.run_incremental_append(spark, f"{base}/landing", f"{base}/seed", f"{base}/stream", f"{base}/checkpoint",
+                               revised.schema)
+    return inc.current_view(spark, f"{base}/seed", f"{base}/stream")
 
 
 # ---------------------------------------------------------------- smaller reference operators

@@ -2,9 +2,12 @@
 
 New files landed in a folder are picked up by a file-source stream
 (``trigger(availableNow=True)`` processes everything landed, then stops) and
-appended to the table with their micro-batch id.  Readers see one row per date:
-the row of the latest batch, so a re-fetched, revised day replaces the stored
-one, and a batch replayed after an executor loss only writes an identical copy.
+written by the parquet file sink, whose metadata log makes the append
+exactly-once even when an executor is lost mid-batch.  Rows dated before the
+stored high-water mark are dropped by a stream-static join; every row carries
+the micro-batch timestamp, so readers see one row per date: the most recently
+ingested one (a re-fetched, revised day replaces the stored value).  No
+Python callback (``foreachBatch``) is needed, so nothing but Spark runs.
 """
 
 from __future__ import annotations
@@ -13,28 +16,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-BATCH_COL = "_batch"
+VERSION_COL = "_ingested"
 
 
-def seed_table(df: DataFrame, table_dir: str) -> None:
-    """Write the existing history as batch -1."""
-    df.withColumn(BATCH_COL, F.lit(-1).cast("long")).write.mode("overwrite").parquet(table_dir)
+def seed_table(df: DataFrame, seed_dir: str) -> None:
+    """Write the existing history (version = epoch)."""
+    (df.withColumn(VERSION_COL, F.lit("1970-01-01 00:00:00").cast("timestamp"))
+     .write.mode("overwrite").parquet(seed_dir))
 
 
-def run_incremental_append(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_location: str,
-                           schema: StructType, date_col: str = "date", wait: bool = True):
-    """Stream every file in ``landing_dir`` not seen before into ``table_dir``; rows before the
-    stored high-water mark are ignored (only the last stored day may be revised)."""
+def _stored(spark: SparkSession, seed_dir: str, stream_dir: str) -> DataFrame:
+    from ..sources.io import exists
+    stored = spark.read.parquet(seed_dir)
+    if exists(spark, f"{stream_dir}/_spark_metadata"):
+        stored = stored.unionByName(spark.read.parquet(stream_dir))
+    return stored
 
-    def append_batch(batch: DataFrame, batch_id: int) -> None:
-        stored = spark.read.parquet(table_dir)
-        hw = stored.agg(F.max(date_col).alias("_hw"))
-        fresh = (batch.crossJoin(F.broadcast(hw))
-                 .filter(F.col("_hw").isNull() | (F.col(date_col) >= F.col("_hw"))).drop("_hw"))
-        fresh.withColumn(BATCH_COL, F.lit(batch_id).cast("long")).write.mode("append").parquet(table_dir)
 
-    query = (spark.readStream.schema(schema).parquet(landing_dir)
-             .writeStream.foreachBatch(append_batch)
+def run_incremental_append(spark: SparkSession, landing_dir: str, seed_dir: str, stream_dir: str,
+                           checkpoint_location: str, schema: StructType, date_col: str = "date",
+                           wait: bool = True):
+    """Stream every landed file not seen before into ``stream_dir``."""
+    hw = _stored(spark, seed_dir, stream_dir).agg(F.max(date_col).alias("_hw"))  # one row
+    fresh = (spark.readStream.schema(schema).parquet(landing_dir)
+             .crossJoin(F.broadcast(hw))
+             .filter(F.col("_hw").isNull() | (F.col(date_col) >= F.col("_hw"))).drop("_hw")
+             .withColumn(VERSION_COL, F.current_timestamp()))
+    query = (fresh.writeStream.format("parquet").option("path", stream_dir)
              .option("checkpointLocation", checkpoint_location)
              .trigger(availableNow=True).start())
     if wait:
@@ -42,9 +50,9 @@ def run_incremental_append(spark: SparkSession, landing_dir: str, table_dir: str
     return query
 
 
-def current_view(spark: SparkSession, table_dir: str, date_col: str = "date") -> DataFrame:
-    """One row per date: the row from the latest batch (ties: largest row by value)."""
-    stored = spark.read.parquet(table_dir)
-    cols = [c for c in stored.columns if c not in (date_col, BATCH_COL)]
-    picked = stored.groupBy(date_col).agg(F.max_by(F.struct(*cols), F.struct(BATCH_COL, *cols)).alias("_r"))
+def current_view(spark: SparkSession, seed_dir: str, stream_dir: str, date_col: str = "date") -> DataFrame:
+    """One row per date: the most recently ingested row (ties: largest row by value)."""
+    stored = _stored(spark, seed_dir, stream_dir)
+    cols = [c for c in stored.columns if c not in (date_col, VERSION_COL)]
+    picked = stored.groupBy(date_col).agg(F.max_by(F.struct(*cols), F.struct(VERSION_COL, *cols)).alias("_r"))
     return picked.select(date_col, *[F.col(f"_r.{c}").alias(c) for c in cols])
