@@ -103,6 +103,11 @@ def first_n_median(df: DataFrame, keys: Sequence[str], date_col: str, value_col:
     early_days = (per_day.withColumn("_before", F.coalesce(F.sum("_n").over(wd), F.lit(0)))
                   .filter(F.col("_before") < n).select(*keys, date_col))
     cand = obs.join(early_days, [*keys, date_col], "left_semi")
+    # top-n per (key, day) first: planned as a WindowGroupLimit that also runs before the shuffle,
+    # so a key with a huge first day moves at most n rows per map partition
+    order = list(tiebreak) or [value_col]
+    wday = Window.partitionBy(*keys, date_col).orderBy(*order)
+    cand = cand.withColumn("_rd", F.row_number().over(wday)).filter(F.col("_rd") <= n).drop("_rd")
     wr = Window.partitionBy(*keys).orderBy(date_col, *tiebreak)
     return (cand.withColumn("_rn", F.row_number().over(wr)).filter(F.col("_rn") <= n)
             .groupBy(*keys).agg(F.median(value_col).alias(out_col)))
