@@ -843,3 +843,44 @@ SELECT product_code, quality_tier FROM (
               WHEN coalesce(f.r2, 0.0) >= 0.80 AND s.day_std <= 0.20 THEN 'medium' ELSE 'low' END AS quality_tier
   FROM elas e LEFT JOIN fits f ON e.product_code = f.product_code LEFT JOIN dstd s ON e.product_code = s.product_code)
 WHERE quality_tier IN ('high', 'medium')""")
+
+
+# ---------------------------------------------------------------- end-to-end chains
+register("receipt_panel", with_(RCPT, FIXED, STORE_DAY, CHANGES, CORR, """fol AS (
+  SELECT * FROM fixed f WHERE EXISTS (SELECT 1 FROM pairs p WHERE p.product_code = f.product_code
+                                      AND p.store_code = f.store_code)),
+dd AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, CAST(strptime(date_code, '%Y%m%d') AS DATE) AS date,
+           row_number() OVER (PARTITION BY date_code, product_code, store_code ORDER BY l_orderkey, l_linenumber) AS rn
+    FROM fol) WHERE rn = 1)""", USTORES.format(src="dd")) + f"""
+SELECT d.product_code, d.date, sum(quantity_sold) AS quantity_sold,
+       arg_min(unique_stores_last_7_days, store_code) AS unique_stores_last_7_days,
+       arg_min(unique_stores_last_30_days, store_code) AS unique_stores_last_30_days,
+       arg_min(product_selling_price, store_code) AS product_selling_price,
+       {XSUM('revenue_before_discount_incl_vat', 2)} AS revenue_before_discount_incl_vat,
+       arg_min(product_status, store_code) AS product_status, arg_min(promo_ind, store_code) AS promo_ind,
+       {R(XAVG('calculated_price'))} AS calculated_price
+FROM dd d LEFT JOIN us u ON d.product_code = u.product_code AND d.date = u.date
+GROUP BY d.product_code, d.date""")
+
+register("preprocess_panel", with_(SALES, PANEL, PART, CPANEL, MONTHLY, CPI_DAILY, """c1 AS (
+  SELECT * FROM cpanel WHERE product_code IN (
+    SELECT product_code FROM cpanel GROUP BY 1 HAVING max(date) >= (SELECT max(date) FROM cpanel) - 180)),
+c2 AS (
+  SELECT * FROM c1 WHERE product_code IN (
+    SELECT product_code FROM c1 GROUP BY 1 HAVING count(DISTINCT product_selling_price) >= 5)),
+c3 AS (SELECT * FROM c2 WHERE category_name_level1 IS NOT NULL AND category_name_level2 IS NOT NULL),
+c4 AS (
+  SELECT * EXCLUDE (q1, q3) FROM (
+    SELECT *, quantile_cont(product_selling_price, 0.25) OVER (PARTITION BY product_code) AS q1,
+              quantile_cont(product_selling_price, 0.75) OVER (PARTITION BY product_code) AS q3 FROM c3)
+  WHERE product_selling_price >= greatest(q1 - 2.0 * (q3 - q1), 0.0) AND product_selling_price <= q3 + 2.0 * (q3 - q1)),
+c5 AS (
+  SELECT * FROM c4 WHERE product_code IN (
+    SELECT product_code FROM c4 GROUP BY 1 HAVING median(quantity_sold) >= 25.0))""") + f"""
+SELECT p.product_code, p.date, p.quantity_sold, p.product_selling_price, p.category_name_level1, p.category_name_level2,
+       {R('c.cpi')} AS cpi,
+       {R('p.product_selling_price * ((SELECT avg(cpi) FROM cpid WHERE year(date) = 1998) / c.cpi)')} AS adjusted_price
+FROM c5 p LEFT JOIN cpid c ON p.date = c.date
+WHERE p.date <= (SELECT max(date) FROM cpid)""")

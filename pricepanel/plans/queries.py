@@ -769,3 +769,26 @@ def q_tier_filter(spark, d):
 def q_subset_sample(spark, d):
     from ..sources import io as pio2
     return pio2.sample_subset(panel_(spark, d), "product_code", 50, 42)
+
+
+# ---------------------------------------------------------------- end-to-end chains
+from ..plans import pipelines as pl  # noqa: E402
+from ..schema import ClientProfile  # noqa: E402
+
+PREPROCESS_PROFILE = ClientProfile(name="parts", min_price_levels=5, min_sales=25.0, live_days=180,
+                                   cpi_base_year=CPI_BASE_YEAR)
+
+
+@query("receipt_panel")
+def q_receipt_panel(spark, d):
+    """Entry C: weighted-goods fix -> store-follower selection -> product-day roll-up."""
+    out = pl.receipt_panel(td.receipts(spark, d))
+    return out.select(*[r6(c) if c == "calculated_price" else c for c in out.columns])
+
+
+@query("preprocess_panel")
+def q_preprocess_panel(spark, d):
+    """Entry B preprocessing: live products -> price levels -> categories -> IQR -> low sellers -> CPI."""
+    out = pl.preprocess(category_panel(spark, d), PREPROCESS_PROFILE, td.monthly_index(spark, d))
+    return out.select("product_code", "date", "quantity_sold", "product_selling_price", "category_name_level1",
+                      "category_name_level2", r6("cpi"), r6("adjusted_price"))
