@@ -61,6 +61,9 @@ def rolling_median(df: DataFrame, keys: Sequence[str], date_col: str, value_col:
     staged = staged.withColumn("_kb", F.pmod(F.xxhash64(*keys), F.lit(n_buckets)))
     out_schema = StructType(staged.schema.fields + [StructField(median_col, DoubleType()),
                                                     StructField(count_col, LongType())])
+    # explicit partition count: CPU-heavy groups keep the cluster's parallelism instead of being
+    # coalesced by AQE into a few tasks (the grouped apply reuses this partitioning, no extra exchange)
+    staged = staged.repartition(n_buckets, "_kb", "_wb")
     rolled = staged.groupBy("_kb", "_wb").applyInPandas(
         _rolling_median_group(wd, keys, value_col, median_col, count_col), out_schema)
     return rolled.drop("_dn", "_bucket", "_wb", "_kb")
