@@ -131,9 +131,10 @@ def rolling_unique_stores(df: DataFrame, days, product_col: str = "product_code"
 
 def product_day_rollup(receipts: DataFrame, windows: Sequence[int] = (7, 30)) -> DataFrame:
     """Receipts -> product-day rows with rolling store counts (dedupe, W10 twice, J9, roll-up)."""
-    rows = receipts.withColumn("date", parse_date("date_code"))
-    rows = dedupe_keep_first(rows, ["date", "product_code", "store_code"], ["l_orderkey", "l_linenumber"])
-    rows = rows.join(rolling_unique_stores(rows, list(windows)), ["product_code", "date"], "left")
+    raw = receipts.withColumn("date", parse_date("date_code"))
+    rows = dedupe_keep_first(raw, ["date", "product_code", "store_code"], ["l_orderkey", "l_linenumber"])
+    # distinct (product, store, date) triples are the same before and after the keep-first dedupe
+    rows = rows.join(rolling_unique_stores(raw, list(windows)), ["product_code", "date"], "left")
     first = lambda c: F.min_by(c, "store_code").alias(c)  # noqa: E731  deterministic 'first'
     return rows.groupBy("product_code", "date").agg(
         F.sum("quantity_sold").alias("quantity_sold"),
