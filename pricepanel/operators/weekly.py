@@ -41,15 +41,24 @@ def weekly_resample(df: DataFrame, last_cols: Sequence[str] = ("product_selling_
     """Monday-labelled weeks [Mon, next Mon) with empty weeks inserted.
 
     last -> value on the latest date of the week; sum -> 0 in an empty week;
-    with ``fill`` every column is forward filled per product afterwards.
+    with ``fill`` the ``last`` columns are forward filled per product afterwards.
+    Each weekly row expands into itself plus the empty weeks up to the product's next sale week
+    (``lead`` + ``posexplode``): no week grid, no join, and the fill window reuses the same
+    product partitioning.
     """
     wk = week_start(date_col)
     aggs = [F.max_by(c, date_col).alias(c) for c in last_cols] + [F.sum(c).alias(c) for c in sum_cols]
     weekly = df.groupBy(product_col, wk.alias("week")).agg(*aggs)
-    span = weekly.groupBy(product_col).agg(F.min("week").alias("_lo"), F.max("week").alias("_hi"))
-    grid = span.select(product_col, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 7 DAYS"))).alias("week"))
-    out = grid.join(weekly, [product_col, "week"], "left")
-    out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in sum_cols})
+    w = Window.partitionBy(product_col).orderBy("week")
+    staged = weekly.withColumn("_last_week", F.coalesce(F.date_sub(F.lead("week").over(w), 7), F.col("week")))
+    spread = staged.select(product_col, *last_cols, *sum_cols,
+                           F.posexplode(F.sequence(F.col("week"), F.col("_last_week"), F.expr("INTERVAL 7 DAYS")))
+                           .alias("_gap", "week"))
+    own = F.col("_gap") == 0
+    out = spread.select(
+        product_col, "week",
+        *[F.when(own, F.col(c)).alias(c) for c in last_cols],
+        *[F.when(own, F.col(c)).otherwise(F.lit(0).cast(df.schema[c].dataType)).alias(c) for c in sum_cols])
     if fill:
         out = ffill(out, list(last_cols), product_col, "week")
     return out
