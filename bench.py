@@ -12,6 +12,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from pricepanel.plans.queries import QUERIES  # noqa: E402
 from pricepanel.session import get_session  # noqa: E402
 
@@ -35,8 +37,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
-    # warm-up: JIT and file listing caches
+    # warm-up: JVM JIT, file listing caches and the Arrow/pandas Python workers (one-time costs)
     QUERIES["overview_stats"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    (spark.range(0, 10000, numPartitions=cpus).groupBy((F.col("id") % (cpus * 4)).alias("g"))
+     .applyInPandas(lambda pdf: pdf[["id"]], "id long").write.format("noop").mode("overwrite").save())
     times = {}
     for n in names:
         t0 = time.perf_counter()
