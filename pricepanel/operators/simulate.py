@@ -60,8 +60,11 @@ def expand_counterfactual(test_rows: DataFrame, grid: DataFrame | None = None, m
     """Test row x its grid: own price := simulated price; ``sequence_number`` = day index;
     every lag k <= sequence_number := simulated price; promotion := false."""
     if grid is None:
-        grid = price_grid(test_rows, min_pct, max_pct, price_col, product_col, date_col)
-    rows = test_rows.join(grid, [product_col, date_col])
+        # grid derived from the test rows themselves: computed in place, no self-join
+        rows = (with_sequence(test_rows, product_col, date_col).filter(F.col(price_col) > 0)
+                .withColumn("prices", price_ladder(price_col, min_pct, max_pct)))
+    else:
+        rows = test_rows.join(grid, [product_col, date_col])
     other = [c for c in rows.columns if c not in ("prices", price_col)]
     out = rows.select(*other, F.posexplode("prices").alias("grid_idx", price_col))
     sim = F.col(price_col)
