@@ -1,7 +1,4 @@
-import math
-
 import pytest
-from pyspark.sql import functions as F
 
 from pricepanel.functions.scalars import price_ladder, round_half_up
 from pricepanel.operators import elasticity as el

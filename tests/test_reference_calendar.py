@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from pricepanel.operators import calendar as cal
 from pricepanel.operators import reference as ref

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from pricepanel.functions import rowwise as rw
 from pricepanel.functions.scalars import iso_year_week, parse_date, year_week_key
