@@ -81,3 +81,22 @@ def test_pivot_slug_and_merge(spark):
 def test_sparse_competitor_dropped(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (3.0, 1.0)], "a_price double, b_price double")
     assert comp.drop_sparse_competitors(df, ["a", "b"]).columns == ["a_price"]
+
+
+def test_rolling_median_methods_agree_with_peers_and_many_buckets(spark):
+    import random
+    rnd = random.Random(11)
+    base = D(2019, 6, 1)
+    rows = []
+    for i in range(400):
+        key = "hot" if i % 4 else "cold"
+        rows.append((key, "c", base + dt.timedelta(days=rnd.randrange(0, 1200, 3)), float(rnd.randrange(1, 60)), i, 1))
+    df = frame(spark, rows)
+    args = (["product_code", "competitor_name"], "price_date", "normalized_price", 180)
+    a = {r.l_orderkey: (r.rolling_median, r.rolling_count)
+         for r in comp.rolling_median(df, *args, method="window").collect()}
+    b = {r.l_orderkey: (r.rolling_median, r.rolling_count)
+         for r in comp.rolling_median(df, *args, method="pandas", key_buckets=3).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][1] == b[k][1] and a[k][0] == pytest.approx(b[k][0])
