@@ -160,12 +160,10 @@ def filter_live_products(df: DataFrame, days: int = 180, product_col: str = "pro
                          date_col: str = "date") -> DataFrame:
     """Keep products with a row on or after max(date) - days.
 
-    The global maximum is taken over the per-product maxima (the same exchange is reused), so the
-    input is read twice, not three times."""
+    The global maximum is a scalar subquery over the per-product maxima (no join)."""
     last = df.groupBy(product_col).agg(F.max(date_col).alias("_last"))
-    gmax = last.agg(F.max("_last").alias("_gmax"))  # one row: broadcast by construction
-    live = last.crossJoin(F.broadcast(gmax)) \
-        .filter(F.col("_last") >= F.date_sub(F.col("_gmax"), days)).select(product_col)
+    gmax = last.agg(F.max("_last")).scalar()  # uncorrelated scalar subquery, computed once
+    live = last.filter(F.col("_last") >= F.date_sub(gmax, days)).select(product_col)
     return df.join(live, product_col, "left_semi")
 
 

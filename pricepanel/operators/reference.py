@@ -76,14 +76,14 @@ def carry_cpi_forward(monthly: DataFrame, as_of: str, category_col: str | None =
     known non-NULL value (per category)."""
     part = [category_col] if category_col else []
     nxt = F.add_months(F.trunc(F.lit(as_of).cast("date"), "month"), 1)
-    gmax = monthly.agg(F.max(month_col).alias("_max"))  # one row
+    gmax = monthly.agg(F.max(month_col)).scalar()  # scalar subquery, computed once
     last = (monthly.filter(F.col(value_col).isNotNull()).groupBy(*part)
             .agg(F.max_by(value_col, month_col).alias("_last")))
     if category_col:
         cats = monthly.select(category_col).distinct()
         last = cats.join(last, category_col, "left")
-    new = (last.crossJoin(F.broadcast(gmax))
-           .select(*part, F.explode(F.sequence(F.add_months("_max", 1), nxt, F.expr("INTERVAL 1 MONTH"))).alias(month_col),
+    new = (last.withColumn("_first_new", F.add_months(gmax, 1))
+           .select(*part, F.explode(F.sequence("_first_new", nxt, F.expr("INTERVAL 1 MONTH"))).alias(month_col),
                    F.col("_last").alias(value_col))
            .filter(F.col(month_col) <= nxt))
     return monthly.select(*part, month_col, value_col).unionByName(new)
@@ -91,19 +91,17 @@ def carry_cpi_forward(monthly: DataFrame, as_of: str, category_col: str | None =
 
 def filter_cpi_coverage(df: DataFrame, cpi_daily: DataFrame, date_col: str = "date") -> DataFrame:
     """Keep rows dated on or before the last CPI day."""
-    mx = cpi_daily.agg(F.max("date").alias("_cpi_max"))
-    return df.crossJoin(F.broadcast(mx)).filter(F.col(date_col) <= F.col("_cpi_max")).drop("_cpi_max")
+    return df.filter(F.col(date_col) <= cpi_daily.agg(F.max("date")).scalar())
 
 
 def adjust_price_base_year(df: DataFrame, cpi_daily: DataFrame, base_year: int, price_col: str = "product_selling_price",
                            date_col: str = "date", out_col: str = "adjusted_price") -> DataFrame:
     """price * base / cpi, base = mean daily CPI of ``base_year``; rows after the CPI coverage dropped."""
-    base = cpi_daily.agg(F.avg(F.when(F.year("date") == base_year, F.col("cpi"))).alias("_base"))
+    base = cpi_daily.agg(F.avg(F.when(F.year("date") == base_year, F.col("cpi")))).scalar()
     daily = cpi_daily.select(F.col("date").alias(date_col), "cpi")
     # daily CPI: one row per day of the CPI period (bounded) -> broadcast join
     joined = filter_cpi_coverage(df, cpi_daily, date_col).join(F.broadcast(daily), date_col, "left")
-    return (joined.crossJoin(F.broadcast(base))
-            .withColumn(out_col, F.col(price_col) * F.try_divide(F.col("_base"), F.col("cpi"))).drop("_base"))
+    return joined.withColumn(out_col, F.col(price_col) * F.try_divide(base, F.col("cpi")))
 
 
 def adjust_price_first_cpi(df: DataFrame, cpi_daily: DataFrame, price_col: str = "product_selling_price",
@@ -144,8 +142,7 @@ def add_weather(df: DataFrame, weather: DataFrame, date_col: str = "date") -> Da
 def append_incremental(existing: DataFrame, fresh: DataFrame, date_col: str = "date") -> DataFrame:
     """High-water-mark append: rows of ``fresh`` on or after the last stored date replace stored
     rows of the same date (revised values win); the result has one row per date."""
-    hw = existing.agg(F.max(date_col).alias("_hw"))
-    newer = fresh.crossJoin(F.broadcast(hw)).filter(F.col("_hw").isNull() | (F.col(date_col) >= F.col("_hw"))) \
-        .drop("_hw")
+    hw = existing.agg(F.max(date_col)).scalar()
+    newer = fresh.filter(hw.isNull() | (F.col(date_col) >= hw))
     kept = existing.join(newer.select(date_col).distinct(), date_col, "left_anti")
     return kept.unionByName(newer)

@@ -37,11 +37,12 @@ def run_incremental_append(spark: SparkSession, landing_dir: str, seed_dir: str,
                            checkpoint_location: str, schema: StructType, date_col: str = "date",
                            wait: bool = True):
     """Stream every landed file not seen before into ``stream_dir``."""
-    hw = _stored(spark, seed_dir, stream_dir).agg(F.max(date_col).alias("_hw"))  # one row
-    fresh = (spark.readStream.schema(schema).parquet(landing_dir)
-             .crossJoin(F.broadcast(hw))
-             .filter(F.col("_hw").isNull() | (F.col(date_col) >= F.col("_hw"))).drop("_hw")
-             .withColumn(VERSION_COL, F.current_timestamp()))
+    # the high-water mark at job start: a single value
+    hw = _stored(spark, seed_dir, stream_dir).agg(F.max(date_col)).first()[0]
+    stream = spark.readStream.schema(schema).parquet(landing_dir)
+    if hw is not None:
+        stream = stream.filter(F.col(date_col) >= F.lit(hw))
+    fresh = stream.withColumn(VERSION_COL, F.current_timestamp())
     query = (fresh.writeStream.format("parquet").option("path", stream_dir)
              .option("checkpointLocation", checkpoint_location)
              .trigger(availableNow=True).start())
