@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import table
+from .linededup import dedup_lines
 from .mixing import mix
 from .sharding import assign_shards
 
 
+def op2_line_dedup(spark, sf_dir):
+    docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op4_sharding(spark, sf_dir):
     return assign_shards(table(spark, sf_dir, "documents"))
 
@@ -17,6 +24,47 @@ def op10_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op4_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op4_sharding, op10_mixing)}
+
+_OP2 = r"""
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+frequent AS (SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT doc_id) >= 10),
+marked AS (SELECT keyed.*, frequent.k IS NOT NULL AS dropped FROM keyed LEFT JOIN frequent USING (k))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (dropped)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+_OP10 = r"""
+WITH rows AS (
+  SELECT doc_id AS id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT, 0) AS shuffle FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 2.0 * sum(size) AS most,
+         [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w
+  FROM rows GROUP BY source),
+f AS (
+  SELECT *, row_number() OVER o AS n,
+         (1.5 * sum(source_size) OVER () - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+         / (sum(w) OVER () - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
+  FROM s WINDOW o AS (ORDER BY most / w, source NULLS LAST)),
+t AS (SELECT source, source_size, least(most, w * (SELECT arg_min(level, n) FROM f WHERE level <= most / w))::DOUBLE AS target FROM f),
+q AS (
+  SELECT r.id, r.size, t.source_size, t.target, r.shuffle, c.copy,
+         (c.copy * t.source_size + sum(r.size) OVER (PARTITION BY r.source, c.copy ORDER BY r.shuffle, r.id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) / t.target AS finish
+  FROM rows r JOIN t ON r.source IS NOT DISTINCT FROM t.source, (VALUES (0), (1)) AS c(copy)),
+l AS (
+  SELECT *, coalesce(sum(size) OVER (ORDER BY CASE WHEN size > 0 THEN finish ELSE 'inf'::DOUBLE END, shuffle, id, copy
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line FROM q)
+SELECT id AS doc_id, size, source_size, target,
+       (sum(CASE WHEN 2 * line + size <= 2 * (SELECT sum(target) FROM t) THEN size ELSE 0 END))::BIGINT AS taken
+FROM l GROUP BY id, size, source_size, target
+"""
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_line_dedup": _OP2, "op10_mixing": _OP10}
