@@ -8,6 +8,11 @@ from .common import table
 from .linededup import dedup_lines
 from .mixing import mix
 from .sharding import assign_shards
+from .simhash import near_duplicates
+
+
+def op1_simhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 def op2_line_dedup(spark, sf_dir):
@@ -24,7 +29,7 @@ def op10_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op4_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_line_dedup, op4_sharding, op10_mixing)}
 
 _OP2 = r"""
 WITH lines AS (
