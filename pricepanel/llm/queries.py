@@ -9,6 +9,7 @@ from .linededup import dedup_lines
 from .mixing import mix
 from .sharding import assign_shards
 from .simhash import near_duplicates
+from .tokencount import count_tokens
 
 
 def op1_simhash(spark, sf_dir):
@@ -25,11 +26,18 @@ def op4_sharding(spark, sf_dir):
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark, sf_dir):
+    import public_tokenizers
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+            .withColumn("over_limit", F.col("n_tokens") > 2048))
+
+
 def op10_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_line_dedup, op4_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_line_dedup, op4_sharding, op6_token_counts, op10_mixing)}
 
 _OP2 = r"""
 WITH lines AS (

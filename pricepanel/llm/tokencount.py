@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 END = 256          # added to a word's last byte
-MAX_STATES = 250_000
+MAX_STATES = 160_000
 CHUNK = 256        # bytes that a lane advances
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: The pre-tokenizer's contractions after an apostrophe, and Unicode's white space.
@@ -88,8 +88,8 @@ class Transducer:
     def reset(self):
         self.apart_memo.clear()
         self.states, self.number = [], {}
-        self.next = np.full((1024, self.width), -1, np.int32)
-        self.emit = np.zeros((1024, self.width), np.int16)
+        self.next = np.full((32768, self.width), -1, np.int32)
+        self.emit = np.zeros((32768, self.width), np.int16)
         self.add(((0, None, 0),), ())
 
     def add(self, starts: tuple, tail: tuple) -> int:
@@ -100,7 +100,7 @@ class Transducer:
             n = self.number[key] = len(self.states)
             self.states.append(key)
             if n >= len(self.next):
-                grow = ((0, len(self.next)), (0, 0))
+                grow = ((0, 32768), (0, 0))
                 self.next = np.pad(self.next, grow, constant_values=-1)
                 self.emit = np.pad(self.emit, grow)
         return n
@@ -265,7 +265,7 @@ def transducer(path: str) -> Transducer:
     return Transducer(path)
 
 
-def _count_rows(path: str, text_name: str, batch_chars: int = 3_000_000):
+def _count_rows(path: str, batch_chars: int = 3_000_000):
     def run(batches):
         machine = transducer(path)
         for b in batches:
@@ -291,4 +291,4 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text") -> DataFram
     ready = docs.select(*rest, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"),
                         F.col(text_col).alias("_tc_text"))
     schema = StructType([f for f in ready.schema.fields if f.name != "_tc_text"] + [StructField("n_tokens", LongType())])
-    return ready.mapInArrow(_count_rows(path, text_col), schema)
+    return ready.mapInArrow(_count_rows(path), schema)
