@@ -10,6 +10,7 @@ from .mixing import mix
 from .sharding import assign_shards
 from .simhash import near_duplicates
 from .tokencount import count_tokens
+from .toxicity import fit, held_out, score_toxicity
 
 
 def op1_simhash(spark, sf_dir):
@@ -33,11 +34,18 @@ def op6_token_counts(spark, sf_dir):
             .withColumn("over_limit", F.col("n_tokens") > 2048))
 
 
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = fit(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, weights).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_line_dedup, op4_sharding, op6_token_counts, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_line_dedup, op4_sharding, op6_token_counts, op7_toxicity, op10_mixing)}
 
 _OP2 = r"""
 WITH lines AS (
