@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .ann import nearest
 from .common import table
 from .linededup import dedup_lines
 from .mixing import mix
@@ -11,6 +12,7 @@ from .sharding import assign_shards
 from .simhash import near_duplicates
 from .tokencount import count_tokens
 from .toxicity import fit, held_out, score_toxicity
+from .vecdedup import near_vectors
 
 
 def op1_simhash(spark, sf_dir):
@@ -27,6 +29,10 @@ def op4_sharding(spark, sf_dir):
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op5_nearest(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_token_counts(spark, sf_dir):
     import public_tokenizers
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,11 +47,16 @@ def op7_toxicity(spark, sf_dir):
         "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_vector_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_line_dedup, op4_sharding, op6_token_counts, op7_toxicity, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_line_dedup, op4_sharding, op5_nearest, op6_token_counts, op7_toxicity,
+                                  op9_vector_dedup, op10_mixing)}
 
 _OP2 = r"""
 WITH lines AS (
