@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from .ann import nearest
 from .common import table
+from . import htmltext
 from .linededup import dedup_lines
 from .mixing import mix
+from .packing import pack
 from .sharding import assign_shards
 from .simhash import near_duplicates
 from .tokencount import count_tokens
@@ -25,6 +27,10 @@ def op2_line_dedup(spark, sf_dir):
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op3_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark, sf_dir):
     return assign_shards(table(spark, sf_dir, "documents"))
 
@@ -47,6 +53,11 @@ def op7_toxicity(spark, sf_dir):
         "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_html_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return htmltext.extract_text(pages, htmltext.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op9_vector_dedup(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -55,8 +66,9 @@ def op10_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_line_dedup, op4_sharding, op5_nearest, op6_token_counts, op7_toxicity,
-                                  op9_vector_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (
+    op1_simhash, op2_line_dedup, op3_packing, op4_sharding, op5_nearest, op6_token_counts, op7_toxicity,
+    op8_html_text, op9_vector_dedup, op10_mixing)}
 
 _OP2 = r"""
 WITH lines AS (

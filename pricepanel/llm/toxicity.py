@@ -288,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 800, id_col: str =
     return train([r[1] for r in rows], [r[2] for r in rows])
 
 
-def _score_rows(weights, batch_chars: int = 1_500_000):
+def _score_rows(weights, score_col: str, batch_chars: int = 1_500_000):
     def run(batches):
         w = weights.value
         for b in batches:
@@ -310,14 +310,14 @@ def _score_rows(weights, batch_chars: int = 1_500_000):
                 scores.append(scored())
             names = [n for n in b.schema.names if n != "_tox_text"]
             got = np.concatenate(scores) if scores else np.empty(0)
-            yield pa.record_batch([*[b[n] for n in names], pa.array(got, pa.float64())], names=[*names, "score"])
+            yield pa.record_batch([*[b[n] for n in names], pa.array(got, pa.float64())], names=[*names, score_col])
     return run
 
 
-def score_toxicity(docs: DataFrame, weights: dict, text_col: str = "text") -> DataFrame:
-    """The input with ``score`` (0 to 1)."""
+def score_toxicity(docs: DataFrame, weights: dict, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """The input with ``score_col`` (0 to 1)."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)  # bounded by the training sample: a few MB
-    rest = [c for c in docs.columns if c != "score"]
+    rest = [c for c in docs.columns if c != score_col]
     ready = docs.select(*rest, F.col(text_col).alias("_tox_text"))
-    schema = StructType([*docs.select(*rest).schema.fields, StructField("score", DoubleType())])
-    return ready.mapInArrow(_score_rows(sent), schema)
+    schema = StructType([*docs.select(*rest).schema.fields, StructField(score_col, DoubleType())])
+    return ready.mapInArrow(_score_rows(sent, score_col), schema)
