@@ -29,7 +29,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines found in ten documents or more; ``n_chars`` follows the text."""
-    kept = dedup_lines(docs)
+    kept = dedup_lines(docs, lines_col="_n_lines", dropped_col="_n_dropped")
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)

@@ -12,6 +12,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORD_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
+#: Private name of a unique LONG row number that a caller may hand to an operator.
+ROW = "__llm_row"
+
+
+def with_rows(docs: DataFrame, name: str) -> DataFrame:
+    """The input written once with a row number in ``ROW``: fixed from then on, whatever is lost or rerun."""
+    return cut_lineage(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

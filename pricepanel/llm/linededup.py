@@ -225,9 +225,9 @@ def _keep_lines(text_name: str):
     return run
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """The input with frequent lines gone from ``text_col``, and columns ``n_lines`` and ``n_dropped``.
+def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text",
+                lines_col: str = "n_lines", dropped_col: str = "n_dropped") -> DataFrame:
+    """The input with frequent lines gone from ``text_col``, and columns ``lines_col`` and ``dropped_col``.
 
     A line's key is the line without ASCII white space at both ends and with A-Z lower-cased; keys of
     ``min_chars`` code points or more in ``min_docs`` documents or more lose all their lines.  Input
@@ -235,10 +235,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col:
     """
     keep = line_bitmaps(docs, min_docs, min_chars, id_col, text_col).select(
         F.col("id").alias("_ld_id"), F.col("th").alias("_ld_th"), F.col("keep").alias("_ld_keep"))
-    docs = docs.drop(*[c for c in ("n_lines", "n_dropped") if c in docs.columns])
+    docs = docs.drop(*[c for c in (lines_col, dropped_col) if c in docs.columns])
     th = F.xxhash64(docs[text_col])
     joined = docs.join(keep, docs[id_col].cast("long").eqNullSafe(keep["_ld_id"]) & (th == keep["_ld_th"]), "left")
     joined = joined.select(*[docs[c] for c in docs.columns], "_ld_keep")
     out = StructType([*docs.schema.fields, StructField("_ld_lines", LongType()), StructField("_ld_dropped", LongType())])
     return (joined.mapInArrow(_keep_lines(text_col), out)
-            .withColumnsRenamed({"_ld_lines": "n_lines", "_ld_dropped": "n_dropped"}))
+            .withColumnsRenamed({"_ld_lines": lines_col, "_ld_dropped": dropped_col}))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import join_small, prefix_sums, word_count
+from .common import ROW, join_small, prefix_sums, with_rows, word_count
 
 
 def source_targets(sizes: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:
@@ -54,10 +54,10 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, max_cop
     """One row per document row: id, ``size``, ``source_size``, ``target``, ``copies``, ``taken``, ``row_key``.
 
     ``size`` is a LONG column expression (default: words of ``text``).  ``row_key`` is the input's
-    ``row_key`` column if it has one (a unique LONG), else a number given here.
+    ``ROW`` column if it has one, else a number given here.
     """
     size = word_count("text") if size is None else size
-    key = F.col("row_key") if "row_key" in docs.columns else F.monotonically_increasing_id()
+    key = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
     rows = cut_lineage(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), key.alias("row_key"),
         F.coalesce(F.conv(F.substring(F.md5(F.col(id_col).cast("string").cast("binary")), 1, 15), 16, 10).cast("long"),
@@ -85,7 +85,7 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, max_cop
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents themselves: each as often as the mix takes it, with the input's columns."""
-    keyed = cut_lineage(docs.withColumn("row_key", F.monotonically_increasing_id()), "mix-docs")
-    chosen = mix(keyed, **options).filter("copies > 0").select("row_key", "copies")
-    return (keyed.join(chosen, "row_key").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select(*docs.columns))
+    keyed = with_rows(docs, "mix-docs")
+    chosen = mix(keyed, **options).filter("copies > 0").select(
+        F.col("row_key").alias(ROW), F.sequence(F.lit(1), F.col("copies")).alias("__llm_copies"))
+    return (keyed.join(chosen, ROW).withColumn("__llm_copy", F.explode("__llm_copies")).select(*docs.columns))

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .common import ROW, with_rows
 from .components import connected_components
 
 SEED = 42
@@ -219,9 +220,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col
     """One row per document row: id, ``fingerprint`` (16 hex digits), ``component_id``, ``root``, ``row_key``.
 
     ``component_id`` is the smallest id reachable over links, ``root`` the smallest fingerprint (signed).
-    ``row_key`` is the input's column of this name if there is one, else NULL.
+    ``row_key`` is the input's ``ROW`` column if there is one, else NULL.
     """
-    key = F.col("row_key") if "row_key" in docs.columns else F.lit(None).cast("long")
+    key = F.col(ROW) if ROW in docs.columns else F.lit(None).cast("long")
     rows = cut_lineage(docs.select(F.col(id_col).cast("long").alias("id"), key.alias("row_key"),
                                    F.col(text_col).alias("_text"))
                        .mapInArrow(_fingerprint_rows(shingle), "id long, row_key long, fp long"), "fingerprints")
@@ -239,8 +240,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """The input without all but one document of each group (the smallest id, NULL last, then row)."""
-    keyed = cut_lineage(docs.withColumn("row_key", F.monotonically_increasing_id()), "simhash-docs")
+    keyed = with_rows(docs, "simhash-docs")
     found = near_duplicates(keyed, shingle, max_bits, id_col, text_col)
     stay = found.groupBy("root").agg(F.min(F.struct(
         F.col(id_col).isNull(), F.col(id_col).alias("id"), F.col("row_key").alias("row_key"))).alias("m"))
-    return keyed.join(stay.select(F.col("m.row_key").alias("row_key")), "row_key", "left_semi").select(*docs.columns)
+    return keyed.join(stay.select(F.col("m.row_key").alias(ROW)), ROW, "left_semi").select(*docs.columns)

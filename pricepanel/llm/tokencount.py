@@ -15,7 +15,9 @@ than a chunk is passed on from chunk to chunk in rounds.
 
 Defined cases: NULL and empty texts have no bytes and no tokens; special strings inside a text count one
 token each (the library's default); rows are counted one by one, repeated or not; other columns are
-passed on untouched (columns of the output's names are replaced); an empty table gives an empty result.
+passed on untouched (columns of the output's names are replaced); an empty table gives an empty result.  Character
+classes and lower case are those of Python's Unicode tables; a letter that only a newer Unicode knows may
+be handled otherwise than by the library.
 """
 
 from __future__ import annotations
