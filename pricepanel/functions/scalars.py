@@ -15,40 +15,37 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def nan_to_null(c) -> Column:
-    """NULL, never NaN: Spark orders NaN above every number."""
-    c = col(c)
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
-
-
 def ratio(num, den) -> Column:
     """num / den, NULL on a zero or NULL denominator (never raises under ANSI)."""
     return F.try_divide(col(num), col(den))
 
 
-def exact_sum(c, scale: int = 2, precision: int = 18) -> Column:
-    """Order-independent sum of a fixed-point measure, returned as double.
+def fixed_point_sum(c, scale: int) -> Column:
+    """Order-independent sum of a fixed-point column, as double.
 
-    Doubles summed in different partition orders differ in the last bits; a
-    decimal accumulator makes the result independent of the partitioning.
+    Doubles summed in different partition orders differ in the last bits; a decimal accumulator does
+    not.  Only for columns whose values have at most ``scale`` decimals: a value that does not fit
+    fails the query instead of being rounded.
     """
-    return F.sum(col(c).cast(DecimalType(precision, scale))).cast("double")
-
-
-def exact_mean(c, scale: int = 10) -> Column:
-    """Mean as an exact decimal sum over the non-NULL count (independent of summation order)."""
-    return exact_sum(c, scale, 38) / F.count(col(c))
+    x = col(c).cast("double")
+    exact = x.cast(DecimalType(38 - 8, scale))
+    fits = F.abs(exact.cast("double") - x) <= F.greatest(F.abs(x), F.lit(1.0)) * F.lit(1e-9)
+    checked = F.when(x.isNull() | fits, exact).otherwise(
+        F.raise_error(F.concat(F.lit(f"not a number with {scale} decimals: "), x.cast("string"))).cast(DecimalType(30, scale)))
+    return F.sum(checked).cast("double")
 
 
 def round_half_up(c, digits: int = 2) -> Column:
     """Round half away from zero with plain IEEE double arithmetic.
 
     ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``: every engine evaluating the same
-    IEEE operations gets the same bits, unlike decimal-string based rounding.
+    IEEE operations gets the same bits, unlike decimal-string based rounding.  From 2^53 / 10^d on a
+    double has no digits left to round and is returned as it is (so are NaN and infinities).
     """
-    x = col(c)
+    x = col(c).cast("double")
     scale = float(10 ** digits)
-    return (F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)) + F.lit(0.0)
+    rounded = F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale) + F.lit(0.0)
+    return F.when(F.abs(x) * F.lit(scale) < F.lit(float(1 << 53)), rounded).otherwise(x)
 
 
 def to_day(c) -> Column:
@@ -67,10 +64,6 @@ def slug_price_name(name: str) -> str:
     return name.strip().lower().replace(" ", "_") + "_price"
 
 
-def slug_expr(c) -> Column:
-    return F.concat(F.regexp_replace(F.lower(F.trim(col(c))), " ", "_"), F.lit("_price"))
-
-
 def iso_year_week(d) -> Column:
     """ISO week id ``YYYY_WW`` (2021-01-03 -> 2020_53)."""
     d = col(d)
@@ -122,7 +115,3 @@ def calc_prices(last_price, min_level) -> Column:
     """Price ladder from ``min_level`` up to +10 % in whole 1 % steps applied to ``last_price``, 2 dp."""
     steps = F.sequence(F.round(col(min_level) * 100).cast("int"), F.lit(10))
     return F.transform(steps, lambda s: round_half_up(col(last_price) * (1 + s / 100.0), 2))
-
-
-def int_range(start, end) -> Column:
-    return F.sequence(col(start), col(end))

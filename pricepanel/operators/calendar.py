@@ -129,8 +129,7 @@ def holiday_features(df: DataFrame, date_col: str = "date", holidays: DataFrame
     days = span.select(F.explode(F.sequence("_lo", "_hi")).alias("date"))
     if holidays is None:
         holidays = holiday_calendar(years_of(df, date_col, extra_years=(horizon_days // 365) + 1))
-    # the calendar (one row per day) and the holiday list are bounded by the date span
-    cal = days.join(F.broadcast(holidays), "date", "full")
+    cal = days.join(holidays, "date", "full")  # both bounded by the date span
     hdate = F.when(F.col("holiday").isNotNull(), F.col("date"))
     w_next = Window.orderBy("date").rowsBetween(0, Window.unboundedFollowing)
     w_prev = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)

@@ -205,20 +205,20 @@ def add_output_metadata(df: DataFrame, **constants) -> DataFrame:
 
 def map_values(df: DataFrame, col_name: str, mapping: DataFrame, key_col: str = "key", value_col: str = "value",
                out_col: str | None = None) -> DataFrame:
-    """Dictionary lookup (unmapped -> NULL).  The mapping is a static category table (bounded by
-    the number of categories), so it is broadcast."""
-    m = mapping.select(F.col(key_col).alias("_mk"), F.col(value_col).alias(out_col or col_name))
+    """Dictionary lookup (unmapped -> NULL).  A key given twice takes its smallest value, so rows never
+    fan out; the optimizer's size estimate decides whether the mapping is broadcast."""
+    m = mapping.groupBy(F.col(key_col).alias("_mk")).agg(F.min(value_col).alias(out_col or col_name))
     if out_col is None:
         df = df.withColumnRenamed(col_name, "_mv_in")
-        return df.join(F.broadcast(m), F.col("_mv_in") == F.col("_mk"), "left").drop("_mk", "_mv_in")
-    return df.join(F.broadcast(m), F.col(col_name) == F.col("_mk"), "left").drop("_mk")
+        return df.join(m, F.col("_mv_in") == F.col("_mk"), "left").drop("_mk", "_mv_in")
+    return df.join(m, F.col(col_name) == F.col("_mk"), "left").drop("_mk")
 
 
 def merge_product_names(sales: DataFrame, names: DataFrame, product_col: str = "product_code") -> DataFrame:
-    """sales LEFT JOIN product names; names are de-duplicated per product first (no fan-out)."""
-    first = names.groupBy(product_col).agg(
-        *[F.min(c).alias(c) for c in names.columns if c != product_col])
-    return sales.join(first, product_col, "left")
+    """sales LEFT JOIN product names; of several name rows of a product the smallest whole row is taken."""
+    rest = [c for c in names.columns if c != product_col]
+    first = names.groupBy(product_col).agg(F.min(F.struct(*rest)).alias("_names"))
+    return sales.join(first, product_col, "left").select(*sales.columns, *[F.col(f"_names.{c}").alias(c) for c in rest])
 
 
 def sequence_modulo(df: DataFrame, n: int, product_col: str = "product_code", date_col: str = "date") -> DataFrame:

@@ -2,11 +2,12 @@
 
 Scale notes
 -----------
-* ``rolling_median`` does not partition by the (product, competitor) key alone:
-  a key holding a third of all rows would land in one task.  Rows are split
-  into time buckets of ``window_days``; each row is copied into its own and
-  the next bucket, so every bucket sees the full look-back of its rows.  The
-  window then runs per (key, bucket) and at most 2x the rows are shuffled.
+* ``rolling_median`` counts values per (key, day) first, and never partitions
+  by the (product, competitor) key alone: a key holding a third of all rows
+  would land in one task.  The counts are split into time buckets of
+  ``window_days``; each is copied into its own and the next bucket, so every
+  bucket sees the full look-back of its days.  A task holds one bucket of one
+  key at a time: at most two windows' days with their distinct prices.
 * ``first_n_median`` never windows over a whole key either: day counts are
   pre-aggregated per (key, day), only the first days that hold the first N
   observations are kept, and only those rows are ranked.
@@ -20,7 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from ..functions.scalars import round_half_up, slug_price_name
+from ..functions.scalars import iso_year_week, round_half_up, slug_price_name
+from ..session import cut_lineage
 
 
 def _cols(x):
@@ -36,80 +38,149 @@ def _time_buckets(df: DataFrame, date_col: str, window_days: int) -> DataFrame:
 
 def rolling_median(df: DataFrame, keys: Sequence[str], date_col: str, value_col: str,
                    window_days: int = 180, median_col: str = "rolling_median",
-                   count_col: str = "rolling_count", method: str = "pandas",
-                   key_buckets: int | None = None) -> DataFrame:
+                   count_col: str = "rolling_count", method: str = "stream") -> DataFrame:
     """Median and non-NULL count of ``value_col`` over the day range (t-window, t] per key.
 
     RANGE semantics: same-day peers are inside the frame.  ``method="window"`` uses a
     SQL window (``percentile`` re-evaluated per distinct day: O(rows x frame));
-    ``method="pandas"`` runs an order-statistics rolling median per (key, bucket)
-    group with Arrow batches (O(rows x log frame)), which stays fast for dense keys.
+    ``method="stream"`` first counts values per (key, day), so a task sees distinct values and not
+    rows, and streams each (key, time bucket) through a counting tree (O(values x log values)).
+    Rows without a date take no part.
     """
     keys = _cols(keys)
     wd = int(window_days)
-    staged = _time_buckets(df, date_col, wd)
+    dated = df.filter(F.col(date_col).isNotNull())
     if method == "window":
         w = Window.partitionBy(*keys, "_wb").orderBy("_dn").rangeBetween(-(wd - 1), 0)
-        return (staged
+        return (_time_buckets(dated, date_col, wd)
                 .withColumn(median_col, F.percentile(F.col(value_col), F.lit(0.5)).over(w))
                 .withColumn(count_col, F.count(F.col(value_col)).over(w))
                 .filter(F.col("_wb") == F.col("_bucket"))
                 .drop("_dn", "_bucket", "_wb"))
-    # many keys share one pandas call (vectorised grouped rolling); a key never spans two groups.
-    # The key-hash bucket count follows the cluster's shuffle partition count.
-    n_buckets = key_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    staged = staged.withColumn("_kb", F.pmod(F.xxhash64(*keys), F.lit(n_buckets)))
-    out_schema = StructType(staged.schema.fields + [StructField(median_col, DoubleType()),
-                                                    StructField(count_col, LongType())])
-    # explicit partition count: CPU-heavy groups keep the cluster's parallelism instead of being
-    # coalesced by AQE into a few tasks (the grouped apply reuses this partitioning, no extra exchange)
-    staged = staged.repartition(n_buckets, "_kb", "_wb")
-    rolled = staged.groupBy("_kb", "_wb").applyInPandas(
-        _rolling_median_group(wd, keys, value_col, median_col, count_col), out_schema)
-    return rolled.drop("_dn", "_bucket", "_wb", "_kb")
-
-
-def _rolling_median_group(window_days: int, keys: Sequence[str], value_col: str, median_col: str, count_col: str):
-    """Pandas body for one (key-hash bucket, time bucket): time-based rolling median / count per key
-    (grouped rolling, O(n log w)), same-day peers resolved to RANGE semantics (every row of a day
-    gets the value at the day's last row); the rows of the time bucket itself are returned whole."""
-
-    def run(pdf):
+    stats = rolling_median_days(dated, keys, date_col, value_col, wd, median_col, count_col)
+    return _join_days(dated, stats, keys, date_col)
+
+
+def rolling_median_days(df: DataFrame, keys: Sequence[str], date_col: str, value_col: str, window_days: int,
+                        median_col: str, count_col: str) -> DataFrame:
+    """One row (keys, ``_day``, median, count) per key and day that occurs."""
+    counts = df.groupBy(*keys, date_col, F.col(value_col).cast("double").alias("_v")).agg(F.count(value_col).alias("_n"))
+    staged = _time_buckets(counts, date_col, window_days).select(*keys, "_wb", "_bucket", "_dn", "_v", "_n")
+    # an explicit partition count: CPU-heavy tasks are not coalesced by their few bytes
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    out = StructType([*[f for f in df.schema.fields if f.name in keys], StructField("_dn", LongType()),
+                      StructField(median_col, DoubleType()), StructField(count_col, LongType())])
+    out = StructType(sorted(out.fields[:-3], key=lambda f: keys.index(f.name)) + out.fields[-3:])
+    return (staged.repartition(parts, *keys, "_wb").sortWithinPartitions(*keys, "_wb", "_dn", "_v")
+            .mapInArrow(_rolling_days(window_days, list(keys), out.names), out)
+            .withColumn("_day", F.date_from_unix_date(F.col("_dn").cast("int"))).drop("_dn"))
+
+
+def _join_days(df: DataFrame, stats: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
+    on = [df[k].eqNullSafe(stats[k]) for k in keys] + [df[date_col] == stats["_day"]]
+    rest = [c for c in stats.columns if c not in (*keys, "_day")]
+    return df.join(stats, on).select(*[df[c] for c in df.columns], *[stats[c] for c in rest])
+
+
+def _rolling_days(window_days: int, keys: list[str], names: list[str]):
+    """Streams value counts sorted by (keys, bucket, day, value); one bucket of one key is held at a time."""
+
+    def medians(days, values, counts, own):
+        import numpy as np
+        levels, at = np.unique(values[counts > 0], return_inverse=True)
+        where = np.zeros(len(values), np.int64)
+        where[counts > 0] = at + 1
+        size = 1 << max(1, int(len(levels))).bit_length()
+        tree, total, first, last = [0] * (size + 1), 0, 0, 0
+
+        def add(i, n):
+            while i <= size:
+                tree[i] += n
+                i += i & -i
+
+        def nth(rank):
+            """The value of a rank (from 0)."""
+            i, step = 0, size >> 1
+            while step:
+                if i + step <= size and tree[i + step] <= rank:
+                    i += step
+                    rank -= tree[i]
+                step >>= 1
+            return float(levels[i])
+
+        d, w, c = days.tolist(), where.tolist(), counts.tolist()
+        for day in np.unique(days[own]).tolist():
+            while last < len(d) and d[last] <= day:
+                if c[last]:
+                    add(w[last], c[last])
+                    total += c[last]
+                last += 1
+            while d[first] <= day - window_days:
+                if c[first]:
+                    add(w[first], -c[first])
+                    total -= c[first]
+                first += 1
+            yield day, (nth((total - 1) // 2) + nth(total // 2)) / 2 if total else None, total
+
+    def run(batches):
         import numpy as np
-        import pandas as pd
-        pdf = pdf.sort_values([*keys, "_dn"], kind="mergesort").reset_index(drop=True)
-        ts = pd.to_datetime(pdf["_dn"].to_numpy(), unit="D")
-        vals = pdf[value_col].astype("float64").to_numpy()
-        med = np.empty(len(pdf))
-        cnt = np.empty(len(pdf))
-        # rows of one key are contiguous after the sort; each key is rolled on its own slice
-        for pos in pdf.groupby(list(keys), sort=False, dropna=False).indices.values():
-            lo, hi = pos[0], pos[-1] + 1
-            roll = pd.Series(vals[lo:hi], index=ts[lo:hi]).rolling(f"{window_days}D", closed="right")
-            med[lo:hi] = roll.median().to_numpy()
-            cnt[lo:hi] = roll.count().to_numpy()
-        peers = pdf.groupby([*keys, "_dn"], sort=False, dropna=False).ngroup().to_numpy()
-        pdf[median_col] = pd.Series(med).groupby(peers).transform("last").to_numpy()
-        pdf[count_col] = pd.Series(cnt).groupby(peers).transform("last").to_numpy().astype("int64")
-        return pdf[pdf["_wb"] == pdf["_bucket"]]
+        import pyarrow as pa
+        held, key = [], None
+
+        def finish():
+            t = pa.concat_tables(held).combine_chunks()
+            values = t["_v"].to_numpy(zero_copy_only=False)
+            rows = list(medians(t["_dn"].to_numpy(), np.nan_to_num(values), t["_n"].to_numpy(),
+                                t["_wb"].to_numpy() == t["_bucket"].to_numpy()))
+            return rows
+
+        def emit(rows, key):
+            cols = [pa.array([k] * len(rows), held[0].schema.field(n).type) for n, k in zip(keys, key)]
+            days, med, cnt = zip(*rows)
+            return pa.record_batch([*cols, pa.array(days, pa.int64()), pa.array(med, pa.float64()),
+                                    pa.array(cnt, pa.int64())], names=names)
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            ids = list(zip(*[t[k].to_pylist() for k in keys], t["_wb"].to_pylist()))
+            cuts = [0, *[i for i in range(1, len(ids)) if ids[i] != ids[i - 1]], len(ids)]
+            for s, e in zip(cuts, cuts[1:]):
+                if key is not None and ids[s] != key:
+                    rows = finish()
+                    if rows:
+                        yield emit(rows, key)
+                    held.clear()
+                key = ids[s]
+                held.append(t.slice(s, e - s))
+        if held:
+            rows = finish()
+            if rows:
+                yield emit(rows, key)
 
     return run
 
 
 def first_n_median(df: DataFrame, keys: Sequence[str], date_col: str, value_col: str,
                    n: int = 5, tiebreak: Sequence[str] = (), out_col: str = "baseline_median") -> DataFrame:
-    """Median of the first ``n`` non-NULL observations per key (one row per key)."""
+    """Median of the first ``n`` non-NULL observations per key (one row per key).
+
+    ``tiebreak`` orders the observations of a day; without it the order within a day is unknown, and all
+    observations of the days that hold the first ``n`` are used.
+    """
     keys = _cols(keys)
-    obs = df.filter(F.col(value_col).isNotNull())
+    obs = df.filter(F.col(value_col).isNotNull() & F.col(date_col).isNotNull())
     per_day = obs.groupBy(*keys, date_col).agg(F.count(F.lit(1)).alias("_n"))
     wd = Window.partitionBy(*keys).orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
     early_days = (per_day.withColumn("_before", F.coalesce(F.sum("_n").over(wd), F.lit(0)))
                   .filter(F.col("_before") < n).select(*keys, date_col))
     cand = obs.join(early_days, [*keys, date_col], "left_semi")
+    if not tiebreak:
+        return cand.groupBy(*keys).agg(F.median(value_col).alias(out_col))
     # top-n per (key, day) first: planned as a WindowGroupLimit that also runs before the shuffle,
     # so a key with a huge first day moves at most n rows per map partition
-    order = list(tiebreak) or [value_col]
-    wday = Window.partitionBy(*keys, date_col).orderBy(*order)
+    wday = Window.partitionBy(*keys, date_col).orderBy(*tiebreak)
     cand = cand.withColumn("_rd", F.row_number().over(wday)).filter(F.col("_rd") <= n).drop("_rd")
     wr = Window.partitionBy(*keys).orderBy(date_col, *tiebreak)
     return (cand.withColumn("_rn", F.row_number().over(wr)).filter(F.col("_rn") <= n)
@@ -120,21 +191,28 @@ def flag_price_outliers(df: DataFrame, keys: Sequence[str] = ("product_code", "c
                         date_col: str = "price_date", price_col: str = "normalized_price",
                         window_days: int = 180, high: float = 2.0, low: float | None = 0.3,
                         min_observations: int = 5, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Adds ``baseline``, ``is_high_outlier``, ``is_low_outlier``, ``is_outlier``; NULL prices dropped."""
+    """Adds ``baseline``, ``is_high_outlier``, ``is_low_outlier``, ``is_outlier``; rows without a price or
+    a date are dropped.
+
+    The priced rows are written once: the source is read once for the counts, the baseline and the result.
+    Only rows with fewer than ``min_observations`` in their window are joined with the baseline.
+    """
     keys = _cols(keys)
-    priced = df.filter(F.col(price_col).isNotNull())
-    rolled = rolling_median(priced, keys, date_col, price_col, window_days)
-    base = first_n_median(priced, keys, date_col, price_col, min_observations, tiebreak)
-    out = (rolled.join(base, keys, "left")
-           .withColumn("baseline", F.when(F.col("rolling_count") >= min_observations, F.col("rolling_median"))
-                       .otherwise(F.col("baseline_median")))
-           .withColumn("is_high_outlier", F.col(price_col) > F.lit(high) * F.col("baseline")))
+    priced = cut_lineage(df.filter(F.col(price_col).isNotNull() & F.col(date_col).isNotNull()), "priced")
+    stats = cut_lineage(rolling_median_days(priced, keys, date_col, price_col, int(window_days), "_median", "_count"),
+                        "rolling-days")
+    base = first_n_median(priced, keys, date_col, price_col, min_observations, tiebreak, "_first")
+    many = _join_days(priced, stats.filter(F.col("_count") >= min_observations), keys, date_col)
+    few = _join_days(priced, stats.filter(F.col("_count") < min_observations), keys, date_col)
+    few = few.join(base, [few[k].eqNullSafe(base[k]) for k in keys], "left").select(
+        *[few[c] for c in priced.columns], F.col("_first").alias("baseline"))
+    out = many.select(*priced.columns, F.col("_median").alias("baseline")).unionByName(few)
+    out = out.withColumn("is_high_outlier", F.col(price_col) > F.lit(high) * F.col("baseline"))
     if low is None:
         out = out.withColumn("is_low_outlier", F.lit(False))
     else:
         out = out.withColumn("is_low_outlier", F.col(price_col) < F.lit(low) * F.col("baseline"))
-    return (out.withColumn("is_outlier", F.col("is_high_outlier") | F.col("is_low_outlier"))
-            .drop("rolling_median", "rolling_count", "baseline_median"))
+    return out.withColumn("is_outlier", F.col("is_high_outlier") | F.col("is_low_outlier"))
 
 
 def filter_price_outliers(df: DataFrame, **kw) -> DataFrame:
@@ -157,7 +235,7 @@ def outlier_report(flagged: DataFrame) -> DataFrame:
 def median_dedupe(df: DataFrame, keys: Sequence[str] = ("product_code", "price_date", "competitor_name"),
                   price_col: str = "normalized_price") -> DataFrame:
     """One price per (product, day, competitor): the median of the duplicates."""
-    return df.groupBy(*keys).agg(F.median(price_col).alias(price_col))
+    return df.groupBy(*keys).agg(F.median(price_col).alias(price_col))  # a key's prices of one day
 
 
 def competitor_names(df: DataFrame, name_col: str = "competitor_name") -> list[str]:
@@ -180,7 +258,6 @@ def pivot_competitors(df: DataFrame, competitors: Sequence[str] | None = None,
 def merge_sales_competitors(sales: DataFrame, wide: DataFrame, date_col: str = "date",
                             wide_date_col: str = "price_date", key: str = "product_code") -> DataFrame:
     """sales LEFT JOIN competitor-wide on (product, day); adds ``year_week``."""
-    from ..functions.scalars import iso_year_week
     right = wide.withColumnRenamed(wide_date_col, "_join_date")
     joined = sales.join(right, (sales[key] == right[key]) & (sales[date_col] == right["_join_date"]), "left")
     return joined.drop(right[key]).drop("_join_date").withColumn("year_week", iso_year_week(date_col))

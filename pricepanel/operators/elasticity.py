@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import exact_sum, ratio, round_half_up
+from ..functions.prefix import exact_medians
+from ..functions.scalars import ratio, round_half_up
+from ..session import cut_lineage
 
 ELASTIC_LOW, ELASTIC_HIGH = -5.0, -1.0
 
@@ -31,11 +33,12 @@ def fit_demand_curves(est: DataFrame, price_col: str, qty_col: str, key="product
             .filter((F.col("n_points") >= 2) & F.col("slope").isNotNull()))
 
 
-def demand_curve(est: DataFrame, fits: DataFrame, price_col: str, key: str = "product_code") -> DataFrame:
-    """Fitted sales exp(a + b ln p) at every estimation price p > 0 of a fitted key."""
-    rows = est.filter(F.col(price_col) > 0).select(F.col(key), F.col(price_col).alias("price"))
-    return (rows.join(fits.select(key, "slope", "intercept"), key)
-            .select(F.col(key).alias(f"{key}_elasticity"), "price",
+def demand_curve(est: DataFrame, fits: DataFrame, price_col: str, key="product_code") -> DataFrame:
+    """Fitted sales exp(a + b ln p) at every estimation price p > 0 of a fitted key (a column or a list)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    rows = est.filter(F.col(price_col) > 0).select(*keys, F.col(price_col).alias("price"))
+    return (rows.join(fits.select(*keys, "slope", "intercept"), keys)
+            .select(*[F.col(k).alias(f"{k}_elasticity") for k in keys], "price",
                     F.exp(F.col("intercept") + F.col("slope") * F.ln("price")).alias("sales")))
 
 
@@ -97,23 +100,36 @@ def filter_min_tier(df: DataFrame, min_tier: str = "low") -> DataFrame:
 
 
 def product_revenue(panel: DataFrame, revenue_col: str = "revenue_before", key: str = "product_code") -> DataFrame:
-    return panel.groupBy(key).agg(exact_sum(revenue_col, 2).alias("total_revenue"))
+    return panel.groupBy(key).agg(F.sum(revenue_col).alias("total_revenue"))
+
+
+def _with_median(agg: DataFrame, rows: DataFrame, value_col: str, group: str, out_col: str) -> DataFrame:
+    return agg.join(exact_medians(rows, value_col, [group], out_col), group, "left")
 
 
 def category_elasticity(elasticity: DataFrame, panel: DataFrame, category_col: str,
                         revenue_col: str = "revenue_before", key: str = "product_code",
-                        min_products: int = 5) -> DataFrame:
+                        min_products: int = 5, fallback_revenue_col: str | None = None) -> DataFrame:
     """Revenue-weighted, median and mean elasticity per category (2 dp) with >= min_products products.
-    A product in two categories counts in both."""
-    cats = panel.select(key, category_col).distinct()
-    merged = (elasticity.join(cats, key, "left").join(product_revenue(panel, revenue_col, key), key, "left"))
+
+    A product in two categories counts in both; products without a category count in none.  If the panel
+    lacks ``revenue_col``, ``fallback_revenue_col`` weighs instead.
+    """
+    if revenue_col not in panel.columns and fallback_revenue_col:
+        revenue_col = fallback_revenue_col
+    # categories and revenue from one pass over the panel
+    per = panel.groupBy(key, category_col).agg(F.sum(revenue_col).alias("_revenue"))
+    total = per.groupBy(key).agg(F.sum("_revenue").alias("total_revenue"))
+    merged = cut_lineage(elasticity.join(per.filter(F.col(category_col).isNotNull()).select(key, category_col), key)
+                         .join(total, key, "left").select(key, category_col, "elasticity", "total_revenue"),
+                         "category-products")
     agg = merged.groupBy(category_col).agg(
         F.sum(F.col("elasticity") * F.col("total_revenue")).alias("_wsum"),
         F.sum("total_revenue").alias("_rsum"),
-        F.median("elasticity").alias("elasticity_median"),
         F.avg("elasticity").alias("elasticity_mean"),
         F.count_distinct(key).alias("num_products"))
-    return (agg.withColumn("elasticity_weighted", round_half_up(ratio("_wsum", "_rsum"), 2))
+    return (_with_median(agg, merged, "elasticity", category_col, "elasticity_median")
+            .withColumn("elasticity_weighted", round_half_up(ratio("_wsum", "_rsum"), 2))
             .withColumn("elasticity_median", round_half_up("elasticity_median", 2))
             .withColumn("elasticity_mean", round_half_up("elasticity_mean", 2))
             .filter(F.col("num_products") >= min_products)
@@ -135,42 +151,53 @@ def category_elasticity_qty(elasticity: DataFrame, panel: DataFrame, category_co
     """Legacy roll-up: products with elasticity <= 0; median, mean, count and the quantity-share
     weighted sum (shares over all products of the category, so weights may sum to < 1)."""
     neg = elasticity.filter(F.col("elasticity") <= 0)
-    merged = neg.join(panel.select(key, category_col).distinct(), key, "left")
+    cats = panel.select(key, category_col).filter(F.col(category_col).isNotNull()).distinct()
+    merged = cut_lineage(neg.select(key, "elasticity").join(cats, key), "category-products")
     frac = sales_fraction(panel, category_col, qty_col, key)
     weighted = (merged.join(frac, [category_col, key])
                 .groupBy(category_col).agg(F.sum(F.col("elasticity") * F.col("sales_fraction"))
                                            .alias("weighted_elasticities")))
     stats = merged.groupBy(category_col).agg(
-        round_half_up(F.median("elasticity"), 2).alias("elasticity_median"),
-        round_half_up(F.avg("elasticity"), 2).alias("elasticity_mean"),
-        F.count(key).alias("num_products"))
+        round_half_up(F.avg("elasticity"), 2).alias("elasticity_mean"), F.count(key).alias("num_products"))
+    stats = _with_median(stats, merged, "elasticity", category_col, "elasticity_median").withColumn(
+        "elasticity_median", round_half_up("elasticity_median", 2))
     return (stats.join(weighted, category_col)
             .withColumn("weighted_elasticities", round_half_up("weighted_elasticities", 2))
-            .filter(F.col("num_products") >= min_products))
+            .filter(F.col("num_products") >= min_products)
+            .select(category_col, "elasticity_median", "elasticity_mean", "num_products", "weighted_elasticities"))
 
 
 def elasticity_summary(elasticity: DataFrame) -> DataFrame:
     """Class counts (open intervals: exactly -5, -1 and 0 fall in no class), median and mean."""
+    elasticity = cut_lineage(elasticity.select("elasticity"), "elasticities")
     e = F.col("elasticity")
+    median = exact_medians(elasticity, "elasticity").select("median").scalar()
     return elasticity.agg(
         F.count(F.lit(1)).alias("total_products"),
         F.count_if((e < ELASTIC_HIGH) & (e > ELASTIC_LOW)).alias("elastic_count"),
         F.count_if((e > ELASTIC_HIGH) & (e < 0)).alias("inelastic_count"),
         F.count_if(e > 0).alias("positive_count"),
         F.count_if(e < ELASTIC_LOW).alias("outlier_count"),
-        F.median(e).alias("median_elasticity"),
         F.avg(e).alias("mean_elasticity"),
-        (F.avg(F.when(e > 0, 100.0).otherwise(0.0))).alias("positive_share_pct"))
+        (F.avg(F.when(e > 0, 100.0).otherwise(0.0))).alias("positive_share_pct")).withColumn("median_elasticity", median)
 
 
 def overview_stats(panel: DataFrame, price_col: str = "product_selling_price", key: str = "product_code",
-                   date_col: str = "date") -> DataFrame:
-    """One-row overview: distinct products, rows, min / max / median price, date range."""
-    return panel.agg(
+                   date_col: str = "date", category_col: str | None = None) -> DataFrame:
+    """Overview: distinct products, rows, min / max / median price, date range, share of rows without a price.
+
+    One row, or one per category (a NULL category has its own) if ``category_col`` is given.
+    """
+    keys = [category_col] if category_col else []
+    medians = exact_medians(panel, price_col, keys, "median_price")
+    stats = panel.groupBy(*keys).agg(
         F.count_distinct(key).alias("n_products"), F.count(F.lit(1)).alias("n_rows"),
-        F.min(price_col).alias("min_price"), F.max(price_col).alias("max_price"),
-        F.median(price_col).alias("median_price"), F.min(date_col).alias("first_date"),
-        F.max(date_col).alias("last_date"))
+        F.min(price_col).alias("min_price"), F.max(price_col).alias("max_price"), F.min(date_col).alias("first_date"),
+        F.max(date_col).alias("last_date"), (F.avg(F.col(price_col).isNull().cast("int")) * 100).alias("price_null_pct"))
+    if not keys:
+        return stats.withColumn("median_price", medians.select("median_price").scalar())
+    medians = medians.withColumnRenamed(category_col, "_c")
+    return stats.join(medians, stats[category_col].eqNullSafe(medians["_c"]), "left").drop("_c")
 
 
 def products_per_category(panel: DataFrame, category_col: str, key: str = "product_code") -> DataFrame:

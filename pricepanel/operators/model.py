@@ -2,28 +2,36 @@
 
 Gradient-boosted trees (``GBTRegressor``) train distributed on the product-day
 panel; the label is ``log1p(quantity)`` and price-change days may be
-up-weighted.  String features are indexed and target-encoded (a product code
-has far more levels than ``maxBins``); NULL numerics get a sentinel value plus
-a missing flag so no row is dropped.  Spark GBT has no Tweedie loss: squared
-error on log1p is used instead, and the numbers differ from the reference's
-booster by design; the checks are R^2 and elasticity signs, not equality.
+up-weighted.  String features (a product code has far more levels than
+``maxBins``) are target-encoded by grouped aggregates that are joined back, so
+no label map ever reaches the driver; a training row's encoding leaves its own
+fold out.  NULL numerics get a sentinel plus a missing flag so no row is
+dropped.  Spark GBT has no Tweedie loss: squared error on log1p is used
+instead, and the numbers differ from the reference's booster by design; the
+checks are R^2 and elasticity signs, not equality.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, TargetEncoder, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_half_up
+from ..functions.scalars import ratio, round_half_up
+from ..session import checkpoint_dir, cut_lineage
+from .weekly import last_value
 
 MISSING = -1.0e9
+FOLDS, PRIOR = 5, 10.0
+
+# Columns that never are features.
+EXCLUDED = ["date", "revenue_before", "revenue_after", "product_buying_price", "cpi", "valid_from", "valid_to",
+            "product_id", "yearweek", "year_week", "is_test", "n_lines"]
 
 
 @dataclass
@@ -40,9 +48,38 @@ class ModelConfig:
     price_change_weight: float = 1.0
     leakage_warn_r2: float = 0.82
     leakage_alert_r2: float = 0.87
-    exclude: Sequence[str] = field(default_factory=lambda: [
-        "date", "revenue_before", "revenue_after", "product_buying_price", "cpi", "valid_from", "valid_to",
-        "product_id", "yearweek", "year_week", "is_test", "n_lines"])
+    max_broadcast_levels: int = 50_000
+    exclude: Sequence[str] = field(default_factory=lambda: list(EXCLUDED))
+
+
+@dataclass
+class DemandModel:
+    """Trees, the encodings (feature, level, value) of the string features, and how many levels they have."""
+    trees: GBTRegressionModel
+    features: list[str]
+    strings: list[str]
+    inputs: list[str]
+    encodings: DataFrame
+    levels: int
+    mean: float
+    config: ModelConfig
+
+    def save(self, path: str) -> None:
+        """Trees, encodings and settings below ``path`` (replaced if there)."""
+        spark = self.encodings.sparkSession
+        self.trees.write().overwrite().save(f"{path}/trees")
+        self.encodings.write.mode("overwrite").parquet(f"{path}/encodings")
+        settings = [(self.features, self.strings, self.inputs, self.levels, self.mean)]
+        (spark.createDataFrame(settings, "features array<string>, strings array<string>, inputs array<string>, levels long, "
+                               "mean double").coalesce(1).write.mode("overwrite").json(f"{path}/settings"))
+
+
+def load_model(spark: SparkSession, path: str, config: ModelConfig | None = None) -> DemandModel:
+    s = spark.read.schema("features array<string>, strings array<string>, inputs array<string>, levels long, "
+                          "mean double").json(f"{path}/settings").first()
+    return DemandModel(GBTRegressionModel.load(f"{path}/trees"), list(s["features"]), list(s["strings"]),
+                       list(s["inputs"]), spark.read.parquet(f"{path}/encodings"), s["levels"], s["mean"],
+                       config or ModelConfig())
 
 
 def feature_columns(df: DataFrame, cfg: ModelConfig, competitor_price_cols: Sequence[str] = ()) -> list[str]:
@@ -52,83 +89,125 @@ def feature_columns(df: DataFrame, cfg: ModelConfig, competitor_price_cols: Sequ
     return [c for c in df.columns if c not in skip and not ("_lag_" in c and not c.startswith("price_change_"))]
 
 
-def _prepare(df: DataFrame, feats: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
-    """Numeric/boolean -> double with a missing sentinel and flag; strings kept for indexing."""
-    types = dict(df.dtypes)
-    strings = [c for c in feats if types[c] == "string"]
-    numeric = [c for c in feats if c not in strings]
+def _numeric(df: DataFrame, feats: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Numeric/boolean features -> double with a missing sentinel and flag."""
     cols = {}
-    flags = []
-    for c in numeric:
+    for c in feats:
         x = F.col(c).cast("double")
         cols[f"_f_{c}"] = F.coalesce(F.when(~F.isnan(x), x), F.lit(MISSING))
         cols[f"_m_{c}"] = F.col(c).isNull().cast("double")
-        flags.append(f"_m_{c}")
-    return df.withColumns(cols), [f"_f_{c}" for c in numeric] + flags, strings
+    return df.withColumns(cols), [f"_f_{c}" for c in feats] + [f"_m_{c}" for c in feats]
+
 
+def _sized(table: DataFrame, rows: int, limit: int) -> DataFrame:
+    """Hint a broadcast only below a counted size; otherwise the optimizer's shuffle join stands."""
+    return F.broadcast(table) if rows <= limit else table
 
-def train_demand_model(train: DataFrame, cfg: ModelConfig, feats: Sequence[str]) -> PipelineModel:
-    """Fit the pipeline (indexers, target encoder, assembler, GBT) on ``log1p(target)``.
 
-    Tree iterations checkpoint into the shared checkpoint folder, so a lost executor does not
-    replay the whole boosting lineage."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(train.sparkSession)
-    prepared, num_cols, strings = _prepare(train, feats)
+def _smooth(total, count, mean: float):
+    """Mean label of a level, drawn to the overall mean by ``PRIOR`` rows."""
+    return (F.coalesce(total, F.lit(0.0)) + PRIOR * mean) / (F.coalesce(count, F.lit(0)) + PRIOR)
+
+
+def _labelled(train: DataFrame, cfg: ModelConfig) -> DataFrame:
     lag1 = f"price_change_{cfg.price_col}_lag_1"
     weight = F.lit(1.0)
     if cfg.price_change_weight > 1 and lag1 in train.columns:
         weight = F.when(F.coalesce(F.col(lag1), F.lit(0.0)) != 0, F.lit(float(cfg.price_change_weight))) \
             .otherwise(F.lit(1.0))
-    data = prepared.withColumn("_label", F.log1p(F.col(cfg.target))).withColumn("_weight", weight)
-    stages = []
-    enc_cols = []
-    if strings:
-        idx = [f"_i_{c}" for c in strings]
-        enc_cols = [f"_e_{c}" for c in strings]
-        stages.append(StringIndexer(inputCols=strings, outputCols=idx, handleInvalid="keep"))
-        stages.append(TargetEncoder(inputCols=idx, outputCols=enc_cols, labelCol="_label",
-                                    targetType="continuous", handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=num_cols + enc_cols, outputCol="_features", handleInvalid="keep"))
-    stages.append(GBTRegressor(featuresCol="_features", labelCol="_label", weightCol="_weight",
-                               maxIter=cfg.max_iter, maxDepth=cfg.max_depth, stepSize=cfg.step_size,
-                               subsamplingRate=cfg.subsampling_rate, maxBins=cfg.max_bins, seed=cfg.seed,
-                               checkpointInterval=10))
-    return Pipeline(stages=stages).fit(data)
-
-
-def predict_quantity(model: PipelineModel, df: DataFrame, feats: Sequence[str], out_col: str = "predicted_quantity") -> DataFrame:
-    """max(expm1(prediction), 0) appended to ``df``'s own columns."""
-    prepared, _, _ = _prepare(df, feats)
-    scored = model.transform(prepared)
-    keep = [c for c in df.columns]
-    return scored.select(*keep, F.greatest(F.expm1("prediction"), F.lit(0.0)).alias(out_col))
+    return train.withColumn("_label", F.log1p(F.col(cfg.target))).withColumn("_weight", weight)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def encode_training(train: DataFrame, cfg: ModelConfig, feats: Sequence[str]):
+    """(training rows with model inputs, a DemandModel without trees).
+
+    Every string feature is encoded by the smoothed mean label of its level: for the model over all rows,
+    for a training row over the rows of the other folds.  Rows are written once for the many tree passes.
+    """
+    types = dict(train.dtypes)
+    strings = [c for c in feats if types[c] == "string"]
+    data, inputs = _numeric(_labelled(train, cfg), [c for c in feats if c not in strings])
+    data = data.withColumn("_fold", F.pmod(F.xxhash64(*feats), F.lit(FOLDS)))
+    mean = data.agg(F.avg("_label")).first()[0] or 0.0
+    spark, tables, levels = train.sparkSession, [], 0
+    for c in strings:
+        by_fold = cut_lineage(data.groupBy(F.col(c).alias("level"), "_fold").agg(
+            F.sum("_label").alias("s"), F.count("_label").alias("n")), "encoding")
+        total = by_fold.groupBy(F.col("level").alias("_level")).agg(F.sum("s").alias("ts"), F.sum("n").alias("tn"))
+        rows = by_fold.count()
+        own = by_fold.join(total, F.col("level").eqNullSafe(F.col("_level"))).select(
+            F.col("_level"), F.col("_fold").alias("_of"),
+            _smooth(F.col("ts") - F.col("s"), F.col("tn") - F.col("n"), mean).alias(f"_e_{c}"))
+        data = data.join(_sized(own, rows, cfg.max_broadcast_levels),
+                         data[c].eqNullSafe(F.col("_level")) & (F.col("_fold") == F.col("_of")), "left").drop("_level", "_of")
+        tables.append(total.select(F.lit(c).alias("feature"), F.col("_level").alias("level"), _smooth(F.col("ts"), F.col("tn"), mean).alias("value")))
+        levels = max(levels, rows)
+    encodings = spark.createDataFrame([], "feature string, level string, value double")
+    for t in tables:
+        encodings = encodings.unionByName(t)
+    inputs += [f"_e_{c}" for c in strings]
+    data = cut_lineage(data.select(*inputs, "_label", "_weight"), "training")
+    return data, DemandModel(None, list(feats), strings, inputs, cut_lineage(encodings, "encodings"), levels, float(mean), cfg)
+
+
+def fit_trees(data: DataFrame, model: DemandModel, cfg: ModelConfig) -> DemandModel:
+    """Fit the boosted trees on encoded rows.  Iterations checkpoint into the shared checkpoint folder, so a
+    lost executor does not replay the whole boosting lineage."""
+    checkpoint_dir(data.sparkSession)
+    vectors = VectorAssembler(inputCols=model.inputs, outputCol="_features", handleInvalid="keep").transform(data)
+    trees = GBTRegressor(featuresCol="_features", labelCol="_label", weightCol="_weight",
+                         maxIter=cfg.max_iter, maxDepth=cfg.max_depth, stepSize=cfg.step_size,
+                         subsamplingRate=cfg.subsampling_rate, maxBins=cfg.max_bins, seed=cfg.seed,
+                         checkpointInterval=10).fit(vectors)
+    return replace(model, trees=trees, config=cfg)
+
+
+def train_demand_model(train: DataFrame, cfg: ModelConfig, feats: Sequence[str]) -> DemandModel:
+    """Encode the training rows and fit the trees on ``log1p(target)``."""
+    return fit_trees(*encode_training(train, cfg, feats), cfg)
+
+
+def model_inputs(model: DemandModel, df: DataFrame) -> DataFrame:
+    """``df`` with the model's input vector; levels not seen in training get the overall mean."""
+    data, _ = _numeric(df, [c for c in model.features if c not in model.strings])
+    for c in model.strings:
+        table = model.encodings.filter(F.col("feature") == c).select(F.col("level").alias("_level"), F.col("value").alias("_v"))
+        data = (data.join(_sized(table, model.levels, model.config.max_broadcast_levels),
+                          data[c].eqNullSafe(F.col("_level")), "left")
+                .withColumn(f"_e_{c}", F.coalesce("_v", F.lit(model.mean))).drop("_level", "_v"))
+    return VectorAssembler(inputCols=model.inputs, outputCol="_features", handleInvalid="keep").transform(data)
+
+
+def predict_quantity(model: DemandModel, df: DataFrame, feats: Sequence[str] | None = None,
+                     out_col: str = "predicted_quantity") -> DataFrame:
+    """max(expm1(prediction), 0) appended to ``df``'s own columns."""
+    scored = model.trees.transform(model_inputs(model, df))
+    return scored.select(*df.columns, F.greatest(F.expm1("prediction"), F.lit(0.0)).alias(out_col))
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def fit_quality(scored: DataFrame, cfg: ModelConfig, pred_col: str) -> DataFrame:
+    """One row: hold-out R^2 of a prediction and its status ok / warning / error (too good is suspicious)."""
+    y, p = F.col(cfg.target), F.col(pred_col)
+    used = scored.filter(y.isNotNull() & p.isNotNull())
+    r2 = 1 - ratio(F.sum((y - p) * (y - p)), F.count(y) * F.var_pop(y))
+    return used.agg(r2.alias("holdout_r2")).withColumn("status", F.when(
+        F.col("holdout_r2") > cfg.leakage_alert_r2, "error").when(
+        F.col("holdout_r2") > cfg.leakage_warn_r2, "warning").otherwise("ok"))
 
 
-def leakage_check(model: PipelineModel, holdout: DataFrame, cfg: ModelConfig, feats: Sequence[str],
+def leakage_check(model: DemandModel, holdout: DataFrame, cfg: ModelConfig, feats: Sequence[str] | None = None,
                   top_k: int = 5) -> DataFrame:
-    """Hold-out R^2 at actual prices -> status ok / warning / error, with the top features."""
-    pred = predict_quantity(model, holdout, feats, "_pred")
-    r2 = RegressionEvaluator(labelCol=cfg.target, predictionCol="_pred", metricName="r2").evaluate(pred)
-    gbt = model.stages[-1]
-    names = model.stages[-2].getInputCols()
-    imp = sorted(zip(names, gbt.featureImportances.toArray().tolist()), key=lambda t: (-t[1], t[0]))[:top_k]
-    status = "ok" if r2 <= cfg.leakage_warn_r2 else ("error" if r2 > cfg.leakage_alert_r2 else "warning")
-    top = ", ".join(f"{n.replace('_f_', '').replace('_e_', '')}={v:.4f}" for n, v in imp)
-    spark = holdout.sparkSession
-    return spark.createDataFrame([(float(r2), status, top)], "holdout_r2 double, status string, top_features string")
+    """Hold-out R^2 at actual prices -> status, with the top features by importance."""
+    weights = model.trees.featureImportances.toArray().tolist()
+    top = sorted(zip(model.inputs, weights), key=lambda t: (-t[1], t[0]))[:top_k]
+    named = ", ".join(f"{n.removeprefix('_f_').removeprefix('_e_')}={v:.4f}" for n, v in top)
+    return fit_quality(predict_quantity(model, holdout, out_col="_pred"), cfg, "_pred").withColumn(
+        "top_features", F.lit(named))
 
 
 def last_actual_price(df: DataFrame, price_col: str, key: str = "product_code", date_col: str = "date") -> DataFrame:
-    return df.groupBy(key).agg(F.max_by(price_col, date_col).alias(price_col))
+    """Per key the latest price that is not NULL."""
+    return df.groupBy(key).agg(last_value(price_col, date_col).alias(price_col))
 
 
 def estimations(predictions_per_day: DataFrame, panel: DataFrame, price_col: str = "product_selling_price",
@@ -152,19 +231,19 @@ def expanding_folds(df: DataFrame, n_folds: int = 3, date_col: str = "date") ->
 
 def time_series_cv(df: DataFrame, cfg: ModelConfig, feats: Sequence[str], grid: Sequence[dict],
                    n_folds: int = 3) -> DataFrame:
-    """Mean validation RMSE (on log1p) per parameter set over expanding-window folds."""
-    blocks = expanding_folds(df, n_folds).cache()
-    rows = []
-    for i, params in enumerate(grid):
-        c = ModelConfig(**{**cfg.__dict__, **params})
-        rmses = []
-        for k in range(n_folds):
-            train = blocks.filter(F.col("_block") <= k)
-            valid = blocks.filter(F.col("_block") == k + 1)
-            model = train_demand_model(train, c, feats)
-            scored = model.transform(_prepare(valid, feats)[0]).withColumn("_label", F.log1p(F.col(c.target)))
-            rmses.append(RegressionEvaluator(labelCol="_label", predictionCol="prediction",
-                                             metricName="rmse").evaluate(scored))
-        rows.append((i, str(sorted(params.items())), float(sum(rmses) / len(rmses))))
-    blocks.unpersist()
+    """Mean validation RMSE (on log1p) per parameter set over expanding-window folds.
+
+    Rows are encoded and written once per fold; every parameter set reads them.
+    """
+    blocks = cut_lineage(expanding_folds(df, n_folds), "cv-blocks")
+    rmse: list[list[float]] = [[] for _ in grid]
+    evaluator = RegressionEvaluator(labelCol="_label", predictionCol="prediction", metricName="rmse")
+    for k in range(n_folds):
+        train, encoded = encode_training(blocks.filter(F.col("_block") <= k), cfg, feats)
+        valid = model_inputs(encoded, _labelled(blocks.filter(F.col("_block") == k + 1), cfg))
+        valid = cut_lineage(valid.select("_features", "_label"), "cv-valid")
+        for i, params in enumerate(grid):
+            model = fit_trees(train, encoded, replace(cfg, **params))
+            rmse[i].append(evaluator.evaluate(model.trees.transform(valid)))
+    rows = [(i, str(sorted(p.items())), float(sum(r) / len(r))) for i, (p, r) in enumerate(zip(grid, rmse))]
     return df.sparkSession.createDataFrame(rows, "param_set int, params string, rmse double")

@@ -3,11 +3,11 @@
 Scale notes
 -----------
 * ``rolling_unique_stores`` never collects store sets in a sliding frame.  Each
-  (product, store) sale makes the store visible for ``n`` days; overlapping
-  visibility intervals of one (product, store) are merged (window bounded by
-  the days of that pair), turned into +1/-1 events, pre-aggregated per
-  (product, day) and summed with a running window per product whose rows are
-  bounded by the number of calendar days, not by the data volume.
+  (product, store) sale makes the store visible for ``n`` days; where such a
+  stretch begins or ends (seen from the days before and after, a window bounded
+  by the days of that pair) is a +1/-1 event, pre-aggregated per (product, day)
+  and summed with a running window per product whose rows are bounded by the
+  number of calendar days, not by the data volume.  One pass serves all lengths.
 * ``store_price_correlation`` is one grouped aggregate of sufficient
   statistics (covariance / std-devs), with partial aggregation before the shuffle.
 """
@@ -19,30 +19,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import exact_mean, exact_sum, parse_date, ratio, round_half_up
+from ..functions.scalars import parse_date, ratio, round_half_up
 
 
 def fix_weighted_products(df: DataFrame, price_col: str = "calculated_price", qty_col: str = "quantity_sold",
-                          weight_col: str = "weight_sold", selling_col: str = "product_selling_price") -> DataFrame:
-    """Price per weight unit for goods sold by weight, else the selling price; 2 dp."""
+                          weight_col: str = "weight_sold", selling_col: str = "product_selling_price",
+                          equal_col: str | None = None) -> DataFrame:
+    """Price per weight unit for goods sold by weight, else the selling price; 2 dp.
+
+    ``equal_col`` names a flag to add: whether the result equals the selling price.
+    """
     fixed = F.when(F.col(weight_col) > 0, ratio(F.col(price_col) * F.col(qty_col), F.col(weight_col))) \
         .otherwise(F.col(selling_col))
-    return df.withColumn(price_col, round_half_up(fixed, 2))
+    out = df.withColumn(price_col, round_half_up(fixed, 2))
+    return out.withColumn(equal_col, F.col(price_col) == F.col(selling_col)) if equal_col else out
 
 
-def select_rows(df: DataFrame, cutoff: str = "2024-08-01", price_col: str = "product_selling_price",
+def select_rows(df: DataFrame, cutoff: str | None = None, price_col: str = "product_selling_price",
                 qty_col: str = "quantity_sold", date_code_col: str = "date_code") -> DataFrame:
-    """Non-NULL price, date <= cutoff, quantity > 0; parses ``date_code`` into ``date``."""
-    return (df.filter(F.col(price_col).isNotNull())
-            .withColumn("date", parse_date(date_code_col))
-            .filter((F.col("date") <= F.lit(cutoff).cast("date")) & (F.col(qty_col) > 0)))
+    """Non-NULL price, quantity > 0 and, if one is given, date <= cutoff; parses ``date_code`` into ``date``."""
+    out = df.filter(F.col(price_col).isNotNull() & (F.col(qty_col) > 0)).withColumn("date", parse_date(date_code_col))
+    return out if cutoff is None else out.filter(F.col("date") <= F.lit(cutoff).cast("date"))
 
 
 def store_day_aggregate(df: DataFrame, keys: Sequence[str] = ("product_code", "date", "store_code")) -> DataFrame:
     """product-store-day: mean selling price, mean list price, summed quantity."""
     return df.groupBy(*keys).agg(
-        exact_mean("product_selling_price").alias("product_selling_price_mean"),
-        exact_mean("calculated_price").alias("calculated_price_mean"),
+        F.avg("product_selling_price").alias("product_selling_price_mean"),
+        F.avg("calculated_price").alias("calculated_price_mean"),
         F.sum("quantity_sold").alias("quantity_sold_sum"))
 
 
@@ -72,7 +76,7 @@ def store_price_correlation(changes: DataFrame, min_corr: float = 0.9) -> DataFr
             .filter((F.col("n_changes") > 1) & (F.col("corr") > min_corr)))
 
 
-def select_store_followers(receipts: DataFrame, cutoff: str = "2024-08-01", min_corr: float = 0.9) -> DataFrame:
+def select_store_followers(receipts: DataFrame, cutoff: str | None = None, min_corr: float = 0.9) -> DataFrame:
     """Keep receipt rows of (product, store) pairs that follow the list price."""
     pairs = store_price_correlation(store_price_changes(store_day_aggregate(select_rows(receipts, cutoff))), min_corr)
     return receipts.join(pairs.select("product_code", "store_code"), ["product_code", "store_code"], "left_semi")
@@ -98,28 +102,27 @@ def rolling_unique_stores(df: DataFrame, days, product_col: str = "product_code"
     for one window length or several (one output column ``unique_stores_last_{n}_days`` each).
 
     All window lengths share one distinct pass, one event aggregation and one running window.
+    Rows with a NULL store or date are not counted.
     """
     lengths = [days] if isinstance(days, int) else list(days)
-    seen = df.select(product_col, store_col, date_col).distinct()
-    pair = Window.partitionBy(product_col, store_col).orderBy(date_col)
-    gap = F.datediff(F.col(date_col), F.lag(date_col).over(pair))
-    staged = seen.withColumns({f"_new{n}": F.coalesce(gap >= n, F.lit(True)).cast("int") for n in lengths})
-    run_all = pair.rowsBetween(Window.unboundedPreceding, 0)
-    staged = staged.withColumns({f"_isl{n}": F.sum(f"_new{n}").over(run_all) for n in lengths})
-    zero = {f"_d{n}": F.lit(0) for n in lengths}
-    parts = []
-    for n in lengths:
-        isl = (staged.groupBy(product_col, store_col, f"_isl{n}")
-               .agg(F.min(date_col).alias("_start"), F.max(date_col).alias("_last")))
-        for day, delta in ((F.col("_start"), 1), (F.date_add("_last", n), -1)):
-            cols = {**zero, f"_d{n}": F.lit(delta)}
-            parts.append(isl.select(F.col(product_col), day.alias("_day"),
-                                    *[v.alias(k) for k, v in cols.items()], F.lit(False).alias("_present")))
-    parts.append(df.select(F.col(product_col), F.col(date_col).alias("_day")).distinct()
-                 .select(product_col, "_day", *[v.alias(k) for k, v in zero.items()], F.lit(True).alias("_present")))
-    events = parts[0]
-    for p_ in parts[1:]:
-        events = events.unionByName(p_)
+    seen = df.filter(F.col(store_col).isNotNull() & F.col(date_col).isNotNull()).select(
+        product_col, store_col, F.col(date_col).alias("_day")).distinct()
+    pair = Window.partitionBy(product_col, store_col).orderBy("_day")
+    since = F.datediff(F.col("_day"), F.lag("_day").over(pair))
+    until = F.datediff(F.lead("_day").over(pair), F.col("_day"))
+    gaps = seen.select(product_col, "_day", since.alias("_since"), until.alias("_until"))
+
+    def event(day, present, length=None, delta=None):
+        """Change of the store count by length on a day; only ``length`` changes by ``delta``."""
+        first = F.coalesce(F.col("_since"), F.lit(1 << 30))
+        own = [delta if n == length else F.lit(0) for n in lengths] if length else [(first >= n).cast("int") for n in lengths]
+        return F.struct(day.alias("_day"), F.lit(present).alias("_present"), *[d.alias(f"_d{n}") for n, d in zip(lengths, own)])
+
+    # a store comes into sight on a day it was not seen for n days before, and goes n days after its last one
+    goes = [event(F.date_add("_day", n), False, n, F.when(F.coalesce(F.col("_until") >= n, F.lit(True)), -1).otherwise(0))
+            for n in lengths]
+    events = gaps.select(product_col, F.explode(F.array(event(F.col("_day"), True), *goes)).alias("_e")).select(
+        product_col, "_e.*")
     per_day = events.groupBy(product_col, "_day").agg(
         *[F.sum(f"_d{n}").alias(f"_d{n}") for n in lengths], F.bool_or("_present").alias("_present"))
     run = Window.partitionBy(product_col).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
@@ -129,19 +132,33 @@ def rolling_unique_stores(df: DataFrame, days, product_col: str = "product_code"
                                          *[f"unique_stores_last_{n}_days" for n in lengths])
 
 
-def product_day_rollup(receipts: DataFrame, windows: Sequence[int] = (7, 30)) -> DataFrame:
-    """Receipts -> product-day rows with rolling store counts (dedupe, W10 twice, J9, roll-up)."""
+SUM_COLS = ("quantity_sold", "revenue_before_discount_incl_vat")
+MEAN_COLS = ("calculated_price", "calculated_price_after_discount")
+FIRST_COLS = ("product_selling_price", "product_category_code_level1", "product_category_code_level2",
+              "product_category_code_level3", "product_status", "promo_ind", "ah_price", "plus_price",
+              "plus_content_factor", "ah_content_factor", "brand_name")
+
+
+def product_day_rollup(receipts: DataFrame, windows: Sequence[int] = (7, 30), tiebreak: Sequence[str] | None = None,
+                       sum_cols: Sequence[str] = SUM_COLS, mean_cols: Sequence[str] = MEAN_COLS,
+                       first_cols: Sequence[str] = FIRST_COLS) -> DataFrame:
+    """Receipts -> product-day rows: rolling store counts, sums, means and values of the first store.
+
+    One row per (date, product, store) is kept first: the smallest by ``tiebreak`` (default: all other
+    columns in turn), so the result does not depend on the row order.  Columns that the receipts lack are
+    left out.  A sum over NULLs alone is 0.
+    """
     raw = receipts.withColumn("date", parse_date("date_code"))
-    rows = dedupe_keep_first(raw, ["date", "product_code", "store_code"], ["l_orderkey", "l_linenumber"])
+    keys = ["date", "product_code", "store_code"]
+    order = list(tiebreak) if tiebreak is not None else [c for c in raw.columns if c not in keys]
+    rows = dedupe_keep_first(raw, keys, order)
+    have = lambda cols: [c for c in cols if c in receipts.columns]
+    # the first store's values in one struct: all come from the same row
+    per_day = rows.groupBy("product_code", "date").agg(
+        *[F.coalesce(F.sum(c), F.lit(0).cast(receipts.schema[c].dataType)).alias(c) for c in have(sum_cols)],
+        *[F.avg(c).alias(c) for c in have(mean_cols)],
+        F.min_by(F.struct(*have(first_cols)), "store_code").alias("_first"))
     # distinct (product, store, date) triples are the same before and after the keep-first dedupe
-    rows = rows.join(rolling_unique_stores(raw, list(windows)), ["product_code", "date"], "left")
-    first = lambda c: F.min_by(c, "store_code").alias(c)  # noqa: E731  deterministic 'first'
-    return rows.groupBy("product_code", "date").agg(
-        F.sum("quantity_sold").alias("quantity_sold"),
-        *[first(f"unique_stores_last_{n}_days") for n in windows],
-        first("product_selling_price"),
-        exact_sum("revenue_before_discount_incl_vat", 2).alias("revenue_before_discount_incl_vat"),
-        first("product_status"),
-        first("promo_ind"),
-        exact_mean("calculated_price").alias("calculated_price"),
-    )
+    return per_day.join(rolling_unique_stores(raw, list(windows)), ["product_code", "date"], "left").select(
+        "product_code", "date", *have(sum_cols), *[f"unique_stores_last_{n}_days" for n in windows],
+        *[F.col(f"_first.{c}").alias(c) for c in have(first_cols)], *have(mean_cols))

@@ -94,14 +94,31 @@ def filter_cpi_coverage(df: DataFrame, cpi_daily: DataFrame, date_col: str = "da
     return df.filter(F.col(date_col) <= cpi_daily.agg(F.max("date")).scalar())
 
 
+def one_per_day(table: DataFrame, date_col: str = "date") -> DataFrame:
+    """One row per day (of several the smallest whole row), so a join on the day never fans out; bounded by
+    the calendar, hence broadcast."""
+    rest = [c for c in table.columns if c != date_col]
+    days = table.groupBy(date_col).agg(F.min(F.struct(*rest)).alias("_r"))
+    return F.broadcast(days.select(date_col, *[F.col(f"_r.{c}").alias(c) for c in rest]))
+
+
 def adjust_price_base_year(df: DataFrame, cpi_daily: DataFrame, base_year: int, price_col: str = "product_selling_price",
-                           date_col: str = "date", out_col: str = "adjusted_price") -> DataFrame:
-    """price * base / cpi, base = mean daily CPI of ``base_year``; rows after the CPI coverage dropped."""
-    base = cpi_daily.agg(F.avg(F.when(F.year("date") == base_year, F.col("cpi")))).scalar()
-    daily = cpi_daily.select(F.col("date").alias(date_col), "cpi")
-    # daily CPI: one row per day of the CPI period (bounded) -> broadcast join
-    joined = filter_cpi_coverage(df, cpi_daily, date_col).join(F.broadcast(daily), date_col, "left")
-    return joined.withColumn(out_col, F.col(price_col) * F.try_divide(base, F.col("cpi")))
+                           date_col: str = "date", out_col: str = "adjusted_price",
+                           category_col: str | None = None) -> DataFrame:
+    """price * base / cpi, base = mean daily CPI of ``base_year``; rows after the CPI coverage dropped.
+
+    With ``category_col`` (a column of both tables) CPI and base are those of the row's category.
+    """
+    in_base = F.avg(F.when(F.year("date") == base_year, F.col("cpi")))
+    covered = filter_cpi_coverage(df, cpi_daily, date_col)
+    if category_col is None:
+        base = cpi_daily.agg(in_base).scalar()
+        joined = covered.join(one_per_day(cpi_daily.select(F.col("date").alias(date_col), "cpi"), date_col), date_col, "left")
+        return joined.withColumn(out_col, F.col(price_col) * F.try_divide(base, F.col("cpi")))
+    daily = cpi_daily.groupBy(category_col, F.col("date").alias(date_col)).agg(F.min("cpi").alias("cpi"))
+    base = cpi_daily.groupBy(category_col).agg(in_base.alias("_base"))
+    joined = covered.join(daily, [category_col, date_col], "left").join(base, category_col, "left")
+    return joined.withColumn(out_col, F.col(price_col) * F.try_divide("_base", "cpi")).drop("_base")
 
 
 def adjust_price_first_cpi(df: DataFrame, cpi_daily: DataFrame, price_col: str = "product_selling_price",
@@ -110,7 +127,7 @@ def adjust_price_first_cpi(df: DataFrame, cpi_daily: DataFrame, price_col: str =
     """price * first_cpi / cpi, first_cpi = the product's CPI on its earliest date with a CPI.
     Without a CPI the price is copied."""
     daily = cpi_daily.select(F.col("date").alias(date_col), "cpi")
-    joined = df.join(F.broadcast(daily), date_col, "left")
+    joined = df.join(one_per_day(daily, date_col), date_col, "left")
     first = (joined.filter(F.col("cpi").isNotNull()).groupBy(product_col)
              .agg(F.min_by("cpi", date_col).alias("_first_cpi")))
     out = joined.join(first, product_col, "left")
@@ -135,8 +152,8 @@ def add_climatology(weather: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def add_weather(df: DataFrame, weather: DataFrame, date_col: str = "date") -> DataFrame:
-    """panel LEFT JOIN daily weather; one row per day (bounded by the calendar) -> broadcast."""
-    return df.join(F.broadcast(weather.withColumnRenamed("date", date_col)), date_col, "left")
+    """panel LEFT JOIN daily weather; of several stations' rows of a day one is taken."""
+    return df.join(one_per_day(weather.withColumnRenamed("date", date_col), date_col), date_col, "left")
 
 
 def append_incremental(existing: DataFrame, fresh: DataFrame, date_col: str = "date") -> DataFrame:

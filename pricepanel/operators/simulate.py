@@ -56,26 +56,34 @@ def price_grid(ref_rows: DataFrame, min_pct: int = -10, max_pct: int = 10, price
 def expand_counterfactual(test_rows: DataFrame, grid: DataFrame | None = None, min_pct: int = -10,
                           max_pct: int = 10, price_col: str = "product_selling_price",
                           lag_cols: dict[int, Sequence[str]] | None = None, promo_col: str = "promotion_indicator",
-                          product_col: str = "product_code", date_col: str = "date") -> DataFrame:
+                          product_col: str = "product_code", date_col: str = "date",
+                          scaled_cols: Sequence[str] = ()) -> DataFrame:
     """Test row x its grid: own price := simulated price; ``sequence_number`` = day index;
-    every lag k <= sequence_number := simulated price; promotion := false."""
+    every lag k <= sequence_number := simulated price; promotion := false.
+
+    ``scaled_cols`` are further price columns (e.g. the adjusted price): they are scaled by simulated /
+    actual price, and so are their lags k <= sequence_number (``{col}_lag_{k}`` in ``lag_cols``), so no
+    real price of a simulated day is left in the row.
+    """
     if grid is None:
         # grid derived from the test rows themselves: computed in place, no self-join
         rows = (with_sequence(test_rows, product_col, date_col).filter(F.col(price_col) > 0)
                 .withColumn("prices", price_ladder(price_col, min_pct, max_pct)))
     else:
         rows = test_rows.join(grid, [product_col, date_col])
+    scaled = [c for c in scaled_cols if c in rows.columns and c != price_col]
     other = [c for c in rows.columns if c not in ("prices", price_col)]
-    out = rows.select(*other, F.posexplode("prices").alias("grid_idx", price_col))
-    sim = F.col(price_col)
-    updates = {}
+    out = rows.select(*other, F.col(price_col).alias("_actual"), F.posexplode("prices").alias("grid_idx", price_col))
+    simulated = {price_col: F.col(price_col)} | {c: F.col(c) * ratio(price_col, "_actual") for c in scaled}
+    updates = {c: simulated[c] for c in scaled}
     for k, cols in (lag_cols or {}).items():
         for c in cols:
             if c in out.columns:
-                updates[c] = F.when(F.lit(k) <= F.col("sequence_number"), sim).otherwise(F.col(c))
+                own = simulated.get(c.rpartition("_lag_")[0], F.col(price_col))
+                updates[c] = F.when(F.lit(k) <= F.col("sequence_number"), own).otherwise(F.col(c))
     if promo_col in out.columns:
         updates[promo_col] = F.lit(False)
-    return out.withColumns(updates) if updates else out
+    return (out.withColumns(updates) if updates else out).drop("_actual")
 
 
 def resimulate_features(df: DataFrame, price_cols: Sequence[str], lags: Sequence[int], competitors: Sequence[str],

@@ -12,7 +12,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import exact_mean, iso_year_week, week_start
+from ..functions.scalars import fixed_point_sum, iso_year_week, round_half_up, week_start
+from .features import ffill_columns
+
+
+def last_value(value_col: str, order_col: str):
+    """Aggregate: the latest value that is not NULL (of equal dates the largest value)."""
+    v = F.col(value_col)
+    return F.max(F.when(v.isNotNull(), F.struct(F.col(order_col), v.alias("_v"))))["_v"]
 
 
 def weekly_iso(df: DataFrame, target_col: str = "quantity_sold", price_col: str = "product_selling_price",
@@ -20,34 +27,30 @@ def weekly_iso(df: DataFrame, target_col: str = "quantity_sold", price_col: str
                date_col: str = "date", carry_last: Sequence[str] = (), sum_cols: Sequence[str] = ()) -> DataFrame:
     """Aggregate to (product, ISO year_week): target sum, price mean, first date, competitor means.
 
-    ``carry_last`` / ``sum_cols`` keep category and revenue columns the reference dropped.
+    ``carry_last`` / ``sum_cols`` keep category and revenue columns the reference dropped; a carried value
+    is the last one that is not NULL, a sum over NULLs alone is 0.
     """
-    aggs = [F.sum(target_col).alias(target_col), exact_mean(price_col).alias(price_col), F.min(date_col).alias(date_col)]
-    aggs += [exact_mean(c).alias(c) for c in competitor_cols if c in df.columns]
-    aggs += [F.max_by(c, date_col).alias(c) for c in carry_last]
-    aggs += [F.sum(c).alias(c) for c in sum_cols]
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0).cast(df.schema[c].dataType)).alias(c)
+    aggs = [zero(target_col), F.avg(price_col).alias(price_col), F.min(date_col).alias(date_col)]
+    aggs += [F.avg(c).alias(c) for c in competitor_cols if c in df.columns]
+    aggs += [last_value(c, date_col).alias(c) for c in carry_last]
+    aggs += [zero(c) for c in sum_cols]
     return df.withColumn("year_week", iso_year_week(date_col)).groupBy(product_col, "year_week").agg(*aggs)
 
 
-def ffill(df: DataFrame, cols: Sequence[str], product_col: str = "product_code", order_col: str = "date") -> DataFrame:
-    """Per-product forward fill (last non-NULL value up to the current row)."""
-    w = Window.partitionBy(product_col).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-
-
 def weekly_resample(df: DataFrame, last_cols: Sequence[str] = ("product_selling_price",),
                     sum_cols: Sequence[str] = ("quantity_sold",), product_col: str = "product_code",
                     date_col: str = "date", fill: bool = True) -> DataFrame:
     """Monday-labelled weeks [Mon, next Mon) with empty weeks inserted.
 
-    last -> value on the latest date of the week; sum -> 0 in an empty week;
+    last -> the last value of the week that is not NULL; sum -> 0 in an empty week or one of NULLs;
     with ``fill`` the ``last`` columns are forward filled per product afterwards.
     Each weekly row expands into itself plus the empty weeks up to the product's next sale week
     (``lead`` + ``posexplode``): no week grid, no join, and the fill window reuses the same
     product partitioning.
     """
     wk = week_start(date_col)
-    aggs = [F.max_by(c, date_col).alias(c) for c in last_cols] + [F.sum(c).alias(c) for c in sum_cols]
+    aggs = [last_value(c, date_col).alias(c) for c in last_cols] + [F.sum(c).alias(c) for c in sum_cols]
     weekly = df.groupBy(product_col, wk.alias("week")).agg(*aggs)
     w = Window.partitionBy(product_col).orderBy("week")
     staged = weekly.withColumn("_last_week", F.coalesce(F.date_sub(F.lead("week").over(w), 7), F.col("week")))
@@ -58,9 +61,9 @@ def weekly_resample(df: DataFrame, last_cols: Sequence[str] = ("product_selling_
     out = spread.select(
         product_col, "week",
         *[F.when(own, F.col(c)).alias(c) for c in last_cols],
-        *[F.when(own, F.col(c)).otherwise(F.lit(0).cast(df.schema[c].dataType)).alias(c) for c in sum_cols])
+        *[F.coalesce(F.when(own, F.col(c)), F.lit(0).cast(df.schema[c].dataType)).alias(c) for c in sum_cols])
     if fill:
-        out = ffill(out, list(last_cols), product_col, "week")
+        out = ffill_columns(out, list(last_cols), product_col, "week")
     return out
 
 
@@ -71,16 +74,17 @@ def last_n_rows(df: DataFrame, n: int, product_col: str = "product_code", date_c
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def weekly_weather(weather: DataFrame, rounding: Mapping[str, int] | None = None, date_col: str = "date") -> DataFrame:
+def weekly_weather(weather: DataFrame, rounding: Mapping[str, int] | None = None, date_col: str = "date",
+                   scale: int | None = None) -> DataFrame:
     """Weekly mean of daily weather with per-column rounding.
 
-    Station values are fixed-point (0.1 units), so the mean is an exact decimal sum divided by the
-    count: the rounding then does not depend on the summation order.
+    ``scale`` states that the values are fixed-point with so many decimals (station values: 1); the mean
+    is then an exact sum over the count, and the rounding does not depend on the summation order.
     """
-    from ..functions.scalars import exact_sum, round_half_up
     rounding = rounding or {"mean_temp": 1, "min_temp": 1, "max_temp": 1, "sum_rain": 0, "len_rain": 0}
+    mean = (lambda c: F.avg(c)) if scale is None else (lambda c: fixed_point_sum(c, scale) / F.count(c))
     return weather.groupBy(week_start(date_col).alias("week")).agg(
-        *[round_half_up(exact_sum(c, 6, 24) / F.count(c), d).alias(c) for c, d in rounding.items()])
+        *[round_half_up(mean(c), d).alias(c) for c, d in rounding.items()])
 
 
 def weekly_days_since_change(daily: DataFrame, product_col: str = "product_code", date_col: str = "date",

@@ -9,16 +9,14 @@ from __future__ import annotations
 
 
 def R(expr: str, d: int = 6) -> str:
+    """Rounds half away from zero on the double itself."""
     scale = float(10 ** d)
     return f"(CAST(sign({expr}) AS DOUBLE) * CAST(floor(abs({expr}) * {scale} + 0.5) AS DOUBLE) / {scale} + 0.0)"
 
 
-def XSUM(expr: str, scale: int = 2) -> str:
-    return f"CAST(sum(CAST({expr} AS DECIMAL(18,{scale}))) AS DOUBLE)"
-
-
-def XAVG(expr: str, scale: int = 10) -> str:
-    return f"(CAST(sum(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE) / count({expr}))"
+def FSUM(expr: str, scale: int) -> str:
+    """Sum of a fixed-point column: a plain sum, freed of its noise at the end."""
+    return f"round(sum({expr}), {scale})"
 
 
 SALES = """sales AS (
@@ -42,8 +40,8 @@ def _day_agg(src: str, name: str) -> str:
   SELECT product_code, date, quantity_sold, revenue_before, revenue_after, promotion_indicator, n_lines,
          revenue_before / quantity_sold AS product_selling_price
   FROM (SELECT product_code, date, sum(quantity_sold) AS quantity_sold,
-               {XSUM('revenue_before', 2)} AS revenue_before,
-               {XSUM('revenue_after', 4)} AS revenue_after,
+               {FSUM('revenue_before', 2)} AS revenue_before,
+               {FSUM('revenue_after', 4)} AS revenue_after,
                bool_or(promotion_indicator) AS promotion_indicator, count(*) AS n_lines
         FROM {src} GROUP BY product_code, date))"""
 
@@ -151,7 +149,13 @@ RCPT = """rcpt AS (
          l.l_extendedprice / l.l_quantity AS product_selling_price,
          l.l_extendedprice * (1 - l.l_discount) / l.l_quantity AS calculated_price,
          l.l_extendedprice AS revenue_before_discount_incl_vat, l.l_discount > 0 AS promo_ind,
-         l.l_linestatus AS product_status, l.l_orderkey, l.l_linenumber
+         l.l_linestatus AS product_status,
+         """ + R("l.l_extendedprice * (1 - l.l_discount) * (1 + l.l_tax) / l.l_quantity", 2) + """ AS calculated_price_after_discount,
+         p.p_type AS product_category_code_level1, CAST(p.p_size AS VARCHAR) AS product_category_code_level2,
+         p.p_name AS product_category_code_level3,
+         CASE WHEN l.l_returnflag <> 'R' THEN p.p_retailprice END AS ah_price, l.l_tax AS ah_content_factor,
+         p.p_retailprice * 2 AS plus_price, l.l_discount AS plus_content_factor, substr(p.p_brand, 1, 7) AS brand_name,
+         l.l_orderkey, l.l_linenumber
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""
 
 FIXED = f"""fixed AS (
@@ -159,11 +163,11 @@ FIXED = f"""fixed AS (
   FROM rcpt)"""
 
 STORE_DAY = f"""sday AS (
-  SELECT product_code, date, store_code, {XAVG('product_selling_price')} AS product_selling_price_mean,
-         {XAVG('calculated_price')} AS calculated_price_mean, sum(quantity_sold) AS quantity_sold_sum
+  SELECT product_code, date, store_code, avg(product_selling_price) AS product_selling_price_mean,
+         avg(calculated_price) AS calculated_price_mean, sum(quantity_sold) AS quantity_sold_sum
   FROM (SELECT *, CAST(strptime(date_code, '%Y%m%d') AS DATE) AS date FROM fixed
         WHERE product_selling_price IS NOT NULL)
-  WHERE date <= DATE '2024-08-01' AND quantity_sold > 0
+  WHERE date <= DATE '1998-08-01' AND quantity_sold > 0
   GROUP BY product_code, date, store_code)"""
 
 CHANGES = f"""chg AS (
@@ -207,20 +211,27 @@ us AS (
 
 register("rolling_unique_stores", with_(RCPT, USTORES.format(src="rcpt")) + "SELECT * FROM us")
 
+ROLLUP = f"""
+SELECT d.product_code, d.date, sum(quantity_sold) AS quantity_sold,
+       {R('sum(revenue_before_discount_incl_vat)')} AS revenue_before_discount_incl_vat,
+       min(unique_stores_last_7_days) AS unique_stores_last_7_days,
+       min(unique_stores_last_30_days) AS unique_stores_last_30_days,
+       """ + ", ".join(f"max(CASE WHEN first_store THEN {c} END) AS {c}" for c in [
+    "product_selling_price", "product_category_code_level1", "product_category_code_level2",
+    "product_category_code_level3", "product_status", "promo_ind", "ah_price", "plus_price", "plus_content_factor",
+    "ah_content_factor", "brand_name"]) + f""",
+       {R('avg(calculated_price)')} AS calculated_price,
+       {R('avg(calculated_price_after_discount)')} AS calculated_price_after_discount
+FROM (SELECT *, store_code = min(store_code) OVER (PARTITION BY product_code, date) AS first_store FROM dd) d
+LEFT JOIN us u ON d.product_code = u.product_code AND d.date = u.date
+GROUP BY d.product_code, d.date"""
+
 register("product_day_rollup", with_(RCPT, FIXED, """dd AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, CAST(strptime(date_code, '%Y%m%d') AS DATE) AS date,
            row_number() OVER (PARTITION BY date_code, product_code, store_code ORDER BY l_orderkey, l_linenumber) AS rn
     FROM fixed) WHERE rn = 1)""", USTORES.format(src="dd")) + f"""
-SELECT d.product_code, d.date, sum(quantity_sold) AS quantity_sold,
-       arg_min(unique_stores_last_7_days, store_code) AS unique_stores_last_7_days,
-       arg_min(unique_stores_last_30_days, store_code) AS unique_stores_last_30_days,
-       arg_min(product_selling_price, store_code) AS product_selling_price,
-       {XSUM('revenue_before_discount_incl_vat', 2)} AS revenue_before_discount_incl_vat,
-       arg_min(product_status, store_code) AS product_status, arg_min(promo_ind, store_code) AS promo_ind,
-       {R(XAVG('calculated_price'))} AS calculated_price
-FROM dd d LEFT JOIN us u ON d.product_code = u.product_code AND d.date = u.date
-GROUP BY d.product_code, d.date""")
+{ROLLUP}""")
 
 register("keep_last_dedupe", with_(SALES) + """
 SELECT product_code, date, store_code, quantity_sold, l_orderkey, l_linenumber FROM (
@@ -318,8 +329,8 @@ register("sparse_competitor_share", BSC + "SELECT " + ", ".join(
     f"{R(f'avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) * 100')} AS {c}_null_pct" for _, c in PIVOT_COLS) + " FROM bsc")
 
 register("weekly_iso", BSC + f"""
-SELECT product_code, year_week, sum(quantity_sold) AS quantity_sold, {R(XAVG('product_selling_price'))} AS product_selling_price,
-       min(date) AS date, """ + ", ".join(f"{R(XAVG(c))} AS {c}" for _, c in PIVOT_COLS) + """
+SELECT product_code, year_week, sum(quantity_sold) AS quantity_sold, {R(f"avg({R('product_selling_price', 2)})")} AS product_selling_price,
+       min(date) AS date, """ + ", ".join(f"{R('avg(' + R(c, 2) + ')')} AS {c}" for _, c in PIVOT_COLS) + """
 FROM bsc GROUP BY product_code, year_week""")
 
 register("last_n_rows", with_(SALES, PANEL) + f"""
@@ -408,12 +419,12 @@ FROM hfeat GROUP BY 1""")
 
 MONTHLY = f"""monthly AS (
   SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_year,
-         {XSUM('o_totalprice', 2)} / count(*) / 1000 AS cpi
+         {FSUM('o_totalprice', 2)} / count(*) / 1000 AS cpi
   FROM orders GROUP BY 1)"""
 
 MONTHLY_CAT = f"""monthly_cat AS (
   SELECT o_orderpriority AS category_name, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_year,
-         {XSUM('o_totalprice', 2)} / count(*) / 1000 AS cpi
+         {FSUM('o_totalprice', 2)} / count(*) / 1000 AS cpi
   FROM orders GROUP BY 1, 2)"""
 
 
@@ -467,7 +478,7 @@ register("climatology", with_(WEATHER) + f"""
 SELECT w.*, {R('avg(mean_temp) OVER (PARTITION BY month(date), day(date))')} AS mean_temp_over_years FROM weather w""")
 
 register("weekly_weather", with_(WEATHER) + "SELECT CAST(date_trunc('week', date) AS DATE) AS week, " + ", ".join(
-    R(f"CAST(sum(CAST({c} AS DECIMAL(24,6))) AS DOUBLE) / count({c})", d) + f" AS {c}"
+    R(f"round(sum({c}), 1) / count({c})", d) + f" AS {c}"
     for c, d in [("mean_temp", 1), ("min_temp", 1), ("max_temp", 1), ("sum_rain", 0), ("len_rain", 0)]) + """
 FROM weather GROUP BY 1""")
 
@@ -612,8 +623,8 @@ def _category_elasticity_sql(src: str) -> str:
          count(DISTINCT product_code) AS num_products,
          {R('sum(elasticity * total_revenue) / sum(total_revenue)', 2)} AS elasticity_weighted
   FROM (SELECT e.*, c.category_name_level1, r.total_revenue FROM elas e
-        LEFT JOIN (SELECT DISTINCT product_code, category_name_level1 FROM {src}) c ON e.product_code = c.product_code
-        LEFT JOIN (SELECT product_code, {XSUM('revenue_before', 2)} AS total_revenue FROM {src} GROUP BY 1) r
+        JOIN (SELECT DISTINCT product_code, category_name_level1 FROM {src} WHERE category_name_level1 IS NOT NULL) c ON e.product_code = c.product_code
+        LEFT JOIN (SELECT product_code, sum(revenue_before) AS total_revenue FROM {src} GROUP BY 1) r
           ON e.product_code = r.product_code)
   GROUP BY 1 HAVING count(DISTINCT product_code) >= 5)"""
 
@@ -632,7 +643,7 @@ register("sales_fraction", with_(SALES, PANEL, PART, CPANEL, FRACTION.format(lv=
 register("category_elasticity_qty", with_(SALES, PANEL, PART, CPANEL, _elastic_ctes("cpanel"), FRACTION.format(lv=2)) + f"""
 , merged AS (
   SELECT e.product_code, e.elasticity, c.category_name_level2 FROM elas e
-  LEFT JOIN (SELECT DISTINCT product_code, category_name_level2 FROM cpanel) c ON e.product_code = c.product_code
+  JOIN (SELECT DISTINCT product_code, category_name_level2 FROM cpanel WHERE category_name_level2 IS NOT NULL) c ON e.product_code = c.product_code
   WHERE e.elasticity <= 0)
 SELECT s.category_name_level2, s.elasticity_median, s.elasticity_mean, s.num_products,
        {R('w.weighted_elasticities', 2)} AS weighted_elasticities
@@ -656,9 +667,15 @@ FROM elas""")
 register("overview_stats", with_(SALES, PANEL) + """
 SELECT count(DISTINCT product_code) AS n_products, count(*) AS n_rows, min(product_selling_price) AS min_price,
        max(product_selling_price) AS max_price, median(product_selling_price) AS median_price,
-       min(date) AS first_date, max(date) AS last_date
+       min(date) AS first_date, max(date) AS last_date,
+       100.0 * count_if(product_selling_price IS NULL) / count(*) AS price_null_pct
 FROM panel""")
 
+register("overview_by_category", with_(SALES, PANEL, PART, CPANEL) + f"""
+SELECT CASE WHEN isodow(date) < 6 THEN category_name_level1 END AS category, count(DISTINCT product_code) AS n_products,
+       count(*) AS n_rows, {R('median(product_selling_price)')} AS median_price
+FROM cpanel GROUP BY 1""")
+
 register("products_per_status", with_(SALES) +
          "SELECT product_status, count(DISTINCT product_code) AS n_products FROM sales GROUP BY 1")
 
@@ -793,11 +810,14 @@ SELECT product_code, sequence_number, {R('slope', 4)} AS slope, {R('intercept',
   WHERE q > 0 AND p > 0 GROUP BY 1, 2)
 WHERE n_points >= 2 AND slope IS NOT NULL""")
 
-register("product_names_join", with_(SALES, PART) + """
+register("product_names_join", with_(SALES, PART, """names AS (
+  SELECT product_code, category_name_level1, category_name_level2, brand_name FROM pdim
+  UNION ALL
+  SELECT product_code, 'A' || category_name_level1, category_name_level2, 'Z' || brand_name FROM pdim)""") + """
 SELECT s.product_code, s.date, s.l_orderkey, s.l_linenumber, n.category_name_level1, n.category_name_level2, n.brand_name
-FROM sales s LEFT JOIN (SELECT product_code, min(category_name_level1) AS category_name_level1,
-                               min(category_name_level2) AS category_name_level2, min(brand_name) AS brand_name
-                        FROM pdim GROUP BY 1) n ON s.product_code = n.product_code""")
+FROM sales s LEFT JOIN (SELECT * FROM names QUALIFY row_number() OVER (
+       PARTITION BY product_code ORDER BY category_name_level1, category_name_level2, brand_name) = 1) n
+  ON s.product_code = n.product_code""")
 
 register("weather_features", with_(SALES, PANEL, WEATHER) + f"""
 SELECT p.product_code, p.date, w.mean_temp, w.min_temp, w.max_temp, w.sum_rain, {R('w.clim')} AS mean_temp_over_years
@@ -805,12 +825,9 @@ FROM panel p LEFT JOIN (SELECT *, avg(mean_temp) OVER (PARTITION BY month(date),
   ON p.date = w.date""")
 
 
-def _sparse_drop_sql() -> str:
-    # the kept column set is decided from the data, as the operator does at plan time
-    return "SELECT product_code, date, " + ", ".join(
-        f"CASE WHEN (SELECT avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) * 100 FROM bsc) > 59.0 THEN NULL ELSE {R(c)} END AS {c}"
-        for _, c in PIVOT_COLS) + " FROM bsc"
-
+# the asia column is emptied but for the first days of a year and goes; the other four stay
+register("sparse_competitor_drop", BSC + "SELECT product_code, date, " + ", ".join(
+    f"{R(c)} AS {c}" for _, c in PIVOT_COLS if c != "asia_price") + " FROM bsc")
 
 register("cpi_period_parse", with_(MONTHLY) + f"""
 SELECT month_year, {R('cpi')} AS cpi, CAST(year(month_year) AS INTEGER) AS year, CAST(month(month_year) AS INTEGER) AS month,
@@ -854,15 +871,7 @@ dd AS (
     SELECT *, CAST(strptime(date_code, '%Y%m%d') AS DATE) AS date,
            row_number() OVER (PARTITION BY date_code, product_code, store_code ORDER BY l_orderkey, l_linenumber) AS rn
     FROM fol) WHERE rn = 1)""", USTORES.format(src="dd")) + f"""
-SELECT d.product_code, d.date, sum(quantity_sold) AS quantity_sold,
-       arg_min(unique_stores_last_7_days, store_code) AS unique_stores_last_7_days,
-       arg_min(unique_stores_last_30_days, store_code) AS unique_stores_last_30_days,
-       arg_min(product_selling_price, store_code) AS product_selling_price,
-       {XSUM('revenue_before_discount_incl_vat', 2)} AS revenue_before_discount_incl_vat,
-       arg_min(product_status, store_code) AS product_status, arg_min(promo_ind, store_code) AS promo_ind,
-       {R(XAVG('calculated_price'))} AS calculated_price
-FROM dd d LEFT JOIN us u ON d.product_code = u.product_code AND d.date = u.date
-GROUP BY d.product_code, d.date""")
+{ROLLUP}""")
 
 register("preprocess_panel", with_(SALES, PANEL, PART, CPANEL, MONTHLY, CPI_DAILY, """c1 AS (
   SELECT * FROM cpanel WHERE product_code IN (
@@ -884,3 +893,148 @@ SELECT p.product_code, p.date, p.quantity_sold, p.product_selling_price, p.categ
        {R('p.product_selling_price * ((SELECT avg(cpi) FROM cpid WHERE year(date) = 1998) / c.cpi)')} AS adjusted_price
 FROM c5 p LEFT JOIN cpid c ON p.date = c.date
 WHERE p.date <= (SELECT max(date) FROM cpid)""")
+
+
+# ---------------------------------------------------------------- rows of the inventory without a chain of their own
+GAPS = """gaps0 AS (
+  SELECT * REPLACE (CASE WHEN epoch(date)::BIGINT // 86400 % 5 <> 0 THEN product_selling_price END AS product_selling_price,
+                    CASE WHEN epoch(date)::BIGINT // 86400 % 7 <> 0 THEN quantity_sold END AS quantity_sold) FROM panel),
+gaps AS (
+  SELECT *, 0 AS version FROM gaps0
+  UNION ALL SELECT * REPLACE (quantity_sold + 1 AS quantity_sold), 1 AS version FROM gaps0 WHERE epoch(date)::BIGINT // 86400 % 3 = 0)"""
+
+register("weekly_resample_gaps", with_(SALES, PANEL, GAPS, """wk AS (
+  SELECT product_code, CAST(date_trunc('week', date) AS DATE) AS week,
+         arg_max(product_selling_price, date) FILTER (product_selling_price IS NOT NULL) AS product_selling_price,
+         coalesce(sum(quantity_sold), 0) AS quantity_sold
+  FROM gaps0 GROUP BY ALL)""", WEEKLY_UNFILLED[WEEKLY_UNFILLED.index("grid AS"):]) + "SELECT * FROM wku")
+
+register("last_actual_price", with_(SALES, PANEL, GAPS) + """
+SELECT product_code, arg_max(product_selling_price, date) FILTER (product_selling_price IS NOT NULL) AS product_selling_price
+FROM gaps0 GROUP BY 1""")
+
+register("preprocess_weekly", with_(SALES, PANEL, GAPS, f"""cents AS (
+  SELECT * REPLACE ({R('product_selling_price', 2)} AS product_selling_price) FROM gaps),
+inside AS (
+  SELECT * FROM (
+    SELECT *, quantile_cont(product_selling_price, 0.25) OVER (PARTITION BY product_code) AS q1,
+              quantile_cont(product_selling_price, 0.75) OVER (PARTITION BY product_code) AS q3 FROM cents)
+  WHERE product_selling_price >= greatest(q1 - 2.0 * (q3 - q1), 0.0) AND product_selling_price <= q3 + 2.0 * (q3 - q1)),
+once AS (SELECT * FROM inside QUALIFY row_number() OVER (PARTITION BY product_code, date ORDER BY version DESC) = 1)""") + f"""
+SELECT product_code, printf('%d_%02d', isoyear(date), week(date)) AS year_week, coalesce(sum(quantity_sold), 0) AS quantity_sold,
+       {R('avg(product_selling_price)')} AS product_selling_price, min(date) AS date
+FROM once GROUP BY 1, 2""")
+
+register("category_elasticity_gaps", with_(SALES, PANEL, PART, CPANEL, _elastic_ctes("cpanel")) + f"""
+SELECT category, {R('median(elasticity)', 2)} AS elasticity_median, count(DISTINCT product_code) AS num_products
+FROM elas JOIN (SELECT DISTINCT product_code, category_name_level1 AS category FROM cpanel
+                WHERE CAST(product_code AS BIGINT) % 4 <> 0 AND category_name_level1 IS NOT NULL) USING (product_code)
+GROUP BY 1""")
+
+register("column_hygiene", with_(SALES) + f"""
+SELECT product_code, l_orderkey, l_linenumber, {R('quantity_sold', 2)} AS quantity_sold, {R('revenue_before', 2)} AS revenue_before,
+       coalesce(CASE WHEN l_linenumber <> 1 THEN promotion_indicator END, false) AS promotion_indicator,
+       {R('discount', 2)} AS note_2, 'shop' AS store_priceline_code, {R('product_selling_price', 2)} AS product_selling_price,
+       date, 'demo' AS client
+FROM sales WHERE return_flag NOT IN ('N', 'R')""")
+
+register("content_factor", with_(RCPT) + f"""
+SELECT product_code, date_code, l_orderkey, l_linenumber, {R('ah_price * ah_content_factor')} AS ah_price,
+       {R('plus_price * plus_content_factor')} AS plus_price FROM rcpt""")
+
+register("weighted_price_equal", with_(RCPT, FIXED) + """
+SELECT product_code, store_code, date_code, l_orderkey, l_linenumber, calculated_price = product_selling_price AS is_selling_price
+FROM fixed""")
+
+register("cpi_adjust_category", with_(SALES, MONTHLY_CAT, _interp_sql("monthly_cat", "cpid", "category_name"), """based AS (
+  SELECT category_name, avg(cpi) AS base FROM cpid WHERE year(date) = 1998 GROUP BY 1)""") + f"""
+SELECT s.product_code, s.date, s.l_orderkey, s.l_linenumber, o.o_orderpriority AS category_name, {R('c.cpi')} AS cpi,
+       {R('s.product_selling_price * (b.base / c.cpi)')} AS adjusted_price
+FROM sales s JOIN orders o ON s.l_orderkey = o.o_orderkey
+LEFT JOIN cpid c ON c.category_name = o.o_orderpriority AND c.date = s.date
+LEFT JOIN based b ON b.category_name = o.o_orderpriority
+WHERE s.date <= (SELECT max(date) FROM cpid)""")
+
+register("read_many_roundtrip", with_(SALES, PANEL) + """
+SELECT product_code, date, quantity_sold, product_selling_price, CASE WHEN year(date) < 1997 THEN revenue_before END AS revenue_before FROM panel""")
+
+register("json_mapping_lookup", """
+SELECT s_suppkey, CAST(s_nationkey AS VARCHAR) AS code, CASE WHEN n_nationkey < 20 THEN n_name END AS nation
+FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""")
+
+register("json_records_landed", with_(MONTHLY) + f"""
+SELECT strftime(month_year, '%YMM%m') AS Perioden, {R('cpi')} AS CPI_1 FROM monthly""")
+
+register("price_grid_persist", ORACLE["price_grid"])
+
+register("rollups_sorted", with_(SALES, PANEL, PART, CPANEL, _elastic_ctes("cpanel"), _category_elasticity_sql("cpanel")) + """
+SELECT category_name_level1, elasticity_weighted,
+       CAST(row_number() OVER (ORDER BY elasticity_weighted, category_name_level1) AS INTEGER) AS place FROM catel""")
+
+register("time_folds", with_(SALES, PANEL) + """
+SELECT product_code, date, CAST(block AS INTEGER) AS block
+FROM panel JOIN (SELECT date, ntile(4) OVER (ORDER BY date) - 1 AS block FROM (SELECT DISTINCT date FROM panel)) USING (date)""")
+
+register("estimation_sums", with_(SALES, PANEL, GAPS) + f"""
+SELECT g.product_code, {R('g.price', 2)} AS product_selling_price_calc, {R('sum(floor(1000.0 / g.price + 1))', 2)} AS predicted_quantity,
+       {R('any_value(l.p)', 2)} AS product_selling_price
+FROM ({ORACLE["price_grid"].replace("WITH " + SALES + ",", "WITH RECURSIVE " + SALES + ",")}) g
+LEFT JOIN (SELECT product_code, arg_max(product_selling_price, date) FILTER (product_selling_price IS NOT NULL) AS p
+           FROM gaps0 GROUP BY 1) l ON g.product_code = l.product_code
+GROUP BY g.product_code, g.price""")
+
+register("leakage_status", with_(SALES, PANEL) + f"""
+SELECT {R('r2')} AS holdout_r2, CASE WHEN r2 > 0.87 THEN 'error' WHEN r2 > 0.82 THEN 'warning' ELSE 'ok' END AS status
+FROM (SELECT 1 - sum((quantity_sold - guess) ** 2) / (count(*) * var_pop(quantity_sold)) AS r2
+      FROM (SELECT quantity_sold, quantity_sold + day(date) % 3 - 1 AS guess FROM panel))""")
+
+_FEATURES = (["product_code", "promotion_indicator", "product_selling_price"] + [f"price_distance_{s}" for s in SLUGS] +
+             ["cheapest_competitor", "most_expensive_competitor", "price_distance_cheapest", "price_distance_most_expensive",
+              "price_distance_mean", "n_competitors_cheaper", "n_competitors_available", "comp_price_index", "log_own_price",
+              "log_comp_index", "log_relative_price"] + [f"price_change_product_selling_price_lag_{k}" for k in LAGS])
+register("model_features", MODEL + ",\nmf AS (SELECT *, log_own_price - log_comp_index AS log_relative_price, " + ", ".join(
+    f"(product_selling_price - product_selling_price_lag_{k}) / nullif(product_selling_price_lag_{k}, 0) AS price_change_product_selling_price_lag_{k}"
+    for k in LAGS) + " FROM mp)\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS feature, count({c}) AS n_values FROM mf" for c in _FEATURES))
+
+ADJUSTED = f"""adj AS (
+  SELECT b.*, c.cpi, b.product_selling_price * ((SELECT avg(cpi) FROM cpid WHERE year(date) = 1998) / c.cpi) AS adjusted_price
+  FROM bsc b LEFT JOIN cpid c ON b.date = c.date WHERE b.date <= (SELECT max(date) FROM cpid))"""
+
+register("build_features", BSC.rstrip() + ",\n" + ",\n".join([MONTHLY, CPI_DAILY, WEATHER, "dates AS (SELECT DISTINCT date FROM bsc WHERE date <= (SELECT max(date) FROM cpid))",
+                                                           HOLIDAY_FEATURES, ADJUSTED]) + ",\n" +
+         FFILL.replace("promotion_indicator, ", "promotion_indicator, adjusted_price, ").replace("FROM bsc", "FROM adj") + ",\n" + FEAT + f"""
+SELECT f.product_code, f.date, CAST(isodow(f.date) - 1 AS INTEGER) AS day_of_week, CAST(month(f.date) AS INTEGER) AS month,
+       f.date = last_day(f.date) AS is_month_end, w.mean_temp, w.sum_rain, h.holiday, h.time_until_next_holiday, """ + ", ".join(
+    R(f"({c} - lag({c}, {k}) OVER p) / nullif(lag({c}, {k}) OVER p, 0) * 100") + f" AS price_change_{c}_lag_{k}"
+    for c in ("product_selling_price", "adjusted_price") for k in LAGS) + f""",
+       {R('price_distance_mean')} AS price_distance_mean, {R('log_own_price')} AS log_own_price,
+       CAST(n_competitors_available AS INTEGER) AS n_competitors_available, coalesce(promotion_indicator, false) AS promotion_indicator
+FROM fe3 f LEFT JOIN weather w ON f.date = w.date LEFT JOIN hfeat h ON f.date = h.date
+WINDOW p AS (PARTITION BY product_code ORDER BY f.date)""")
+
+register("counterfactual_two_prices", BSC.rstrip() + ",\n" + ",\n".join([MONTHLY, CPI_DAILY, ADJUSTED]) + """,
+lagged AS (SELECT *, """ + ", ".join(f"lag(adjusted_price, {k}) OVER w AS al{k}" for k in LAGS) + """
+  FROM adj WINDOW w AS (PARTITION BY product_code ORDER BY date)),
+tst AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY product_code ORDER BY date) - 1 AS INTEGER) AS sequence_number
+  FROM (SELECT * FROM lagged QUALIFY date >= CAST(max(date) OVER (PARTITION BY product_code) - 13 AS DATE))),
+xp AS (
+  SELECT *, """ + _ladder_sql("product_selling_price") + """ AS price, CAST(g AS INTEGER) AS grid_idx
+  FROM tst, unnest(generate_series(0, 20)) AS t(g) WHERE product_selling_price > 0)
+SELECT product_code, date, sequence_number, grid_idx, price AS product_selling_price,
+       """ + R("adjusted_price * (price / product_selling_price)") + " AS adjusted_price, " + ", ".join(
+    R(f"CASE WHEN {k} <= sequence_number THEN adjusted_price * (price / product_selling_price) ELSE al{k} END") + f" AS adjusted_price_lag_{k}"
+    for k in LAGS) + " FROM xp")
+
+register("demand_curve_sequences", with_(SALES, PANEL) + f""", est AS (
+  SELECT product_code, CAST(year(date) AS INTEGER) AS yr, {R('product_selling_price', 0)} AS p, sum(quantity_sold) AS q
+  FROM panel GROUP BY 1, 2, 3)
+SELECT product_code AS product_code_elasticity, yr AS sequence_number_elasticity, count(*) AS n_points, min(p) AS lowest_price,
+       count(*) AS n_sales
+FROM est JOIN (SELECT product_code, yr FROM est WHERE q > 0 AND p > 0 GROUP BY 1, 2
+               HAVING count(*) >= 2 AND regr_slope(ln(q), ln(p)) IS NOT NULL) f USING (product_code, yr)
+WHERE p > 0 GROUP BY 1, 2""")
+
+register("subset_sample", with_(SALES, PANEL) + """
+SELECT * FROM panel WHERE ('0x' || substr(md5(product_code || ':42'), 1, 8))::BIGINT % 100 < 50""")

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_half_up
+from ..functions.scalars import parse_date, round_half_up
 from ..operators import competitors as comp
 from ..sources import testdata as td
 
@@ -92,6 +92,10 @@ def q_sales_competitor_join(spark, d):
 from ..operators import panel  # noqa: E402
 
 
+CUTOFF = "1998-08-01"
+ROLLUP_ROUNDED = ("calculated_price", "calculated_price_after_discount", "revenue_before_discount_incl_vat")
+
+
 def fixed_receipts(spark, d):
     return panel.fix_weighted_products(td.receipts(spark, d))
 
@@ -103,20 +107,20 @@ def q_weighted_price_fix(spark, d):
 
 @query("store_day_agg")
 def q_store_day_agg(spark, d):
-    out = panel.store_day_aggregate(panel.select_rows(fixed_receipts(spark, d)))
+    out = panel.store_day_aggregate(panel.select_rows(fixed_receipts(spark, d), CUTOFF))
     return out.select("product_code", "date", "store_code", r6("product_selling_price_mean"),
                       r6("calculated_price_mean"), "quantity_sold_sum")
 
 
 @query("store_price_corr")
 def q_store_price_corr(spark, d):
-    changes = panel.store_price_changes(panel.store_day_aggregate(panel.select_rows(fixed_receipts(spark, d))))
+    changes = panel.store_price_changes(panel.store_day_aggregate(panel.select_rows(fixed_receipts(spark, d), CUTOFF)))
     return panel.store_price_correlation(changes).select("product_code", "store_code", "n_changes", r6("corr"))
 
 
 @query("store_follower_select")
 def q_store_follower_select(spark, d):
-    return panel.select_store_followers(fixed_receipts(spark, d))
+    return panel.select_store_followers(fixed_receipts(spark, d), CUTOFF)
 
 
 @query("rolling_unique_stores")
@@ -127,8 +131,8 @@ def q_rolling_unique_stores(spark, d):
 
 @query("product_day_rollup")
 def q_product_day_rollup(spark, d):
-    out = panel.product_day_rollup(fixed_receipts(spark, d))
-    return out.select(*[r6(c) if c == "calculated_price" else c for c in out.columns])
+    out = panel.product_day_rollup(fixed_receipts(spark, d), tiebreak=TB)
+    return out.select(*[r6(c) if c in ROLLUP_ROUNDED else c for c in out.columns])
 
 
 @query("keep_last_dedupe")
@@ -236,7 +240,10 @@ def q_sparse_competitor_share(spark, d):
 
 @query("weekly_iso")
 def q_weekly_iso(spark, d):
-    out = weekly.weekly_iso(brand_sales_competitors(spark, d), competitor_cols=WIDE_COLS)
+    # prices in cents, as shops have them: the means then do not sit on rounding boundaries
+    rows = brand_sales_competitors(spark, d)
+    rows = rows.withColumns({c: round_half_up(c, 2) for c in ["product_selling_price", *WIDE_COLS]})
+    out = weekly.weekly_iso(rows, competitor_cols=WIDE_COLS)
     return out.select("product_code", "year_week", "quantity_sold", r6("product_selling_price"), "date",
                       *[r6(c) for c in WIDE_COLS])
 
@@ -324,7 +331,7 @@ def q_climatology(spark, d):
 
 @query("weekly_weather")
 def q_weekly_weather(spark, d):
-    return weekly.weekly_weather(weather(spark, d))
+    return weekly.weekly_weather(weather(spark, d), scale=1)
 
 
 # ---------------------------------------------------------------- features
@@ -484,6 +491,14 @@ def q_overview_stats(spark, d):
     return el.overview_stats(panel_(spark, d))
 
 
+@query("overview_by_category")
+def q_overview_by_category(spark, d):
+    """Per category; weekend rows stand for rows without one."""
+    rows = category_panel(spark, d).withColumn(
+        "category", F.when(F.weekday("date") < 5, F.col("category_name_level1")))
+    return el.overview_stats(rows, category_col="category").select("category", "n_products", "n_rows", r6("median_price"))
+
+
 @query("products_per_status")
 def q_products_per_status(spark, d):
     return el.products_per_category(td.sales_rows(spark, d), "product_status")
@@ -556,7 +571,7 @@ def q_resimulated_features(spark, d):
 # ---------------------------------------------------------------- demand model (rows-only checks)
 from ..operators import model as mdl  # noqa: E402
 
-MODEL_CFG = mdl.ModelConfig(max_iter=30, max_depth=6, price_change_weight=2.0)
+MODEL_CFG = mdl.ModelConfig(price_change_weight=2.0)
 
 
 def model_inputs(spark, d):
@@ -579,7 +594,7 @@ def predictions_per_day(spark, d):
     test = mp.filter("is_test").drop("is_test")
     exp = sim.resimulate_features(sim.expand_counterfactual(test, lag_cols=LAG_COLS), ["product_selling_price"],
                                   LAGS, COMP_SLUGS)
-    scored = mdl.predict_quantity(model, exp, [f for f in feats if f in exp.columns])
+    scored = mdl.predict_quantity(model, exp)
     return mp, scored.select("product_code", "date", "predicted_quantity",
                              F.col("product_selling_price").alias("product_selling_price_calc"))
 
@@ -599,7 +614,7 @@ def q_leakage_check(spark, d):
 @query("time_cv")
 def q_time_cv(spark, d):
     mp, feats = model_inputs(spark, d)
-    grid = [{"max_depth": 4, "max_iter": 10}, {"max_depth": 6, "max_iter": 10}]
+    grid = [{"max_depth": 5}, {"max_depth": 6}]
     return mdl.time_series_cv(mp.filter(~F.col("is_test")), MODEL_CFG, feats, grid, n_folds=3)
 
 
@@ -695,7 +710,10 @@ def q_demand_curve_by_sequence(spark, d):
 
 @query("product_names_join")
 def q_product_names_join(spark, d):
-    names = td.part_dim(spark, d).select("product_code", "category_name_level1", "category_name_level2", "brand_name")
+    # two name rows per product whose columns sort differently: they must not be mixed
+    parts = td.part_dim(spark, d).select("product_code", "category_name_level1", "category_name_level2", "brand_name")
+    names = parts.unionByName(parts.withColumns({"category_name_level1": F.concat(F.lit("A"), "category_name_level1"),
+                                                 "brand_name": F.concat(F.lit("Z"), "brand_name")}))
     out = clean.merge_product_names(td.sales_rows(spark, d), names)
     return out.select("product_code", "date", *TB, "category_name_level1", "category_name_level2", "brand_name")
 
@@ -709,7 +727,10 @@ def q_weather_features(spark, d):
 
 @query("sparse_competitor_drop")
 def q_sparse_competitor_drop(spark, d):
-    out = comp.drop_sparse_competitors(brand_sales_competitors(spark, d), COMP_SLUGS, 59.0)
+    # one competitor is known in the first days of a year only, so its column goes and the others stay
+    rows = brand_sales_competitors(spark, d).withColumn(
+        "asia_price", F.when(F.dayofyear("date") <= 10, F.col("asia_price")))
+    out = comp.drop_sparse_competitors(rows, COMP_SLUGS, 96.0)
     return out.select("product_code", "date", *[r6(c) for c in WIDE_COLS if c in out.columns])
 
 
@@ -733,8 +754,7 @@ def q_cpi_period_parse(spark, d):
 def q_cpi_text_clean(spark, d):
     """Monthly index as Dutch text rows ('1995 januari*', '12,345') with annual all-digit rows
     and blank values on the first month of each quarter (filled from the row above)."""
-    names = ["januari", "februari", "maart", "april", "mei", "juni", "juli", "augustus", "september",
-             "oktober", "november", "december"]
+    names = list(ref.DUTCH_MONTHS)
     m = td.monthly_index(spark, d)
     month_name = F.element_at(F.array(*[F.lit(n) for n in names]), F.month("month_year"))
     value = F.regexp_replace(F.format_string("%.3f", round_half_up("cpi", 3)), r"\.", ",")
@@ -782,8 +802,8 @@ PREPROCESS_PROFILE = ClientProfile(name="parts", min_price_levels=5, min_sales=2
 @query("receipt_panel")
 def q_receipt_panel(spark, d):
     """Entry C: weighted-goods fix -> store-follower selection -> product-day roll-up."""
-    out = pl.receipt_panel(td.receipts(spark, d))
-    return out.select(*[r6(c) if c == "calculated_price" else c for c in out.columns])
+    out = pl.receipt_panel(td.receipts(spark, d), CUTOFF, tiebreak=TB)
+    return out.select(*[r6(c) if c in ROLLUP_ROUNDED else c for c in out.columns])
 
 
 @query("preprocess_panel")
@@ -792,3 +812,226 @@ def q_preprocess_panel(spark, d):
     out = pl.preprocess(category_panel(spark, d), PREPROCESS_PROFILE, td.monthly_index(spark, d))
     return out.select("product_code", "date", "quantity_sold", "product_selling_price", "category_name_level1",
                       "category_name_level2", r6("cpi"), r6("adjusted_price"))
+
+
+# ---------------------------------------------------------------- rows of the inventory without a chain of their own
+def with_gaps(panel_df):
+    """The panel with unknown prices (every 5th day) and quantities (every 7th), and with repeated rows."""
+    day = F.unix_date("date")
+    gaps = panel_df.withColumns({
+        "product_selling_price": F.when(day % 5 != 0, F.col("product_selling_price")),
+        "quantity_sold": F.when(day % 7 != 0, F.col("quantity_sold"))})
+    return gaps.withColumn("version", F.lit(0)).unionByName(
+        gaps.filter(day % 3 == 0).withColumns({"version": F.lit(1), "quantity_sold": F.col("quantity_sold") + 1}))
+
+
+@query("weekly_resample_gaps")
+def q_weekly_resample_gaps(spark, d):
+    """Last known price of a week, and 0 sold in a week of unknown quantities."""
+    return weekly.weekly_resample(with_gaps(panel_(spark, d)).filter("version = 0"), fill=False)
+
+
+@query("last_actual_price")
+def q_last_actual_price(spark, d):
+    return mdl.last_actual_price(with_gaps(panel_(spark, d)).filter("version = 0"), "product_selling_price")
+
+
+@query("preprocess_weekly")
+def q_preprocess_weekly(spark, d):
+    """Repeated rows count once (the last version) in the weekly panel; no filter is set but IQR."""
+    rows = with_gaps(panel_(spark, d)).withColumn("product_selling_price", round_half_up("product_selling_price", 2))
+    out = pl.preprocess(rows, ClientProfile(name="weekly", status_vocabulary=["F", "O"]), weekly_output=True,
+                        tiebreak=["version"])
+    return out.select("product_code", "year_week", "quantity_sold", r6("product_selling_price"), "date")
+
+
+@query("category_elasticity_gaps")
+def q_category_elasticity_gaps(spark, d):
+    """Products without a category belong to none; revenue falls back to the one after discount."""
+    cp = category_panel(spark, d).withColumn(
+        "category", F.when(F.col("product_code").cast("long") % 4 != 0, F.col("category_name_level1")))
+    _, _, _, e = observed_elasticity(cp)
+    return el.category_elasticity(e, cp.drop("revenue_before"), "category", fallback_revenue_col="revenue_after",
+                                  min_products=1).select("category", "elasticity_median", "num_products")
+
+
+@query("column_hygiene")
+def q_column_hygiene(spark, d):
+    """Aliases renamed, repeated names numbered, columns dropped, channel and price filters, rounding, casts."""
+    rows = td.sales_rows(spark, d).select(
+        "product_code", F.date_format("date", "yyyyMMdd").alias("date_code"), *TB, F.col("quantity_sold").alias("total_quantity_sold"),
+        F.col("revenue_before").alias("total_revenue_before_discount"), F.col("promotion_indicator").alias("promo_ind"),
+        F.col("discount").alias("note"), F.col("discount").alias("note"),
+        F.when(F.col("return_flag") == "N", "web").otherwise("shop").alias("store_priceline_code"),
+        F.when(F.col("return_flag") != "R", F.col("product_selling_price")).alias("product_selling_price"))
+    rows = clean.deduplicate_column_names(clean.rename_columns(rows))
+    rows = clean.filter_valid_price(clean.filter_channel(clean.drop_columns(rows, ["note"]), "shop"))
+    rows = feat.cast_feature_types(rows.withColumn("date", parse_date("date_code")).withColumn(
+        "promotion_indicator", F.when(F.col("l_linenumber") != 1, F.col("promotion_indicator"))))
+    return clean.add_output_metadata(feat.round_doubles(rows.drop("date_code"), 2), client="demo")
+
+
+@query("content_factor")
+def q_content_factor(spark, d):
+    rows = td.receipts(spark, d).select("product_code", "date_code", *TB, "ah_price", "ah_content_factor", "plus_price",
+                                        "plus_content_factor")
+    out = comp.apply_content_factor(rows, ["ah", "plus"])
+    return out.select("product_code", "date_code", *TB, r6("ah_price"), r6("plus_price"))
+
+
+@query("weighted_price_equal")
+def q_weighted_price_equal(spark, d):
+    out = panel.fix_weighted_products(td.receipts(spark, d), equal_col="is_selling_price")
+    return out.select("product_code", "store_code", "date_code", *TB, "is_selling_price")
+
+
+@query("cpi_adjust_category")
+def q_cpi_adjust_category(spark, d):
+    """Each row's own category index: the order priority stands for the category."""
+    daily = ref.interpolate_cpi(td.monthly_index_by_category(spark, d), category_col="category_name")
+    orders = td.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                                 F.col("o_orderpriority").alias("category_name"))
+    rows = td.sales_rows(spark, d).join(orders, "l_orderkey")
+    out = ref.adjust_price_base_year(rows, daily, CPI_BASE_YEAR, category_col="category_name")
+    return out.select("product_code", "date", *TB, "category_name", r6("cpi"), r6("adjusted_price"))
+
+
+@query("read_many_roundtrip")
+def q_read_many_roundtrip(spark, d):
+    """Two files of which one lacks a column, listed, read together; an optional third is not there."""
+    base = pio.scratch_path(spark, "many")
+    rows = panel_(spark, d).select(*PANEL_COLS, "revenue_before")
+    pio.write_parquet(rows.filter(F.year("date") < 1997), f"{base}/a")
+    pio.write_parquet(rows.filter(F.year("date") >= 1997).drop("revenue_before"), f"{base}/b")
+    if pio.read_optional(spark, f"{base}/c") is not None:
+        raise ValueError("a table that was never written was found")
+    return pio.read_many(spark, pio.list_files(spark, base), union_columns=True).select(*PANEL_COLS, "revenue_before")
+
+
+@query("json_mapping_lookup")
+def q_json_mapping_lookup(spark, d):
+    """Nation names as a JSON object file, loaded back as a dictionary and looked up per supplier."""
+    path = pio.scratch_path(spark, "mapping")
+    nation = td.table(spark, d, "nation").filter("n_nationkey < 20")
+    (nation.agg(F.map_from_entries(F.collect_list(F.struct(F.col("n_nationkey").cast("string"), "n_name"))).alias("m"))
+     .select(F.to_json("m").alias("value")).write.text(path))
+    rows = td.table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("code"))
+    return clean.map_values(rows, "code", pio.load_json_mapping(spark, path), out_col="nation")
+
+
+@query("json_records_landed")
+def q_json_records_landed(spark, d):
+    """The monthly index landed as one API response {"value": [...]} and read back."""
+    path = pio.scratch_path(spark, "landed")
+    m = td.monthly_index(spark, d).select(F.date_format("month_year", "yyyy'MM'MM").alias("Perioden"), r6("cpi", "CPI_1"))
+    (m.agg(F.sort_array(F.collect_list(F.struct("Perioden", "CPI_1"))).alias("value"))  # one row per month
+     .select(F.to_json(F.struct("value")).alias("value")).write.text(path))
+    return pio.read_json_records(spark, path).select("Perioden", r6("CPI_1"))
+
+
+@query("price_grid_persist")
+def q_price_grid_persist(spark, d):
+    path = pio.scratch_path(spark, "grid")
+    pio.save_price_grid(sim.price_grid(sim.reference_rows(panel_(spark, d), GRID_DAYS)), path)
+    return pio.read_parquet(spark, path).select("product_code", "date", "sequence_number",
+                                                F.posexplode("prices").alias("grid_idx", "price"))
+
+
+@query("rollups_sorted")
+def q_rollups_sorted(spark, d):
+    """Rank of each category by its weighted elasticity."""
+    from pyspark.sql import Window
+    out = q_category_elasticity(spark, d)
+    order = Window.orderBy("elasticity_weighted", "category_name_level1")  # one row per category
+    return out.select("category_name_level1", "elasticity_weighted", F.row_number().over(order).alias("place"))
+
+
+# ---------------------------------------------------------------- model parts that SQL can check
+@query("time_folds")
+def q_time_folds(spark, d):
+    out = mdl.expanding_folds(panel_(spark, d), 3)
+    return out.select("product_code", "date", F.col("_block").alias("block"))
+
+
+def fixed_prediction(spark, d):
+    """A prediction known in closed form on the price grid: 1000 / price, in whole units."""
+    grid = sim.price_grid(sim.reference_rows(panel_(spark, d), GRID_DAYS))
+    rows = grid.select("product_code", "date", F.explode("prices").alias(PRICE_CALC))
+    return rows.withColumn("predicted_quantity", F.floor(F.lit(1000.0) / F.col(PRICE_CALC) + 1).cast("double"))
+
+
+@query("estimation_sums")
+def q_estimation_sums(spark, d):
+    return mdl.estimations(fixed_prediction(spark, d), with_gaps(panel_(spark, d)).filter("version = 0"))
+
+
+@query("leakage_status")
+def q_leakage_status(spark, d):
+    """A prediction that repeats the target but for a little is flagged."""
+    rows = panel_(spark, d).withColumn("guess", F.col("quantity_sold") + F.dayofmonth("date") % 3 - 1)
+    return mdl.fit_quality(rows, MODEL_CFG, "guess").select(r6("holdout_r2"), "status")
+
+
+@query("model_features")
+def q_model_features(spark, d):
+    """The feature list, with the rows that have a value."""
+    mp = sim.split_train_test(model_panel(spark, d), GRID_DAYS)
+    feats = mdl.feature_columns(mp, MODEL_CFG, WIDE_COLS)
+    counts = mp.agg(*[F.count(c).alias(c) for c in feats])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("n_values"))
+                                             for c in feats])).alias("f")).select("f.*")
+
+
+@query("model_persist")
+def q_model_persist(spark, d):
+    """A trained model saved, loaded and used; both predictions of each hold-out row."""
+    mp, feats = model_inputs(spark, d)
+    small = mdl.ModelConfig(price_change_weight=2.0, max_iter=20, max_depth=5)
+    model = mdl.train_demand_model(mp.filter(~F.col("is_test")), small, feats)
+    path = pio.scratch_path(spark, "model")
+    model.save(path)
+    test = mdl.predict_quantity(model, mp.filter("is_test"), out_col="before")
+    both = mdl.predict_quantity(mdl.load_model(spark, path, small), test, out_col="after")
+    return both.select("product_code", "date", r6("before"), r6("after"))
+
+
+FEATURE_PROFILE = ClientProfile(name="features", competitors=COMP_SLUGS,
+                                price_change_columns=["product_selling_price", "adjusted_price"])
+
+
+def adjusted_rows(spark, d):
+    return ref.adjust_price_base_year(brand_sales_competitors(spark, d), cpi_daily(spark, d), CPI_BASE_YEAR)
+
+
+@query("build_features")
+def q_build_features(spark, d):
+    """The whole feature step: calendar, weather, holidays, lags and changes of two prices, competitors."""
+    out = pl.build_features(adjusted_rows(spark, d), FEATURE_PROFILE, weather(spark, d))
+    rounded = [f"price_change_{c}_lag_{k}" for c in FEATURE_PROFILE.price_change_columns for k in LAGS]
+    return out.select("product_code", "date", "day_of_week", "month", "is_month_end", "mean_temp", "sum_rain", "holiday",
+                      "time_until_next_holiday", *[r6(c) for c in rounded], r6("price_distance_mean"), r6("log_own_price"),
+                      "n_competitors_available", "promotion_indicator")
+
+
+@query("counterfactual_two_prices")
+def q_counterfactual_two_prices(spark, d):
+    """The adjusted price and its lags follow the simulated price."""
+    rows = feat.add_lags(adjusted_rows(spark, d), ["product_selling_price", "adjusted_price"], LAGS)
+    test = sim.split_train_test(rows, GRID_DAYS).filter("is_test").drop("is_test")
+    lags = {k: [f"product_selling_price_lag_{k}", f"adjusted_price_lag_{k}"] for k in LAGS}
+    out = sim.expand_counterfactual(test, lag_cols=lags, scaled_cols=["adjusted_price"])
+    return out.select("product_code", "date", "sequence_number", "grid_idx", "product_selling_price", r6("adjusted_price"),
+                      *[r6(f"adjusted_price_lag_{k}") for k in LAGS])
+
+
+@query("demand_curve_sequences")
+def q_demand_curve_sequences(spark, d):
+    """Fitted curve per (product, sequence), sequence = calendar year of the observation."""
+    est = (panel_(spark, d).withColumn("sequence_number", F.year("date"))
+           .withColumn(PRICE_CALC, round_half_up("product_selling_price", 0))
+           .groupBy("product_code", "sequence_number", PRICE_CALC)
+           .agg(F.sum("quantity_sold").alias("predicted_quantity")))
+    keys = ["product_code", "sequence_number"]
+    curve = el.demand_curve(est, el.fit_demand_curves(est, PRICE_CALC, "predicted_quantity", keys), PRICE_CALC, keys)
+    return curve.groupBy("product_code_elasticity", "sequence_number_elasticity").agg(
+        F.count("*").alias("n_points"), F.min("price").alias("lowest_price"), F.count("sales").alias("n_sales"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DateType, DoubleType, LongType, StringType,
                                StructField, StructType)
 
@@ -37,9 +39,18 @@ RECEIPTS = StructType([
     StructField("weight_sold", DoubleType()),
     StructField("product_selling_price", DoubleType()),
     StructField("calculated_price", DoubleType()),
+    StructField("calculated_price_after_discount", DoubleType()),
     StructField("revenue_before_discount_incl_vat", DoubleType()),
     StructField("promo_ind", BooleanType()),
     StructField("product_status", StringType()),
+    StructField("product_category_code_level1", StringType()),
+    StructField("product_category_code_level2", StringType()),
+    StructField("product_category_code_level3", StringType()),
+    StructField("ah_price", DoubleType()),
+    StructField("ah_content_factor", DoubleType()),
+    StructField("plus_price", DoubleType()),
+    StructField("plus_content_factor", DoubleType()),
+    StructField("brand_name", StringType()),
 ])
 
 PRICE_GRID = StructType([
@@ -50,9 +61,19 @@ PRICE_GRID = StructType([
 ])
 
 
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` in its order and types; missing ones are NULL, others stay behind them."""
+    own = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
+           else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return df.select(*own, *[c for c in df.columns if c not in schema.names])
+
+
 @dataclass
 class ClientProfile:
-    """Everything that differs between retailers: names, competitors, vocabularies, constants."""
+    """Everything that differs between retailers: names, competitors, vocabularies, constants.
+
+    A filter whose setting is None is not applied.
+    """
     name: str
     competitors: list[str] = field(default_factory=list)
     category_column: str = "category_name_level1"
@@ -62,9 +83,14 @@ class ClientProfile:
     constants: dict[str, str] = field(default_factory=dict)
     price_column: str = "product_selling_price"
     target: str = "quantity_sold"
-    min_price_levels: int = 5
-    min_sales: float = 1.0
-    live_days: int = 180
+    price_change_columns: list[str] = field(default_factory=lambda: ["product_selling_price"])
+    store_columns: list[str] = field(default_factory=list)          # forward-filled per product
+    artifact_overrides: dict[str, str] = field(default_factory=dict)
+    min_price_levels: int | None = None
+    min_sales: float | None = None
+    live_days: int | None = None
+    max_competitor_null_pct: float | None = None
+    min_category_products: int = 5
     cpi_base_year: int = 2023
     price_lags: list[int] = field(default_factory=lambda: [1, 7, 14])
     grid_days: int = 14

@@ -8,7 +8,9 @@ checkpoint directory) are read from the running session when present.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,33 +43,43 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a private scratch folder is created and registered.
+    Without that setting only a local master may go on (all tasks share this machine's disk): it gets a
+    private scratch folder.  On a cluster executors would write to disks of their own, so it is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="pricepanel-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
+def _scratch(spark: SparkSession) -> str:
+    """This application's folder for tables written in between."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/pricepanel-tables/{spark.sparkContext.applicationId}"
+
+
 def cut_lineage(df, name: str = "table"):
     """Cut lineage through a parquet table written once into the shared checkpoint folder.
 
     Unlike ``Dataset.checkpoint(eager=True)`` (one job to count, a second one to write the
     checkpoint files) the plan runs once, survives executor loss, and the read-back gets column
-    pruning and filter pushdown.  Never ``localCheckpoint``.
+    pruning and filter pushdown.  Never ``localCheckpoint``.  ``drop_scratch`` removes the tables.
     """
-    import uuid
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/pricepanel-tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{_scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove this application's tables written in between; frames that read them end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

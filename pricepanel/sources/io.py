@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.scalars import year_week_key
-from ..session import checkpoint_dir
+from ..session import _scratch
 
 CSV_SEPARATORS = [",", ";", "\t"]
 
@@ -123,7 +123,8 @@ def write_partitioned(df: DataFrame, path: str, key_col: str = "year_week", max_
     """``path/year_week=YYYY_WW/part-*.parquet`` with at most ``max_records_per_file`` rows per file.
     A 6-digit key becomes YYYY_WW, otherwise '-' becomes '_'."""
     out = df.withColumn(key_col, year_week_key(key_col))
-    (out.repartition(key_col).write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    # rebalance: a key's rows come together, but adaptive execution splits a large key over tasks
+    (out.hint("rebalance", key_col).write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(key_col).parquet(path))
 
 
@@ -134,12 +135,13 @@ def save_price_grid(grid: DataFrame, path: str) -> None:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/pricepanel-io/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch(spark)}/io-{name}-{uuid.uuid4().hex[:12]}"
 
 
 def sample_subset(df: DataFrame, key_col: str, percent: int = 50, seed: int = 42) -> DataFrame:
     """Reproducible subset by key hash (the sampling operator itself)."""
-    return df.filter(F.pmod(F.xxhash64(F.col(key_col), F.lit(seed)), F.lit(100)) < percent)
+    digest = F.md5(F.concat(F.col(key_col).cast("string"), F.lit(f":{seed}")).cast("binary"))
+    return df.filter(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100 < percent)
 
 
 # ---------------------------------------------------------------- artifacts

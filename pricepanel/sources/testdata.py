@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import exact_sum, ratio, to_day
+from ..functions.scalars import fixed_point_sum, ratio, round_half_up, to_day
 
 TIEBREAK = ["l_orderkey", "l_linenumber"]
 
@@ -69,8 +69,8 @@ def sales_with_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _day_agg(rows: DataFrame, key: str = "product_code") -> DataFrame:
     return (rows.groupBy(key, "date")
             .agg(F.sum("quantity_sold").alias("quantity_sold"),
-                 exact_sum("revenue_before", 2).alias("revenue_before"),
-                 exact_sum("revenue_after", 4).alias("revenue_after"),
+                 fixed_point_sum("revenue_before", 2).alias("revenue_before"),
+                 fixed_point_sum("revenue_after", 4).alias("revenue_after"),
                  F.bool_or("promotion_indicator").alias("promotion_indicator"),
                  F.count(F.lit(1)).alias("n_lines"))
             .withColumn("product_selling_price", ratio("revenue_before", "quantity_sold")))
@@ -121,7 +121,7 @@ def competitor_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product-store-day receipt rows (FIXTURES §2 shape); product = brand, store = supplier."""
     li = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size", "p_name", "p_retailprice")
     return li.join(part, li.l_partkey == part.p_partkey).select(
         F.col("p_brand").alias("product_code"),
         F.col("l_suppkey").alias("store_code"),
@@ -134,6 +134,17 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("revenue_before_discount_incl_vat"),
         (F.col("l_discount") > 0).alias("promo_ind"),
         F.col("l_linestatus").alias("product_status"),
+        round_half_up(ratio(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")), "l_quantity"), 2)
+        .alias("calculated_price_after_discount"),
+        F.col("p_type").alias("product_category_code_level1"),
+        F.col("p_size").cast("string").alias("product_category_code_level2"),
+        F.col("p_name").alias("product_category_code_level3"),
+        # two competitors' list prices; unknown for returned lines
+        F.when(F.col("l_returnflag") != "R", F.col("p_retailprice")).alias("ah_price"),
+        F.col("l_tax").alias("ah_content_factor"),
+        (F.col("p_retailprice") * 2).alias("plus_price"),
+        F.col("l_discount").alias("plus_content_factor"),
+        F.substring("p_brand", 1, 7).alias("brand_name"),
         "l_orderkey", "l_linenumber",
     )
 
@@ -143,17 +154,7 @@ def monthly_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     m = F.trunc(to_day("o_orderdate"), "month")
     return (o.groupBy(m.alias("month_year"))
-            .agg((exact_sum("o_totalprice", 2) / F.count(F.lit(1)) / 1000).alias("cpi")))
-
-
-def events_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second panel: user = product, event type = store, value = price."""
-    e = table(spark, sf_dir, "events")
-    return e.select(F.col("user_id").cast("string").alias("product_code"),
-                    F.col("event_type").alias("store_code"),
-                    to_day("ts").alias("date"),
-                    F.col("value").alias("product_selling_price"),
-                    F.col("event_id"))
+            .agg((fixed_point_sum("o_totalprice", 2) / F.count(F.lit(1)) / 1000).alias("cpi")))
 
 
 def monthly_index_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +162,7 @@ def monthly_index_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     m = F.trunc(to_day("o_orderdate"), "month")
     return (o.groupBy(F.col("o_orderpriority").alias("category_name"), m.alias("month_year"))
-            .agg((exact_sum("o_totalprice", 2) / F.count(F.lit(1)) / 1000).alias("cpi")))
+            .agg((fixed_point_sum("o_totalprice", 2) / F.count(F.lit(1)) / 1000).alias("cpi")))
 
 
 def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

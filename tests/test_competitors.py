@@ -96,7 +96,7 @@ def test_rolling_median_methods_agree_with_peers_and_many_buckets(spark):
     a = {r.l_orderkey: (r.rolling_median, r.rolling_count)
          for r in comp.rolling_median(df, *args, method="window").collect()}
     b = {r.l_orderkey: (r.rolling_median, r.rolling_count)
-         for r in comp.rolling_median(df, *args, method="pandas", key_buckets=3).collect()}
+         for r in comp.rolling_median(df, *args, method="stream").collect()}
     assert a.keys() == b.keys()
     for k in a:
         assert a[k][1] == b[k][1] and a[k][0] == pytest.approx(b[k][0])
