@@ -19,8 +19,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.prefix import prefix_sums
 from ..session import cut_lineage
-from .common import ROW, join_small, prefix_sums, with_rows, word_count
+from .common import ROW, join_small, with_rows, word_count
 
 
 def source_targets(sizes: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:

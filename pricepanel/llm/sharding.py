@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.prefix import prefix_sums
 from ..session import cut_lineage
-from .common import prefix_sums
 
 
 def assign_shards(docs: DataFrame, n_shards: int = 40, overhead: int = 16, id_col: str = "doc_id",
