@@ -5,9 +5,10 @@ Equal vectors of a label become one class first.  Each of ``passes`` passes give
 is compared with its next ``window`` neighbours.  Verified neighbours are united (a task emits spanning
 stars, never all pairs), and the unions of all passes are connected.
 
-Passes compare half-precision copies with a margin, so what they unite is a superset; it is cut into
-blocks of at most ``block`` classes, and there cosines of the original vectors in double precision decide:
-each class counts its links, and only linked classes stay connected.  A class of copies is linked within
+Passes compare half-precision copies with a margin, so what they unite is a superset; a large group is cut
+into ``spread`` blocks of 64 classes or more, or more blocks of at most ``block`` classes, every two of
+which meet in a task.  There cosines of the original vectors in double precision decide: each class counts
+its links, and only linked classes stay connected.  A class of copies is linked within
 itself.  So large groups are never expanded: rows out are one per class and block.
 
 Defined cases: a vector that is NULL, empty, zero or holds NULL or non-finite components, or has a NULL
@@ -122,8 +123,8 @@ def _exact_links(threshold: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.93, passes: int = 16, window: int = 64, block: int = 1024,
-                 seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
+def near_vectors(vectors: DataFrame, threshold: float = 0.93, passes: int = 16, window: int = 64, block: int = 2048,
+                 spread: int = 16, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
                  label_col: str = "label") -> DataFrame:
     """One row per vector: id, ``n_links``, ``component_id`` (smallest id reachable), ``kept``."""
     parts = shuffle_partitions(vectors.sparkSession)
@@ -144,7 +145,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, passes: int = 16,
         .sortWithinPartitions("pass", "label", "dim", "key", "cid")
         .mapInArrow(_neighbours(threshold, window), "a long, b long"), "a", "b")
     united = cut_lineage(united.withColumnsRenamed({"node": "cid", "component": "comp"}), "vec-united")
-    sizes = united.groupBy("comp").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
+    members = F.count("*")
+    one_block = F.least(F.lit(block), F.greatest(F.lit(64), F.ceil(members / spread)))
+    sizes = united.groupBy("comp").agg(F.ceil(members / one_block).cast("long").alias("blocks"))
     members = (united.join(sizes, "comp").join(classes, "cid")
                .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
