@@ -44,6 +44,15 @@ def with_sequence(df: DataFrame, product_col: str = "product_code", date_col: st
     return df.withColumn("sequence_number", F.row_number().over(w) - 1)
 
 
+def actual_by_sequence(predictions: DataFrame, actual: DataFrame, price_col: str = "product_selling_price",
+                       product_col: str = "product_code", date_col: str = "date") -> DataFrame:
+    """Predictions LEFT JOIN the actual price of the same (product, 0-based day index): ``{price_col}_calc``
+    beside ``{price_col}_real``.  ``predictions`` carry ``sequence_number``; both sides number alike."""
+    real = with_sequence(actual, product_col, date_col).select(
+        product_col, "sequence_number", F.col(price_col).alias(f"{price_col}_real"))
+    return predictions.withColumnRenamed(price_col, f"{price_col}_calc").join(real, [product_col, "sequence_number"], "left")
+
+
 def price_grid(ref_rows: DataFrame, min_pct: int = -10, max_pct: int = 10, price_col: str = "product_selling_price",
                product_col: str = "product_code", date_col: str = "date") -> DataFrame:
     """(product, date, sequence_number, prices array<double>) for every reference row with price > 0."""

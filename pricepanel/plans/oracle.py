@@ -773,7 +773,7 @@ register("partitioned_write_roundtrip", BSC + "SELECT * REPLACE (" + ", ".join(
     f"{R(c)} AS {c}" for _, c in PIVOT_COLS) + ") FROM bsc")
 
 register("incremental_append", with_(WEATHER) + """
-SELECT * REPLACE (CASE WHEN date >= DATE '1999-12-31' THEN mean_temp + 0.1 ELSE mean_temp END AS mean_temp)
+SELECT * REPLACE (CASE WHEN date >= DATE '1999-12-31' OR date_trunc('month', date) = DATE '1996-03-01' THEN mean_temp + 0.1 ELSE mean_temp END AS mean_temp)
 FROM weather""")
 
 
@@ -1038,3 +1038,13 @@ WHERE p > 0 GROUP BY 1, 2""")
 
 register("subset_sample", with_(SALES, PANEL) + """
 SELECT * FROM panel WHERE ('0x' || substr(md5(product_code || ':42'), 1, 8))::BIGINT % 100 < 50""")
+
+register("actual_by_sequence", with_(SALES, PANEL, LAST14, """seq AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY product_code ORDER BY date) - 1 AS INTEGER) AS sequence_number FROM last14)""") + f"""
+SELECT a.product_code, a.sequence_number, {R('a.product_selling_price * CAST(0.9 AS DOUBLE)', 2)} AS product_selling_price_calc,
+       b.product_selling_price AS product_selling_price_real
+FROM seq a LEFT JOIN seq b ON a.product_code = b.product_code AND a.sequence_number = b.sequence_number AND b.sequence_number < 10
+WHERE a.product_selling_price > 0""")
+
+register("artifact_settings", with_(SALES, PANEL) + """
+SELECT unnest(['out/demo_ladder_weekly', 'out/demo_features_weekly']) AS path, count(*) AS n FROM panel""")

@@ -662,15 +662,16 @@ def q_partitioned_write_roundtrip(spark, d):
 
 @query("incremental_append")
 def q_incremental_append(spark, d):
-    """Weather history up to 1999 + a landed re-fetch from the last stored day onward
-    (with revised values) -> one row per day."""
+    """Weather history up to 1999 + a landed re-fetch from the last stored day onward (with revised
+    values) and a backfill of one early month -> one row per day."""
     base = pio.scratch_path(spark, "incremental")
     w = weather(spark, d)
     inc.seed_table(w.filter(F.col("date") < F.lit("2000-01-01").cast("date")), f"{base}/seed")
-    revised = w.filter(F.col("date") >= F.lit("1999-12-31").cast("date")).withColumn("mean_temp", F.col("mean_temp") + 0.1)
+    backfill = F.trunc("date", "month") == F.lit("1996-03-01").cast("date")
+    revised = w.filter((F.col("date") >= F.lit("1999-12-31").cast("date")) | backfill).withColumn(
+        "mean_temp", F.col("mean_temp") + 0.1)
     revised.write.parquet(f"{base}/landing")
-    inc.run_incremental_append(spark, f"{base}/landing", f"{base}/seed", f"{base}/stream", f"{base}/checkpoint",
-                               revised.schema)
+    inc.run_incremental_append(spark, f"{base}/landing", f"{base}/stream", f"{base}/checkpoint", revised.schema)
     return inc.current_view(spark, f"{base}/seed", f"{base}/stream")
 
 
@@ -1035,3 +1036,21 @@ def q_demand_curve_sequences(spark, d):
     curve = el.demand_curve(est, el.fit_demand_curves(est, PRICE_CALC, "predicted_quantity", keys), PRICE_CALC, keys)
     return curve.groupBy("product_code_elasticity", "sequence_number_elasticity").agg(
         F.count("*").alias("n_points"), F.min("price").alias("lowest_price"), F.count("sales").alias("n_sales"))
+
+
+@query("actual_by_sequence")
+def q_actual_by_sequence(spark, d):
+    """The lowest simulated price of each day index beside the actual price of that index (10 of 14 days known)."""
+    ref_rows = sim.reference_rows(panel_(spark, d), GRID_DAYS)
+    low = sim.price_grid(ref_rows).select("product_code", "sequence_number", F.col("prices")[0].alias("product_selling_price"))
+    known = sim.with_sequence(ref_rows).filter("sequence_number < 10").drop("sequence_number")
+    return sim.actual_by_sequence(low, known)
+
+
+@query("artifact_settings")
+def q_artifact_settings(spark, d):
+    """Rows per artifact name of a client whose grid has a name of its own (dry run: nothing is written)."""
+    profile = ClientProfile(name="demo", artifact_overrides={"price_grid": "ladder"})
+    n = panel_(spark, d).agg(F.count("*").alias("n"))
+    names = [pio.artifact_path("out", a, "weekly", "demo", profile.artifact_overrides) for a in ("price_grid", "features")]
+    return n.select(F.explode(F.array(*[F.lit(x) for x in names])).alias("path"), "n")

@@ -152,11 +152,12 @@ ARTIFACTS = {
 }
 
 
-def artifact_path(base: str, artifact: str, frequency: str = "daily", prefix: str | None = None) -> str:
-    """``base/[prefix_]artifact[_weekly]``; unknown artifacts raise; no prefix when None."""
+def artifact_path(base: str, artifact: str, frequency: str = "daily", prefix: str | None = None,
+                  overrides: dict[str, str] | None = None) -> str:
+    """``base/[prefix_]artifact[_weekly]``; unknown artifacts raise; no prefix when None; ``overrides`` rename."""
     if artifact not in ARTIFACTS:
         raise ValueError(f"unknown artifact {artifact!r}")
-    name = ARTIFACTS[artifact] + ("_weekly" if frequency == "weekly" else "")
+    name = (overrides or {}).get(artifact, ARTIFACTS[artifact]) + ("_weekly" if frequency == "weekly" else "")
     if prefix:
         name = f"{prefix}_{name}"
     return f"{base.rstrip('/')}/{name}"

@@ -60,12 +60,10 @@ def test_streaming_incremental_append_two_landings(spark, tmp_path):
     inc.seed_table(spark.createDataFrame([(D(2024, 1, 1), 1.0), (D(2024, 1, 2), 2.0)], schema), f"{base}/seed")
     first = spark.createDataFrame([(D(2023, 12, 31), 9.0), (D(2024, 1, 2), 2.5), (D(2024, 1, 3), 3.0)], schema)
     first.write.parquet(f"{base}/landing/batch1")
-    inc.run_incremental_append(spark, f"{base}/landing/*", f"{base}/seed", f"{base}/stream", f"{base}/ckpt",
-                               first.schema)
+    inc.run_incremental_append(spark, f"{base}/landing/*", f"{base}/stream", f"{base}/ckpt", first.schema)
     second = spark.createDataFrame([(D(2024, 1, 3), 3.5), (D(2024, 1, 4), 4.0)], schema)
     second.write.parquet(f"{base}/landing/batch2")
-    inc.run_incremental_append(spark, f"{base}/landing/*", f"{base}/seed", f"{base}/stream", f"{base}/ckpt",
-                               first.schema)
+    inc.run_incremental_append(spark, f"{base}/landing/*", f"{base}/stream", f"{base}/ckpt", first.schema)
     out = {r.date: r.v for r in inc.current_view(spark, f"{base}/seed", f"{base}/stream").collect()}
-    # the day before the high-water mark is ignored; revised days replace stored ones
-    assert out == {D(2024, 1, 1): 1.0, D(2024, 1, 2): 2.5, D(2024, 1, 3): 3.5, D(2024, 1, 4): 4.0}
+    # a backfilled day is kept; revised days replace stored ones
+    assert out == {D(2023, 12, 31): 9.0, D(2024, 1, 1): 1.0, D(2024, 1, 2): 2.5, D(2024, 1, 3): 3.5, D(2024, 1, 4): 4.0}
