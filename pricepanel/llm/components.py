@@ -46,7 +46,7 @@ def _contract(batches):
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -55,17 +55,20 @@ def _small_star(e: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _is_star_forest(e: DataFrame) -> bool:
+    """Does every edge lead from a leaf with no other edge to a node that is no leaf?"""
+    ends = e.select(F.col("u").alias("n"), F.lit(1).alias("out")).unionAll(e.select("v", F.lit(0)))
+    nodes = ends.groupBy("n").agg(F.sum("out").alias("leaves"), F.count("*").alias("all"))
+    return nodes.filter("leaves > 1 OR (leaves = 1 AND `all` > 1)").isEmpty()
+
+
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node with a link; ``component`` is the smallest LONG node reachable."""
     e = (edges.filter(F.col(a) != F.col(b))
          .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
          .mapInArrow(_contract, "u long, v long").distinct())
-    e, last = cut_lineage(e, "edges"), None
-    while True:
-        mark = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == last:
-            break
-        last = mark
+    e = cut_lineage(e, "edges")
+    while not _is_star_forest(e):
         e = cut_lineage(_small_star(_large_star(e)), "edges")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
