@@ -273,7 +273,7 @@ def held_out(id_col) -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 800, id_col: str = "doc_id", text_col: str = "text",
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic") -> dict:
     """Weights learnt from at most ``2 * per_class`` labelled documents that are not held out."""
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).select(
