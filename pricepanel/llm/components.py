@@ -1,9 +1,9 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
 Edges are first contracted to spanning stars inside each Arrow batch, so a dense group enters the
-loop as few edges.  Minima are grouped aggregates (partial before the shuffle) and are joined back, so
-a hub with very many neighbours is split by adaptive skew handling; no neighbour list is ever built.
-Each round is written to the shared folder, which cuts the lineage.
+loop as few edges.  Minima are grouped aggregates (partial before the shuffle) and are joined back, those
+of hubs by a broadcast of bounded size; no neighbour list is ever built.  Each round is written to the
+shared folder, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+HUBS = 1000  # a node with more than a thousandth of the edges is a hub; at most 4 * HUBS rows are broadcast
+
 
 def spanning_stars(pairs) -> dict:
     """node -> smallest node of its component, for the nodes of ``pairs`` (an iterable of tuples)."""
@@ -43,16 +45,27 @@ def _contract(batches):
             yield pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _with_least(pairs: DataFrame, hub: int) -> DataFrame:
+    """Each (u, v) with ``m``, the least of all v of its u.
+
+    A node with more than ``hub`` pairs would put them all into one task of a shuffle join.  Hubs are
+    few (at most pairs / ``hub``) and are broadcast; their pairs stay where they are.
+    """
+    least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("d"))
+    tagged = pairs.join(F.broadcast(least.filter(F.col("d") > hub).select("u", "m")), "u", "left")
+    rest = least.filter(F.col("d") <= hub).select("u", "m")
+    return tagged.filter("m IS NOT NULL").unionAll(tagged.filter("m IS NULL").select("u", "v").join(rest, "u"))
+
+
+def _large_star(e: DataFrame, hub: int) -> DataFrame:
     both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _with_least(both, hub).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
-    moved = e.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
+def _small_star(e: DataFrame, hub: int) -> DataFrame:
+    pairs = _with_least(e, hub)
+    return pairs.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
+                        F.col("m").alias("v")).unionAll(pairs.select("u", F.col("m").alias("v"))).distinct()
 
 
 def _is_star_forest(e: DataFrame) -> bool:
@@ -69,6 +82,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
          .mapInArrow(_contract, "u long, v long").distinct())
     e = cut_lineage(e, "edges")
     while not _is_star_forest(e):
-        e = cut_lineage(_small_star(_large_star(e)), "edges")
+        hub = max(64, e.count() // HUBS)
+        e = cut_lineage(_small_star(_large_star(e, hub), hub), "edges")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
