@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ROW, with_rows
+from .common import ROW, segments, with_rows
 from .components import connected_components
 
 SEED = 42
@@ -37,7 +37,26 @@ _DENSE = 512  # members up to which a bucket's distances are one matrix
 
 def shingle_hashes(text: str | None, k: int) -> np.ndarray:
     """XXH64 of every k-word shingle (repeats included) of the text, ASCII-lower-cased."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return _word_hashes((text or "").encode("utf-8", "surrogatepass").lower().split(), k)
+
+
+def hash_parts(text: str | None, k: int, most: int = 1_000_000):
+    """The same hashes in parts, for texts of any length: each part carries the last k - 1 words on."""
+    if text is None or len(text) <= most:
+        yield shingle_hashes(text, k)
+        return
+    words: list = []
+    some = False
+    for part in segments(text, most):
+        words = words[max(0, len(words) - k + 1):] + part.encode("utf-8", "surrogatepass").lower().split()
+        if len(words) >= k:
+            some = True
+            yield _word_hashes(words, k)
+    if not some:  # the whole text has fewer words
+        yield _word_hashes(words, k)
+
+
+def _word_hashes(words: list, k: int) -> np.ndarray:
     if not words:
         return np.empty(0, np.uint64)
     norm, n = b" ".join(words), max(1, len(words) - k + 1)
@@ -49,8 +68,8 @@ def shingle_hashes(text: str | None, k: int) -> np.ndarray:
                        np.uint64, n)
 
 
-def majority_bits(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Fingerprints of consecutive non-empty groups: a bit is 1 if set in over half of the group.
+def bit_counts(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """(groups, 64) counts of set bits in consecutive non-empty groups of hashes.
 
     Eight byte lanes are summed at once, in blocks of at most 255 rows so that no lane overflows.
     """
@@ -58,38 +77,38 @@ def majority_bits(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     blocks = (sizes + 254) // 255
     first = np.cumsum(blocks) - blocks
     at = np.repeat(starts, blocks) + 255 * (np.arange(blocks.sum()) - np.repeat(first, blocks))
-    out = np.zeros(len(starts), np.uint64)
+    out = np.empty((len(starts), 64), np.int64)
     for s in range(8):
         lanes = np.add.reduceat((hashes >> np.uint64(s)) & _LANES, at).astype("<u8").view(np.uint8).reshape(-1, 8)
-        counts = np.add.reduceat(lanes.astype(np.int64), first, axis=0)
-        for j in range(8):
-            out |= (2 * counts[:, j] > sizes).astype(np.uint64) << np.uint64(8 * j + s)
+        out[:, s::8] = np.add.reduceat(lanes.astype(np.int64), first, axis=0)
     return out
 
 
 def _fingerprint_rows(k: int, chunk: int = 400_000):
     def run(batches):
         for b in batches:
-            fps = np.zeros(b.num_rows, np.uint64)
+            ones, total = np.zeros((b.num_rows, 64), np.int64), np.zeros(b.num_rows, np.int64)
             part, at, held = [], [], 0
 
             def flush():
                 sizes = np.array([len(p) for p in part])
-                fps[at] = majority_bits(np.concatenate(part), np.cumsum(sizes) - sizes)
+                np.add.at(ones, at, bit_counts(np.concatenate(part), np.cumsum(sizes) - sizes))
+                np.add.at(total, at, sizes)
                 part.clear()
                 at.clear()
 
             for i, text in enumerate(b["_text"]):
-                h = shingle_hashes(text.as_py(), k)
-                if len(h):
-                    part.append(h)
-                    at.append(i)
-                    held += len(h)
-                    if held >= chunk:
-                        flush()
-                        held = 0
+                for h in hash_parts(text.as_py(), k):
+                    if len(h):
+                        part.append(h)
+                        at.append(i)
+                        held += len(h)
+                        if held >= chunk:
+                            flush()
+                            held = 0
             if part:
                 flush()
+            fps = ((2 * ones > total[:, None]).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
             keep = [n for n in b.schema.names if n != "_text"]
             yield pa.record_batch([*[b[n] for n in keep], pa.array(fps.view(np.int64))], names=[*keep, "fp"])
     return run

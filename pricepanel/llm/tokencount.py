@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from .common import segments
+
 END = 256          # added to a word's last byte
 MAX_STATES = 160_000
 CHUNK = 256        # bytes that a lane advances
@@ -271,17 +273,17 @@ def _count_rows(path: str, batch_chars: int = 3_000_000):
     def run(batches):
         machine = transducer(path)
         for b in batches:
-            counts, part, size = [], [], 0
-            for t in b["_tc_text"]:
-                t = t.as_py()
-                part.append(t)
-                size += len(t or "")
-                if size >= batch_chars:
-                    counts.append(machine.count(part))
-                    part, size = [], 0
+            got, part, at, size = np.zeros(b.num_rows, np.int64), [], [], 0
+            for i, t in enumerate(b["_tc_text"]):
+                for s in segments(t.as_py() or "", batch_chars):  # white space parts tokens, so counts add up
+                    part.append(s)
+                    at.append(i)
+                    size += len(s)
+                    if size >= batch_chars:
+                        np.add.at(got, at, machine.count(part))
+                        part, at, size = [], [], 0
             if part:
-                counts.append(machine.count(part))
-            got = np.concatenate(counts) if counts else np.empty(0, np.int64)
+                np.add.at(got, at, machine.count(part))
             names = [n for n in b.schema.names if n != "_tc_text"]
             yield pa.record_batch([*[b[n] for n in names], pa.array(got, pa.int64())], names=[*names, "n_tokens"])
     return run

@@ -12,6 +12,8 @@ scores: the largest of a toxic document, the largest few of a clean one), then t
 them.  Training sees at most ``2 * per_class`` labelled documents, whole texts, chosen by a hash of the
 id among those that are not held out; scoring runs over all documents where they lie.
 
+A text over about 1.5 M characters is scored in parts that overlap by as many words as windows do.
+
 Defined cases: NULL, empty and white-space texts have one window without words (its logit is the bias);
 without labels of both classes every score is the share of toxic labels (0 if there are none); repeated
 rows are scored alike; other columns pass through, those named like the output's are replaced.
@@ -25,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .common import segments
+
 WINDOW, STRIDE = 48, 36
 CHAR_BITS, DIM, HIDDEN = 13, 8, 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -292,24 +296,21 @@ def _score_rows(weights, score_col: str, batch_chars: int = 1_500_000):
     def run(batches):
         w = weights.value
         for b in batches:
-            scores, part, size = [], [], 0
-
-            def scored():
+            logits, part, at, size = np.full(b.num_rows, -np.inf), [], [], 0
+            for i, t in enumerate(b["_tox_text"]):
                 if "share" in w:
-                    return np.full(len(part), w["share"])
-                return _sigmoid(document_logits(w, part).astype(np.float64))
-
-            for t in b["_tox_text"]:
-                t = t.as_py()
-                part.append(t)
-                size += len(t or "")
-                if size >= batch_chars:
-                    scores.append(scored())
-                    part, size = [], 0
+                    break
+                for s in segments(t.as_py() or "", batch_chars, WINDOW - STRIDE):
+                    part.append(s)
+                    at.append(i)
+                    size += len(s)
+                    if size >= batch_chars:
+                        np.maximum.at(logits, at, document_logits(w, part))
+                        part, at, size = [], [], 0
             if part:
-                scores.append(scored())
+                np.maximum.at(logits, at, document_logits(w, part))
             names = [n for n in b.schema.names if n != "_tox_text"]
-            got = np.concatenate(scores) if scores else np.empty(0)
+            got = np.full(b.num_rows, w["share"]) if "share" in w else _sigmoid(logits)
             yield pa.record_batch([*[b[n] for n in names], pa.array(got, pa.float64())], names=[*names, score_col])
     return run
 
