@@ -69,8 +69,13 @@ def derive_price(df: DataFrame, price_col: str = "product_selling_price",
     return df.withColumn(price_col, ratio(rev, qty_col))
 
 
-def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.drop(*names)
+# Columns that are dropped for every client.
+STANDARD_DROPS = ["category_code_level1", "category_code_level2", "category_code_level3", "category_name"]
+
+
+def drop_columns(df: DataFrame, names: Sequence[str] = (), standard: Sequence[str] = STANDARD_DROPS) -> DataFrame:
+    """Drop the standard columns and a client's own, where present."""
+    return df.drop(*standard, *names)
 
 
 def filter_status(df: DataFrame, vocabulary: Sequence[str] = ("Active",), status_col: str = "product_status") -> DataFrame:

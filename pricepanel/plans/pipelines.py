@@ -21,7 +21,7 @@ from ..operators import calendar as cal
 from ..operators import clean, competitors as comp, elasticity as el, features as feat
 from ..operators import model as mdl
 from ..operators import panel, reference as ref, simulate as sim, weekly
-from ..schema import ClientProfile
+from ..schema import RECEIPTS, ClientProfile, conform
 from ..session import cut_lineage
 
 
@@ -36,7 +36,8 @@ def sales_with_competitors(sales: DataFrame, competitor_prices: DataFrame, compe
 
 def receipt_panel(receipts: DataFrame, cutoff: str | None = None, min_corr: float = 0.9,
                   tiebreak: list[str] | None = None) -> DataFrame:
-    fixed = panel.fix_weighted_products(receipts)
+    """Receipts in the shape of ``RECEIPTS`` (missing columns are NULL) to product-day rows."""
+    fixed = panel.fix_weighted_products(conform(receipts, RECEIPTS))
     return panel.product_day_rollup(panel.select_store_followers(fixed, cutoff, min_corr), tiebreak=tiebreak)
 
 

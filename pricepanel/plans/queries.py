@@ -906,7 +906,10 @@ def q_read_many_roundtrip(spark, d):
     pio.write_parquet(rows.filter(F.year("date") >= 1997).drop("revenue_before"), f"{base}/b")
     if pio.read_optional(spark, f"{base}/c") is not None:
         raise ValueError("a table that was never written was found")
-    return pio.read_many(spark, pio.list_files(spark, base), union_columns=True).select(*PANEL_COLS, "revenue_before")
+    both = pio.read_many(spark, pio.list_files(spark, base), union_columns=True)
+    if set(both.columns) != set(pio.read_tree(spark, base, union_columns=True).columns):
+        raise ValueError("the two ways of reading differ")
+    return both.select(*PANEL_COLS, "revenue_before")
 
 
 @query("json_mapping_lookup")

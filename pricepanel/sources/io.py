@@ -59,17 +59,18 @@ def exists(spark: SparkSession, path: str) -> bool:
 def list_files(spark: SparkSession, prefix: str, suffix: str = ".parquet") -> list[str]:
     """Recursive listing with a suffix filter; '_'- and '.'-prefixed files (e.g. _SUCCESS) are
     skipped; sorted.  Raises on an empty listing."""
-    fs, p = _fs(spark, prefix)
-    it = fs.listFiles(p, True)
-    out = []
-    while it.hasNext():
-        path = it.next().getPath()
-        name = path.getName()
-        if name.endswith(suffix) and not name.startswith(("_", ".")):
-            out.append(path.toString())
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true")
+             .load(prefix).select("path"))  # Spark lists in parallel; the files' contents are not read
+    out = sorted(r[0] for r in files.collect())  # one row per file
     if not out:
         raise ValueError(f"no {suffix} files under {prefix}")
-    return sorted(out)
+    return out
+
+
+def read_tree(spark: SparkSession, prefix: str, suffix: str = ".parquet", union_columns: bool = False) -> DataFrame:
+    """All parquet files below ``prefix`` as one table, listed by Spark's reader itself."""
+    reader = spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true")
+    return (reader.option("mergeSchema", "true") if union_columns else reader).parquet(prefix)
 
 
 def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
