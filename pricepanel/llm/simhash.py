@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ROW, segments, with_rows
+from .common import ROW, segments, shuffle_partitions, with_rows
 from .components import connected_components
 
 SEED = 42
@@ -230,7 +230,9 @@ def fingerprint_links(fps: DataFrame, max_bits: int) -> DataFrame:
     """Links (a, b) among distinct LONG fingerprints ``fp``, enough to connect all within ``max_bits`` bits."""
     variants = F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(k))).bitwiseXOR(F.lit(_signed(x)))
                          for k, x in ball_variants(max_bits)])
-    return (fps.select("fp", F.explode(variants).alias("key")).repartition("key").sortWithinPartitions("key", "fp")
+    # a row becomes 131: spread the few bytes of fingerprints over all tasks first
+    spread = fps.select("fp").repartition(shuffle_partitions(fps.sparkSession), "fp")
+    return (spread.select("fp", F.explode(variants).alias("key")).repartition("key").sortWithinPartitions("key", "fp")
             .mapInArrow(_bucket_links(max_bits), "a long, b long").distinct())
 
 
