@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from pricepanel.plans.queries import QUERIES  # noqa: E402
-from pricepanel.session import get_session  # noqa: E402
+from pricepanel.session import drop_scratch, get_session  # noqa: E402
 
 HEADLINE = [
     "sales_competitor_join",      # entry A: outlier filter -> dedupe -> pivot -> merge
@@ -49,6 +49,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))
+    drop_scratch(spark)
     spark.stop()
 
 
