@@ -583,10 +583,16 @@ def model_inputs(spark, d):
     return mp, feats
 
 
+_TRAINED: dict = {}
+
+
 def trained(spark, d):
-    mp, feats = model_inputs(spark, d)  # noqa: F841
-    model = mdl.train_demand_model(mp.filter(~F.col("is_test")), MODEL_CFG, feats)
-    return mp, feats, model
+    """(panel, features, model); three queries of a session share one training per table folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _TRAINED:
+        mp, feats = model_inputs(spark, d)
+        _TRAINED[key] = mp, feats, mdl.train_demand_model(mp.filter(~F.col("is_test")), MODEL_CFG, feats)
+    return _TRAINED[key]
 
 
 def predictions_per_day(spark, d):
