@@ -34,6 +34,7 @@ CHAR_BITS, DIM, HIDDEN = 13, 8, 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_WORDS_AT_ONCE, _BLANK = 100_000, np.full(1, 32, np.uint8)
 _POWERS = np.cumprod(np.full(64, 1099511628211, np.uint64))
 
 
@@ -53,18 +54,23 @@ class Words:
             self.grams, self.gram_start = np.empty(0, np.int64), np.empty(0, np.int64)
             return
         lens = ends - starts
-        at = np.flatnonzero(inner)
-        first = np.cumsum(lens) - lens
-        off = np.arange(len(at)) - np.repeat(first, lens)
-        h = np.add.reduceat((raw[at].astype(np.uint64) + np.uint64(1)) * _POWERS[off & 63], first) * _MIX
+        h = np.empty(len(starts), np.uint64)
+        for i in range(0, len(starts), _WORDS_AT_ONCE):  # eight-byte numbers for each byte: a part at a time
+            n = lens[i:i + _WORDS_AT_ONCE]
+            first = np.cumsum(n) - n
+            off = np.arange(n.sum()) - np.repeat(first, n)
+            byte = raw[np.repeat(starts[i:i + _WORDS_AT_ONCE], n) + off].astype(np.uint64)
+            h[i:i + _WORDS_AT_ONCE] = np.add.reduceat((byte + np.uint64(1)) * _POWERS[off & 63], first) * _MIX
         self.hash, where, self.ids = np.unique(h, return_index=True, return_inverse=True)
         # trigrams of the distinct words, with a blank at either end
         starts, lens = starts[where], lens[where]
         self.gram_start = np.cumsum(lens) - lens
         at = np.repeat(starts, lens) + np.arange(lens.sum()) - np.repeat(self.gram_start, lens)
-        b = np.where(space, 32, raw).astype(np.uint64)
-        b = np.concatenate([[np.uint64(32)], b, [np.uint64(32)]])
-        code = ((b[at] << np.uint64(16)) | (b[at + 1] << np.uint64(8)) | b[at + 2]) * _MIX
+        b = np.concatenate([_BLANK, np.where(space, _BLANK, raw), _BLANK])
+        code = b[at].astype(np.uint64) << np.uint64(16)
+        code |= b[at + 1].astype(np.uint64) << np.uint64(8)
+        code |= b[at + 2]
+        code *= _MIX
         self.grams = (code >> np.uint64(64 - CHAR_BITS)).astype(np.int64)
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
