@@ -5,6 +5,12 @@ Equal vectors of a label become one class first.  Each of ``passes`` passes give
 is compared with its next ``window`` neighbours.  Verified neighbours are united (a task emits spanning
 stars, never all pairs), and the unions of all passes are connected.
 
+A window can be full before it reaches all partners of a class.  A class is crowded if in some pass a
+quarter of its window on one side lies within twice the threshold's angle.  Crowded classes are covered by
+leaders, at most ``COVER`` such angles away; every class of the label is compared with every leader and
+united with those that a partner of a covered class can lie by (one angle more), so a crowded class misses
+no partner, however many it has.
+
 Passes compare half-precision copies with a margin, so what they unite is a superset; a large group is cut
 into ``spread`` blocks of 64 classes or more, or more blocks of at most ``block`` classes, every two of
 which meet in a task.  There cosines of the original vectors in double precision decide: each class counts
@@ -24,14 +30,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import cut_lineage
-from .common import shuffle_partitions
+from .common import join_small, shuffle_partitions
 from .components import connected_components, spanning_stars
 from .simhash import _spanning
 from .vectors import groups, matrix, slices, unit, usable
 
 SLACK = 0.005  # half-precision cosines may be off by less than this
+COVER = 1.5  # a leader covers the crowded classes within so many times the threshold's angle
 
 
 @lru_cache(8)
@@ -60,8 +68,16 @@ def _keyed(passes: int, seed: int):
     return run
 
 
+def _cosine_of(threshold: float, times: float) -> float:
+    """Cosine of ``times`` the angle of ``threshold``."""
+    return float(np.cos(min(np.pi, times * np.arccos(np.clip(threshold, -1, 1)))))
+
+
 def _neighbours(threshold: float, window: int, rows: int = 256):
-    """Over rows sorted by (pass, label, dim, key): spanning stars of the neighbours that pass."""
+    """Over rows sorted by (pass, label, dim, key): spanning stars of the neighbours that pass; crowded classes
+    as ``a`` with a NULL ``b``."""
+    wide, crowd = _cosine_of(threshold, 2) - SLACK, max(1, window // 4)
+
     def run(batches):
         tail = None
         for b in batches:
@@ -73,24 +89,98 @@ def _neighbours(threshold: float, window: int, rows: int = 256):
             fresh = 0 if tail is None else tail.num_rows
             t = t.combine_chunks()
             tail = t.slice(max(0, t.num_rows - window))
-            cid, no = t["cid"].to_numpy(), np.empty(t.num_rows, np.int64)
-            pairs = []
+            cid, pairs = t["cid"].to_numpy(), []
+            after, before = np.zeros(t.num_rows, np.int64), np.zeros(t.num_rows, np.int64)
             cuts = slices([t[k].to_numpy() for k in ("pass", "label", "dim")])
             for s, e in cuts:
                 dim = int(t["dim"][s].as_py())
                 v = np.frombuffer(b"".join(t["v"].slice(s, e - s).to_pylist()), np.float16).reshape(-1, dim).astype(np.float32)
                 for i in range(0, e - s, rows):
                     a, z = v[i:i + rows], v[i:i + rows + window]
-                    x, y = np.nonzero(a @ z.T >= threshold - SLACK)
-                    ok = (y > x) & (y - x <= window) & (s + i + y >= fresh)
+                    cosine = a @ z.T
+                    step = np.arange(len(z)) - np.arange(len(a))[:, None]
+                    inside = (step > 0) & (step <= window)
+                    x, y = np.nonzero(inside & (cosine >= threshold - SLACK))
+                    ok = s + i + y >= fresh
                     pairs += zip(cid[s + i + x[ok]].tolist(), cid[s + i + y[ok]].tolist())
+                    close = inside & (cosine >= wide)  # those of the last batch's rows are counted anew, and whole
+                    after[s + i:s + i + len(a)] += close.sum(axis=1)
+                    before[s + i:s + i + len(z)] += close.sum(axis=0)
             stars = [(n, r) for n, r in spanning_stars(pairs).items() if n != r]
+            stars += [(n, None) for n in np.unique(cid[np.maximum(after, before) >= crowd]).tolist()]
             if stars:
                 x, y = zip(*stars)
                 yield pa.record_batch([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
     return run
 
 
+def _leaders(threshold: float):
+    """Groups (label, dim, slice) of crowded classes: those that cover the rest of their group."""
+    reach = _cosine_of(threshold, COVER)
+
+    def run(batches):
+        for g in groups(batches, ["label", "dim", "slice"]):
+            u = unit(matrix(g["vector"].combine_chunks()))
+            left, picked = np.ones(len(u), bool), []
+            while left.any():
+                picked.append(int(left.argmax()))
+                left &= u @ u[picked[-1]] < reach
+                left[picked[-1]] = False
+            yield from g.take(pa.array(picked)).select(["label", "dim", "cid", "vector"]).combine_chunks().to_batches()
+    return run
+
+
+def _by_leaders(threshold: float, rows: int = 1024):
+    """Rows sorted by (label, dim, block, leads): a block's classes come first, its leaders stream after them.
+
+    Stars over the block's classes and leaders: a class is united with each leader within one angle more
+    than a leader covers.
+    """
+    reach = _cosine_of(threshold, COVER + 1) - 1e-9
+
+    def run(batches):
+        key, held, u, cid, comp = None, [], None, None, None
+        ends: list = []
+
+        def stars():
+            if cid is None or not ends:
+                return
+            leader, at = (np.array(x, np.int64) for x in zip(*ends))
+            near = np.isin(comp, comp[at])
+            yield pa.record_batch([pa.array(np.append(leader, cid[near])), pa.array(np.append(cid[comp[at]], cid[comp[near]]))],
+                                  names=["a", "b"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            keys = [t[c].to_numpy() for c in ("label", "dim", "block", "leads")]
+            for s, e in slices(keys):
+                here = tuple(int(k[s]) for k in keys[:3])
+                if here != key:
+                    yield from stars()
+                    key, held, u, cid, comp, ends = here, [], None, None, None, []
+                part = t.slice(s, e - s).combine_chunks()
+                ids, v = part["cid"].to_numpy(), unit(matrix(part["vector"].combine_chunks()))
+                if not keys[3][s]:
+                    held.append((ids, v))
+                    continue
+                if u is None and held:
+                    cid, u = (np.concatenate(x) for x in zip(*held))
+                    held, comp = [], np.arange(len(cid))
+                if u is None:
+                    continue
+                for i in range(0, len(ids), rows):
+                    near = v[i:i + rows] @ u.T >= reach
+                    for j in np.flatnonzero(near.any(axis=1)).tolist():
+                        met = np.unique(comp[near[j]])
+                        if len(met) > 1:
+                            comp[np.isin(comp, met)] = met[0]
+                        ends.append((int(ids[i + j]), int(met[0])))
+        yield from stars()
+    return run
+
+
 def _exact_links(threshold: float):
     """Groups (comp, one, two) of at most two blocks: link counts of classes, spanning edges of the links."""
     schema = pa.schema([("cid", pa.int64()), ("links", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
@@ -123,6 +213,32 @@ def _exact_links(threshold: float):
     return run
 
 
+def _crowded_links(classes: DataFrame, crowded: DataFrame, threshold: float, block: int, spread: int, parts: int) -> DataFrame:
+    """Edges (a, b) by which the crowded classes meet all their partners in the label."""
+    crowded = cut_lineage(classes.join(crowded, "cid").select("label", "dim", "cid", "vector"), "vec-crowded")
+    members = F.count("*")
+    one_slice = F.least(F.lit(4 * block), F.greatest(F.lit(64), F.ceil(members / spread)))
+    sizes = crowded.groupBy("label", "dim").agg(F.ceil(members / one_slice).cast("long").alias("slices"))
+    leaders = cut_lineage(
+        join_small(crowded, sizes, ["label", "dim"])
+        .select("label", "dim", F.pmod(F.xxhash64("cid"), "slices").alias("slice"), "cid", "vector")
+        .repartition(parts, "label", "dim", "slice").sortWithinPartitions("label", "dim", "slice", "cid")
+        .mapInArrow(_leaders(threshold), StructType([crowded.schema[c] for c in ("label", "dim", "cid", "vector")])),
+        "vec-leaders")
+    led = leaders.select("label", "dim").distinct()
+    blocks = classes.join(led, ["label", "dim"], "left_semi").groupBy("label", "dim").agg(F.greatest(
+        F.ceil(members / (4 * block)), F.least(F.lit(spread), F.ceil(members / 64))).cast("long").alias("blocks"))
+    blocks = cut_lineage(blocks, "vec-blocks")
+    dealt = join_small(classes, blocks, ["label", "dim"]).select(
+        "label", "dim", F.pmod(F.xxhash64("cid"), "blocks").alias("block"), F.lit(0).alias("leads"), "cid", "vector")
+    asked = join_small(leaders, blocks, ["label", "dim"]).select(
+        "label", "dim", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+        F.lit(1).alias("leads"), "cid", "vector")
+    return (dealt.unionAll(asked).repartition(parts, "label", "dim", "block")
+            .sortWithinPartitions("label", "dim", "block", "leads", "cid")
+            .mapInArrow(_by_leaders(threshold), "a long, b long"))
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.93, passes: int = 16, window: int = 64, block: int = 2048,
                  spread: int = 16, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
                  label_col: str = "label") -> DataFrame:
@@ -140,10 +256,13 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, passes: int = 16,
     keyed = (classes.select("label", "dim", "cid", "vector").repartition(parts)
              .mapInArrow(_keyed(passes, seed), "pass int, label long, dim long, key long, cid long, v binary"))
     keyed = cut_lineage(keyed, "vec-keys")
-    united = connected_components(
+    passed = cut_lineage(
         keyed.repartitionByRange(parts, "pass", "label", "dim", "key", "cid")
         .sortWithinPartitions("pass", "label", "dim", "key", "cid")
-        .mapInArrow(_neighbours(threshold, window), "a long, b long"), "a", "b")
+        .mapInArrow(_neighbours(threshold, window), "a long, b long"), "vec-passed")
+    united = connected_components(passed.filter("b IS NOT NULL").unionAll(
+        _crowded_links(classes, passed.filter("b IS NULL").select(F.col("a").alias("cid")).distinct(), threshold,
+                       block, spread, parts)), "a", "b")
     united = cut_lineage(united.withColumnsRenamed({"node": "cid", "component": "comp"}), "vec-united")
     members = F.count("*")
     one_block = F.least(F.lit(block), F.greatest(F.lit(64), F.ceil(members / spread)))

@@ -75,3 +75,19 @@ def test_near_vectors_equal_brute_force(spark):
         assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
         assert [(r["n_links"], r["component_id"] == r["vec_id"]) for r in got if r["vec_id"] >= 5000] == [(0, True)] * 7
     assert near_vectors(frame(spark, rows).filter("false")).count() == 0
+
+
+def test_near_vectors_star_larger_than_all_windows(spark):
+    r = np.random.default_rng(4)
+    base = r.standard_normal(256)
+    base /= np.linalg.norm(base)
+    side = r.standard_normal((3000, 256))
+    side -= (side @ base)[:, None] * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    x = np.concatenate([0.94 * base + np.sqrt(1 - 0.94 ** 2) * side, base[None], r.standard_normal((200, 256))]).astype(np.float32)
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    near = u @ u.T >= 0.93
+    np.fill_diagonal(near, False)
+    assert near[3000].sum() == 3000 and near.sum() == 6000  # linked to the base, not to each other
+    got = {t["vec_id"]: (t["n_links"], t["component_id"]) for t in near_vectors(frame(spark, [(i, v, 0) for i, v in enumerate(x.tolist())])).collect()}
+    assert got == {i: (3000 if i == 3000 else int(i < 3000), 0 if i <= 3000 else i) for i in range(len(x))}
