@@ -1,8 +1,9 @@
 """Embedding near-dedup by sorted projection passes.
 
-Equal vectors of a label become one class first.  Each of ``passes`` passes gives a class the sign bits of
-64 random projections as its key; the classes are ordered by (pass, label, key) over all tasks, and each
-is compared with its next ``window`` neighbours.  Verified neighbours are united (a task emits spanning
+Equal vectors of a label become one class first.  Each pass gives a class the sign bits of 64 random
+projections as its key; the classes are ordered by (pass, label, key) over all tasks, and each is compared
+with its next ``window`` neighbours, those in other tasks included.  A label of n classes gets as many
+passes, ``passes`` at least, as evenly spread vectors need for ``recall`` of the pairs at the threshold.  Verified neighbours are united (a task emits spanning
 stars, never all pairs), and the unions of all passes are connected.
 
 A window can be full before it reaches all partners of a class.  A class is crowded if in some pass a
@@ -28,7 +29,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -47,21 +49,32 @@ def _planes(dim: int, passes: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((passes, dim, 64))
 
 
-def _keyed(passes: int, seed: int):
-    """Classes -> one row per pass: (pass, label, dim, key, cid, half-precision unit vector)."""
+def _passes(size: str, threshold: float, window: int, recall: float, least: int) -> Column:
+    """Passes after which a pair at the threshold has met with probability ``recall`` among ``size`` even vectors.
+
+    A bit is shared with probability 1 - angle / pi; keys that share log2(size / window) bits are neighbours.
+    """
+    bit = float(1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi)
+    meet = F.pow(F.lit(bit), F.greatest(F.lit(0.0), F.log2(F.col(size) / window)))
+    return F.when(meet >= 1, least).otherwise(F.greatest(
+        F.lit(least), F.ceil(float(np.log1p(-recall)) / F.log1p(-meet)))).cast("int")
+
+
+def _keyed(most: int, seed: int):
+    """Classes -> one row per pass of their label: (pass, label, dim, key, cid, half-precision unit vector)."""
     schema = pa.schema([("pass", pa.int32()), ("label", pa.int64()), ("dim", pa.int64()), ("key", pa.int64()),
                         ("cid", pa.int64()), ("v", pa.binary())])
     weights = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
 
     def run(batches):
         for b in batches:
-            dims = b["dim"].to_numpy()
-            for dim in np.unique(dims):
-                part = b.take(pa.array(np.flatnonzero(dims == dim)))
+            dims, wanted = b["dim"].to_numpy(), b["passes"].to_numpy()
+            for dim, passes in sorted(set(zip(dims.tolist(), wanted.tolist()))):
+                part = b.take(pa.array(np.flatnonzero((dims == dim) & (wanted == passes))))
                 u = unit(matrix(part["vector"]))
                 raw = u.astype(np.float16)
                 cells = pa.array([r.tobytes() for r in raw], pa.binary())
-                for p, planes in enumerate(_planes(int(dim), passes, seed)):
+                for p, planes in enumerate(_planes(dim, most, seed)[:passes]):
                     key = ((u @ planes > 0) @ weights).astype(np.uint64) ^ np.uint64(1 << 63)  # unsigned order
                     yield pa.record_batch([pa.array(np.full(len(u), p, np.int32)), part["label"], part["dim"],
                                            pa.array(key.view(np.int64)), part["cid"], cells], schema=schema)
@@ -73,45 +86,99 @@ def _cosine_of(threshold: float, times: float) -> float:
     return float(np.cos(min(np.pi, times * np.arccos(np.clip(threshold, -1, 1)))))
 
 
-def _neighbours(threshold: float, window: int, rows: int = 256):
-    """Over rows sorted by (pass, label, dim, key): spanning stars of the neighbours that pass; crowded classes
-    as ``a`` with a NULL ``b``."""
+_PASSED = "a long, b long, part int, pos long, pass int, label long, dim long, cid long, v binary"
+_ORDER = ["pass", "label", "dim"]
+
+
+def _compare(t: pa.Table, fresh: int, threshold: float, window: int, rows: int = 256):
+    """Stars (n, r) of the neighbours from row ``fresh`` on that pass, and (n, None) of crowded classes."""
     wide, crowd = _cosine_of(threshold, 2) - SLACK, max(1, window // 4)
+    cid, pairs = t["cid"].to_numpy(), []
+    after, before = np.zeros(t.num_rows, np.int64), np.zeros(t.num_rows, np.int64)
+    for s, e in slices([t[k].to_numpy() for k in _ORDER]):
+        dim = int(t["dim"][s].as_py())
+        v = np.frombuffer(b"".join(t["v"].slice(s, e - s).to_pylist()), np.float16).reshape(-1, dim).astype(np.float32)
+        for i in range(0, e - s, rows):
+            a, z = v[i:i + rows], v[i:i + rows + window]
+            cosine = a @ z.T
+            step = np.arange(len(z)) - np.arange(len(a))[:, None]
+            inside = (step > 0) & (step <= window)
+            x, y = np.nonzero(inside & (cosine >= threshold - SLACK))
+            ok = s + i + y >= fresh
+            pairs += zip(cid[s + i + x[ok]].tolist(), cid[s + i + y[ok]].tolist())
+            close = inside & (cosine >= wide)  # those of the last batch's rows are counted anew, and whole
+            after[s + i:s + i + len(a)] += close.sum(axis=1)
+            before[s + i:s + i + len(z)] += close.sum(axis=0)
+    stars = [(n, r) for n, r in spanning_stars(pairs).items() if n != r]
+    return stars + [(n, None) for n in np.unique(cid[np.maximum(after, before) >= crowd]).tolist()]
+
+
+def _neighbours(threshold: float, window: int):
+    """Over rows sorted by (pass, label, dim, key): what ``_compare`` finds.
+
+    Rows of ``_PASSED``: a star or crowded class in (a, b); the first and last ``window`` rows of the task
+    with their position, for the borders between tasks; the task's row count as a ``pos`` without a class.
+    """
+    def made(part=None, pos=None, stars=None, rows=None):
+        n = len(stars) if stars is not None else len(pos)
+        none = {f.name: pa.nulls(n, f.type) for f in schema}
+        if stars is not None:
+            none |= {k: pa.array(x, pa.int64()) for k, x in zip("ab", zip(*stars))}
+        else:
+            none |= {"part": pa.array(np.full(n, part, np.int32)), "pos": pa.array(pos)}
+        if rows is not None:
+            none |= {k: rows[k].combine_chunks() for k in (*_ORDER, "cid", "v")}
+        return pa.Table.from_pydict(none, schema=schema).combine_chunks().to_batches()
+
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("part", pa.int32()), ("pos", pa.int64()),
+                        ("pass", pa.int32()), ("label", pa.int64()), ("dim", pa.int64()), ("cid", pa.int64()),
+                        ("v", pa.binary())])
 
     def run(batches):
-        tail = None
+        part, tail, seen = TaskContext.get().partitionId(), None, 0
         for b in batches:
             if not b.num_rows:
                 continue
             t = pa.Table.from_batches([b])
-            if tail is not None:
-                t = pa.concat_tables([tail, t])
+            if seen < window:
+                first = t.slice(0, window - seen)
+                yield from made(part, np.arange(seen, seen + first.num_rows), rows=first)
             fresh = 0 if tail is None else tail.num_rows
-            t = t.combine_chunks()
-            tail = t.slice(max(0, t.num_rows - window))
-            cid, pairs = t["cid"].to_numpy(), []
-            after, before = np.zeros(t.num_rows, np.int64), np.zeros(t.num_rows, np.int64)
-            cuts = slices([t[k].to_numpy() for k in ("pass", "label", "dim")])
-            for s, e in cuts:
-                dim = int(t["dim"][s].as_py())
-                v = np.frombuffer(b"".join(t["v"].slice(s, e - s).to_pylist()), np.float16).reshape(-1, dim).astype(np.float32)
-                for i in range(0, e - s, rows):
-                    a, z = v[i:i + rows], v[i:i + rows + window]
-                    cosine = a @ z.T
-                    step = np.arange(len(z)) - np.arange(len(a))[:, None]
-                    inside = (step > 0) & (step <= window)
-                    x, y = np.nonzero(inside & (cosine >= threshold - SLACK))
-                    ok = s + i + y >= fresh
-                    pairs += zip(cid[s + i + x[ok]].tolist(), cid[s + i + y[ok]].tolist())
-                    close = inside & (cosine >= wide)  # those of the last batch's rows are counted anew, and whole
-                    after[s + i:s + i + len(a)] += close.sum(axis=1)
-                    before[s + i:s + i + len(z)] += close.sum(axis=0)
-            stars = [(n, r) for n, r in spanning_stars(pairs).items() if n != r]
-            stars += [(n, None) for n in np.unique(cid[np.maximum(after, before) >= crowd]).tolist()]
+            t = (t if tail is None else pa.concat_tables([tail, t])).combine_chunks()
+            tail, seen = t.slice(max(0, t.num_rows - window)), seen + b.num_rows
+            stars = _compare(t, fresh, threshold, window)
+            if stars:
+                yield from made(stars=stars)
+        if seen:
+            last = tail.slice(max(0, tail.num_rows - max(0, seen - window)))  # without those among the first
+            if last.num_rows:
+                yield from made(part, np.arange(seen - last.num_rows, seen), rows=last)
+            yield from made(part, np.array([seen]))
+    return run
+
+
+def _borders(passed: DataFrame, threshold: float, window: int, parts: int) -> DataFrame:
+    """(a, b) as of ``_compare`` for the ``window`` rows on either side of each border between tasks."""
+    spark = passed.sparkSession
+    at, starts = 0, []  # one row per task
+    for part, n in sorted(passed.filter("pos IS NOT NULL AND cid IS NULL").select("part", "pos").collect()):
+        starts.append((part, at))
+        at += n
+    starts = spark.createDataFrame(starts, "part int, start long")
+    edge = passed.filter("pos IS NOT NULL AND cid IS NOT NULL").join(F.broadcast(starts), "part").withColumn("at", F.col("pos") + F.col("start"))
+    near = F.broadcast(starts.filter("start > 0").select(F.col("start").alias("border"), F.expr(f"start div {window}").alias("cell")))
+    dealt = (edge.withColumn("cell", F.explode(F.expr(f"sequence(at div {window} - 1, at div {window} + 1)")))
+             .join(near, "cell").filter((F.col("at") >= F.col("border") - window) & (F.col("at") < F.col("border") + window)))
+
+    def run(batches):
+        for g in groups(batches, ["border"]):
+            stars = _compare(g, 0, threshold, window)
             if stars:
                 x, y = zip(*stars)
                 yield pa.record_batch([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
-    return run
+
+    return (dealt.select("border", "at", *_ORDER, "cid", "v").repartition(parts, "border")
+            .sortWithinPartitions("border", "at").mapInArrow(run, "a long, b long"))
 
 
 def _leaders(threshold: float):
@@ -240,7 +307,7 @@ def _crowded_links(classes: DataFrame, crowded: DataFrame, threshold: float, blo
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.93, passes: int = 16, window: int = 64, block: int = 2048,
-                 spread: int = 16, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
+                 spread: int = 16, seed: int = 5, recall: float = 0.999, id_col: str = "vec_id", vector_col: str = "embedding",
                  label_col: str = "label") -> DataFrame:
     """One row per vector: id, ``n_links``, ``component_id`` (smallest id reachable), ``kept``."""
     parts = shuffle_partitions(vectors.sparkSession)
@@ -253,13 +320,19 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, passes: int = 16,
     classes = cut_lineage(rows.filter("ok").groupBy("label", "h1", "h2").agg(
         F.min("row").alias("cid"), F.count("*").alias("n"), F.min("id").alias("least"), F.first("vector").alias("vector"))
         .withColumn("dim", F.size("vector").cast("long")), "vec-classes")
-    keyed = (classes.select("label", "dim", "cid", "vector").repartition(parts)
-             .mapInArrow(_keyed(passes, seed), "pass int, label long, dim long, key long, cid long, v binary"))
+    sizes = cut_lineage(classes.groupBy("label", "dim").agg(F.count("*").alias("size"))
+                        .withColumn("passes", _passes("size", threshold, window, recall, passes)), "vec-sizes")
+    most = sizes.agg(F.max("passes")).first()[0] or passes
+    keyed = (join_small(classes, sizes, ["label", "dim"])
+             .select("label", "dim", "cid", "vector", "passes").repartition(parts)
+             .mapInArrow(_keyed(most, seed), "pass int, label long, dim long, key long, cid long, v binary"))
     keyed = cut_lineage(keyed, "vec-keys")
     passed = cut_lineage(
         keyed.repartitionByRange(parts, "pass", "label", "dim", "key", "cid")
         .sortWithinPartitions("pass", "label", "dim", "key", "cid")
-        .mapInArrow(_neighbours(threshold, window), "a long, b long"), "vec-passed")
+        .mapInArrow(_neighbours(threshold, window), _PASSED), "vec-passed")
+    passed = cut_lineage(passed.filter("a IS NOT NULL").select("a", "b")
+                         .unionAll(_borders(passed, threshold, window, parts)), "vec-met")
     united = connected_components(passed.filter("b IS NOT NULL").unionAll(
         _crowded_links(classes, passed.filter("b IS NULL").select(F.col("a").alias("cid")).distinct(), threshold,
                        block, spread, parts)), "a", "b")

@@ -91,3 +91,26 @@ def test_near_vectors_star_larger_than_all_windows(spark):
     assert near[3000].sum() == 3000 and near.sum() == 6000  # linked to the base, not to each other
     got = {t["vec_id"]: (t["n_links"], t["component_id"]) for t in near_vectors(frame(spark, [(i, v, 0) for i, v in enumerate(x.tolist())])).collect()}
     assert got == {i: (3000 if i == 3000 else int(i < 3000), 0 if i <= 3000 else i) for i in range(len(x))}
+
+
+def planted(n, pairs, dim=64):
+    """Even vectors, the first ``pairs`` of them each with a partner (``pairs`` rows on) at cosine 0.932."""
+    r = np.random.default_rng(6)
+    x = r.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = r.standard_normal((pairs, dim))
+    side -= (side * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    x[pairs:2 * pairs] = 0.932 * x[:pairs] + np.sqrt(1 - 0.932 ** 2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    return x.astype(np.float32)
+
+
+def test_near_vectors_recall_follows_size_not_tasks(spark):
+    pairs, parts, found = 600, spark.conf.get("spark.sql.shuffle.partitions"), []
+    vectors = frame(spark, [(i, v, 0) for i, v in enumerate(planted(3000, pairs).tolist())])
+    try:
+        for n in (2, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append({t["vec_id"] for t in near_vectors(vectors, passes=2, window=4).collect() if t["component_id"] == t["vec_id"] - pairs})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert found[0] == found[1] and len(found[0]) >= 0.99 * pairs
