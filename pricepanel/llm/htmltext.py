@@ -1,7 +1,7 @@
 """Main text of web pages by a recurrent block labeller.
 
 A page becomes its sequence of leaf blocks: text between block-level tags, with the path of open tags and
-their class, id and role names.  Scripts, styles, comments and the head are markup and never blocks.  Each
+their class, id and role names.  Scripts, styles, comments and the head are markup and never blocks; math is text.  Each
 block's input is the mean vector of its hashed path names, the mean vector of its hashed words, and a few
 figures (length, share of link text, place); a bidirectional LSTM in numpy reads the whole page and labels
 every block, so a block is judged by what stands around it.
@@ -35,7 +35,8 @@ BLOCK = set("""address article aside blockquote body caption center dd details d
 figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noframes ol optgroup
 option p pre search section select summary table tbody td tfoot th thead title tr ul""".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|template|noscript|svg|iframe|textarea|object|canvas|math|title"
+RAW = "script|style|template|iframe|textarea|title"  # without an end tag, up to the end of the page
+EMBEDDED = "svg|noscript|object|canvas"  # only with an end tag before the next of its kind, else a tag like any other
 #: Elements and names that hold main text, and those that do not.
 CONTENT = ("article main div.content div.post div.article section.story div.entry-content div.main-text div#content "
            "div#main section.body div.post-body div.article-body").split()
@@ -47,7 +48,8 @@ _NOISE_NAMES = {n.rpartition(".")[2].rpartition("#")[2] for n in NOISE}
 _MAIN_NAMES = {"article", "main"}
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<({RAW})\b[^>]*+>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<({RAW})(?=[\s/>])[^>]*+>.*?(?:</\1\s*>|\Z)"
+    rf"|<(?!svg[^>]*/>)({EMBEDDED})(?=[\s/>])[^>]*+>(?:(?!<\2[\s/>]).)*?</\2\s*>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^>]*+>|<[!?/][^>]*+>|[^<]++|<",
     re.S | re.I)
 _NAME = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -72,9 +74,9 @@ def leaf_blocks(html: str | None) -> list[tuple[str, tuple, float]]:
         linked = 0
 
     for m in _TOKEN.finditer(html or ""):
-        raw, close, name, rest = m.groups()
-        if raw:
-            if raw.lower() not in ("script", "style", "template", "title"):
+        raw, embedded, close, name, rest = m.groups()
+        if raw or embedded:
+            if (raw or embedded).lower() not in ("script", "style", "template", "title", "svg"):
                 flush()
             continue
         if not name:

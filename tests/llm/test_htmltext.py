@@ -70,3 +70,17 @@ def test_query_against_the_pages_own_articles(spark, sf_small):
     pages = spark.read.parquet(f"{sf_small}/pages.parquet").collect()
     same = [got[p["page_id"]] == "\n".join(b[0] for b in H.leaf_blocks(p["html"]) if "article" in b[1]) for p in pages]
     assert np.mean(same) > 0.98
+
+
+def test_elements_that_are_not_raw_keep_the_rest_of_the_page():
+    texts = lambda html: [b[0] for b in H.leaf_blocks(html)]
+    for tag in ("<svg-icon name=x></svg-icon>", "<style-guide>", "<object-card></object-card>", "<svg viewBox='0 0 1 1'/>", "<math/>",
+                "<object data=x>", "<canvas id=c>", "<svg>", "<noscript>", "<object data=x>", "<TITLE-BAR>"):
+        assert texts(f"<nav>menu{tag}</nav><article><p>one<p>two</article>") == ["menu", "one", "two"], tag
+    assert texts("<object data=x><p>kept<object data=y>no</object><p>too") == ["kept", "too"]
+    assert texts("<p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be") == ["let x=2 be"]
+    assert texts("<p>an <svg class=i><title>no</title><path d=''/></svg>icon<svg/> inline") == ["an icon inline"]
+    for tag in ("script", "style", "textarea", "title", "iframe", "template", "svg", "object", "canvas", "noscript"):
+        assert texts(f"<p>a</p><{tag} x=y>no <b>no</b></{tag} ><p>b") == ["a", "b"], tag
+    for tag in ("script", "style", "textarea", "title", "iframe", "template"):
+        assert texts(f"<p>a</p><{tag}>never closed <p>b") == ["a"], tag
