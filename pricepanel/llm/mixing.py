@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.prefix import prefix_sums
+from .prefix import prefix_sums
 from ..session import cut_lineage
 from .common import ROW, join_small, with_rows, word_count
 

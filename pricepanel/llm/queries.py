@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .ann import nearest
 from .common import table
+from .decontaminate import contamination
 from . import htmltext
 from .linededup import dedup_lines
 from .mixing import mix
@@ -71,9 +72,15 @@ def op10_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_decontaminate(spark, sf_dir):
+    found = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"),
+                          keep=["doc_id"])
+    return found.drop("item_ids")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_line_dedup, op3_packing, op4_sharding, op5_nearest, op6_token_counts, op7_toxicity,
-    op8_html_text, op9_vector_dedup, op10_mixing, shard_layout)}
+    op8_html_text, op9_vector_dedup, op10_mixing, op13_decontaminate, shard_layout)}
 
 _OP2 = r"""
 WITH lines AS (
@@ -139,4 +146,23 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
 FROM sharded
 """
 
-ORACLE: dict[str, str] = {"shard_layout": _OP4, "op2_line_dedup": _OP2, "op10_mixing": _OP10}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents),
+q AS (SELECT item_id, w, least(10, len(w)) AS n FROM (SELECT item_id, {_TERMS} AS w FROM benchmark) WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
+       FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM q)),
+dw AS (SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+       FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
+found AS (SELECT rid, i, n, item_id FROM dw JOIN iw USING (n, g)),
+hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM found) GROUP BY rid),
+ids AS (SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT rid, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN ids USING (rid)
+"""
+
+ORACLE: dict[str, str] = {"op13_decontaminate": _OP13, "shard_layout": _OP4, "op2_line_dedup": _OP2, "op10_mixing": _OP10}
