@@ -108,25 +108,27 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np
     return mixed(out)
 
 
-def _eight(buf: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Up to eight lower-cased bytes from each position, packed; ``buf`` is padded by eight bytes."""
-    out = np.zeros(len(at), U64)
-    for k in range(8):
-        out |= np.where(count > k, _LOWER[buf[np.minimum(at + k, len(buf) - 1)]], 0).astype(U64) << U64(8 * k)
-    return out
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
+
+
+def eights(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on, A-Z as a-z, packed into one number (zero beyond the end)."""
+    lower = np.concatenate([_LOWER[buf], np.zeros(8, np.uint8)])
+    return np.ndarray((len(buf) + 1,), "<u8", lower, strides=(1,))
 
 
 def same_spans(a: np.ndarray, a_start: np.ndarray, a_len: np.ndarray,
                b: np.ndarray, b_start: np.ndarray, b_len: np.ndarray) -> np.ndarray:
-    """Whether span i of ``a`` has the bytes of span i of ``b``, A-Z as a-z."""
+    """Whether span i of ``a`` has the bytes of span i of ``b``; both as ``eights``."""
     same = a_len == b_len
     live, done = np.flatnonzero(same & (a_len > 0)), 0
     while len(live):
-        left = np.minimum(a_len[live] - done, 8)
-        equal = _eight(a, a_start[live] + done, left) == _eight(b, b_start[live] + done, left)
+        mask = _MASKS[np.minimum(a_len[live] - done, 8)]
+        equal = ((a[a_start[live] + done] ^ b[b_start[live] + done]) & mask) == 0
         same[live[~equal]] = False
         done += 8
-        live = live[equal & (a_len[live] > done)]
+        live = live[equal]
+        live = live[a_len[live] > done]
     return same
 
 

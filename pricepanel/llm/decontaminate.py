@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
-from .bytewords import ALNUM, U64, blocks, byte_codes, span_hashes, text_buffer, word_spans
+from .bytewords import ALNUM, U64, blocks, byte_codes, eights, span_hashes, text_buffer, word_spans
 from .items import Items, item_blocks
 
 SHARD_WORDS = 1_000_000
@@ -128,6 +128,7 @@ class _Shard:
         depth = int(item_len.max()) if len(item_len) else 0
         where = np.zeros(n, np.int64)
         where[at] = np.arange(len(starts))
+        packed = eights(buf)
         while True:
             order = suffix_array(letters, depth)
             self.longest, self.place, low, high = search_suffixes(letters, order, items, need)
@@ -147,7 +148,8 @@ class _Shard:
             np.add.at(shown, self.place[best] + self.longest[best], -1)
             check = np.flatnonzero(covered | (np.cumsum(shown)[:n] > 0))
             word = where[check]
-            wrong = check[~items.verified(letters[check], buf, starts[word], ends[word])]
+            v = np.searchsorted(items.vocab, letters[check])
+            wrong = check[~items.verified(v, packed, starts[word], ends[word])]
             if not len(wrong):
                 break
             letters[wrong] = _END

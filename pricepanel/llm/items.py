@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .bytewords import ALNUM, byte_codes, same_spans, span_hashes, text_buffer, word_spans
+from .bytewords import ALNUM, byte_codes, eights, same_spans, span_hashes, text_buffer, word_spans
 from .prefix import prefix_sums
 
 ITEM_BYTES = 8 << 20
@@ -34,22 +34,22 @@ class Items:
     start: np.ndarray      # of each distinct word in buf
     length: np.ndarray
 
-    def verified(self, hashes: np.ndarray, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Whether each span of ``buf`` is the word of this block that has its hash; all hashes are in ``vocab``."""
-        v = np.searchsorted(self.vocab, hashes)
-        return same_spans(buf, starts, ends - starts, self.buf, self.start[v], self.length[v])
+    def verified(self, v: np.ndarray, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether each span of ``text`` (as ``eights``) is word ``v`` of the vocabulary, byte for byte."""
+        return same_spans(text, starts, ends - starts, eights(self.buf), self.start[v], self.length[v])
 
 
 def make_items(ids: list, texts: list) -> Items:
     """Words of a block; a hash shared by two different words of it moves on to another seed."""
     buf, offsets = text_buffer(pa.array([t or "" for t in texts], pa.string()))
     starts, ends, counts = word_spans(buf, offsets, ALNUM)
+    packed = eights(buf)
     for seed in range(100):  # zero is no word's hash, and no two words share one
         h = span_hashes(buf, starts, ends, byte_codes(seed))
         vocab, first, which = np.unique(h, return_index=True, return_inverse=True)
         first = first.astype(np.int64)
         lens = ends - starts
-        if not len(vocab) or (vocab[0] and same_spans(buf, starts, lens, buf, starts[first][which], lens[first][which]).all()):
+        if not len(vocab) or (vocab[0] and same_spans(packed, starts, lens, packed, starts[first][which], lens[first][which]).all()):
             break
     else:
         raise RuntimeError("no seed tells the words apart")

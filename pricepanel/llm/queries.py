@@ -8,6 +8,7 @@ from .ann import nearest
 from .common import table
 from .decontaminate import contamination
 from . import htmltext
+from .lexsearch import search
 from .linededup import dedup_lines
 from .mixing import mix
 from .packing import pack
@@ -72,6 +73,10 @@ def op10_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_lexical_search(spark, sf_dir):
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_decontaminate(spark, sf_dir):
     found = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"),
                           keep=["doc_id"])
@@ -80,7 +85,7 @@ def op13_decontaminate(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_line_dedup, op3_packing, op4_sharding, op5_nearest, op6_token_counts, op7_toxicity,
-    op8_html_text, op9_vector_dedup, op10_mixing, op13_decontaminate, shard_layout)}
+    op8_html_text, op9_vector_dedup, op10_mixing, op11_lexical_search, op13_decontaminate, shard_layout)}
 
 _OP2 = r"""
 WITH lines AS (
@@ -165,4 +170,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN ids USING (rid)
 """
 
-ORACLE: dict[str, str] = {"op13_decontaminate": _OP13, "shard_layout": _OP4, "op2_line_dedup": _OP2, "op10_mixing": _OP10}
+_OP11 = f"""
+WITH tok AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents),
+t AS (SELECT rid, doc_id, len(w) AS n, unnest(w) AS term FROM tok WHERE len(w) > 0),
+tf AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM t GROUP BY ALL),
+s AS (SELECT count(*) AS nd, sum(n)::BIGINT AS l FROM (SELECT DISTINCT rid, n FROM t)),
+w AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * nd + 2) / (2.0::DOUBLE * df + 1)))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s),
+q AS (SELECT item, item_id, term, count(*) AS c
+      FROM (SELECT item, item_id, unnest({_TERMS}) AS term FROM (SELECT row_number() OVER () AS item, * FROM benchmark)) GROUP BY ALL),
+scored AS (
+  SELECT item, item_id, rid, doc_id,
+         sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // l))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term), s GROUP BY ALL HAVING score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored)
+WHERE rank <= 20
+"""
+
+ORACLE: dict[str, str] = {"op11_lexical_search": _OP11, "op13_decontaminate": _OP13, "shard_layout": _OP4, "op2_line_dedup": _OP2, "op10_mixing": _OP10}
