@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .ann import nearest
+from .collocations import collocations
 from .common import table
 from .decontaminate import contamination
 from . import htmltext
@@ -77,6 +78,10 @@ def op11_lexical_search(spark, sf_dir):
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_decontaminate(spark, sf_dir):
     found = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"),
                           keep=["doc_id"])
@@ -85,7 +90,8 @@ def op13_decontaminate(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_line_dedup, op3_packing, op4_sharding, op5_nearest, op6_token_counts, op7_toxicity,
-    op8_html_text, op9_vector_dedup, op10_mixing, op11_lexical_search, op13_decontaminate, shard_layout)}
+    op8_html_text, op9_vector_dedup, op10_mixing, op11_lexical_search, op12_collocations,
+    op13_decontaminate, shard_layout)}
 
 _OP2 = r"""
 WITH lines AS (
@@ -188,4 +194,32 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
 WHERE rank <= 20
 """
 
-ORACLE: dict[str, str] = {"op11_lexical_search": _OP11, "op13_decontaminate": _OP13, "shard_layout": _OP4, "op2_line_dedup": _OP2, "op10_mixing": _OP10}
+_OP12 = rf"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all({_LOWER}, '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, k.n, array_to_string(w[i:i + k.n - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k.n, unnest(range(1, len(w) - k.n + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) AS k(n) WHERE len(w) >= k.n) AS k),
+f AS (SELECT lang, n, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+cand AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE n >= 2),
+cuts AS (SELECT *, unnest(range(1, len(w))) AS k FROM cand),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+         ((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM cand WHERE len(w) = 3)
+  GROUP BY lang, phrase),
+kept AS (SELECT b.* FROM best b LEFT JOIN longer o USING (lang, phrase) WHERE o.a IS NULL OR 100 * o.a < 50 * b.a)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score FROM (
+  SELECT kept.*, total.n, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM kept JOIN total USING (lang))
+WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op12_collocations": _OP12, "op11_lexical_search": _OP11, "op13_decontaminate": _OP13, "shard_layout": _OP4, "op2_line_dedup": _OP2, "op10_mixing": _OP10}
