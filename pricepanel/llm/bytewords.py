@@ -134,7 +134,7 @@ def same_spans(a: np.ndarray, a_start: np.ndarray, a_len: np.ndarray,
 
 def gathered(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     """The spans as an Arrow string column."""
-    lens = ends - starts
+    lens = (ends - starts).astype(np.int64)
     offsets = np.zeros(len(lens) + 1, np.int64)
     np.cumsum(lens, out=offsets[1:])
     index = np.repeat(starts - offsets[:-1], lens) + np.arange(offsets[-1])

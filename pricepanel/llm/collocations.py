@@ -32,7 +32,7 @@ from ..session import cut_lineage
 from .bytewords import _LOWER, U64, blocks, byte_codes, eights, gathered, same_spans, span_hashes, text_buffer
 from .common import shuffle_partitions
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Of unfinished chunks in a task, all languages together.
 OPEN_BYTES = 32 << 20
 _BITS = U64(16)  # the lowest bits of a fingerprint stay at home; 48 travel
@@ -140,14 +140,15 @@ class _Grams:
         start = np.concatenate([[0], sep[:-1] + 1]).astype(np.int64) if len(sep) else np.zeros(0, np.int64)
         piece = np.cumsum(self.buf[sep] == 10) - (self.buf[sep] == 10)  # number of the word's piece
         codes = byte_codes(zlib.crc32(lang.encode("utf-8", "surrogatepass")))
-        starts, ends, sizes = [], [], []
+        hashes, starts, ends, sizes = [], [], [], []
         for n in range(1, max_words + 1):
             i = np.arange(max(0, carry - n + 1), len(sep) - n + 1)
             i = i[piece[i] == piece[i + n - 1]]
-            starts.append(start[i])
-            ends.append(sep[i + n - 1])
-            sizes.append(np.full(len(i), n, np.int32))
-        self.hash = np.concatenate([span_hashes(self.buf, s, e, codes) for s, e in zip(starts, ends)])
+            starts.append(start[i].astype(np.int32))
+            ends.append(sep[i + n - 1].astype(np.int32))
+            sizes.append(np.full(len(i), n, np.int8))
+            hashes.append(span_hashes(self.buf, start[i], sep[i + n - 1], codes) >> _BITS)
+        self.hash = np.concatenate(hashes)
         self.start, self.end, self.n = np.concatenate(starts), np.concatenate(ends), np.concatenate(sizes)
 
 
@@ -180,8 +181,10 @@ def _fingerprints(max_words: int, min_count: int, ranges: int, count_type):
     def run(batches):
         bounds = _bounds(ranges)
         for b in batches:
-            for chunk, lang, carry, text in zip(*(b[c].to_pylist() for c in ("chunk", "lang", "carry", "text"))):
-                h = np.sort(_Grams(text, lang, carry, max_words).hash >> _BITS)
+            for k in range(b.num_rows):
+                chunk, lang, carry, text = (b[c][k].as_py() for c in ("chunk", "lang", "carry", "text"))
+                h = _Grams(text, lang, carry, max_words).hash
+                h.sort()
                 first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
                 counts = np.minimum(np.diff(np.append(first, len(h))), min_count).astype(count_type)
                 values = h[first]
@@ -229,9 +232,8 @@ def _phrases(max_words: int, ranges: int):
             return schema.empty_table()
         lang, carry, text = texts[0]
         g = _Grams(text, lang, carry, max_words)
-        h = g.hash >> _BITS
-        order = np.argsort(h, kind="stable")
-        h = h[order]
+        order = np.argsort(g.hash)
+        h = g.hash[order]
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         size = np.diff(np.append(first, len(h)))
         often, at = np.zeros(len(first), bool), np.searchsorted(h[first], _bounds(ranges))
@@ -248,7 +250,7 @@ def _phrases(max_words: int, ranges: int):
         other = each[~same]  # another phrase with the fingerprint: shown on its own, counted with the rest later
         show = np.concatenate([order[first], other])
         count = np.concatenate([count, np.ones(len(other), np.int64)])
-        return pa.Table.from_arrays([pa.array([lang] * len(show), pa.string()), pa.array(g.n[show]),
+        return pa.Table.from_arrays([pa.array([lang] * len(show), pa.string()), pa.array(g.n[show].astype(np.int32)),
                                      gathered(g.buf, g.start[show], g.end[show]), pa.array(count)], schema=schema)
     return run
 
