@@ -8,9 +8,8 @@ Scale notes
   ``window_days``; each is copied into its own and the next bucket, so every
   bucket sees the full look-back of its days.  A task holds one bucket of one
   key at a time: at most two windows' days with their distinct prices.
-* ``first_n_median`` never windows over a whole key either: day counts are
-  pre-aggregated per (key, day), only the first days that hold the first N
-  observations are kept, and only those rows are ranked.
+* ``first_n_median`` keeps at most N rows of a key in a map task before the
+  shuffle, or (without an order inside a day) the days that hold them.
 """
 
 from __future__ import annotations
@@ -44,7 +43,7 @@ def rolling_median(df: DataFrame, keys: Sequence[str], date_col: str, value_col:
     RANGE semantics: same-day peers are inside the frame.  ``method="window"`` uses a
     SQL window (``percentile`` re-evaluated per distinct day: O(rows x frame));
     ``method="stream"`` first counts values per (key, day), so a task sees distinct values and not
-    rows, and streams each (key, time bucket) through a counting tree (O(values x log values)).
+    rows, and takes the medians of many (key, time bucket) in one numpy pass (O(values x log values)).
     Rows without a date take no part.
     """
     keys = _cols(keys)
@@ -82,82 +81,97 @@ def _join_days(df: DataFrame, stats: DataFrame, keys: Sequence[str], date_col: s
     return df.join(stats, on).select(*[df[c] for c in df.columns], *[stats[c] for c in rest])
 
 
-def _rolling_days(window_days: int, keys: list[str], names: list[str]):
-    """Streams value counts sorted by (keys, bucket, day, value); one bucket of one key is held at a time."""
+#: Value counts taken into one numpy pass; a bucket of a key that has more is taken whole.
+PASS_ROWS = 400_000
+
+
+def _kth_in_ranges(codes, weights, first, last, ranks):
+    """For each range [first, last) of the sequence: the code at a rank (from 0) of its weighted order.
+
+    A wavelet matrix: the sequence is split stably by one bit of the codes after another, high to low.  With the
+    prefix sums of the weights that have a zero bit, every range knows how much of it goes left; all ranges and
+    ranks take the step together.
+    """
+    import numpy as np
+    lo, hi, left = first.copy(), last.copy(), ranks.copy()
+    out = np.zeros(len(ranks), np.int64)
+    for bit in range(max(1, int(codes.max(initial=0)).bit_length()) - 1, -1, -1):
+        zero = (codes >> bit) & 1 == 0
+        places = np.concatenate([[0], np.cumsum(zero)])               # zero bits before each position
+        weight = np.concatenate([[0], np.cumsum(np.where(zero, weights, 0))])
+        smaller = weight[hi] - weight[lo]
+        up = left >= smaller
+        left = np.where(up, left - smaller, left)
+        out = (out << 1) | up
+        lo, hi = (np.where(up, places[-1] + x - places[x], places[x]) for x in (lo, hi))
+        order = np.concatenate([np.flatnonzero(zero), np.flatnonzero(~zero)])
+        codes, weights = codes[order], weights[order]
+    return out
 
-    def medians(days, values, counts, own):
-        import numpy as np
-        levels, at = np.unique(values[counts > 0], return_inverse=True)
-        where = np.zeros(len(values), np.int64)
-        where[counts > 0] = at + 1
-        size = 1 << max(1, int(len(levels))).bit_length()
-        tree, total, first, last = [0] * (size + 1), 0, 0, 0
-
-        def add(i, n):
-            while i <= size:
-                tree[i] += n
-                i += i & -i
-
-        def nth(rank):
-            """The value of a rank (from 0)."""
-            i, step = 0, size >> 1
-            while step:
-                if i + step <= size and tree[i + step] <= rank:
-                    i += step
-                    rank -= tree[i]
-                step >>= 1
-            return float(levels[i])
-
-        d, w, c = days.tolist(), where.tolist(), counts.tolist()
-        for day in np.unique(days[own]).tolist():
-            while last < len(d) and d[last] <= day:
-                if c[last]:
-                    add(w[last], c[last])
-                    total += c[last]
-                last += 1
-            while d[first] <= day - window_days:
-                if c[first]:
-                    add(w[first], -c[first])
-                    total -= c[first]
-                first += 1
-            yield day, (nth((total - 1) // 2) + nth(total // 2)) / 2 if total else None, total
+
+def _window_medians(group, day, value, weight, own, window_days: int):
+    """(position of a row of the day, median or NaN, total weight) of each group's own days; rows sorted by (group, day)."""
+    import numpy as np
+    start = int(day.min()) - window_days
+    span = int(day.max()) - start + 1
+    line = group * span + (day - start)  # group and day on one axis, a window between two groups
+    levels, codes = np.unique(value, return_inverse=True)
+    new = np.ones(len(line), bool)
+    new[1:] = line[1:] != line[:-1]
+    at = np.flatnonzero(new & own)
+    last = np.searchsorted(line, line[at], side="right")
+    first = np.searchsorted(line, line[at] - window_days, side="right")
+    before = np.concatenate([[0], np.cumsum(weight)])
+    total = before[last] - before[first]
+    some = np.flatnonzero(total > 0)
+    ranks = np.concatenate([(total[some] - 1) // 2, total[some] // 2])
+    middle = levels[_kth_in_ranges(codes, weight, np.tile(first[some], 2), np.tile(last[some], 2), ranks)]
+    median = np.full(len(at), np.nan)
+    median[some] = (middle[:len(some)] + middle[len(some):]) / 2
+    return at, median, total
+
+
+def _rolling_days(window_days: int, keys: list[str], names: list[str]):
+    """Value counts sorted by (keys, bucket, day) to medians a day: many buckets in one pass, each in one pass only."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        held, key = [], None
-
-        def finish():
-            t = pa.concat_tables(held).combine_chunks()
-            values = t["_v"].to_numpy(zero_copy_only=False)
-            rows = list(medians(t["_dn"].to_numpy(), np.nan_to_num(values), t["_n"].to_numpy(),
-                                t["_wb"].to_numpy() == t["_bucket"].to_numpy()))
-            return rows
-
-        def emit(rows, key):
-            cols = [pa.array([k] * len(rows), held[0].schema.field(n).type) for n, k in zip(keys, key)]
-            days, med, cnt = zip(*rows)
-            return pa.record_batch([*cols, pa.array(days, pa.int64()), pa.array(med, pa.float64()),
-                                    pa.array(cnt, pa.int64())], names=names)
+        held, rows = [], 0
+
+        def starts(t):
+            """Whether a row begins another bucket or key; NULL keys are equal to each other."""
+            new = np.ones(t.num_rows, bool)
+            codes = [t["_wb"].to_numpy()]
+            for k in keys:
+                d = t[k].combine_chunks().dictionary_encode()
+                codes.append((d.chunk(0) if isinstance(d, pa.ChunkedArray) else d).indices.fill_null(-1).to_numpy(zero_copy_only=False))
+            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in codes])
+            return new
+
+        def medians(t, new):
+            value = t["_v"].to_numpy(zero_copy_only=False)
+            at, median, total = _window_medians(
+                np.cumsum(new), t["_dn"].to_numpy(), np.where(np.isnan(value), 0.0, value), t["_n"].to_numpy(),
+                t["_wb"].to_numpy() == t["_bucket"].to_numpy(), window_days)
+            cols = [t[k].combine_chunks().take(pa.array(at)) for k in keys]
+            return pa.record_batch([*cols, pa.array(t["_dn"].to_numpy()[at].astype(np.int64)),
+                                    pa.array(median, mask=total == 0), pa.array(total)], names=names)
 
         for b in batches:
-            if not b.num_rows:
+            held.append(b)
+            rows += b.num_rows
+            if rows < PASS_ROWS:
                 continue
-            t = pa.Table.from_batches([b])
-            ids = list(zip(*[t[k].to_pylist() for k in keys], t["_wb"].to_pylist()))
-            cuts = [0, *[i for i in range(1, len(ids)) if ids[i] != ids[i - 1]], len(ids)]
-            for s, e in zip(cuts, cuts[1:]):
-                if key is not None and ids[s] != key:
-                    rows = finish()
-                    if rows:
-                        yield emit(rows, key)
-                    held.clear()
-                key = ids[s]
-                held.append(t.slice(s, e - s))
-        if held:
-            rows = finish()
-            if rows:
-                yield emit(rows, key)
+            t = pa.Table.from_batches(held).combine_chunks()
+            new = starts(t)
+            cut = int(np.flatnonzero(new)[-1])  # the last bucket may go on
+            if cut:
+                yield medians(t.slice(0, cut), new[:cut])
+            held, rows = t.slice(cut).to_batches(), t.num_rows - cut
+        if rows:
+            t = pa.Table.from_batches(held).combine_chunks()
+            yield medians(t, starts(t))
 
     return run
 
@@ -171,20 +185,16 @@ def first_n_median(df: DataFrame, keys: Sequence[str], date_col: str, value_col:
     """
     keys = _cols(keys)
     obs = df.filter(F.col(value_col).isNotNull() & F.col(date_col).isNotNull())
+    if tiebreak:
+        # planned as a WindowGroupLimit that also runs before the shuffle: a key moves at most n rows a map task
+        first = Window.partitionBy(*keys).orderBy(date_col, *tiebreak)
+        return (obs.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= n)
+                .groupBy(*keys).agg(F.median(value_col).alias(out_col)))
     per_day = obs.groupBy(*keys, date_col).agg(F.count(F.lit(1)).alias("_n"))
     wd = Window.partitionBy(*keys).orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
     early_days = (per_day.withColumn("_before", F.coalesce(F.sum("_n").over(wd), F.lit(0)))
                   .filter(F.col("_before") < n).select(*keys, date_col))
-    cand = obs.join(early_days, [*keys, date_col], "left_semi")
-    if not tiebreak:
-        return cand.groupBy(*keys).agg(F.median(value_col).alias(out_col))
-    # top-n per (key, day) first: planned as a WindowGroupLimit that also runs before the shuffle,
-    # so a key with a huge first day moves at most n rows per map partition
-    wday = Window.partitionBy(*keys, date_col).orderBy(*tiebreak)
-    cand = cand.withColumn("_rd", F.row_number().over(wday)).filter(F.col("_rd") <= n).drop("_rd")
-    wr = Window.partitionBy(*keys).orderBy(date_col, *tiebreak)
-    return (cand.withColumn("_rn", F.row_number().over(wr)).filter(F.col("_rn") <= n)
-            .groupBy(*keys).agg(F.median(value_col).alias(out_col)))
+    return obs.join(early_days, [*keys, date_col], "left_semi").groupBy(*keys).agg(F.median(value_col).alias(out_col))
 
 
 def flag_price_outliers(df: DataFrame, keys: Sequence[str] = ("product_code", "competitor_name"),
@@ -194,19 +204,17 @@ def flag_price_outliers(df: DataFrame, keys: Sequence[str] = ("product_code", "c
     """Adds ``baseline``, ``is_high_outlier``, ``is_low_outlier``, ``is_outlier``; rows without a price or
     a date are dropped.
 
-    The priced rows are written once: the source is read once for the counts, the baseline and the result.
-    Only rows with fewer than ``min_observations`` in their window are joined with the baseline.
+    The priced rows are written once and shuffled once: the baseline of a day (its rolling median, or the first
+    observations' where the window holds fewer than ``min_observations``) is settled per key and day before.
     """
     keys = _cols(keys)
     priced = cut_lineage(df.filter(F.col(price_col).isNotNull() & F.col(date_col).isNotNull()), "priced")
-    stats = cut_lineage(rolling_median_days(priced, keys, date_col, price_col, int(window_days), "_median", "_count"),
-                        "rolling-days")
+    stats = rolling_median_days(priced, keys, date_col, price_col, int(window_days), "_median", "_count")
     base = first_n_median(priced, keys, date_col, price_col, min_observations, tiebreak, "_first")
-    many = _join_days(priced, stats.filter(F.col("_count") >= min_observations), keys, date_col)
-    few = _join_days(priced, stats.filter(F.col("_count") < min_observations), keys, date_col)
-    few = few.join(base, [few[k].eqNullSafe(base[k]) for k in keys], "left").select(
-        *[few[c] for c in priced.columns], F.col("_first").alias("baseline"))
-    out = many.select(*priced.columns, F.col("_median").alias("baseline")).unionByName(few)
+    days = stats.join(base, [stats[k].eqNullSafe(base[k]) for k in keys], "left").select(
+        *[stats[k] for k in keys], "_day",
+        F.when(F.col("_count") >= min_observations, F.col("_median")).otherwise(F.col("_first")).alias("baseline"))
+    out = _join_days(priced, days, keys, date_col)
     out = out.withColumn("is_high_outlier", F.col(price_col) > F.lit(high) * F.col("baseline"))
     if low is None:
         out = out.withColumn("is_low_outlier", F.lit(False))

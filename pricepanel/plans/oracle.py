@@ -1048,3 +1048,20 @@ WHERE a.product_selling_price > 0""")
 
 register("artifact_settings", with_(SALES, PANEL) + """
 SELECT unnest(['out/demo_ladder_weekly', 'out/demo_features_weekly']) AS path, count(*) AS n FROM panel""")
+
+_MU = "(SELECT avg(quantity_sold) FROM panel WHERE quantity_sold >= 0)"
+_F = f"ln({_MU})"
+
+register("tweedie_leaf_steps", with_(SALES, PANEL) + f""", g AS (
+  SELECT product_code,
+         -quantity_sold * exp(-0.24::DOUBLE * {_F}) + exp(0.76::DOUBLE * {_F}) AS g,
+         0.24::DOUBLE * quantity_sold * exp(-0.24::DOUBLE * {_F}) + 0.76::DOUBLE * exp(0.76::DOUBLE * {_F}) AS h
+  FROM panel WHERE quantity_sold >= 0),
+leaf AS (SELECT product_code, sum(g) AS gradient, sum(h) AS hessian FROM g GROUP BY product_code)
+SELECT product_code, {R('gradient')} AS gradient, {R('hessian')} AS hessian, {R('(-gradient / (hessian + 1))')} AS step FROM leaf""")
+
+register("tweedie_deviance", with_(SALES, PANEL) + f""", d AS (
+  SELECT 2 * (pow(quantity_sold, 0.76::DOUBLE) / (-0.24::DOUBLE * 0.76::DOUBLE)
+              - quantity_sold * pow({_MU}, -0.24::DOUBLE) / -0.24::DOUBLE + pow({_MU}, 0.76::DOUBLE) / 0.76::DOUBLE) AS unit
+  FROM panel WHERE quantity_sold >= 0)
+SELECT {R('avg(unit)')} AS deviance, count(*) AS n_rows FROM d""")

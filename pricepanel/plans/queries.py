@@ -8,6 +8,7 @@ Computed doubles are rounded to 6 dp (half away from zero) on output only.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -569,6 +570,7 @@ def q_resimulated_features(spark, d):
 
 
 # ---------------------------------------------------------------- demand model (rows-only checks)
+from ..operators import boosting as boost  # noqa: E402
 from ..operators import model as mdl  # noqa: E402
 
 MODEL_CFG = mdl.ModelConfig(price_change_weight=2.0)
@@ -583,16 +585,10 @@ def model_inputs(spark, d):
     return mp, feats
 
 
-_TRAINED: dict = {}
-
-
 def trained(spark, d):
-    """(panel, features, model); three queries of a session share one training per table folder."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _TRAINED:
-        mp, feats = model_inputs(spark, d)
-        _TRAINED[key] = mp, feats, mdl.train_demand_model(mp.filter(~F.col("is_test")), MODEL_CFG, feats)
-    return _TRAINED[key]
+    """(panel, features, model) of the folder's tables."""
+    mp, feats = model_inputs(spark, d)
+    return mp, feats, mdl.train_demand_model(mp.filter(~F.col("is_test")), MODEL_CFG, feats)
 
 
 def predictions_per_day(spark, d):
@@ -620,8 +616,47 @@ def q_leakage_check(spark, d):
 @query("time_cv")
 def q_time_cv(spark, d):
     mp, feats = model_inputs(spark, d)
-    grid = [{"max_depth": 5}, {"max_depth": 6}]
-    return mdl.time_series_cv(mp.filter(~F.col("is_test")), MODEL_CFG, feats, grid, n_folds=3)
+    grid = [dict(max_depth=depth, step_size=step, subsampling_rate=rate, max_bins=bins)
+            for depth in (3, 5) for step in (0.06, 0.2) for rate in (0.7, 1.0) for bins in (32, 64)]
+    return mdl.successive_halving(mp.filter(~F.col("is_test")), MODEL_CFG, feats, grid, n_folds=3)
+
+
+@query("tweedie_holdout")
+def q_tweedie_holdout(spark, d):
+    """Deviance on the hold-out rows of the two losses, same trees and depth."""
+    mp, feats = model_inputs(spark, d)
+    train, encoded = mdl.encode_training(mp.filter(~F.col("is_test")), MODEL_CFG, feats)
+    test = mp.filter("is_test").withColumn("_y", F.log1p("quantity_sold"))
+    out = None
+    for loss in ("squared", "tweedie"):
+        cfg = replace(MODEL_CFG, loss=loss, max_iter=20, max_depth=5, step_size=0.2)
+        scored = mdl.predict_quantity(mdl.fit_trees(train, encoded, cfg), test, out_col="_p")
+        scored = scored.withColumn("_mean", F.greatest(F.log1p("_p"), F.lit(1e-6)))
+        one = boost.tweedie_deviance(scored, "_y", "_mean", MODEL_CFG.variance_power).withColumn("loss", F.lit(loss))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def scored_panel(spark, d):
+    """Panel rows with the log of the overall mean quantity as score."""
+    rows = panel_(spark, d).filter("quantity_sold >= 0")
+    return rows.withColumn("_f", F.log(rows.agg(F.avg("quantity_sold")).scalar()))
+
+
+@query("tweedie_leaf_steps")
+def q_tweedie_leaf_steps(spark, d):
+    """Gradient and hessian sums and the Newton step of each product (as leaf) from the overall mean."""
+    y, f = F.col("quantity_sold"), F.col("_f")
+    out = boost.newton_leaf_values(scored_panel(spark, d), "product_code", boost.tweedie_gradient(y, f, 1.24),
+                                   boost.tweedie_hessian(y, f, 1.24))
+    return out.select("product_code", *[r6(c) for c in ("gradient", "hessian", "step")])
+
+
+@query("tweedie_deviance")
+def q_tweedie_deviance(spark, d):
+    """Mean deviance of the overall mean as prediction."""
+    out = boost.tweedie_deviance(scored_panel(spark, d).withColumn("_mean", F.exp("_f")), "quantity_sold", "_mean", 1.24)
+    return out.select(r6("deviance"), "n_rows")
 
 
 @query("model_elasticity")
@@ -996,12 +1031,11 @@ def q_model_features(spark, d):
 def q_model_persist(spark, d):
     """A trained model saved, loaded and used; both predictions of each hold-out row."""
     mp, feats = model_inputs(spark, d)
-    small = mdl.ModelConfig(price_change_weight=2.0, max_iter=20, max_depth=5)
-    model = mdl.train_demand_model(mp.filter(~F.col("is_test")), small, feats)
+    model = mdl.train_demand_model(mp.filter(~F.col("is_test")), MODEL_CFG, feats)
     path = pio.scratch_path(spark, "model")
     model.save(path)
     test = mdl.predict_quantity(model, mp.filter("is_test"), out_col="before")
-    both = mdl.predict_quantity(mdl.load_model(spark, path, small), test, out_col="after")
+    both = mdl.predict_quantity(mdl.load_model(spark, path, MODEL_CFG), test, out_col="after")
     return both.select("product_code", "date", r6("before"), r6("after"))
 
 
