@@ -141,8 +141,15 @@ def holiday_features(df: DataFrame, date_col: str = "date", holidays: DataFrame
     )
 
 
-def add_holiday_features(df: DataFrame, date_col: str = "date") -> DataFrame:
-    cal = holiday_features(df, date_col).withColumnRenamed("date", date_col)
+def add_holiday_features(df: DataFrame, date_col: str = "date", holidays: DataFrame | None = None) -> DataFrame:
+    """Holiday name and distances joined on the day; ``holidays`` (date, holiday) replaces the built-in calendar.
+
+    Names of several rows of a day are joined, as in the built-in calendar.
+    """
+    if holidays is not None:
+        holidays = holidays.filter(F.col("date").isNotNull() & F.col("holiday").isNotNull()).groupBy("date").agg(
+            F.array_join(F.array_sort(F.collect_set("holiday")), "; ").alias("holiday"))
+    cal = holiday_features(df, date_col, holidays).withColumnRenamed("date", date_col)
     return df.join(F.broadcast(cal), date_col, "left")
 
 

@@ -78,9 +78,9 @@ def drop_columns(df: DataFrame, names: Sequence[str] = (), standard: Sequence[st
     return df.drop(*standard, *names)
 
 
-def filter_status(df: DataFrame, vocabulary: Sequence[str] = ("Active",), status_col: str = "product_status") -> DataFrame:
-    """Keep products whose status is in the vocabulary (no-op when the column is absent)."""
-    if status_col not in df.columns:
+def filter_status(df: DataFrame, vocabulary: Sequence[str] | None = ("Active",), status_col: str = "product_status") -> DataFrame:
+    """Keep products whose status is in the vocabulary (no-op when it is None or the column is absent)."""
+    if vocabulary is None or status_col not in df.columns:
         return df
     return df.filter(F.col(status_col).isin(list(vocabulary)))
 

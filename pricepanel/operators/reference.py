@@ -12,6 +12,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Dutch month names used by the statistics office tables.
 DUTCH_MONTHS: dict[str, int] = {
     "januari": 1, "februari": 2, "maart": 3, "april": 4, "mei": 5, "juni": 6,
@@ -82,10 +84,8 @@ def carry_cpi_forward(monthly: DataFrame, as_of: str, category_col: str | None =
     if category_col:
         cats = monthly.select(category_col).distinct()
         last = cats.join(last, category_col, "left")
-    new = (last.withColumn("_first_new", F.add_months(gmax, 1))
-           .select(*part, F.explode(F.sequence("_first_new", nxt, F.expr("INTERVAL 1 MONTH"))).alias(month_col),
-                   F.col("_last").alias(value_col))
-           .filter(F.col(month_col) <= nxt))
+    months = F.when(F.add_months(gmax, 1) <= nxt, F.sequence(F.add_months(gmax, 1), nxt, F.expr("INTERVAL 1 MONTH")))
+    new = last.select(*part, F.explode(months).alias(month_col), F.col("_last").alias(value_col))  # no month, no row
     return monthly.select(*part, month_col, value_col).unionByName(new)
 
 
@@ -108,7 +108,9 @@ def adjust_price_base_year(df: DataFrame, cpi_daily: DataFrame, base_year: int,
     """price * base / cpi, base = mean daily CPI of ``base_year``; rows after the CPI coverage dropped.
 
     With ``category_col`` (a column of both tables) CPI and base are those of the row's category.
+    The daily series is written once: its last day, its base and the join read it from there.
     """
+    cpi_daily = cut_lineage(cpi_daily, "cpi-daily")
     in_base = F.avg(F.when(F.year("date") == base_year, F.col("cpi")))
     covered = filter_cpi_coverage(df, cpi_daily, date_col)
     if category_col is None:

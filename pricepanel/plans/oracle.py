@@ -250,17 +250,21 @@ register("status_filter", with_(SALES) + """
 SELECT product_code, date, store_code, product_status, l_orderkey, l_linenumber FROM sales
 WHERE product_status IN ('F')""")
 
-register("price_level_filter", with_(SALES, PANEL) + f"""
-SELECT {PANEL_COLS} FROM panel WHERE product_code IN (
-  SELECT product_code FROM panel GROUP BY product_code HAVING count(DISTINCT product_selling_price) >= 5)""")
+register("price_level_filter", with_(SALES, PANEL, """stepped AS (
+  SELECT * REPLACE (floor(product_selling_price / 5000) * 5000.0::DOUBLE AS product_selling_price) FROM panel)""") + f"""
+SELECT {PANEL_COLS} FROM stepped WHERE product_code IN (
+  SELECT product_code FROM stepped GROUP BY product_code HAVING count(DISTINCT product_selling_price) >= 5)""")
 
-register("low_seller_semi", with_(SALES, PANEL) + f"""
-SELECT {PANEL_COLS} FROM panel WHERE product_code IN (
-  SELECT product_code FROM panel GROUP BY product_code HAVING median(quantity_sold) >= 25.0)""")
+SOME_UNKNOWN = """known AS (
+  SELECT * REPLACE (CASE WHEN NOT product_code LIKE '%7' THEN quantity_sold END AS quantity_sold) FROM panel)"""
+
+register("low_seller_semi", with_(SALES, PANEL, SOME_UNKNOWN) + f"""
+SELECT {PANEL_COLS} FROM known WHERE product_code IN (
+  SELECT product_code FROM known GROUP BY product_code HAVING median(quantity_sold) >= 25.0)""")
 
-register("low_seller_anti", with_(SALES, PANEL) + f"""
-SELECT {PANEL_COLS} FROM panel WHERE product_code NOT IN (
-  SELECT product_code FROM panel GROUP BY product_code HAVING median(quantity_sold) < 25.0)""")
+register("low_seller_anti", with_(SALES, PANEL, SOME_UNKNOWN) + f"""
+SELECT {PANEL_COLS} FROM known WHERE product_code NOT IN (
+  SELECT product_code FROM known GROUP BY product_code HAVING median(quantity_sold) < 25.0)""")
 
 register("iqr_filter", with_(SALES, PANEL) + f"""
 SELECT {PANEL_COLS} FROM (
@@ -276,7 +280,10 @@ SELECT {PANEL_COLS} FROM panel WHERE product_code IN (
   HAVING max(date) >= (SELECT max(date) FROM panel) - 180)""")
 
 register("nonneg_filter", with_(SALES) + """
-SELECT product_code, date, l_orderkey, l_linenumber, quantity_sold, revenue_before FROM sales
+SELECT product_code, date, l_orderkey, l_linenumber, quantity_sold, revenue_before FROM (
+  SELECT * REPLACE (CASE WHEN return_flag = 'R' THEN -quantity_sold ELSE quantity_sold END AS quantity_sold,
+                    CASE WHEN discount < 0.045 THEN revenue_before WHEN discount > 0.055 THEN -revenue_before END AS revenue_before)
+  FROM sales)
 WHERE (quantity_sold IS NULL OR quantity_sold >= 0) AND (revenue_before IS NULL OR revenue_before >= 0)""")
 
 register("impute_price", with_(SALES) + f"""
@@ -959,7 +966,8 @@ register("read_many_roundtrip", with_(SALES, PANEL) + """
 SELECT product_code, date, quantity_sold, product_selling_price, CASE WHEN year(date) < 1997 THEN revenue_before END AS revenue_before FROM panel""")
 
 register("json_mapping_lookup", """
-SELECT s_suppkey, CAST(s_nationkey AS VARCHAR) AS code, CASE WHEN n_nationkey < 20 THEN n_name END AS nation
+SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'unknown' ELSE CAST(s_nationkey AS VARCHAR) END AS code,
+       CASE WHEN s_suppkey % 5 <> 0 THEN n_name END AS nation
 FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""")
 
 register("json_records_landed", with_(MONTHLY) + f"""
@@ -1030,11 +1038,11 @@ SELECT product_code, date, sequence_number, grid_idx, price AS product_selling_p
 register("demand_curve_sequences", with_(SALES, PANEL) + f""", est AS (
   SELECT product_code, CAST(year(date) AS INTEGER) AS yr, {R('product_selling_price', 0)} AS p, sum(quantity_sold) AS q
   FROM panel GROUP BY 1, 2, 3)
-SELECT product_code AS product_code_elasticity, yr AS sequence_number_elasticity, count(*) AS n_points, min(p) AS lowest_price,
-       count(*) AS n_sales
-FROM est JOIN (SELECT product_code, yr FROM est WHERE q > 0 AND p > 0 GROUP BY 1, 2
-               HAVING count(*) >= 2 AND regr_slope(ln(q), ln(p)) IS NOT NULL) f USING (product_code, yr)
-WHERE p > 0 GROUP BY 1, 2""")
+SELECT product_code AS product_code_elasticity, yr AS sequence_number_elasticity, p AS price,
+       {R('exp(a + b * ln(p))')} AS sales
+FROM est JOIN (SELECT product_code, yr, regr_slope(ln(q), ln(p)) AS b, regr_intercept(ln(q), ln(p)) AS a FROM est
+               WHERE q > 0 AND p > 0 GROUP BY 1, 2 HAVING count(*) >= 2 AND regr_slope(ln(q), ln(p)) IS NOT NULL) f USING (product_code, yr)
+WHERE p > 0""")
 
 register("subset_sample", with_(SALES, PANEL) + """
 SELECT * FROM panel WHERE ('0x' || substr(md5(product_code || ':42'), 1, 8))::BIGINT % 100 < 50""")
@@ -1046,8 +1054,9 @@ SELECT a.product_code, a.sequence_number, {R('a.product_selling_price * CAST(0.9
 FROM seq a LEFT JOIN seq b ON a.product_code = b.product_code AND a.sequence_number = b.sequence_number AND b.sequence_number < 10
 WHERE a.product_selling_price > 0""")
 
-register("artifact_settings", with_(SALES, PANEL) + """
-SELECT unnest(['out/demo_ladder_weekly', 'out/demo_features_weekly']) AS path, count(*) AS n FROM panel""")
+register("artifact_settings", f"""
+SELECT '/demo_ladder_weekly' AS path, count(DISTINCT (product_code, date)) AS n FROM ({ORACLE["price_grid"]})
+UNION ALL SELECT '/demo_features_weekly', count(*) FROM ({with_(SALES, PANEL)} SELECT * FROM panel)""")
 
 _MU = "(SELECT avg(quantity_sold) FROM panel WHERE quantity_sold >= 0)"
 _F = f"ln({_MU})"

@@ -43,7 +43,8 @@ def receipt_panel(receipts: DataFrame, cutoff: str | None = None, min_corr: floa
 
 def preprocess(sales: DataFrame, profile: ClientProfile, cpi_monthly: DataFrame | None = None,
                weekly_output: bool = False, tiebreak: list[str] | None = None) -> DataFrame:
-    """Column hygiene, the filters that the profile sets, price adjustment, and the weekly form on request.
+    """Column hygiene, the filters that the profile sets, price adjustment, the weekly form on request, and doubles
+    rounded to ``round_digits``.  ``preprocess_with_grid`` also gives the price grid.
 
     Before weeks are formed, repeated (product, date) rows are reduced to the last one by ``tiebreak``
     (default: all other columns in turn).
@@ -80,16 +81,29 @@ def preprocess(sales: DataFrame, profile: ClientProfile, cpi_monthly: DataFrame
         df = weekly.weekly_iso(df, profile.target, profile.price_column, comp_cols,
                                carry_last=[profile.category_column] if profile.category_column in df.columns else [],
                                sum_cols=[c for c in ("revenue_before",) if c in df.columns])
-    return df
+    return df if profile.round_digits is None else feat.round_doubles(df, profile.round_digits)
+
+
+def preprocess_with_grid(sales: DataFrame, profile: ClientProfile, **options) -> tuple[DataFrame, DataFrame]:
+    """The preprocessed rows, written once, and the price grid of their last ``grid_days`` days (the reference rows)."""
+    rows = cut_lineage(preprocess(sales, profile, **options), "preprocessed")
+    grid = sim.price_grid(sim.reference_rows(rows, profile.grid_days), profile.min_grid_pct, profile.max_grid_pct,
+                          profile.price_column)
+    return rows, grid
 
 
 def build_features(df: DataFrame, profile: ClientProfile, weather: DataFrame | None = None,
-                   holidays: bool = True) -> DataFrame:
-    """Calendar, weather, holidays, lags and changes of every price column, competitors, casts."""
+                   holidays: bool | DataFrame = True) -> DataFrame:
+    """Calendar, weather, holidays, lags and changes of every price column, competitors, casts.
+
+    ``holidays`` may be a table (date, holiday) of the caller's country.
+    """
     out = cal.calendar_features(df)
     if weather is not None:
         out = ref.add_weather(out, weather)
-    if holidays:
+    if isinstance(holidays, DataFrame):
+        out = cal.add_holiday_features(out, holidays=holidays)
+    elif holidays:
         out = cal.add_holiday_features(out)
     prices = [c for c in profile.price_change_columns if c in out.columns]
     out = feat.add_lags(out, prices, profile.price_lags)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_date, round_half_up
 from ..operators import competitors as comp
+from ..session import cut_lineage
 from ..sources import testdata as td
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,17 +167,26 @@ def q_status_filter(spark, d):
 
 @query("price_level_filter")
 def q_price_level_filter(spark, d):
-    return clean.filter_price_levels(panel_(spark, d), 5).select(*PANEL_COLS)
+    """Prices in steps of 5,000, so that some products have too few."""
+    stepped = panel_(spark, d).withColumn("product_selling_price", F.floor(F.col("product_selling_price") / 5000) * 5000.0)
+    return clean.filter_price_levels(stepped, 5).select(*PANEL_COLS)
+
+
+def some_unknown(spark, d):
+    """The panel with unknown quantities for every product whose code ends in 7: their median is NULL."""
+    return panel_(spark, d).withColumn("quantity_sold", F.when(~F.col("product_code").endswith("7"), F.col("quantity_sold")))
 
 
 @query("low_seller_semi")
 def q_low_seller_semi(spark, d):
-    return clean.filter_low_sellers(panel_(spark, d), 25.0).select(*PANEL_COLS)
+    """A product without a median is not kept."""
+    return clean.filter_low_sellers(some_unknown(spark, d), 25.0).select(*PANEL_COLS)
 
 
 @query("low_seller_anti")
 def q_low_seller_anti(spark, d):
-    return clean.remove_low_sellers(panel_(spark, d), 25.0).select(*PANEL_COLS)
+    """A product without a median is not removed."""
+    return clean.remove_low_sellers(some_unknown(spark, d), 25.0).select(*PANEL_COLS)
 
 
 @query("iqr_filter")
@@ -191,7 +201,12 @@ def q_live_products(spark, d):
 
 @query("nonneg_filter")
 def q_nonneg_filter(spark, d):
-    return clean.filter_non_negative(td.sales_rows(spark, d), ["quantity_sold", "revenue_before"]).select(
+    """Returned lines count negative, discounts of 5 % have an unknown revenue, larger ones are refunds."""
+    rows = td.sales_rows(spark, d).withColumns({
+        "quantity_sold": F.when(F.col("return_flag") == "R", -F.col("quantity_sold")).otherwise(F.col("quantity_sold")),
+        "revenue_before": F.when(F.col("discount") < 0.045, F.col("revenue_before")).when(
+            F.col("discount") > 0.055, -F.col("revenue_before"))})
+    return clean.filter_non_negative(rows, ["quantity_sold", "revenue_before"]).select(
         "product_code", "date", *TB, "quantity_sold", "revenue_before")
 
 
@@ -409,7 +424,7 @@ def observed_estimations(panel_df):
 
 
 def observed_elasticity(panel_df):
-    est = observed_estimations(panel_df)
+    est = cut_lineage(observed_estimations(panel_df), "estimations")  # the fits and the curve read it
     fits = el.fit_demand_curves(est, PRICE_CALC, "predicted_quantity")
     curve = el.demand_curve(est, fits, PRICE_CALC)
     return est, fits, curve, el.arc_elasticity(curve)
@@ -449,6 +464,7 @@ def q_day_slope_std(spark, d):
 
 
 def tiered(panel_df):
+    panel_df = cut_lineage(panel_df.select("product_code", "date", "product_selling_price", "quantity_sold"), "product-prices")
     _, fits, _, e = observed_elasticity(panel_df)
     return el.quality_tiers(e, fits, observed_day_std(panel_df))
 
@@ -461,7 +477,8 @@ def q_quality_tiers(spark, d):
 
 @query("category_elasticity")
 def q_category_elasticity(spark, d):
-    cp = category_panel(spark, d)
+    cp = cut_lineage(category_panel(spark, d).select("product_code", "category_name_level1", "product_selling_price",
+                                                     "quantity_sold", "revenue_before"), "product-prices")
     _, _, _, e = observed_elasticity(cp)
     return el.category_elasticity(e, cp, "category_name_level1")
 
@@ -579,7 +596,6 @@ MODEL_CFG = mdl.ModelConfig(price_change_weight=2.0)
 def model_inputs(spark, d):
     # the feature table feeds several fits (indexer, encoder, trees) and the expansion: one reliable
     # checkpoint into the shared checkpoint folder instead of replaying the feature lineage each time
-    from ..session import cut_lineage
     mp = cut_lineage(sim.split_train_test(model_panel(spark, d), GRID_DAYS))
     feats = mdl.feature_columns(mp, MODEL_CFG, WIDE_COLS)
     return mp, feats
@@ -957,10 +973,12 @@ def q_read_many_roundtrip(spark, d):
 def q_json_mapping_lookup(spark, d):
     """Nation names as a JSON object file, loaded back as a dictionary and looked up per supplier."""
     path = pio.scratch_path(spark, "mapping")
-    nation = td.table(spark, d, "nation").filter("n_nationkey < 20")
+    nation = td.table(spark, d, "nation")
     (nation.agg(F.map_from_entries(F.collect_list(F.struct(F.col("n_nationkey").cast("string"), "n_name"))).alias("m"))
      .select(F.to_json("m").alias("value")).write.text(path))
-    rows = td.table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("code"))
+    # every fifth supplier carries a code that no nation has
+    code = F.when(F.col("s_suppkey") % 5 == 0, F.lit("unknown")).otherwise(F.col("s_nationkey").cast("string"))
+    rows = td.table(spark, d, "supplier").select("s_suppkey", code.alias("code"))
     return clean.map_values(rows, "code", pio.load_json_mapping(spark, path), out_col="nation")
 
 
@@ -1077,8 +1095,7 @@ def q_demand_curve_sequences(spark, d):
            .agg(F.sum("quantity_sold").alias("predicted_quantity")))
     keys = ["product_code", "sequence_number"]
     curve = el.demand_curve(est, el.fit_demand_curves(est, PRICE_CALC, "predicted_quantity", keys), PRICE_CALC, keys)
-    return curve.groupBy("product_code_elasticity", "sequence_number_elasticity").agg(
-        F.count("*").alias("n_points"), F.min("price").alias("lowest_price"), F.count("sales").alias("n_sales"))
+    return curve.select("product_code_elasticity", "sequence_number_elasticity", "price", r6("sales"))
 
 
 @query("actual_by_sequence")
@@ -1092,8 +1109,12 @@ def q_actual_by_sequence(spark, d):
 
 @query("artifact_settings")
 def q_artifact_settings(spark, d):
-    """Rows per artifact name of a client whose grid has a name of its own (dry run: nothing is written)."""
+    """Rows of two artifacts of a client whose grid has a name of its own, written under their names and read back."""
     profile = ClientProfile(name="demo", artifact_overrides={"price_grid": "ladder"})
-    n = panel_(spark, d).agg(F.count("*").alias("n"))
-    names = [pio.artifact_path("out", a, "weekly", "demo", profile.artifact_overrides) for a in ("price_grid", "features")]
-    return n.select(F.explode(F.array(*[F.lit(x) for x in names])).alias("path"), "n")
+    out, base = None, pio.scratch_path(spark, "artifacts")
+    for artifact, rows in (("price_grid", sim.price_grid(sim.reference_rows(panel_(spark, d), GRID_DAYS))), ("features", panel_(spark, d))):
+        path = pio.artifact_path(base, artifact, "weekly", "demo", profile.artifact_overrides)
+        pio.write_parquet(rows, path)
+        n = spark.read.parquet(path).agg(F.count("*").alias("n")).withColumn("path", F.lit(path.removeprefix(base)))
+        out = n if out is None else out.unionByName(n)
+    return out

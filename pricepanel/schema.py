@@ -77,7 +77,7 @@ class ClientProfile:
     name: str
     competitors: list[str] = field(default_factory=list)
     category_column: str = "category_name_level1"
-    status_vocabulary: list[str] = field(default_factory=lambda: ["Active"])
+    status_vocabulary: list[str] | None = field(default_factory=lambda: ["Active"])
     channel: str | None = None
     drop_columns: list[str] = field(default_factory=list)
     constants: dict[str, str] = field(default_factory=dict)
@@ -90,6 +90,7 @@ class ClientProfile:
     min_sales: float | None = None
     live_days: int | None = None
     max_competitor_null_pct: float | None = None
+    round_digits: int | None = None
     min_category_products: int = 5
     cpi_base_year: int = 2023
     price_lags: list[int] = field(default_factory=lambda: [1, 7, 14])
