@@ -1074,3 +1074,10 @@ register("tweedie_deviance", with_(SALES, PANEL) + f""", d AS (
               - quantity_sold * pow({_MU}, -0.24::DOUBLE) / -0.24::DOUBLE + pow({_MU}, 0.76::DOUBLE) / 0.76::DOUBLE) AS unit
   FROM panel WHERE quantity_sold >= 0)
 SELECT {R('avg(unit)')} AS deviance, count(*) AS n_rows FROM d""")
+
+register("strided_windows", with_(SALES, BRAND_ROWS, BRAND_PANEL, """ends AS (
+  SELECT CAST(unnest(generate_series((SELECT max(date) FROM bpanel), (SELECT min(date) FROM bpanel), INTERVAL (-7) DAY)) AS DATE) AS e)""") + f"""
+SELECT product_code, e AS date, sum(quantity_sold) AS quantity, {R('max(product_selling_price)')} AS highest_price,
+       {R('median(product_selling_price)')} AS median_price, {R('avg(product_selling_price)')} AS mean_price,
+       count(DISTINCT product_selling_price) AS n_prices
+FROM bpanel JOIN ends ON date <= e AND date > e - INTERVAL 30 DAY GROUP BY 1, 2""")

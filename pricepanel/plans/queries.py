@@ -1118,3 +1118,18 @@ def q_artifact_settings(spark, d):
         n = spark.read.parquet(path).agg(F.count("*").alias("n")).withColumn("path", F.lit(path.removeprefix(base)))
         out = n if out is None else out.unionByName(n)
     return out
+
+
+# ---------------------------------------------------------------- strided windows
+from ..operators import windows as win  # noqa: E402
+
+STRIDED = {"quantity": ("sum", "quantity_sold"), "highest_price": ("max", "product_selling_price"),
+           "median_price": ("median", "product_selling_price"), "mean_price": ("avg", "product_selling_price"),
+           "n_prices": ("count_distinct", "product_selling_price")}
+
+
+@query("strided_windows")
+def q_strided_windows(spark, d):
+    """Brand figures over 30 days, every 7 days, the last window ending on the last date."""
+    out = win.strided_windows(td.brand_panel(spark, d), 7, 30, STRIDED, "product_code")
+    return out.select("product_code", "date", "quantity", *[r6(c) for c in ("highest_price", "median_price", "mean_price")], "n_prices")
