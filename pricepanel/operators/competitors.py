@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
@@ -240,6 +240,24 @@ def outlier_report(flagged: DataFrame) -> DataFrame:
     ).withColumn("outlier_pct", round_half_up(F.try_divide(F.col("total_outliers") * 100.0, F.col("rows")), 6))
 
 
+def write_with_report(flagged: DataFrame, path: str) -> DataFrame:
+    """Write the rows that are no outliers, and return the outlier report (one row) of the same run.
+
+    The counts are observed where the rows pass on their way to the files, so nothing runs twice.  They are taken in
+    the writing stage itself, whose tasks count once each: a task that an executor loses is not counted, the one that
+    replaces it is.
+    """
+    seen = Observation("outliers")
+    out = flagged.observe(seen, F.count_if("is_high_outlier").alias("high_outliers"), F.count_if("is_low_outlier").alias("low_outliers"),
+                          F.count_if("is_outlier").alias("total_outliers"), F.count(F.lit(1)).alias("rows"))
+    (out.filter(~F.col("is_outlier")).drop("baseline", "is_high_outlier", "is_low_outlier", "is_outlier")
+     .write.mode("overwrite").parquet(path))
+    got = seen.get
+    names = ("high_outliers", "low_outliers", "total_outliers", "rows")
+    report = flagged.sparkSession.createDataFrame([tuple(got[n] for n in names)], ", ".join(f"{n} long" for n in names))
+    return report.withColumn("outlier_pct", round_half_up(F.try_divide(F.col("total_outliers") * 100.0, F.col("rows")), 6))
+
+
 def median_dedupe(df: DataFrame, keys: Sequence[str] = ("product_code", "price_date", "competitor_name"),
                   price_col: str = "normalized_price") -> DataFrame:
     """One price per (product, day, competitor): the median of the duplicates."""
@@ -265,7 +283,11 @@ def pivot_competitors(df: DataFrame, competitors: Sequence[str] | None = None,
 
 def merge_sales_competitors(sales: DataFrame, wide: DataFrame, date_col: str = "date",
                             wide_date_col: str = "price_date", key: str = "product_code") -> DataFrame:
-    """sales LEFT JOIN competitor-wide on (product, day); adds ``year_week``."""
+    """sales LEFT JOIN competitor-wide on (product, day); adds ``year_week``.
+
+    With sales and competitor prices bucketed by (product, day) (``sources.io.write_bucketed``) the de-duplication, the
+    pivot and this join plan no exchange.
+    """
     right = wide.withColumnRenamed(wide_date_col, "_join_date")
     joined = sales.join(right, (sales[key] == right[key]) & (sales[date_col] == right["_join_date"]), "left")
     return joined.drop(right[key]).drop("_join_date").withColumn("year_week", iso_year_week(date_col))

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.prefix import exact_medians
 from ..functions.scalars import ratio, round_half_up
@@ -42,6 +44,51 @@ def demand_curve(est: DataFrame, fits: DataFrame, price_col: str, key="product_c
                     F.exp(F.col("intercept") + F.col("slope") * F.ln("price")).alias("sales")))
 
 
+def price_points(rows: DataFrame, price_col: str, qty_col: str, key="product_code") -> DataFrame:
+    """Quantity per (key, price above 0): what a curve is fitted to."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return (rows.filter(F.col(price_col) > 0).groupBy(*keys, F.col(price_col).alias("price"))
+            .agg(F.sum(qty_col).alias("quantity")))
+
+
+def fit_custom_curves(points: DataFrame, fit, schema: str, key="product_code", max_points: int = 100_000) -> DataFrame:
+    """A curve of the caller's own per key: ``fit(prices, quantities)`` gets numpy arrays in price order and returns
+    the values of ``schema`` (DDL), or None for a key that has no curve.
+
+    ``points`` has one row per key and price (``price_points``), so a key's size is its number of prices, not of sales;
+    a key of more than ``max_points`` fails the job with its name instead of filling a task.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    types = {f.name: f.dataType.simpleString() for f in points.schema.fields}
+    out = StructType.fromDDL(", ".join([*(f"`{k}` {types[k]}" for k in keys), schema]))
+    arrow = to_arrow_schema(out)
+
+    def run(key_values, table):
+        import pyarrow as pa
+        if table.num_rows > max_points:
+            raise ValueError(f"{[k.as_py() for k in key_values]} has {table.num_rows} prices, more than {max_points}")
+        price = table["price"].to_numpy()
+        order = price.argsort()
+        got = fit(price[order], table["quantity"].to_numpy()[order])
+        rows = [] if got is None else [[*[k.as_py() for k in key_values], *got]]
+        return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)], schema=arrow)
+
+    return points.select(*keys, "price", "quantity").groupBy(*keys).applyInArrow(run, out)
+
+
+def power_law(price, quantity):
+    """(slope, intercept, r2, points) of ln(quantity) on ln(price), as ``fit_demand_curves`` has it."""
+    import numpy as np
+    used = quantity > 0
+    x, y = np.log(price[used]), np.log(quantity[used])
+    if len(x) < 2 or not (x != x[0]).any():
+        return None
+    dx, dy = x - x.mean(), y - y.mean()
+    slope = (dx * dy).sum() / (dx * dx).sum()
+    total = (dy * dy).sum()
+    return float(slope), float(y.mean() - slope * x.mean()), 1.0 if total == 0 else float((dx * dy).sum() ** 2 / ((dx * dx).sum() * total)), len(x)
+
+
 def arc_elasticity(curve: DataFrame, key: str = "product_code_elasticity", out_key: str = "product_code") -> DataFrame:
     """Arc elasticity at the middle point of each curve sorted by price (needs >= 3 points):
     (s[i+1]/s[i-1] - 1) / (p[i+1]/p[i-1] - 1), i = n // 2; zero elasticities dropped."""

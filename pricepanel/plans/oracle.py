@@ -773,8 +773,8 @@ FROM rs2""")
 
 # ---------------------------------------------------------------- I/O round trips
 register("csv_sniff_load", with_(RCPT) + """
-SELECT product_code, date_code, CAST(quantity_sold AS VARCHAR) AS quantity_sold, CAST(NULL AS VARCHAR) AS note
-FROM rcpt WHERE l_linenumber <> 7""")
+SELECT product_code, date_code, CAST(quantity_sold AS VARCHAR) AS quantity_sold, CASE WHEN l_linenumber = 5 THEN 'p;q' END AS note
+FROM rcpt WHERE l_linenumber NOT IN (6, 7)""")
 
 register("partitioned_write_roundtrip", BSC + "SELECT * REPLACE (" + ", ".join(
     f"{R(c)} AS {c}" for _, c in PIVOT_COLS) + ") FROM bsc")
@@ -1081,3 +1081,29 @@ SELECT product_code, e AS date, sum(quantity_sold) AS quantity, {R('max(product_
        {R('median(product_selling_price)')} AS median_price, {R('avg(product_selling_price)')} AS mean_price,
        count(DISTINCT product_selling_price) AS n_prices
 FROM bpanel JOIN ends ON date <= e AND date > e - INTERVAL 30 DAY GROUP BY 1, 2""")
+
+register("read_reconciled", with_(RCPT) + """
+SELECT product_code, date_code, CASE WHEN l_linenumber <= 4 THEN CAST(store_code AS DOUBLE) END AS store_code, quantity_sold,
+       l_orderkey, l_linenumber FROM rcpt""")
+
+register("upsert_by_month", with_(WEATHER) + """
+SELECT * REPLACE (CASE WHEN date >= DATE '1997-12-01' THEN mean_temp + 0.1
+                       WHEN date_trunc('month', date) = DATE '1996-03-01' THEN mean_temp + 0.2 ELSE mean_temp END AS mean_temp)
+FROM weather""")
+
+register("bucketed_sales_join", with_(SALES, BRAND_ROWS, BRAND_PANEL, COMP, """med AS (
+  SELECT product_code, price_date, competitor_name, median(normalized_price) AS p FROM comp GROUP BY ALL)""") + f"""
+SELECT b.product_code, b.date, b.quantity_sold, {', '.join(R(f"max(p) FILTER (competitor_name = '{n}')") + ' AS ' + c for n, c in PIVOT_COLS)},
+       printf('%d_%02d', isoyear(b.date), week(b.date)) AS year_week
+FROM bpanel b LEFT JOIN med m ON m.product_code = b.product_code AND m.price_date = b.date GROUP BY 1, 2, 3""")
+
+register("outlier_report_observed", f"""
+SELECT high_outliers, low_outliers, total_outliers, rows, outlier_pct, rows - total_outliers AS rows_written
+FROM ({ORACLE["outlier_report"]})""")
+
+register("custom_curves", with_(SALES, PANEL) + f""", est AS (
+  SELECT product_code, CAST(year(date) AS INTEGER) AS yr, {R('product_selling_price', 0)} AS p, sum(quantity_sold) AS q
+  FROM panel GROUP BY 1, 2, 3),
+f AS (SELECT product_code, yr, regr_slope(ln(q), ln(p)) AS b, regr_intercept(ln(q), ln(p)) AS a, regr_r2(ln(q), ln(p)) AS r, count(*) AS n
+      FROM est WHERE q > 0 AND p > 0 GROUP BY 1, 2 HAVING count(*) >= 2 AND regr_slope(ln(q), ln(p)) IS NOT NULL)
+SELECT product_code, yr AS sequence_number, {R('b')} AS slope, {R('a')} AS intercept, {R('r')} AS r2, n AS n_points FROM f""")

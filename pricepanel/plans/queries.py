@@ -695,13 +695,17 @@ CSV_COLS = ["product_code", "date_code", "quantity_sold", "note"]
 
 @query("csv_sniff_load")
 def q_csv_sniff_load(spark, d):
-    """Write receipts as ';'-separated CSV in which every 7th order line carries one field too
-    many, detect the separator and load it skipping the bad lines."""
+    """Write receipts as ';'-separated CSV in which every 7th order line carries one field too many and every 6th an
+    empty one, every 5th a quoted separator and every 4th lacks its last field; detect the separator, skip the bad lines."""
     path = pio.scratch_path(spark, "csv")
     rows = td.receipts(spark, d).select(
         "product_code", "date_code", F.col("quantity_sold").cast("string").alias("quantity_sold"),
-        F.when(F.col("l_linenumber") == 7, F.lit("x;y")).alias("note"))
-    rows.write.option("header", "true").option("sep", ";").option("quote", "\u0000").csv(path)
+        "l_linenumber", F.when(F.col("l_linenumber") == 7, F.lit("x;y")).when(F.col("l_linenumber") == 6, F.lit("x;"))
+        .when(F.col("l_linenumber") == 5, F.lit('"p;q"')).alias("note"))
+    line = F.concat_ws(";", "product_code", "date_code", "quantity_sold",
+                       F.when(F.col("l_linenumber") != 4, F.coalesce("note", F.lit(""))))
+    rows.select(line.alias(";".join(CSV_COLS))).write.option("header", "true").option("sep", "\u0001").option(
+        "quote", "\u0000").csv(path)
     sep = pio.detect_separator(spark, path)
     return pio.read_csv_skip_bad(spark, path, CSV_COLS, sep)
 
@@ -1133,3 +1137,65 @@ def q_strided_windows(spark, d):
     """Brand figures over 30 days, every 7 days, the last window ending on the last date."""
     out = win.strided_windows(td.brand_panel(spark, d), 7, 30, STRIDED, "product_code")
     return out.select("product_code", "date", "quantity", *[r6(c) for c in ("highest_price", "median_price", "mean_price")], "n_prices")
+
+
+# ---------------------------------------------------------------- storage forms
+from ..sources import reconcile  # noqa: E402
+from ..streaming import partitions as months  # noqa: E402
+
+
+@query("read_reconciled")
+def q_read_reconciled(spark, d):
+    """Receipts in three folders: whole-number stores, real-number stores, and one without store and with a text quantity."""
+    path, rows = pio.scratch_path(spark, "typed"), td.receipts(spark, d).select("product_code", "date_code", "store_code", "quantity_sold", *TB)
+    rows.filter("l_linenumber <= 2").withColumn("store_code", F.col("store_code").cast("int")).write.parquet(f"{path}/a")
+    rows.filter("l_linenumber in (3, 4)").withColumn("store_code", F.col("store_code").cast("double")).write.parquet(f"{path}/b")
+    (rows.filter("l_linenumber > 4").drop("store_code").withColumn("quantity_sold", F.col("quantity_sold").cast("float"))
+     .write.parquet(f"{path}/c"))
+    return reconcile.read_reconciled(spark, path).select(*rows.columns)
+
+
+@query("upsert_by_month")
+def q_upsert_by_month(spark, d):
+    """Weather history, a re-fetch that revises the last month and goes on, and a backfill of an early month; one row a day."""
+    path, w = pio.scratch_path(spark, "series"), weather(spark, d)
+    months.upsert_by_month(spark, path, w.filter(F.col("date") < F.lit("1997-12-20").cast("date")))
+    again = w.filter((F.col("date") >= F.lit("1997-12-01").cast("date"))).withColumn("mean_temp", F.col("mean_temp") + 0.1)
+    months.upsert_by_month(spark, path, again)
+    early = w.filter(F.trunc("date", "month") == F.lit("1996-03-01").cast("date")).withColumn("mean_temp", F.col("mean_temp") + 0.2)
+    months.upsert_by_month(spark, path, early)
+    return months.read_series(spark, path).select(*w.columns)
+
+
+def bucketed_join(spark, d):
+    """Brand sales and competitor prices as tables bucketed alike, de-duplicated, pivoted and joined in place."""
+    tag, keys = pio.scratch_path(spark, "bucketed"), ["product_code", "date"]
+    name = "b" + tag[-12:]
+    sales = pio.write_bucketed(td.brand_panel(spark, d), f"{name}_sales", keys, 8, f"{tag}/sales")
+    prices = pio.write_bucketed(td.competitor_prices(spark, d).withColumnRenamed("price_date", "date"), f"{name}_prices", keys, 8,
+                                f"{tag}/prices")
+    wide = comp.pivot_competitors(comp.median_dedupe(prices, ["product_code", "date", "competitor_name"]), COMPETITORS, keys)
+    return comp.merge_sales_competitors(sales, wide, wide_date_col="date")
+
+
+@query("bucketed_sales_join")
+def q_bucketed_sales_join(spark, d):
+    return bucketed_join(spark, d).select("product_code", "date", "quantity_sold", *[r6(c) for c in WIDE_COLS], "year_week")
+
+
+@query("outlier_report_observed")
+def q_outlier_report_observed(spark, d):
+    """The report and the number of rows written, of one run over the flagged rows."""
+    path = pio.scratch_path(spark, "clean-prices")
+    report = comp.write_with_report(comp.flag_price_outliers(td.competitor_prices(spark, d), **OUTLIER_KW), path)
+    return report.withColumn("rows_written", spark.read.parquet(path).agg(F.count("*")).scalar())
+
+
+@query("custom_curves")
+def q_custom_curves(spark, d):
+    """A curve function of the caller's own (here the power law) per (product, year)."""
+    rows = panel_(spark, d).withColumn("sequence_number", F.year("date")).withColumn("price", round_half_up("product_selling_price", 0))
+    keys = ["product_code", "sequence_number"]
+    out = el.fit_custom_curves(el.price_points(rows, "price", "quantity_sold", keys), el.power_law,
+                               "slope double, intercept double, r2 double, n_points long", keys)
+    return out.select(*keys, *[r6(c) for c in ("slope", "intercept", "r2")], "n_points")

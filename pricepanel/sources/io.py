@@ -9,6 +9,7 @@ temporary folder.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -90,13 +91,27 @@ def detect_separator(spark: SparkSession, path: str, sample_size: int = 10) -> s
     return ","
 
 
-def read_csv_skip_bad(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",") -> DataFrame:
-    """CSV with header; rows with more fields than the header are dropped, short rows padded
-    with NULL (an extra sentinel column catches over-long rows)."""
-    schema = StructType([StructField(c, StringType()) for c in columns] + [StructField("_extra", StringType())])
-    df = (spark.read.schema(schema).option("header", "true").option("sep", sep)
-          .option("mode", "PERMISSIVE").csv(path))
-    return df.filter(F.col("_extra").isNull()).drop("_extra")
+def field_count(line, sep: str = ","):
+    """Number of fields of a raw CSV record: separators inside quoted fields do not count."""
+    # a quoted field opens at the record's start or behind a separator; doubled quotes stay inside
+    s = re.escape(sep)
+    bare = F.regexp_replace(line, rf'(^|{s})"(?:[^"]|"")*+"', "$1q")
+    return F.regexp_count(bare, F.lit(s)) + 1
+
+
+def read_csv_skip_bad(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",",
+                      multi_line: bool = False) -> DataFrame:
+    """CSV with header; rows with more fields than the header are dropped, also when the extra fields are empty or
+    quoted; short rows are padded with NULL.
+
+    The parser keeps a record that does not fit whole in ``_bad``, and its fields are counted.
+    """
+    schema = StructType([StructField(c, StringType()) for c in [*columns, "_bad"]])
+    df = (spark.read.schema(schema).option("header", "true").option("sep", sep).option("multiLine", multi_line).option("escape", '"')
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").option("columnPruning", "false").csv(path))
+    # the filter names a column of the file as well: Spark reads no CSV for the bad record alone
+    bad = F.concat_ws("", "_bad", F.substring(F.col(columns[0]), 1, 0))
+    return df.filter(F.col("_bad").isNull() | (field_count(bad, sep) <= len(columns))).drop("_bad")
 
 
 def load_json_mapping(spark: SparkSession, path: str, key_col: str = "key", value_col: str = "value") -> DataFrame:
@@ -129,6 +144,18 @@ def write_partitioned(df: DataFrame, path: str, key_col: str = "year_week", max_
      .partitionBy(key_col).parquet(path))
 
 
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """The rows as table ``name``, hashed into ``buckets`` by ``keys`` and sorted by them in each; read back.
+
+    Aggregates over (at least) these keys and joins with tables bucketed alike need no exchange, also after such
+    aggregates; with another number of buckets one side is exchanged.
+    """
+    writer = (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+              .bucketBy(buckets, *keys).sortBy(*keys))
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def save_price_grid(grid: DataFrame, path: str) -> None:
     """Price grid as parquet with an array<double> column (no pickles)."""
     write_parquet(grid, path)
