@@ -2,11 +2,14 @@
 
 Equal vectors of a label become one class first.  Each pass gives a class the sign bits of 64 random
 projections as its key; the classes are ordered by (pass, label, key) over all tasks, and each is compared
-with its next ``window`` neighbours, those in other tasks included.  A label of n classes gets as many
-passes, ``passes`` at least, as evenly spread vectors need for ``recall`` of the pairs at the threshold.  Verified neighbours are united (a task emits spanning
-stars, never all pairs), and the unions of all passes are connected.
-
-A window can be full before it reaches all partners of a class.  A class is crowded if in some pass a
+with its next ``window`` neighbours, those in other tasks included.  The label's mean vector is taken off
+before the projections, so that the bits split it evenly also where its vectors lie in a cone.  How many
+passes a label gets (``passes`` at least) follows from its size and from a sample of its vectors: how often two of
+them share a bit, and how often a pair at the threshold does, so that ``recall`` of such pairs meet.  Verified neighbours
+are united (a task emits spanning stars, never all pairs), and the unions of all passes are connected.
+
+A label that would need more than ``most_passes`` counts as crowded whole.  A window can be full before it reaches
+all partners of a class.  A class is crowded if in some pass a
 quarter of its window on one side lies within twice the threshold's angle.  Crowded classes are covered by
 leaders, at most ``COVER`` such angles away; every class of the label is compared with every leader and
 united with those that a partner of a covered class can lie by (one angle more), so a crowded class misses
@@ -30,7 +33,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -41,6 +44,7 @@ from .simhash import _spanning
 from .vectors import groups, matrix, slices, unit, usable
 
 SLACK = 0.005  # half-precision cosines may be off by less than this
+SAMPLE = 1000  # vectors of a label by which its passes are reckoned
 COVER = 1.5  # a leader covers the crowded classes within so many times the threshold's angle
 
 
@@ -49,15 +53,74 @@ def _planes(dim: int, passes: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((passes, dim, 64))
 
 
-def _passes(size: str, threshold: float, window: int, recall: float, least: int) -> Column:
-    """Passes after which a pair at the threshold has met with probability ``recall`` among ``size`` even vectors.
+def _partial_means(batches):
+    """(label, dim, sum of unit vectors, rows) of each label in a batch."""
+    for b in batches:
+        labels, dims = b["label"].to_numpy(), b["dim"].to_numpy()
+        out = ([], [], [], [])
+        for label, dim in sorted(set(zip(labels.tolist(), dims.tolist()))):
+            at = np.flatnonzero((labels == label) & (dims == dim))
+            total = unit(matrix(b["vector"].take(pa.array(at)))).sum(axis=0)
+            for x, v in zip(out, (label, dim, total.tolist(), len(at))):
+                x.append(v)
+        yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
+                               pa.array(out[2], pa.list_(pa.float64())), pa.array(out[3], pa.int64())],
+                              names=["label", "dim", "total", "n"])
+
+
+def _needed(u: np.ndarray, mean: np.ndarray, size: int, threshold: float, window: int, recall: float, most: int) -> int:
+    """Passes after which ``recall`` of the pairs at the threshold have met, by a sample ``u`` of the label; ``most`` + 1 if more.
 
-    A bit is shared with probability 1 - angle / pi; keys that share log2(size / window) bits are neighbours.
+    Two vectors share a bit with probability 1 - angle / pi, seen from the mean.  Keys that share L bits are neighbours
+    where ``size`` times the mean of that probability to the power L comes down to the window; pairs that count as
+    crowded anyway (twice the threshold's angle) are left out.
     """
-    bit = float(1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi)
-    meet = F.pow(F.lit(bit), F.greatest(F.lit(0.0), F.log2(F.col(size) / window)))
-    return F.when(meet >= 1, least).otherwise(F.greatest(
-        F.lit(least), F.ceil(float(np.log1p(-recall)) / F.log1p(-meet)))).cast("int")
+    if size <= window or len(u) < 3:
+        return 1
+    cosine, res = u @ u.T, u - mean
+    length = np.sqrt((res * res).sum(axis=1))
+    length[length == 0] = 1.0
+    share = 1 - np.arccos(np.clip(res @ res.T / (length[:, None] * length[None, :]), -1, 1)) / np.pi
+    share = share[~np.eye(len(u), dtype=bool) & (cosine < _cosine_of(threshold, 2))]
+    if not len(share):
+        return 1
+    low, high = 0.0, 64.0
+    for _ in range(40):
+        bits = (low + high) / 2
+        low, high = (bits, high) if size * np.mean(share ** bits) > window else (low, bits)
+    # a partner at the threshold: its own residual is longer or shorter by what it has of the mean
+    on, m2 = u @ mean, mean @ mean
+    partner = np.sqrt(np.maximum(1e-12, 1 - 2 * threshold * on + m2))
+    bit = 1 - np.arccos(np.clip((threshold - on - threshold * on + m2) / (length * partner), -1, 1)) / np.pi
+    miss, passes = 1 - bit ** high, 1
+    while passes <= most and np.mean(miss ** passes) > 1 - recall:
+        passes += 1
+    return passes
+
+
+def _shapes(classes: DataFrame, threshold: float, window: int, recall: float, least: int, most: int) -> DataFrame:
+    """One row per (label, dim): size, mean, passes, and whether the whole label counts as crowded."""
+    partial = classes.select("label", "dim", "vector").mapInArrow(_partial_means, "label long, dim long, total array<double>, n long")
+    sums = partial.select("label", "dim", F.posexplode("total").alias("pos", "x"), "n").groupBy("label", "dim", "pos").agg(
+        F.sum("x").alias("x"), F.sum("n").alias("n"))
+    means = sums.groupBy("label", "dim").agg(F.max("n").alias("size"), F.transform(
+        F.array_sort(F.collect_list(F.struct("pos", (F.col("x") / F.col("n")).alias("x")))), lambda p: p["x"]).alias("mean"))
+    # a bounded sample of each label: planned as a WindowGroupLimit before the shuffle
+    drawn = Window.partitionBy("label", "dim").orderBy(F.xxhash64("cid"), "cid")
+    sample = classes.withColumn("rn", F.row_number().over(drawn)).filter(F.col("rn") <= SAMPLE).select("label", "dim", "vector")
+    schema = pa.schema([("label", pa.int64()), ("dim", pa.int64()), ("size", pa.int64()), ("mean", pa.list_(pa.float64())),
+                        ("passes", pa.int32()), ("whole", pa.bool_())])
+
+    def shape(key, table):
+        means, vectors = table["mean"].drop_null(), table["vector"].drop_null().combine_chunks()
+        size = table["size"].drop_null()[0].as_py()
+        mean = np.array(means[0].as_py())
+        passes = _needed(unit(matrix(vectors)), mean, size, threshold, window, recall, most)
+        return pa.Table.from_arrays([pa.array([x], f.type) for x, f in zip(
+            (key[0].as_py(), key[1].as_py(), size, mean.tolist(), min(most, max(least, passes)), passes > most), schema)], schema=schema)
+
+    return (sample.unionByName(means, allowMissingColumns=True).groupBy("label", "dim")
+            .applyInArrow(shape, "label long, dim long, size long, mean array<double>, passes int, whole boolean"))
 
 
 def _keyed(most: int, seed: int):
@@ -73,6 +136,7 @@ def _keyed(most: int, seed: int):
                 part = b.take(pa.array(np.flatnonzero((dims == dim) & (wanted == passes))))
                 u = unit(matrix(part["vector"]))
                 raw = u.astype(np.float16)
+                u -= matrix(part["mean"])
                 cells = pa.array([r.tobytes() for r in raw], pa.binary())
                 for p, planes in enumerate(_planes(dim, most, seed)[:passes]):
                     key = ((u @ planes > 0) @ weights).astype(np.uint64) ^ np.uint64(1 << 63)  # unsigned order
@@ -307,7 +371,7 @@ def _crowded_links(classes: DataFrame, crowded: DataFrame, threshold: float, blo
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.93, passes: int = 16, window: int = 64, block: int = 2048,
-                 spread: int = 16, seed: int = 5, recall: float = 0.999, id_col: str = "vec_id", vector_col: str = "embedding",
+                 spread: int = 16, seed: int = 5, recall: float = 0.999, most_passes: int = 128, id_col: str = "vec_id", vector_col: str = "embedding",
                  label_col: str = "label") -> DataFrame:
     """One row per vector: id, ``n_links``, ``component_id`` (smallest id reachable), ``kept``."""
     parts = shuffle_partitions(vectors.sparkSession)
@@ -320,11 +384,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, passes: int = 16,
     classes = cut_lineage(rows.filter("ok").groupBy("label", "h1", "h2").agg(
         F.min("row").alias("cid"), F.count("*").alias("n"), F.min("id").alias("least"), F.first("vector").alias("vector"))
         .withColumn("dim", F.size("vector").cast("long")), "vec-classes")
-    sizes = cut_lineage(classes.groupBy("label", "dim").agg(F.count("*").alias("size"))
-                        .withColumn("passes", _passes("size", threshold, window, recall, passes)), "vec-sizes")
-    most = sizes.agg(F.max("passes")).first()[0] or passes
-    keyed = (join_small(classes, sizes, ["label", "dim"])
-             .select("label", "dim", "cid", "vector", "passes").repartition(parts)
+    shapes = cut_lineage(_shapes(classes, threshold, window, recall, passes, most_passes), "vec-shapes")
+    most = shapes.agg(F.max("passes")).first()[0] or passes
+    keyed = (join_small(classes, shapes, ["label", "dim"], max_rows=2000)  # a mean vector each
+             .select("label", "dim", "cid", "vector", "mean", "passes").repartition(parts)
              .mapInArrow(_keyed(most, seed), "pass int, label long, dim long, key long, cid long, v binary"))
     keyed = cut_lineage(keyed, "vec-keys")
     passed = cut_lineage(
@@ -333,9 +396,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, passes: int = 16,
         .mapInArrow(_neighbours(threshold, window), _PASSED), "vec-passed")
     passed = cut_lineage(passed.filter("a IS NOT NULL").select("a", "b")
                          .unionAll(_borders(passed, threshold, window, parts)), "vec-met")
+    whole = classes.join(shapes.filter("whole").select("label", "dim"), ["label", "dim"], "left_semi").select("cid")
+    crowded = passed.filter("b IS NULL").select(F.col("a").alias("cid")).unionByName(whole).distinct()
     united = connected_components(passed.filter("b IS NOT NULL").unionAll(
-        _crowded_links(classes, passed.filter("b IS NULL").select(F.col("a").alias("cid")).distinct(), threshold,
-                       block, spread, parts)), "a", "b")
+        _crowded_links(classes, crowded, threshold, block, spread, parts)), "a", "b")
     united = cut_lineage(united.withColumnsRenamed({"node": "cid", "component": "comp"}), "vec-united")
     members = F.count("*")
     one_block = F.least(F.lit(block), F.greatest(F.lit(64), F.ceil(members / spread)))

@@ -114,3 +114,34 @@ def test_near_vectors_recall_follows_size_not_tasks(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", parts)
     assert found[0] == found[1] and len(found[0]) >= 0.99 * pairs
+
+
+def cone(n, pairs, cosine, dim=64):
+    """``planted`` vectors moved towards one direction: their mean cosine becomes ``cosine``, the partners stay at 0.932."""
+    r = np.random.default_rng(8)
+    axis = np.eye(dim)[0]
+    x = r.standard_normal((n, dim))
+    x -= (x @ axis)[:, None] * axis
+    x = np.sqrt(cosine) * axis + np.sqrt(1 - cosine) * x / np.linalg.norm(x, axis=1, keepdims=True)
+    side = r.standard_normal((pairs, dim))
+    side -= (side * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    x[pairs:2 * pairs] = 0.932 * x[:pairs] + np.sqrt(1 - 0.932 ** 2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    return x.astype(np.float32)
+
+
+def test_near_vectors_in_a_cone(spark):
+    n, pairs = 6000, 600
+    x = cone(n, pairs, 0.6)
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    near = u @ u.T >= 0.93
+    np.fill_diagonal(near, False)
+    got = {t["vec_id"]: t["n_links"] for t in near_vectors(frame(spark, [(i, v, 0) for i, v in enumerate(x.tolist())])).collect()}
+    found, all_ = sum(got.values()), int(near.sum())
+    assert all_ >= 2 * pairs and found >= 0.998 * all_
+    assert all(got[i] <= c for i, c in enumerate(near.sum(axis=1).tolist()))
+
+
+def test_a_label_that_needs_too_many_passes_is_met_whole(spark):
+    x = cone(1500, 200, 0.6)
+    got = near_vectors(frame(spark, [(i, v, 0) for i, v in enumerate(x.tolist())]), passes=1, most_passes=1, window=4).collect()
+    assert sum(t["component_id"] == t["vec_id"] - 200 for t in got) == 200
