@@ -6,12 +6,14 @@ before it when the two are encoded together.  So a state needs only the starts f
 still be under way, each with the last token before it and the tokens emitted since.  These states form
 a deterministic transducer over bytes (with a word's last byte marked); each transition is annotated
 with the tokens it emits, negative where earlier bytes are merged.  Transitions are compiled when first
-met and kept per worker process, at most ``MAX_STATES`` states (then the table starts anew).
+met and kept per worker process, never more than ``MAX_STATES`` states: where one more is asked for, the table
+starts anew and a shorter part of the stream is tried, whatever the text.
 
 Texts of a batch become one byte stream, cut into equal chunks that all advance in lockstep.  A chunk's
-state map is constant from its first word end on, so every chunk starts there at once; a prefix scan
-hands each chunk's outgoing state to the next one, which finishes the word cut in two.  A word longer
-than a chunk is passed on from chunk to chunk in rounds.
+state map is constant from its first word end on, so every chunk starts there at once.  A chunk inside one long
+word is run from a fresh start some bytes before it, and its path of states is kept: its map sends every state whose
+own path meets that one to the same end with the same tokens from there on.  The prefix scan applies the maps in
+turn, following an incoming state only until the paths meet, and each chunk then finishes the word cut in two.
 
 Defined cases: NULL and empty texts have no bytes and no tokens; special strings inside a text count one
 token each (the library's default); rows are counted one by one, repeated or not; other columns are
@@ -36,8 +38,10 @@ from pyspark.sql.types import LongType, StructField, StructType
 from .common import segments
 
 END = 256          # added to a word's last byte
-MAX_STATES = 160_000
+MAX_STATES = 140_000
+MAX_PAIRS = 400_000  # remembered answers of the encoder
 CHUNK = 256        # bytes that a lane advances
+RUN_IN = 32        # bytes before a chunk without a word end from which its path starts
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: The pre-tokenizer's contractions after an apostrophe, and Unicode's white space.
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -62,6 +66,10 @@ def byte_chars() -> list[str]:
     return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+class _Full(Exception):
+    """One state more than the table may have."""
+
+
 class Transducer:
     """States and transitions of one vocabulary, compiled on demand."""
 
@@ -101,6 +109,8 @@ class Transducer:
         key = (starts, tail)
         n = self.number.get(key)
         if n is None:
+            if len(self.states) >= MAX_STATES:
+                raise _Full
             n = self.number[key] = len(self.states)
             self.states.append(key)
             if n >= len(self.next):
@@ -123,6 +133,8 @@ class Transducer:
         key = (left, token)
         got = self.apart_memo.get(key)
         if got is None:
+            if len(self.apart_memo) >= MAX_PAIRS:
+                self.apart_memo.clear()
             want = [token] if left is None else [left, token]
             got = self.apart_memo[key] = self.encode((left or ()) + token) == want
         return got
@@ -177,45 +189,81 @@ class Transducer:
             new = self.next.ravel()[at]
         return new.astype(np.int64), self.emit.ravel()[at]
 
+    def follow(self, state: int, col: int) -> tuple[int, int]:
+        """One transition."""
+        to = int(self.next[state, col])
+        if to < 0:
+            to, delta = self.step(state, int(np.flatnonzero(self.columns == col)[0]))
+            self.next[state, col], self.emit[state, col] = to, delta
+        return to, int(self.emit[state, col])
+
     def run(self, symbols: np.ndarray) -> np.ndarray:
         """Tokens emitted at each symbol of a stream of whole words (the last symbol ends a word)."""
         n = len(symbols)
-        if not n:
-            return np.empty(0, np.int16)
-        if len(self.states) > MAX_STATES:
-            self.reset()
-        cols = self.column(symbols)
+        out, ends = np.empty(n, np.int16), np.flatnonzero(symbols >= END)
+        at, size, within = 0, n, None  # within: the state inside a word that was cut
+        while at < n:
+            stop = min(n, at + size)
+            if stop < n:
+                k = int(np.searchsorted(ends, stop))
+                stop = int(ends[k - 1]) + 1 if k and ends[k - 1] >= at else stop
+            try:
+                first = 0 if within is None else self.add(*within)
+                out[at:stop], last = self._part(symbols[at:stop], first)
+            except _Full:
+                self.reset()
+                size = max(CHUNK, (stop - at) // 4)
+                continue
+            within = None if symbols[stop - 1] >= END else self.states[last]
+            at = stop
+            if len(self.states) < MAX_STATES // 4:
+                size *= 2
+        return out
+
+    def _part(self, symbols: np.ndarray, first: int) -> tuple[np.ndarray, int]:
+        """Tokens emitted at each symbol from state ``first`` on, and the state at the end."""
+        n, cols = len(symbols), self.column(symbols)
         lanes = -(-n // CHUNK)
         pad = lanes * CHUNK - n
         grid = np.pad(cols, (0, pad)).reshape(lanes, CHUNK).T.copy()
         ends = np.pad(symbols >= END, (0, pad)).reshape(lanes, CHUNK)
         synced = ends.any(axis=1)
-        head = np.where(synced, ends.argmax(axis=1) + 1, CHUNK)  # bytes that depend on the incoming state
+        synced[0] = True
+        head = np.where(ends.any(axis=1), ends.argmax(axis=1) + 1, CHUNK)  # bytes that depend on the incoming state
         head[0] = 0
         size = np.full(lanes, CHUNK)
         size[-1] = CHUNK - pad
         out = np.zeros((CHUNK, lanes), np.int16)
         state = np.zeros(lanes, np.int64)
+        state[0] = first
         for p in range(CHUNK):  # every chunk from its first word end on
             on = np.flatnonzero((head <= p) & (p < size))
             if len(on) == lanes:
                 state, out[p] = self.advance(state, grid[p])
             elif len(on):
                 state[on], out[p, on] = self.advance(state[on], grid[p, on])
-        known = synced.copy()
-        known[0] = True
-        todo = np.arange(1, lanes)  # the scan: a chunk's outgoing state is the next one's incoming state
-        while len(todo):
-            ready = todo[known[todo - 1]]
-            todo = todo[~known[todo - 1]]
-            now, length = state[ready - 1], np.minimum(head[ready], size[ready])
-            for p in range(int(length.max())):
-                on = np.flatnonzero(p < length)
-                now[on], out[p, ready[on]] = self.advance(now[on], grid[p, ready[on]])
-            through = ~synced[ready]
-            state[ready[through]] = now[through]
-            known[ready] = True
-        return out.T.reshape(-1)[:n]
+        inside = np.flatnonzero(~synced)
+        if len(inside):
+            path, now = np.empty((CHUNK, len(inside)), np.int64), np.zeros(len(inside), np.int64)
+            for p in range(CHUNK - RUN_IN, CHUNK):
+                now, _ = self.advance(now, grid[p, inside - 1])
+            for p in range(CHUNK):
+                path[p] = now
+                on = np.flatnonzero(p < size[inside])
+                now[on], out[p, inside[on]] = self.advance(now[on], grid[p, inside[on]])
+            for k, lane in enumerate(inside.tolist()):  # the scan: a chunk's outgoing state is the next one's incoming state
+                s, p = int(state[lane - 1]), 0
+                while p < size[lane] and s != path[p, k]:
+                    s, out[p, lane] = self.follow(s, int(grid[p, lane]))
+                    p += 1
+                state[lane] = s if p == size[lane] else now[k]
+        later = np.flatnonzero(synced)
+        later = later[later > 0]
+        now, length = state[later - 1], np.minimum(head[later], size[later])
+        for p in range(int(length.max(initial=0))):
+            on = np.flatnonzero(p < length)
+            now[on], out[p, later[on]] = self.advance(now[on], grid[p, later[on]])
+        return out.T.reshape(-1)[:n], int(state[-1])
 
     def count(self, texts: list) -> np.ndarray:
         """Token counts of the texts (None: empty)."""

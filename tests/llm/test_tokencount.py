@@ -61,3 +61,21 @@ def test_query_equals_library(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").collect()
     want = library_counts([d["text"] for d in docs])
     assert got == {d["doc_id"]: (n, n > 2048) for d, n in zip(docs, want)}
+
+
+def test_junk_and_unbroken_runs_stay_within_the_table(monkeypatch):
+    import pricepanel.llm.tokencount as T
+    monkeypatch.setattr(T, "MAX_STATES", 3000)
+    rnd, machine, most = random.Random(2), T.Transducer(PATH), [0]
+    real = T.Transducer.add
+
+    def add(self, starts, tail):
+        got = real(self, starts, tail)
+        most[0] = max(most[0], len(self.states))
+        return got
+    monkeypatch.setattr(T.Transducer, "add", add)
+    letters = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    texts = [" ".join(letters(60) for _ in range(300)), letters(20_000), "x" * 5000, "ab" * 3000 + " c", "é" * 2000 + letters(3000),
+             "".join(rnd.choice("中文字語言大小") for _ in range(3000))]
+    assert machine.count(texts).tolist() == library_counts(texts)
+    assert 2900 < most[0] <= 3000
