@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import shuffle_partitions, word_count
+from .common import ROW, shuffle_partitions, with_rows, word_count
+from .simhash import near_duplicates
 from .vectors import groups
 
 MIN_WEIGHT = 32
@@ -144,3 +145,15 @@ def pack(docs: DataFrame, capacity: int = 2048, source_limit: int = 4, group_siz
               .mapInArrow(_pack_groups(capacity, source_limit),
                           "id long, piece int, size long, bin long, slot int, offset long"))
     return packed.withColumnRenamed("id", id_col)
+
+
+def pack_apart(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text",
+               source_col: str = "source", **options) -> DataFrame:
+    """``pack`` with the near-duplicate groups of the SimHash operator as clusters: near copies never share a bin.
+
+    Only row numbers, sizes and groups are joined, no texts.
+    """
+    keyed = with_rows(docs.select(id_col, text_col, source_col), "pack-docs")
+    groups_ = near_duplicates(keyed, shingle, max_bits, id_col, text_col).select(F.col("row_key").alias(ROW), F.col("root").alias("__llm_root"))
+    sized = keyed.select(ROW, id_col, source_col, word_count(text_col).alias("__llm_size")).join(groups_, ROW)
+    return pack(sized, id_col=id_col, source_col=source_col, size=F.col("__llm_size"), cluster=F.col("__llm_root"), **options)

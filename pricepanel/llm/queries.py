@@ -12,7 +12,7 @@ from . import htmltext
 from .lexsearch import search
 from .linededup import dedup_lines
 from .mixing import mix
-from .packing import pack
+from .packing import pack_apart
 from .sharding import assign_shards
 from .simhash import near_duplicates
 from .tokencount import count_tokens
@@ -31,7 +31,7 @@ def op2_line_dedup(spark, sf_dir):
 
 
 def op3_packing(spark, sf_dir):
-    return pack(table(spark, sf_dir, "documents"))
+    return pack_apart(table(spark, sf_dir, "documents"))
 
 
 def op4_sharding(spark, sf_dir):

@@ -1,7 +1,8 @@
 """Best-fit packing: constraints, and a naive best fit beside it."""
 
 import random
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
 
 from pricepanel.llm.packing import best_fit, pack
 
@@ -63,3 +64,24 @@ def test_pack_keeps_every_word_once(spark, odd_docs):
     assert all(sum(r["size"] for r in b) <= 64 for b in bins.values())
     assert all(sum(r["doc_id"] == 600 for r in b) <= 1 for b in bins.values())
     assert pack(docs.filter("false")).count() == 0
+
+
+def test_query_against_brute_force(spark, sf_small):
+    from pricepanel.llm.queries import op1_simhash, op3_packing
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
+    comp = {r["doc_id"]: r["component_id"] for r in op1_simhash(spark, sf_small).collect()}
+    assert len(set(comp.values())) < len(comp)  # the table holds near copies
+    bins, words, pieces = defaultdict(list), defaultdict(int), []
+    for r in op3_packing(spark, sf_small).collect():
+        bins[r["bin"]].append(r)
+        words[r["doc_id"]] += r["size"]
+        pieces.append((r["size"], docs[r["doc_id"]]["source"], comp[r["doc_id"]]))
+    assert words == {d: len(re.findall(r"[^\x20\x09-\x0D]+", x["text"])) for d, x in docs.items()}
+    for b in bins.values():
+        b.sort(key=lambda r: r["slot"])
+        assert [r["slot"] for r in b] == list(range(len(b))) and sum(r["size"] for r in b) <= 2048
+        assert [r["offset"] for r in b] == [sum(x["size"] for x in b[:i]) for i in range(len(b))]
+        assert max(Counter(docs[r["doc_id"]]["source"] for r in b).values()) <= 4
+        assert len({comp[r["doc_id"]] for r in b}) == len(b)
+    pieces.sort(key=lambda x: -x[0])
+    assert abs(len(bins) - len(naive_bins(pieces, 2048, 4))) <= 1
