@@ -44,7 +44,7 @@ from .simhash import _spanning
 from .vectors import groups, matrix, slices, unit, usable
 
 SLACK = 0.005  # half-precision cosines may be off by less than this
-SAMPLE = 1000  # vectors of a label by which its passes are reckoned
+SAMPLE = 500  # vectors of a label by which its passes are reckoned
 COVER = 1.5  # a leader covers the crowded classes within so many times the threshold's angle
 
 
@@ -85,7 +85,7 @@ def _needed(u: np.ndarray, mean: np.ndarray, size: int, threshold: float, window
     if not len(share):
         return 1
     low, high = 0.0, 64.0
-    for _ in range(40):
+    for _ in range(25):
         bits = (low + high) / 2
         low, high = (bits, high) if size * np.mean(share ** bits) > window else (low, bits)
     # a partner at the threshold: its own residual is longer or shorter by what it has of the mean
