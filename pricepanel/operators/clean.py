@@ -173,11 +173,14 @@ def filter_live_products(df: DataFrame, days: int = 180, product_col: str = "pro
 
 
 def remove_zero_runs(df: DataFrame, run_length: int = 7, product_col: str = "product_code",
-                     order_col: str = "date", qty_col: str = "quantity_sold") -> DataFrame:
-    """Gaps-and-islands: drop runs of >= run_length consecutive zero/NULL quantity rows; NULL -> 0."""
+                     order_col: str = "date", qty_col: str = "quantity_sold", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Gaps-and-islands: drop runs of >= run_length consecutive zero/NULL quantity rows; NULL -> 0.
+
+    ``tiebreak`` orders rows of one product and date; without it they should be one row.
+    """
     zero = (F.col(qty_col).isNull() | (F.col(qty_col) == 0))
-    w_all = Window.partitionBy(product_col).orderBy(order_col)
-    w_kind = Window.partitionBy(product_col, "_zero").orderBy(order_col)
+    w_all = Window.partitionBy(product_col).orderBy(order_col, *tiebreak)
+    w_kind = Window.partitionBy(product_col, "_zero").orderBy(order_col, *tiebreak)
     staged = (df.withColumn("_zero", zero)
               .withColumn("_island", F.row_number().over(w_all) - F.row_number().over(w_kind)))
     run = F.count(F.lit(1)).over(Window.partitionBy(product_col, "_zero", "_island"))
@@ -188,11 +191,11 @@ def remove_zero_runs(df: DataFrame, run_length: int = 7, product_col: str = "pro
 
 
 def bounded_ffill(df: DataFrame, col_name: str, max_fill: int = 2, product_col: str = "product_code",
-                  order_col: str = "date") -> DataFrame:
+                  order_col: str = "date", tiebreak: Sequence[str] = ()) -> DataFrame:
     """Forward-fill NULL runs of at most ``max_fill`` rows; longer and leading runs stay NULL."""
     isnull = F.col(col_name).isNull()
-    w_all = Window.partitionBy(product_col).orderBy(order_col)
-    w_kind = Window.partitionBy(product_col, "_null").orderBy(order_col)
+    w_all = Window.partitionBy(product_col).orderBy(order_col, *tiebreak)
+    w_kind = Window.partitionBy(product_col, "_null").orderBy(order_col, *tiebreak)
     staged = (df.withColumn("_null", isnull)
               .withColumn("_island", F.row_number().over(w_all) - F.row_number().over(w_kind)))
     run = F.count(F.lit(1)).over(Window.partitionBy(product_col, "_null", "_island"))

@@ -17,9 +17,12 @@ from ..functions.scalars import ratio
 
 
 def add_lags(df: DataFrame, cols: Sequence[str], lags: Sequence[int], product_col: str = "product_code",
-             order_col: str = "date") -> DataFrame:
-    """``{col}_lag_{k}``: value k rows earlier within the product (row lag, not calendar)."""
-    w = Window.partitionBy(product_col).orderBy(order_col)
+             order_col: str = "date", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """``{col}_lag_{k}``: value k rows earlier within the product (row lag, not calendar).
+
+    ``tiebreak`` orders rows of one product and date; without it they should be one row.
+    """
+    w = Window.partitionBy(product_col).orderBy(order_col, *tiebreak)
     new = [F.lag(c, k).over(w).alias(f"{c}_lag_{k}") for c in cols if c in df.columns for k in lags]
     return df.select("*", *new)
 
@@ -32,19 +35,19 @@ def add_price_changes(df: DataFrame, cols: Sequence[str], lags: Sequence[int]) -
 
 
 def ffill_columns(df: DataFrame, cols: Sequence[str], product_col: str = "product_code",
-                  order_col: str = "date") -> DataFrame:
-    w = Window.partitionBy(product_col).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+                  order_col: str = "date", tiebreak: Sequence[str] = ()) -> DataFrame:
+    w = Window.partitionBy(product_col).orderBy(order_col, *tiebreak).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols if c in df.columns})
 
 
 def add_price_runs(df: DataFrame, price_col: str = "product_selling_price", product_col: str = "product_code",
-                   order_col: str = "date") -> DataFrame:
+                   order_col: str = "date", tiebreak: Sequence[str] = ()) -> DataFrame:
     """price_change flag, run id, rows since the last change and weeks (= rows // 7)."""
-    w = Window.partitionBy(product_col).orderBy(order_col)
+    w = Window.partitionBy(product_col).orderBy(order_col, *tiebreak)
     flag = F.coalesce(F.col(price_col) != F.lag(price_col).over(w), F.lit(False))
     staged = df.withColumn("price_change", flag).withColumn(
         "price_change_group", F.sum(F.col("price_change").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    w_run = Window.partitionBy(product_col, "price_change_group").orderBy(order_col)
+    w_run = Window.partitionBy(product_col, "price_change_group").orderBy(order_col, *tiebreak)
     return (staged.withColumn("days_since_last_change", F.row_number().over(w_run) - 1)
             .withColumn("weeks_since_last_change", F.floor(F.col("days_since_last_change") / 7).cast("int")))
 

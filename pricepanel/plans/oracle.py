@@ -1107,3 +1107,17 @@ register("custom_curves", with_(SALES, PANEL) + f""", est AS (
 f AS (SELECT product_code, yr, regr_slope(ln(q), ln(p)) AS b, regr_intercept(ln(q), ln(p)) AS a, regr_r2(ln(q), ln(p)) AS r, count(*) AS n
       FROM est WHERE q > 0 AND p > 0 GROUP BY 1, 2 HAVING count(*) >= 2 AND regr_slope(ln(q), ln(p)) IS NOT NULL)
 SELECT product_code, yr AS sequence_number, {R('b')} AS slope, {R('a')} AS intercept, {R('r')} AS r2, n AS n_points FROM f""")
+
+register("tied_rows", with_(SALES) + """, r AS (
+  SELECT *, lag(quantity_sold) OVER w AS quantity_sold_lag_1, row_number() OVER w AS rn,
+         CASE WHEN return_flag <> 'R' THEN floor(product_selling_price) END AS p0
+  FROM sales WINDOW w AS (PARTITION BY product_code ORDER BY date, l_orderkey, l_linenumber)),
+i AS (SELECT *, rn - row_number() OVER (PARTITION BY product_code, p0 IS NULL ORDER BY rn) AS island FROM r),
+c AS (SELECT *, count(*) OVER (PARTITION BY product_code, p0 IS NULL, island) AS run,
+             last_value(p0 IGNORE NULLS) OVER (PARTITION BY product_code ORDER BY rn) AS prev FROM i),
+f AS (SELECT *, CASE WHEN p0 IS NULL AND run <= 2 THEN prev ELSE p0 END AS p FROM c),
+g AS (SELECT *, coalesce(p <> lag(p) OVER (PARTITION BY product_code ORDER BY rn), false) AS price_change FROM f),
+h AS (SELECT *, sum(price_change::INT) OVER (PARTITION BY product_code ORDER BY rn)::BIGINT AS price_change_group FROM g)
+SELECT product_code, date, l_orderkey, l_linenumber, quantity_sold_lag_1, p::DOUBLE AS price, price_change, price_change_group,
+       (row_number() OVER (PARTITION BY product_code, price_change_group ORDER BY rn) - 1)::INTEGER AS days_since_last_change
+FROM h""")

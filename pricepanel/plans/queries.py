@@ -1199,3 +1199,14 @@ def q_custom_curves(spark, d):
     out = el.fit_custom_curves(el.price_points(rows, "price", "quantity_sold", keys), el.power_law,
                                "slope double, intercept double, r2 double, n_points long", keys)
     return out.select(*keys, *[r6(c) for c in ("slope", "intercept", "r2")], "n_points")
+
+
+@query("tied_rows")
+def q_tied_rows(spark, d):
+    """Lags, runs and fills on line items, of which a product has several a day: ordered by order and line."""
+    rows = td.sales_rows(spark, d).withColumn("product_selling_price", F.when(F.col("return_flag") != "R", F.floor("product_selling_price")))
+    out = feat.add_lags(rows, ["quantity_sold"], [1], tiebreak=TB)
+    out = clean.bounded_ffill(out, "product_selling_price", 2, tiebreak=TB)
+    out = feat.add_price_runs(out, tiebreak=TB)
+    return out.select("product_code", "date", *TB, "quantity_sold_lag_1", F.col("product_selling_price").cast("double").alias("price"),
+                      "price_change", "price_change_group", "days_since_last_change")

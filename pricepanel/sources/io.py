@@ -74,6 +74,27 @@ def read_tree(spark: SparkSession, prefix: str, suffix: str = ".parquet", union_
     return (reader.option("mergeSchema", "true") if union_columns else reader).parquet(prefix)
 
 
+def read_file_subset(spark: SparkSession, prefix: str, percent: int = 50, seed: int = 42, suffix: str = ".parquet") -> DataFrame:
+    """The rows of about ``percent`` of the files below ``prefix`` (one file at least), the same ones each time.
+
+    Files are drawn by a hash of their name below ``prefix``.  Spark lists and draws them; a file that is not drawn is
+    not opened.  Only the drawn paths reach the driver, as a reader has to be given them.
+    """
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true")
+             .load(prefix).select("path"))
+    root = re.sub(r"^[a-z]+:/*", "/", prefix.rstrip("/"))
+    inner = F.regexp_replace("path", rf"^.*{re.escape(root)}/", "")
+    draw = F.conv(F.substring(F.md5(F.concat(inner, F.lit(f":{seed}")).cast("binary")), 1, 8), 16, 10).cast("long")
+    drawn = files.select("path", (draw % 10_000).alias("draw"))
+    picked = [r.path for r in drawn.filter(F.col("draw") < percent * 100).orderBy("path").collect()]
+    if not picked:
+        least = drawn.orderBy("draw", "path").first()
+        if least is None:
+            raise ValueError(f"no {suffix} files under {prefix}")
+        picked = [least.path]
+    return spark.read.option("basePath", prefix).parquet(*picked)
+
+
 def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
     """Optional source: the table when it exists, else None (plan-time check)."""
     return spark.read.parquet(path) if exists(spark, path) else None

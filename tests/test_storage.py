@@ -94,3 +94,15 @@ def test_bad_csv_lines(spark, tmp_path):
                    ("a,b", "c,d", "e,f"), ("1", "2", None)]
     one = io.read_csv_skip_bad(spark, f"file://{tmp_path}/f.csv", ["a", "b", "c"]).select("a")
     assert one.count() == len(got)  # the same whichever columns are read
+
+
+def test_file_subset(spark, tmp_path):
+    base = f"file://{tmp_path}/m"
+    spark.range(400).withColumn("k", F.col("id") % 40).repartition("k").write.partitionBy("k").parquet(base)
+    got = {r.k: r["n"] for r in io.read_file_subset(spark, base, 50).groupBy("k").agg(F.count("*").alias("n")).collect()}
+    assert 8 <= len(got) <= 32 and set(got.values()) == {10}  # whole files
+    assert got.keys() == {r.k for r in io.read_file_subset(spark, base, 50).select("k").distinct().collect()}
+    assert io.read_file_subset(spark, base, 0).select("k").distinct().count() == 1
+    assert io.read_file_subset(spark, base, 100).count() == 400
+    with pytest.raises(Exception):
+        io.read_file_subset(spark, f"{base}/none")
