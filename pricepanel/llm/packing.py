@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ROW, shuffle_partitions, with_rows, word_count
+from .common import ROW, shuffle_partitions, word_count
 from .simhash import near_duplicates
 from .vectors import groups
 
@@ -151,9 +151,10 @@ def pack_apart(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str
                source_col: str = "source", **options) -> DataFrame:
     """``pack`` with the near-duplicate groups of the SimHash operator as clusters: near copies never share a bin.
 
-    Only row numbers, sizes and groups are joined, no texts.
+    A document finds its group by two hashes of its text; no text is written or shuffled.
     """
-    keyed = with_rows(docs.select(id_col, text_col, source_col), "pack-docs")
-    groups_ = near_duplicates(keyed, shingle, max_bits, id_col, text_col).select(F.col("row_key").alias(ROW), F.col("root").alias("__llm_root"))
-    sized = keyed.select(ROW, id_col, source_col, word_count(text_col).alias("__llm_size")).join(groups_, ROW)
-    return pack(sized, id_col=id_col, source_col=source_col, size=F.col("__llm_size"), cluster=F.col("__llm_root"), **options)
+    hashes = [F.xxhash64(text_col).alias("h1"), F.xxhash64(F.lit(17), text_col).alias("h2")]
+    found = near_duplicates(docs.select(hashes[0].alias("doc_id"), hashes[1].alias(ROW), F.col(text_col).alias("text")), shingle, max_bits)
+    roots = found.select(F.col("doc_id").alias("h1"), F.col("row_key").alias("h2"), "root").distinct()
+    sized = docs.select(F.col(id_col), F.col(source_col), word_count(text_col).alias("__llm_size"), *hashes).join(roots, ["h1", "h2"])
+    return pack(sized, id_col=id_col, source_col=source_col, size=F.col("__llm_size"), cluster=F.col("root"), **options)

@@ -4,7 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from pricepanel.llm.packing import best_fit, pack
+from pricepanel.llm.packing import best_fit, pack, pack_apart
 
 
 def naive_bins(pieces, capacity, limit):
@@ -85,3 +85,12 @@ def test_query_against_brute_force(spark, sf_small):
         assert len({comp[r["doc_id"]] for r in b}) == len(b)
     pieces.sort(key=lambda x: -x[0])
     assert abs(len(bins) - len(naive_bins(pieces, 2048, 4))) <= 1
+
+
+def test_pack_apart_edge_cases(spark, odd_docs):
+    rows = [(i, "a b c d e f g", "a") for i in range(3)] + [(5, None, None), (6, "", "b"), (None, "a b c d e f g", None), (8, "x y", "a")]
+    got = pack_apart(odd_docs(rows), capacity=64).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in rows)
+    apart = [r["bin"] for r in got if r["doc_id"] in (0, 1, 2, None)]
+    assert len(set(apart)) == 4
+    assert pack_apart(odd_docs(rows).filter("false")).count() == 0
