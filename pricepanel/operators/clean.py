@@ -172,6 +172,23 @@ def filter_live_products(df: DataFrame, days: int = 180, product_col: str = "pro
     return df.join(live, product_col, "left_semi")
 
 
+def _with_run_length(df: DataFrame, kind, limit: int, product_col: str, order_col: str, tiebreak: Sequence[str]) -> DataFrame:
+    """Adds ``_run``: on rows where ``kind`` holds, how many such rows stand together; NULL if more than ``limit`` follow.
+
+    All windows share one order, so the rows are sorted once: the last other row is carried along, the next one is
+    sought among the following ``limit`` rows (the cost of a row), and the end of the product ends a run as well.
+    """
+    w = Window.partitionBy(product_col).orderBy(order_col, *tiebreak)
+    ahead = w.rowsBetween(0, limit)
+    other = F.when(~F.col("_kind"), F.col("_rn"))
+    staged = df.withColumns({"_kind": kind, "_rn": F.row_number().over(w)}).withColumns({
+        "_before": F.max(other).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        "_next": F.min(other).over(ahead), "_seen": F.count(F.lit(1)).over(ahead)})
+    after = F.coalesce("_next", F.when(F.col("_seen") <= limit, F.col("_rn") + F.col("_seen")))
+    run = after - F.coalesce("_before", F.lit(0)) - 1
+    return staged.withColumn("_run", run).drop("_rn", "_before", "_next", "_seen")
+
+
 def remove_zero_runs(df: DataFrame, run_length: int = 7, product_col: str = "product_code",
                      order_col: str = "date", qty_col: str = "quantity_sold", tiebreak: Sequence[str] = ()) -> DataFrame:
     """Gaps-and-islands: drop runs of >= run_length consecutive zero/NULL quantity rows; NULL -> 0.
@@ -179,31 +196,21 @@ def remove_zero_runs(df: DataFrame, run_length: int = 7, product_col: str = "pro
     ``tiebreak`` orders rows of one product and date; without it they should be one row.
     """
     zero = (F.col(qty_col).isNull() | (F.col(qty_col) == 0))
-    w_all = Window.partitionBy(product_col).orderBy(order_col, *tiebreak)
-    w_kind = Window.partitionBy(product_col, "_zero").orderBy(order_col, *tiebreak)
-    staged = (df.withColumn("_zero", zero)
-              .withColumn("_island", F.row_number().over(w_all) - F.row_number().over(w_kind)))
-    run = F.count(F.lit(1)).over(Window.partitionBy(product_col, "_zero", "_island"))
-    return (staged.withColumn("_run", run)
-            .filter(~(F.col("_zero") & (F.col("_run") >= run_length)))
+    staged = _with_run_length(df, zero, run_length, product_col, order_col, tiebreak)
+    return (staged.filter(~F.col("_kind") | F.coalesce(F.col("_run") < run_length, F.lit(False)))
             .withColumn(qty_col, F.coalesce(F.col(qty_col), F.lit(0).cast(df.schema[qty_col].dataType)))
-            .drop("_zero", "_island", "_run"))
+            .drop("_kind", "_run"))
 
 
 def bounded_ffill(df: DataFrame, col_name: str, max_fill: int = 2, product_col: str = "product_code",
                   order_col: str = "date", tiebreak: Sequence[str] = ()) -> DataFrame:
     """Forward-fill NULL runs of at most ``max_fill`` rows; longer and leading runs stay NULL."""
-    isnull = F.col(col_name).isNull()
-    w_all = Window.partitionBy(product_col).orderBy(order_col, *tiebreak)
-    w_kind = Window.partitionBy(product_col, "_null").orderBy(order_col, *tiebreak)
-    staged = (df.withColumn("_null", isnull)
-              .withColumn("_island", F.row_number().over(w_all) - F.row_number().over(w_kind)))
-    run = F.count(F.lit(1)).over(Window.partitionBy(product_col, "_null", "_island"))
-    prev = F.last(col_name, ignorenulls=True).over(w_all.rowsBetween(Window.unboundedPreceding, 0))
-    return (staged.withColumn("_run", run).withColumn("_prev", prev)
-            .withColumn(col_name, F.when(F.col("_null") & (F.col("_run") <= max_fill), F.col("_prev"))
+    w = Window.partitionBy(product_col).orderBy(order_col, *tiebreak).rowsBetween(Window.unboundedPreceding, 0)
+    staged = _with_run_length(df, F.col(col_name).isNull(), max_fill, product_col, order_col, tiebreak)
+    return (staged.withColumn("_prev", F.last(col_name, ignorenulls=True).over(w))
+            .withColumn(col_name, F.when(F.col("_kind") & (F.col("_run") <= max_fill), F.col("_prev"))
                         .otherwise(F.col(col_name)))
-            .drop("_null", "_island", "_run", "_prev"))
+            .drop("_kind", "_run", "_prev"))
 
 
 def add_output_metadata(df: DataFrame, **constants) -> DataFrame:

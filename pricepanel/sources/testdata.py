@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from ..functions.scalars import fixed_point_sum, ratio, round_half_up, to_day
 
 TIEBREAK = ["l_orderkey", "l_linenumber"]
+#: Line items that one task of a product panel takes; a product's weeks or simulated prices are some ten times its lines.
+TASK_ROWS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +52,17 @@ def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(spark: SparkSession, sf_dir: str, rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows (as many as line items at most) hashed by ``keys`` into tasks of about ``TASK_ROWS`` line items.
+
+    Their number follows the table (its rows are counted from the files' footers) and never falls below the session's,
+    so a task's memory does not grow with the input; what is grouped or ordered by (at least) the keys afterwards needs
+    no further shuffle.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(parts, table(spark, sf_dir, "lineitem").count() // TASK_ROWS), *keys)
+
+
 def part_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product dimension: partkey -> categories, brand, list price."""
     return table(spark, sf_dir, "part").select(
@@ -77,8 +90,12 @@ def _day_agg(rows: DataFrame, key: str = "product_code") -> DataFrame:
 
 
 def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product-day panel, product = part: unique (product_code, date)."""
-    return _day_agg(sales_rows(spark, sf_dir))
+    """Product-day panel, product = part: unique (product_code, date).
+
+    Lines of a part on one day are few, so the rows are shuffled as they are, once, by product: the days, weeks, runs
+    and curves of a product follow in the same task.
+    """
+    return _day_agg(spread(spark, sf_dir, sales_rows(spark, sf_dir), "product_code"))
 
 
 def brand_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
