@@ -44,12 +44,15 @@ def add_price_runs(df: DataFrame, price_col: str = "product_selling_price", prod
                    order_col: str = "date", tiebreak: Sequence[str] = ()) -> DataFrame:
     """price_change flag, run id, rows since the last change and weeks (= rows // 7)."""
     w = Window.partitionBy(product_col).orderBy(order_col, *tiebreak)
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     flag = F.coalesce(F.col(price_col) != F.lag(price_col).over(w), F.lit(False))
-    staged = df.withColumn("price_change", flag).withColumn(
-        "price_change_group", F.sum(F.col("price_change").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    w_run = Window.partitionBy(product_col, "price_change_group").orderBy(order_col, *tiebreak)
-    return (staged.withColumn("days_since_last_change", F.row_number().over(w_run) - 1)
-            .withColumn("weeks_since_last_change", F.floor(F.col("days_since_last_change") / 7).cast("int")))
+    # row numbers instead of a window per run: one order, so the rows are sorted once
+    staged = df.withColumns({"price_change": flag, "_rn": F.row_number().over(w)}).withColumns({
+        "price_change_group": F.sum(F.col("price_change").cast("int")).over(so_far),
+        "_began": F.max(F.when(F.col("price_change"), F.col("_rn"))).over(so_far)})
+    return (staged.withColumn("days_since_last_change", F.col("_rn") - F.coalesce("_began", F.lit(1)))
+            .withColumn("weeks_since_last_change", F.floor(F.col("days_since_last_change") / 7).cast("int"))
+            .drop("_rn", "_began"))
 
 
 def add_competitor_features(df: DataFrame, competitors: Sequence[str], price_col: str = "product_selling_price",
