@@ -1098,6 +1098,7 @@ def q_demand_curve_sequences(spark, d):
            .groupBy("product_code", "sequence_number", PRICE_CALC)
            .agg(F.sum("quantity_sold").alias("predicted_quantity")))
     keys = ["product_code", "sequence_number"]
+    est = td.spread(spark, d, est, *keys)  # the fits and the curve share this shuffle
     curve = el.demand_curve(est, el.fit_demand_curves(est, PRICE_CALC, "predicted_quantity", keys), PRICE_CALC, keys)
     return curve.select("product_code_elasticity", "sequence_number_elasticity", "price", r6("sales"))
 
@@ -1204,7 +1205,8 @@ def q_custom_curves(spark, d):
 @query("tied_rows")
 def q_tied_rows(spark, d):
     """Lags, runs and fills on line items, of which a product has several a day: ordered by order and line."""
-    rows = td.sales_rows(spark, d).withColumn("product_selling_price", F.when(F.col("return_flag") != "R", F.floor("product_selling_price")))
+    rows = td.spread(spark, d, td.sales_rows(spark, d), "product_code").withColumn(
+        "product_selling_price", F.when(F.col("return_flag") != "R", F.floor("product_selling_price")))
     out = feat.add_lags(rows, ["quantity_sold"], [1], tiebreak=TB)
     out = clean.bounded_ffill(out, "product_selling_price", 2, tiebreak=TB)
     out = feat.add_price_runs(out, tiebreak=TB)
