@@ -311,11 +311,13 @@ def apply_content_factor(df: DataFrame, competitors: Sequence[str]) -> DataFrame
 def drop_sparse_competitors(df: DataFrame, competitors: Sequence[str], max_null_pct: float = 59.0) -> DataFrame:
     """Drop competitor price columns whose NULL share exceeds ``max_null_pct``.
 
-    One aggregate action decides the column set at plan time (a schema decision).
+    One aggregate action decides the column set at plan time (a schema decision); the rows are written once before,
+    so what made them does not run again for the result.
     """
     present = [f"{c}_price" for c in competitors if f"{c}_price" in df.columns]
     if not present:
         return df
+    df = cut_lineage(df, "competitor-shares")
     shares = null_share(df, present).first().asDict()
     drop = [c for c in present if (shares[f"{c}_null_pct"] or 0.0) > max_null_pct]
     return df.drop(*drop)

@@ -790,7 +790,7 @@ def q_weather_features(spark, d):
 @query("sparse_competitor_drop")
 def q_sparse_competitor_drop(spark, d):
     # one competitor is known in the first days of a year only, so its column goes and the others stay
-    rows = brand_sales_competitors(spark, d).withColumn(
+    rows = brand_sales_competitors(spark, d).select("product_code", "date", *WIDE_COLS).withColumn(
         "asia_price", F.when(F.dayofyear("date") <= 10, F.col("asia_price")))
     out = comp.drop_sparse_competitors(rows, COMP_SLUGS, 96.0)
     return out.select("product_code", "date", *[r6(c) for c in WIDE_COLS if c in out.columns])
