@@ -6,6 +6,8 @@ they stay inside whole-stage codegen; none of them is a Python UDF.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -29,10 +31,16 @@ def fixed_point_sum(c, scale: int) -> Column:
     """
     x = col(c).cast("double")
     exact = x.cast(DecimalType(38 - 8, scale))
-    fits = F.abs(exact.cast("double") - x) <= F.greatest(F.abs(x), F.lit(1.0)) * F.lit(1e-9)
-    checked = F.when(x.isNull() | fits, exact).otherwise(
+    wide = F.abs(exact.cast("double") - x) <= F.greatest(F.abs(x), F.lit(1.0)) * F.lit(1e-9)
+    # values of up to 10 digits that lie at a whole number of units are added as such: no decimal is made of each
+    scaled = x * F.lit(float(10 ** scale))
+    near = F.least(F.greatest(F.abs(x), F.lit(1.0)) * F.lit(1e-9 * 10 ** scale), F.lit(1e-3))
+    fits = (F.abs(scaled) < F.lit(1e10)) & (F.abs(F.rint(scaled) - scaled) <= near)
+    rest = F.when(x.isNull() | fits, None).when(wide, exact).otherwise(
         F.raise_error(F.concat(F.lit(f"not a number with {scale} decimals: "), x.cast("string"))).cast(DecimalType(30, scale)))
-    return F.sum(checked).cast("double")
+    small = F.sum(F.when(fits, F.rint(scaled).cast("bigint"))).cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))
+    large = F.sum(rest)
+    return F.coalesce(small + large, small, large).cast("double")
 
 
 def round_half_up(c, digits: int = 2) -> Column:

@@ -33,8 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-grain sales rows (product = part)."""
+def sales_rows(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Line-grain sales rows (product = part), with ``more`` columns of the line items."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_partkey").cast("string").alias("product_code"),
@@ -48,7 +48,7 @@ def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_discount").alias("discount"),
         F.col("l_linestatus").alias("product_status"),
         F.col("l_returnflag").alias("return_flag"),
-        "l_orderkey", "l_linenumber",
+        "l_orderkey", "l_linenumber", *more,
     )
 
 
@@ -99,12 +99,10 @@ def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def brand_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sales_rows(spark, sf_dir)
-    brands = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("part_code"), F.col("p_brand"))
-    return (rows.withColumnRenamed("product_code", "part_code")
-            .join(brands, "part_code")
-            .withColumnRenamed("p_brand", "product_code"))
+    rows = sales_rows(spark, sf_dir, "l_partkey").withColumnRenamed("product_code", "part_code")
+    brands = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("product_code"))
+    # joined by the whole number: the same shuffle as that of the competitor prices, no text made of it
+    return rows.join(brands, F.col("l_partkey") == F.col("p_partkey")).drop("l_partkey", "p_partkey")
 
 
 def brand_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

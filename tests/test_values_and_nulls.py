@@ -150,3 +150,16 @@ def test_unseen_and_null_levels_are_predicted(spark):
     # a row's own label is not in its training encoding
     data, encoded = mdl.encode_training(df, cfg, mdl.feature_columns(df, cfg))
     assert data.select("_e_product_code").distinct().count() > encoded.encodings.count()
+
+
+def test_fixed_point_sum_of_small_and_large_values(spark):
+    """Whole units and decimals add up to the exact sum; far values keep the decimal rule."""
+    import random
+    from decimal import Decimal
+    random.seed(3)
+    vals = [random.randint(-10 ** 9, 10 ** 9) / 100 for _ in range(2000)] + [123456789012.34, -98765432109.87, 0.0, 1e8, 99999999.99]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v double")
+    assert df.agg(fixed_point_sum("v", 2).alias("s")).first().s == float(sum(Decimal(str(v)) for v in vals))
+    assert df.filter("v is null").agg(fixed_point_sum("v", 2).alias("s")).first().s is None
+    with pytest.raises(Exception, match="not a number with 2 decimals"):
+        spark.createDataFrame([(0.010005,)], "v double").agg(fixed_point_sum("v", 2)).collect()
