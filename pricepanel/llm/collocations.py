@@ -1,6 +1,6 @@
 """Phrase collocation mining by Rabin-Karp fingerprints.
 
-Texts are written once as chunks of a few megabytes, one language each: lower-cased words with one space between
+Texts are written once as chunks of a megabyte, one language each: lower-cased words with one space between
 words of a piece and a line end behind a piece.  A numpy prefix polynomial over a chunk's bytes gives every n-gram
 its fingerprint.  A chunk ships its distinct fingerprints, sorted and delta-coded, to the tasks of their ranges; a
 fingerprint's chunk and place in the chunk's order is the pointer to its occurrences.  Where the counts of a range
@@ -32,7 +32,7 @@ from ..session import cut_lineage
 from .bytewords import _LOWER, U64, blocks, byte_codes, eights, gathered, same_spans, span_hashes, text_buffer
 from .common import shuffle_partitions
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Of unfinished chunks in a task, all languages together.
 OPEN_BYTES = 32 << 20
 _BITS = U64(16)  # the lowest bits of a fingerprint stay at home; 48 travel

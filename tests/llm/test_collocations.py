@@ -113,3 +113,23 @@ def test_packing_round_trip():
 
 def test_empty_table(spark):
     assert C.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
+
+
+def test_memory_of_a_full_chunk():
+    """What a task holds for one chunk of the default size: two of them fit an executor beside its JVM."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from pricepanel.llm import collocations as col
+    text = b" ".join(b"%x" % (i * 2654435761 % 4294967291) for i in range(col.CHUNK_BYTES // 9)) + b"\n"
+    batch = pa.record_batch([pa.array([1]), pa.array(["en"]), pa.array([0], pa.int32()), pa.array([1]), pa.array([text], pa.binary())],
+                            names=["chunk", "lang", "carry", "words", "text"])
+    tracemalloc.start()
+    try:
+        list(col._fingerprints(3, 10, 16, np.uint8)([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 48 << 20, peak >> 20
