@@ -32,8 +32,8 @@ def byte_codes(seed: int = 0) -> np.ndarray:
     return np.random.default_rng([7, seed]).integers(1, 2**64, 256, dtype=U64)[_LOWER]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(HASH_BYTES, n)
+def _powers(n: int, most: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    size = max(most or HASH_BYTES, n)
     if size not in _POWERS:
         _POWERS.clear()
         _POWERS[size] = tuple(np.cumprod(np.concatenate([np.ones(1, U64), np.full(size, U64(p))]))
@@ -92,15 +92,15 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tup
     return starts, ends, np.diff(np.searchsorted(starts, offsets))
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """The mixed polynomial hash of every span; starts and ends ascend.  Memory follows ``HASH_BYTES``."""
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray, most: int = 0) -> np.ndarray:
+    """The mixed polynomial hash of every span; starts and ends ascend.  Memory follows ``most`` (``HASH_BYTES``)."""
     out = np.empty(len(starts), U64)
     i = 0
     while i < len(starts):
         base = int(starts[i])
-        j = max(int(np.searchsorted(ends, base + HASH_BYTES, side="right")), i + 1)
+        j = max(int(np.searchsorted(ends, base + (most or HASH_BYTES), side="right")), i + 1)
         stop = int(ends[j - 1])
-        power, inverse = _powers(stop - base)
+        power, inverse = _powers(stop - base, most)
         prefix = np.zeros(stop - base + 1, U64)
         np.cumsum(codes[buf[base:stop]] * power[:stop - base], out=prefix[1:])
         out[i:j] = (prefix[ends[i:j] - base] - prefix[starts[i:j] - base]) * inverse[starts[i:j] - base]

@@ -1,7 +1,7 @@
 """Phrase collocation mining by Rabin-Karp fingerprints.
 
-Texts are written once as chunks of a megabyte, one language each: lower-cased words with one space between
-words of a piece and a line end behind a piece.  A numpy prefix polynomial over a chunk's bytes gives every n-gram
+Texts are written once as chunks of at most a megabyte, one language each: lower-cased words with one space between
+words of a piece and a line end behind a piece, compressed for the way.  A numpy prefix polynomial over a chunk's bytes gives every n-gram
 its fingerprint.  A chunk ships its distinct fingerprints, sorted and delta-coded, to the tasks of their ranges; a
 fingerprint's chunk and place in the chunk's order is the pointer to its occurrences.  Where the counts of a range
 add up to ``min_count``, one bit per pointer goes back to the chunk.  Only these phrases become text: each occurrence
@@ -37,6 +37,8 @@ CHUNK_BYTES = 1 << 20
 OPEN_BYTES = 32 << 20
 _BITS = U64(16)  # the lowest bits of a fingerprint stay at home; 48 travel
 _CHUNKS = "chunk long, lang string, carry int, words long, text binary"
+#: What numpy works on at once within a chunk: bytes hashed, occurrences compared and phrases shown.
+_HASH_BYTES, _SHOWN = 1 << 18, 1 << 14
 
 #: What parts pieces, and what parts words.
 _BREAK = np.zeros(256, bool)
@@ -90,6 +92,15 @@ def _cuts(text: bytes, most: int, carried: int):
     yield text[at:], carry
 
 
+def _squeezed(text: bytes) -> bytes:
+    """A text for the way through Spark; rows stay far below its ``CHUNK_BYTES`` there."""
+    return len(text).to_bytes(8, "little") + pa.compress(text, codec="zstd", asbytes=True)
+
+
+def _opened(blob: bytes) -> bytes:
+    return pa.decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+
+
 def _chunk_rows(most: int, carried: int):
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
@@ -101,7 +112,7 @@ def _chunk_rows(most: int, carried: int):
             seq += 1
             words = text.count(b" ") + text.count(b"\n") - carry
             return pa.record_batch([pa.array([(part << 33) + seq]), pa.array([lang]), pa.array([carry], pa.int32()),
-                                    pa.array([words]), pa.array([text], pa.binary())],
+                                    pa.array([words]), pa.array([_squeezed(text)], pa.binary())],
                                    names=["chunk", "lang", "carry", "words", "text"])
 
         def closed(lang):
@@ -114,16 +125,16 @@ def _chunk_rows(most: int, carried: int):
                 rows = pc.filter(b["text"], pc.equal(lang_col.indices, code))
                 rows = pc.binary_join_element_wise(pc.fill_null(rows, ""), "", "\n")  # a text ends its last piece
                 buf, offsets = text_buffer(rows)
-                for i, j in blocks(offsets, most):
+                for i, j in blocks(offsets, max(most // 4, 1)):
                     text = normalised(buf[offsets[i]:offsets[j]]).tobytes()
                     if len(text) > most:
                         for piece, carry in _cuts(text, most, carried):
                             yield row(lang, piece, carry)
                         continue
+                    if size.get(lang, 0) + len(text) > most:
+                        yield closed(lang)
                     open_.setdefault(lang, []).append(text)
                     size[lang] = size.get(lang, 0) + len(text)
-                    if size[lang] >= most:
-                        yield closed(lang)
                     while sum(size.values()) >= max(OPEN_BYTES, most):
                         yield closed(max(size, key=size.get))
         for lang in list(open_):
@@ -147,7 +158,7 @@ class _Grams:
             starts.append(start[i].astype(np.int32))
             ends.append(sep[i + n - 1].astype(np.int32))
             sizes.append(np.full(len(i), n, np.int8))
-            hashes.append(span_hashes(self.buf, start[i], sep[i + n - 1], codes) >> _BITS)
+            hashes.append(span_hashes(self.buf, start[i], sep[i + n - 1], codes, _HASH_BYTES) >> _BITS)
         self.hash = np.concatenate(hashes)
         self.start, self.end, self.n = np.concatenate(starts), np.concatenate(ends), np.concatenate(sizes)
 
@@ -176,14 +187,14 @@ def _bounds(ranges: int) -> np.ndarray:
     return np.array([(b << 48) // ranges for b in range(ranges + 1)], U64)
 
 
-def _fingerprints(max_words: int, min_count: int, ranges: int, count_type):
+def _fingerprints(max_words: int, min_count: int, ranges: int, count_type, read=bytes):
     """A row per chunk and range: the chunk's distinct fingerprints there with their counts, up to ``min_count``."""
     def run(batches):
         bounds = _bounds(ranges)
         for b in batches:
             for k in range(b.num_rows):
                 chunk, lang, carry, text = (b[c][k].as_py() for c in ("chunk", "lang", "carry", "text"))
-                h = _Grams(text, lang, carry, max_words).hash
+                h = _Grams(read(text), lang, carry, max_words).hash
                 h.sort()
                 first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
                 counts = np.minimum(np.diff(np.append(first, len(h))), min_count).astype(count_type)
@@ -201,18 +212,19 @@ def _frequent(min_count: int, count_type):
     schema = pa.schema([("chunk", pa.int64()), ("range", pa.int32()), ("bits", pa.binary())])
 
     def run(key, table):
-        parts = [_unpack(x, count_type) for x in table["blob"].to_pylist()]
-        values = np.concatenate([v for v, _ in parts])
+        values, counts = zip(*(_unpack(x.as_py(), count_type) for x in table["blob"]))
+        sizes = [len(v) for v in values]
+        values, counts = np.concatenate(values), np.concatenate(counts)
         order = np.argsort(values)
         values = values[order]
         first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-        total = np.add.reduceat(np.concatenate([c for _, c in parts]).astype(np.int64)[order], first)
+        total = np.add.reduceat(counts[order], first, dtype=np.int64)
         often = np.zeros(len(values), bool)
         often[order] = np.repeat(total >= min_count, np.diff(np.append(first, len(values))))
         out, at = ([], []), 0
-        for chunk, (v, _) in zip(table["chunk"].to_pylist(), parts):
-            mine = often[at:at + len(v)]
-            at += len(v)
+        for chunk, size in zip(table["chunk"].to_pylist(), sizes):
+            mine = often[at:at + size]
+            at += size
             if mine.any():
                 out[0].append(chunk)
                 out[1].append(np.packbits(mine).tobytes())
@@ -221,7 +233,7 @@ def _frequent(min_count: int, count_type):
     return run
 
 
-def _phrases(max_words: int, ranges: int):
+def _phrases(max_words: int, ranges: int, read=bytes):
     """Per chunk: the text and count of every phrase whose fingerprint is frequent."""
     schema = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("phrase", pa.string()), ("count", pa.int64())])
 
@@ -231,7 +243,7 @@ def _phrases(max_words: int, ranges: int):
         if not texts or not bits:
             return schema.empty_table()
         lang, carry, text = texts[0]
-        g = _Grams(text, lang, carry, max_words)
+        g = _Grams(read(text), lang, carry, max_words)
         order = np.argsort(g.hash)
         h = g.hash[order]
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
@@ -240,18 +252,23 @@ def _phrases(max_words: int, ranges: int):
         for r, b in bits.items():
             often[at[r]:at[r + 1]] = np.unpackbits(np.frombuffer(b, np.uint8), count=int(at[r + 1] - at[r]))
         first, size = first[often], size[often]
+        del h, g.hash
         total = np.cumsum(size)
         shown = np.repeat(order[first], size)
         each = order[np.repeat(first - (total - size), size) + np.arange(total[-1] if len(total) else 0)]
         packed = eights(g.buf)
         length = g.end - g.start
-        same = (g.n[each] == g.n[shown]) & same_spans(packed, g.start[each], length[each], packed, g.start[shown], length[shown])
+        same = np.empty(len(each), bool)
+        for i in range(0, len(each), _SHOWN):
+            e, s = each[i:i + _SHOWN], shown[i:i + _SHOWN]
+            same[i:i + _SHOWN] = (g.n[e] == g.n[s]) & same_spans(packed, g.start[e], length[e], packed, g.start[s], length[s])
         count = np.add.reduceat(same.astype(np.int64), total - size) if len(size) else np.zeros(0, np.int64)
         other = each[~same]  # another phrase with the fingerprint: shown on its own, counted with the rest later
         show = np.concatenate([order[first], other])
         count = np.concatenate([count, np.ones(len(other), np.int64)])
-        return pa.Table.from_arrays([pa.array([lang] * len(show), pa.string()), pa.array(g.n[show].astype(np.int32)),
-                                     gathered(g.buf, g.start[show], g.end[show]), pa.array(count)], schema=schema)
+        spans = [gathered(g.buf, g.start[s], g.end[s]) for s in (show[i:i + _SHOWN] for i in range(0, len(show), _SHOWN))]
+        return pa.Table.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(show)), pa.array(g.n[show].astype(np.int32)),
+                                     pa.chunked_array(spans, pa.string()), pa.array(count)], schema=schema)
     return run
 
 
@@ -263,12 +280,12 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, t
         docs.select(F.coalesce(lang_col, F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
         .mapInArrow(_chunk_rows(chunk_bytes, max_words - 1), _CHUNKS), "phrase-chunks")
     words = chunks.groupBy("lang").agg(F.sum("words").alias("words"))
-    ranges = max(2 * shuffle_partitions(spark), chunks.count() // 4)  # about four chunks' fingerprints in each
+    ranges = max(2 * shuffle_partitions(spark), chunks.count() // 6)  # about six chunks' fingerprints in each
     count_type = np.uint8 if min_count < 256 else np.uint32
-    bits = (chunks.mapInArrow(_fingerprints(max_words, min_count, ranges, count_type), "range int, chunk long, blob binary")
+    bits = (chunks.mapInArrow(_fingerprints(max_words, min_count, ranges, count_type, _opened), "range int, chunk long, blob binary")
             .groupBy("range").applyInArrow(_frequent(min_count, count_type), "chunk long, range int, bits binary"))
     both = chunks.select("chunk", "lang", "carry", "text").unionByName(bits, allowMissingColumns=True)
-    shown = both.groupBy("chunk").applyInArrow(_phrases(max_words, ranges), "lang string, n int, phrase string, count long")
+    shown = both.groupBy("chunk").applyInArrow(_phrases(max_words, ranges, _opened), "lang string, n int, phrase string, count long")
     found = shown.groupBy("lang", "n", "phrase").agg(F.sum("count").alias("f")).filter(F.col("f") >= min_count)
     return cut_lineage(found, "phrases"), words
 

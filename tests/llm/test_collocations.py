@@ -133,3 +133,51 @@ def test_memory_of_a_full_chunk():
     finally:
         tracemalloc.stop()
     assert peak < 48 << 20, peak >> 20
+
+
+def chunks_of(batches, most, monkeypatch):
+    class Task:
+        def partitionId(self):
+            return 0
+
+    monkeypatch.setattr(C.TaskContext, "get", staticmethod(Task))
+    return list(C._chunk_rows(most, 2)(iter(batches)))
+
+
+def test_chunks_hold_no_more_than_they_may(monkeypatch):
+    rnd = random.Random(5)
+    rows = [(rnd.choice(("en", "de")), " ".join(rnd.choice("ab") * rnd.randrange(1, 9) for _ in range(rnd.randrange(150)))) for _ in range(900)]
+    batches = [pa.record_batch([pa.array(x) for x in zip(*rows[i:i + 300])], names=["lang", "text"]) for i in (0, 300, 600)]
+    texts = {"en": [], "de": []}
+    for b in chunks_of(batches, 2000, monkeypatch):
+        texts[b["lang"][0].as_py()].append(C._opened(b["text"][0].as_py()))
+    for lang, found in texts.items():
+        want = "".join(t + "\n" for x, t in rows if x == lang and t)
+        assert b"".join(found).decode() == want
+        assert max(map(len, found)) <= 2000 < len(want) // 50
+        assert len(found) < 2 * len(want) // 2000
+
+
+def test_memory_from_documents_to_phrases(monkeypatch):
+    """Chunks of the default size, made from documents: what a task holds to ship their fingerprints and to show their phrases."""
+    import tracemalloc
+
+    words = [b"%x" % (i * 2654435761 % 60000) for i in range(C.CHUNK_BYTES // 2)]
+    docs = [b" ".join(words[i:i + 200]).decode() for i in range(0, len(words), 200)]
+    made = chunks_of([pa.record_batch([pa.array(["en"] * len(docs)), pa.array(docs)], names=["lang", "text"])], C.CHUNK_BYTES, monkeypatch)
+    table = made[0].select(["lang", "carry", "text"])
+    next(C._fingerprints(3, 10, 2, np.uint8, C._opened)(iter(made)))  # what is kept from chunk to chunk
+    tracemalloc.start()
+    try:
+        shipped = next(C._fingerprints(3, 10, 2, np.uint8, C._opened)(iter(made)))
+        first = tracemalloc.get_traced_memory()[1]
+        bits = [C._frequent(1, np.uint8)([pa.scalar(r)], pa.table({"range": [r], "chunk": [1], "blob": [blob]}))["bits"][0].as_py()
+                for r, blob in zip(shipped["range"].to_pylist(), shipped["blob"].to_pylist())]
+        rows = {c: table[c].to_pylist() + [None, None] for c in ("lang", "carry", "text")}
+        group = pa.table(rows | {"range": [None, 0, 1], "bits": [None, *bits]})
+        tracemalloc.reset_peak()
+        assert C._phrases(3, 2, C._opened)(None, group).num_rows > 150_000
+        second = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert max(first, second) < 48 << 20, (first >> 20, second >> 20)
